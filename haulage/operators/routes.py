@@ -64,8 +64,7 @@ def route_table(pairs: DataFrame, routed: DataFrame, centers: DataFrame) -> Data
 
 def latest_snapshot(fuel: DataFrame, ts: str = "scraped_at") -> DataFrame:
     """Rows of the most recent snapshot (``ts = (SELECT max(ts) ...)``)."""
-    top = fuel.agg(F.max(ts).alias("_max_ts"))
-    return fuel.join(F.broadcast(top), F.col(ts) == F.col("_max_ts")).drop("_max_ts")
+    return fuel.where(F.col(ts) == fuel.select(F.max(ts)).scalar())
 
 
 def route_costs(routes: DataFrame, diesel: DataFrame | None = None,

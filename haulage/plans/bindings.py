@@ -78,6 +78,7 @@ def flows(spark: SparkSession, sf_dir: str, domestic_only: bool = True) -> DataF
             .join(part, F.col("l_partkey") == F.col("p_partkey"))
             .select("origin", "destination", "commodity", "mode",
                     F.year("l_shipdate").alias("year"),
+                    F.quarter("l_shipdate").alias("quarter"),
                     F.when(F.col("l_linestatus") == "F", 1).otherwise(2).alias("trade_type"),
                     F.col("l_quantity").alias("tons"),
                     F.col("l_extendedprice").alias("value")))

@@ -24,6 +24,7 @@ def msum(expr: str) -> str:
 FLOWS = """flows AS (
   SELECT sn.n_name AS origin, cn.n_name AS destination, p.p_type AS commodity,
          o.o_orderpriority AS mode, CAST(year(l.l_shipdate) AS INTEGER) AS year,
+         CAST(quarter(l.l_shipdate) AS INTEGER) AS quarter,
          l.l_quantity AS tons, l.l_extendedprice AS value
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
