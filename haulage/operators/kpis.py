@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulage.functions import log_positive, round_half_up, safe_div
+from haulage.operators.ranking import quantile_scalars
 
 
 def r(c: Column, d: int = 6) -> Column:
@@ -27,16 +28,17 @@ def exact_sum(c: str, scale: int = 2) -> Column:
 def basic_kpis(df: DataFrame, value: str = "population", rank: str = "rank") -> DataFrame:
     """A10: count, sum, mean, median, sample std of population and rank.
     An empty input gives an empty result (no row)."""
+    med_v = quantile_scalars(df, value, {"m": 0.5})["m"]
+    med_r = quantile_scalars(df, rank, {"m": 0.5})["m"]
     out = df.agg(
         F.count(F.lit(1)).alias("total_states"),
         exact_sum(value).alias("total_population"),
         r(exact_sum(value) / F.count(value), 4).alias("avg_population"),
-        r(F.percentile(value, 0.5), 4).alias("median_population"),
         r(F.stddev_samp(value), 4).alias("population_std"),
         r(F.avg(rank), 6).alias("avg_rank"),
-        r(F.percentile(rank, 0.5), 4).alias("median_rank"),
         r(F.stddev_samp(rank), 6).alias("rank_std"))
-    return out.where(F.col("total_states") > 0)
+    return (out.where(F.col("total_states") > 0)
+            .withColumns({"median_population": r(med_v, 4), "median_rank": r(med_r, 4)}))
 
 
 def efficiency_kpis(df: DataFrame, value: str = "population", rank: str = "rank") -> DataFrame:
@@ -53,11 +55,12 @@ def efficiency_kpis(df: DataFrame, value: str = "population", rank: str = "rank"
 def distribution_kpis(df: DataFrame, value: str = "population", rank: str = "rank") -> DataFrame:
     """P90/P10 of population and rank, their ratios, and the share of
     population held by rows at or above P90 (threshold as scalar subquery)."""
-    p90 = df.select(F.percentile(value, 0.9)).scalar()
-    stats = df.agg(F.percentile(value, 0.9).alias("p90"), F.percentile(value, 0.1).alias("p10"),
-                   F.percentile(rank, 0.9).alias("r90"), F.percentile(rank, 0.1).alias("r10"),
-                   exact_sum(value).alias("_tot"),
-                   F.sum(F.when(F.col(value) >= p90, F.col(value).cast("decimal(30,2)"))).cast("double").alias("_top"))
+    pq = quantile_scalars(df, value, {"p90": 0.9, "p10": 0.1})
+    rq = quantile_scalars(df, rank, {"r90": 0.9, "r10": 0.1})
+    stats = (df.agg(exact_sum(value).alias("_tot"),
+                    F.sum(F.when(F.col(value) >= pq["p90"], F.col(value).cast("decimal(30,2)")))
+                    .cast("double").alias("_top"))
+             .withColumns({"p90": pq["p90"], "p10": pq["p10"], "r90": rq["r90"], "r10": rq["r10"]}))
     return stats.select(
         r(F.col("p90"), 4).alias("population_90th_percentile"),
         r(F.col("p10"), 4).alias("population_10th_percentile"),
@@ -71,14 +74,14 @@ def distribution_kpis(df: DataFrame, value: str = "population", rank: str = "ran
 def fuel_kpis(fuel: DataFrame) -> DataFrame:
     """Mean, median, std, range and coefficient of variation of the
     regular and diesel prices."""
-    out = []
+    out, meds = [], {}
     for c in ("regular", "diesel"):
+        meds[f"median_{c}_price"] = r(quantile_scalars(fuel, c, {"m": 0.5})["m"], 6)
         out += [r(exact_sum(c, 2) / F.count(c), 6).alias(f"avg_{c}_price"),
-                r(F.percentile(c, 0.5), 6).alias(f"median_{c}_price"),
                 r(F.stddev_samp(c), 6).alias(f"{c}_price_std"),
                 r(F.max(c) - F.min(c), 6).alias(f"{c}_price_range"),
                 r(F.stddev_samp(c) / (exact_sum(c, 2) / F.count(c)), 6).alias(f"price_volatility_{c}")]
-    return fuel.agg(*out)
+    return fuel.agg(*out).withColumns(meds)
 
 
 def regional_kpis(df: DataFrame, region: str = "region", key: str = "state",
@@ -118,8 +121,8 @@ def composite_kpis(df: DataFrame, key: str = "state", value: str = "population",
 
 def iqr_fences(df: DataFrame, value: str) -> tuple[Column, Column]:
     """A20 helper: lower/upper 1.5 x IQR fences as scalar subqueries."""
-    q = df.select(F.percentile(value, 0.25).alias("q1"), F.percentile(value, 0.75).alias("q3"))
-    q1, q3 = q.select("q1").scalar(), q.select("q3").scalar()
+    q = quantile_scalars(df, value, {"q1": 0.25, "q3": 0.75})
+    q1, q3 = q["q1"], q["q3"]
     iqr = q3 - q1
     return q1 - 1.5 * iqr, q3 + 1.5 * iqr
 

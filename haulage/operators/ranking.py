@@ -100,3 +100,48 @@ def pct_rank_average(df: DataFrame, value: str, out: str, partitions: int | None
     n = df.select(F.count(value)).scalar()
     return (ranked.withColumn(out, F.try_divide(F.col("_r_avg_rank"), n))
             .drop("_r_rank", "_r_avg_rank", "_r_percent_rank", "_r_cume_dist"))
+
+
+def grouped_quantiles(df: DataFrame, group_cols: list[str], value: str,
+                      probs: dict[str, float], partitions: int | None = None) -> DataFrame:
+    """Exact quantiles with linear interpolation (pandas ``quantile``, SQL
+    ``percentile_cont``) per group, without holding a group in one task.
+
+    Distinct (group, value) counts are prefix-summed globally (range
+    partitioned), each group's start offset is subtracted, and one
+    conditional aggregate picks the values at positions floor/ceil of
+    (n - 1) * p. Returns one row per group with a column per name in
+    ``probs`` (plus ``n``). Nulls are ignored; an all-null group gives null.
+    """
+    v = F.col(value)
+    counts = (df.where(v.isNotNull()).groupBy(*group_cols, v.alias("_v"))
+              .agg(F.count(F.lit(1)).alias("_n")))
+    cum = global_cumsum(counts, [*group_cols, "_v"], "_n", out="_before", partitions=partitions)
+    if group_cols:
+        starts = cum.groupBy(*group_cols).agg(F.min("_before").alias("_g0"), F.sum("_n").alias("_gn"))
+        local = cum.join(starts, group_cols)
+    else:  # one group starting at 0; its size is a scalar subquery
+        local = cum.withColumns({"_g0": F.lit(0).cast("long"), "_gn": counts.select(F.sum("_n")).scalar()})
+    local = local.withColumn("_lb", F.col("_before") - F.col("_g0"))
+    aggs, finals = [], []
+    for name, p in probs.items():
+        pos = (F.col("_gn") - 1) * float(p)
+        lo, hi = F.floor(pos), F.ceil(pos)
+        at_lo = (F.col("_lb") <= lo) & (lo < F.col("_lb") + F.col("_n"))
+        at_hi = (F.col("_lb") <= hi) & (hi < F.col("_lb") + F.col("_n"))
+        aggs += [F.max(F.when(at_lo, F.col("_v"))).alias(f"_lo_{name}"),
+                 F.max(F.when(at_hi, F.col("_v"))).alias(f"_hi_{name}"),
+                 F.first(pos).alias(f"_pos_{name}")]
+        pcol = F.col(f"_pos_{name}")
+        frac = pcol - F.floor(pcol)
+        finals.append((F.col(f"_lo_{name}") + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")) * frac).alias(name))
+    picked = local.groupBy(*group_cols).agg(F.first("_gn").alias("n"), *aggs)
+    return picked.select(*group_cols, "n", *finals)
+
+
+def quantile_scalars(df: DataFrame, value: str, probs: dict[str, float],
+                     partitions: int | None = None) -> dict:
+    """Exact whole-table quantiles as scalar-subquery Columns (one shared
+    distributed computation)."""
+    q = grouped_quantiles(df, [], value, probs, partitions)
+    return {name: q.select(name).scalar() for name in probs}
