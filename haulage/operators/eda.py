@@ -160,11 +160,13 @@ def insights(regional: DataFrame, stats: DataFrame, corr: DataFrame) -> DataFram
     top_region = regional.agg(F.max_by("region", F.struct("total_population", "region")).alias("v"))
     a = top_region.select(F.lit("largest_region").alias("insight_key"), F.col("v").alias("value"),
                           F.format_string("Largest region by population: %s", "v").alias("text"))
+    # Values are rounded before formatting so the text does not depend on
+    # the formatter's own rounding rule.
     b = stats.select(F.concat(F.lit("mean_"), F.col("column")).alias("insight_key"),
-                     F.format_string("%.4f", "mean").alias("value"),
-                     F.format_string("Mean of %s: %.2f", "column", "mean").alias("text"))
+                     F.format_string("%.4f", round_half_up("mean", 4)).alias("value"),
+                     F.format_string("Mean of %s: %.2f", F.col("column"), round_half_up("mean", 2)).alias("text"))
     c = corr.select(F.concat_ws("~", "var1", "var2").alias("insight_key"),
-                    F.format_string("%.4f", "correlation").alias("value"),
+                    F.format_string("%.4f", round_half_up("correlation", 4)).alias("value"),
                     F.format_string("%s correlation between %s and %s", "strength", "var1", "var2").alias("text"))
     return a.unionByName(b).unionByName(c)
 

@@ -1 +1,206 @@
-"""Queries (to be filled)."""
+"""Profiling / EDA queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from haulage.functions import round_half_up
+from haulage.operators import eda
+from haulage.plans import bindings as B
+from haulage.plans.catalog import query
+from haulage.plans.q_entities import ent, latest_fuel
+from haulage.plans.sqlparts import ENTITIES, LATEST_FUEL, SNAPS, rhu, with_
+
+LI_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+# Column lists of the driver tables (for the SQL form of the profile).
+TABLE_COLUMNS = {
+    "region": ["r_regionkey", "r_name"],
+    "nation": ["n_nationkey", "n_name", "n_regionkey"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                 "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"],
+    "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+    "documents": ["doc_id", "text", "lang", "source", "n_chars"],
+    "embeddings": ["vec_id", "embedding", "label"],
+    "pages": ["page_id", "url", "html"],
+    "benchmark": ["item_id", "text"],
+    "labels": ["doc_id", "quality", "toxic"],
+    "conversations": ["conv_id", "turn", "role", "text"],
+}
+
+
+def _li(spark, sf):
+    return B.table(spark, sf, "lineitem").select(*LI_COLS)
+
+
+def _r(df, digits=6):
+    return eda.rounded_stats(df, digits)
+
+
+@query("s15_table_profile", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, (SELECT COUNT(*) FROM {t}) AS rows, "
+    f"(SELECT COUNT(*) FROM {t} WHERE {c} IS NULL) AS nulls, "
+    f"CASE WHEN (SELECT COUNT(*) FROM {t}) > 0 THEN (SELECT COUNT(*) FROM {t} WHERE {c} IS NULL) / (SELECT COUNT(*) FROM {t}) * 100 ELSE 0.0 END AS null_pct"
+    for t, cols in TABLE_COLUMNS.items() for c in cols))
+def s15_table_profile(spark, sf):
+    """Rows, null counts and null % per column of every driver table
+    (one aggregate per table)."""
+    tables = {t: B.table(spark, sf, t) for t in TABLE_COLUMNS}
+    return eda.table_profile(tables).drop("dtype")
+
+
+_MOM = lambda c: f"""SELECT '{c}' AS "column", COUNT({c}) AS count, avg({c}) AS mean, stddev_samp({c}) AS std,
+  var_samp({c}) AS var, min({c}) AS min, max({c}) AS max,
+  quantile_cont({c}, 0.5) AS median, quantile_cont({c}, 0.25) AS q25, quantile_cont({c}, 0.75) AS q75,
+  (SELECT avg(pow({c} - m, 3)) / pow(avg(pow({c} - m, 2)), 1.5) FROM lineitem, (SELECT avg({c}) AS m FROM lineitem)) AS skewness,
+  (SELECT avg(pow({c} - m, 4)) / pow(avg(pow({c} - m, 2)), 2) - 3 FROM lineitem, (SELECT avg({c}) AS m FROM lineitem)) AS kurtosis
+  FROM lineitem"""
+
+_A18_COLS = ["count", "mean", "std", "var", "min", "max", "median", "q25", "q75", "skewness", "kurtosis", "iqr", "cv"]
+
+
+@query("a18_descriptive_statistics", "WITH m AS (" + " UNION ALL ".join(_MOM(c) for c in LI_COLS) + ")\n"
+       + 'SELECT "column", count, ' + ", ".join(f"{rhu(c, 6)} AS {c}" for c in _A18_COLS[1:11]) + ", "
+       + rhu("q75 - q25", 6) + " AS iqr, " + rhu("CASE WHEN mean <> 0 THEN std / mean ELSE 0.0 END", 6) + " AS cv FROM m")
+def a18_descriptive_statistics(spark, sf):
+    """A18 over the numeric line-item columns."""
+    return _r(eda.descriptive_statistics(_li(spark, sf), LI_COLS))
+
+
+_PAIRS = [(a, b) for i, a in enumerate(LI_COLS) for b in LI_COLS[i + 1:]]
+_CORR_SQL = " UNION ALL ".join(
+    f"SELECT '{a}' AS var1, '{b}' AS var2, corr({a}, {b}) AS correlation FROM lineitem" for a, b in _PAIRS)
+
+
+@query("a19_correlation_matrix", f"""SELECT var1, var2, {rhu('correlation', 9)} AS correlation,
+  CASE WHEN abs(correlation) > 0.7 THEN 'Strong' ELSE 'Moderate' END AS strength FROM ({_CORR_SQL})""")
+def a19_correlation_matrix(spark, sf):
+    """Every pair of numeric line-item columns, one aggregate."""
+    c = eda.correlation_pairs(_li(spark, sf), LI_COLS, keep_all=True)
+    return c.withColumn("correlation", round_half_up("correlation", 9))
+
+
+@query("a19_strong_correlations", f"""SELECT var1, var2, {rhu('correlation', 9)} AS correlation,
+  CASE WHEN abs(correlation) > 0.7 THEN 'Strong' ELSE 'Moderate' END AS strength FROM ({_CORR_SQL})
+  WHERE abs(correlation) > 0.5""")
+def a19_strong_correlations(spark, sf):
+    c = eda.correlation_pairs(_li(spark, sf), LI_COLS)
+    return c.withColumn("correlation", round_half_up("correlation", 9))
+
+
+_OUT = lambda c: f"""SELECT '{c}' AS "column", COUNT(*) FILTER (WHERE {c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) AS outliers_count
+  FROM lineitem, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM lineitem) WHERE {c} IS NOT NULL"""
+
+
+@query("a21_distribution_analysis", "WITH m AS (" + " UNION ALL ".join(_MOM(c) for c in LI_COLS) + "),\n"
+       + "o AS (" + " UNION ALL ".join(_OUT(c) for c in LI_COLS) + ")\n" + f"""
+SELECT m."column", m.count AS n,
+  {rhu('CASE WHEN m.count <= 3 THEN NULL ELSE exp(-(m.count / 6.0 * (pow(skewness, 2) + pow(kurtosis, 2) / 4.0)) / 2.0) END', 9)} AS jb_p_value,
+  CASE WHEN m.count <= 3 THEN 'Insufficient data'
+       WHEN exp(-(m.count / 6.0 * (pow(skewness, 2) + pow(kurtosis, 2) / 4.0)) / 2.0) > 0.05 THEN 'Normal'
+       ELSE 'Not Normal' END AS distribution_type,
+  o.outliers_count, {rhu('o.outliers_count / m.count * 100', 6)} AS outlier_percentage
+FROM m JOIN o ON m."column" = o."column\"""")
+def a21_distribution_analysis(spark, sf):
+    """A21 (re-aimed to Jarque-Bera) with IQR outlier counts."""
+    d = eda.distribution_analysis(_li(spark, sf), LI_COLS)
+    return d.withColumn("jb_p_value", round_half_up("jb_p_value", 9)).withColumn(
+        "outlier_percentage", round_half_up("outlier_percentage", 6))
+
+
+@query("a22_regional_analysis", with_(ENTITIES) + f"""
+SELECT region, COUNT(*) AS count, {rhu('avg(population)', 4)} AS avg_population, {rhu('avg(rank)', 6)} AS avg_rank,
+  CAST(SUM(CAST(population AS DECIMAL(30,2))) AS DOUBLE) AS total_population,
+  {rhu('stddev_samp(population)', 4)} AS population_std, min(rank) AS best_rank, max(rank) AS worst_rank
+FROM ent GROUP BY region""")
+def a22_regional_analysis(spark, sf):
+    a = eda.regional_analysis(ent(spark, sf))
+    return a.withColumn("avg_population", round_half_up("avg_population", 4)).withColumn(
+        "avg_rank", round_half_up("avg_rank", 6)).withColumn("population_std", round_half_up("population_std", 4))
+
+
+@query("a23_regional_comparison", with_(ENTITIES) + f"""
+SELECT region, {rhu('CAST(SUM(CAST(population AS DECIMAL(30,2))) AS DOUBLE)', 2)} AS population_sum,
+  {rhu('avg(population)', 2)} AS population_mean, {rhu('stddev_samp(population)', 2)} AS population_std,
+  {rhu('avg(rank)', 2)} AS rank_mean, min(rank) AS rank_min,
+  {rhu('CAST(SUM(CAST(population AS DECIMAL(30,2))) AS DOUBLE) / (SELECT CAST(SUM(CAST(population AS DECIMAL(30,2))) AS DOUBLE) FROM ent) * 100', 2)} AS population_share_pct
+FROM ent GROUP BY region""")
+def a23_regional_comparison(spark, sf):
+    """Regional comparison table, 2 dp, with share of the total."""
+    e = ent(spark, sf)
+    total = e.select(F.sum(F.col("population").cast("decimal(30,2)")).cast("double")).scalar()
+    s = F.sum(F.col("population").cast("decimal(30,2)")).cast("double")
+    return e.groupBy("region").agg(
+        round_half_up(s, 2).alias("population_sum"), round_half_up(F.avg("population"), 2).alias("population_mean"),
+        round_half_up(F.stddev_samp("population"), 2).alias("population_std"),
+        round_half_up(F.avg("rank"), 2).alias("rank_mean"), F.min("rank").alias("rank_min"),
+        round_half_up(s / total * 100, 2).alias("population_share_pct"))
+
+
+_BOX_FUEL = " UNION ALL ".join(f"SELECT '{c}' AS fuel_type, {c} AS price FROM fuel" for c in
+                               ("regular", "mid_grade", "premium", "diesel"))
+
+
+@query("a24_fuel_box_stats", with_(SNAPS, LATEST_FUEL, f"lf AS ({_BOX_FUEL})") + """
+SELECT fuel_type, COUNT(price) AS n, """ + ", ".join(f"{rhu(f'quantile_cont(price, {p})', 9)} AS {n}" for n, p in
+  [("q0", 0.0), ("q1", 0.25), ("median", 0.5), ("q3", 0.75), ("q4", 1.0)]) + """,
+  COUNT(*) FILTER (WHERE price < q1x - 1.5 * (q3x - q1x) OR price > q3x + 1.5 * (q3x - q1x)) AS outliers
+FROM (SELECT lf.*, quantile_cont(price, 0.25) OVER (PARTITION BY fuel_type) AS q1x,
+             quantile_cont(price, 0.75) OVER (PARTITION BY fuel_type) AS q3x FROM lf WHERE price IS NOT NULL)
+GROUP BY fuel_type""")
+def a24_fuel_box_stats(spark, sf):
+    """Box statistics per fuel type (latest prices, unpivoted)."""
+    long = eda.to_long(latest_fuel(spark, sf), ["regular", "mid_grade", "premium", "diesel"], "fuel_type", "price")
+    return _r(eda.box_stats(long, ["fuel_type"], "price"), 9)
+
+
+@query("a24_fuel_price_correlations", with_(SNAPS, LATEST_FUEL) + " UNION ALL ".join(
+    f"SELECT '{a}' AS var1, '{b}' AS var2, {rhu(f'corr({a}, {b})', 9)} AS correlation FROM fuel"
+    for i, a in enumerate(["regular", "mid_grade", "premium", "diesel"])
+    for b in ["regular", "mid_grade", "premium", "diesel"][i + 1:]))
+def a24_fuel_price_correlations(spark, sf):
+    c = eda.correlation_pairs(latest_fuel(spark, sf), ["regular", "mid_grade", "premium", "diesel"], keep_all=True)
+    return c.select("var1", "var2", round_half_up("correlation", 9).alias("correlation"))
+
+
+@query("a25_population_box_by_region", with_(ENTITIES) + """
+SELECT region, COUNT(population) AS n, """ + ", ".join(f"{rhu(f'quantile_cont(population, {p})', 6)} AS {n}" for n, p in
+  [("q0", 0.0), ("q1", 0.25), ("median", 0.5), ("q3", 0.75), ("q4", 1.0)]) + """,
+  COUNT(*) FILTER (WHERE population < q1x - 1.5 * (q3x - q1x) OR population > q3x + 1.5 * (q3x - q1x)) AS outliers
+FROM (SELECT ent.*, quantile_cont(population, 0.25) OVER (PARTITION BY region) AS q1x,
+             quantile_cont(population, 0.75) OVER (PARTITION BY region) AS q3x FROM ent)
+GROUP BY region""")
+def a25_population_box_by_region(spark, sf):
+    """Box statistics of population per region (distributed quantiles)."""
+    return _r(eda.box_stats(ent(spark, sf).select("region", "population"), ["region"], "population"), 6)
+
+
+@query("a26_price_histogram", """WITH mm AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem)
+SELECT CAST(CASE WHEN hi = lo THEN 1 ELSE least(floor((l_extendedprice - lo) / (hi - lo) * 30) + 1, 30) END AS INTEGER) AS bin,
+  COUNT(*) AS count, """ + rhu("min(lo) + (CAST(CASE WHEN hi = lo THEN 1 ELSE least(floor((l_extendedprice - lo) / (hi - lo) * 30) + 1, 30) END AS INTEGER) - 1) * ((min(hi) - min(lo)) / 30)", 6) + """ AS bin_start,
+  """ + rhu("min(lo) + CAST(CASE WHEN hi = lo THEN 1 ELSE least(floor((l_extendedprice - lo) / (hi - lo) * 30) + 1, 30) END AS INTEGER) * ((min(hi) - min(lo)) / 30)", 6) + """ AS bin_end
+FROM lineitem, mm WHERE l_extendedprice IS NOT NULL GROUP BY 1""")
+def a26_price_histogram(spark, sf):
+    """30 equal-width bins of the line price."""
+    h = eda.histogram(B.table(spark, sf, "lineitem").select("l_extendedprice"), "l_extendedprice", 30)
+    return h.withColumn("bin_start", round_half_up("bin_start", 6)).withColumn("bin_end", round_half_up("bin_end", 6))
+
+
+@query("i01_insights", with_(ENTITIES) + f"""
+SELECT 'largest_region' AS insight_key, v AS value, 'Largest region by population: ' || v AS text
+FROM (SELECT arg_max(region, t) AS v FROM (SELECT region, CAST(SUM(CAST(population AS DECIMAL(30,2))) AS DOUBLE) AS t FROM ent GROUP BY region))
+UNION ALL
+SELECT 'mean_' || c AS insight_key, printf('%.4f', {rhu('m', 4)}) AS value, printf('Mean of %s: %.2f', c, {rhu('m', 2)}) AS text
+FROM (SELECT 'l_quantity' AS c, avg(l_quantity) AS m FROM lineitem UNION ALL SELECT 'l_tax', avg(l_tax) FROM lineitem)""")
+def i01_insights(spark, sf):
+    """Insight rows formatted from the regional and descriptive tables."""
+    reg = eda.regional_analysis(ent(spark, sf))
+    li = B.table(spark, sf, "lineitem")
+    stats = eda.to_long(li.select("l_quantity", "l_tax"), ["l_quantity", "l_tax"]).groupBy("column").agg(
+        F.avg("value").alias("mean"))
+    corr = eda.correlation_pairs(li.select("l_quantity", "l_tax"), ["l_quantity", "l_tax"], threshold=2.0)
+    return eda.insights(reg, stats, corr)
