@@ -160,3 +160,15 @@ def rate_regions_dim(spark: SparkSession) -> DataFrame:
     schema = T.StructType([T.StructField("region", T.StringType()),
                            T.StructField("codes", T.StringType())])
     return spark.createDataFrame(list(RATE_REGIONS.items()), schema)
+
+
+def state_index_dim(spark: SparkSession) -> DataFrame:
+    """k (0..49, in the order above), code, name: binds a numeric key to a state."""
+    rows = [(i, c, n) for i, (c, n) in enumerate(STATE_NAMES.items())]
+    return spark.createDataFrame(rows, "k int, code string, name string")
+
+
+def state_index_sql() -> str:
+    """The same 50-row table as SQL VALUES (for oracle queries)."""
+    vals = ", ".join(f"({i}, '{c}', '{n}')" for i, (c, n) in enumerate(STATE_NAMES.items()))
+    return f"st AS (SELECT * FROM (VALUES {vals}) AS t(k, code, name))"
