@@ -77,10 +77,10 @@ def fuel_kpis(fuel: DataFrame) -> DataFrame:
     out, meds = [], {}
     for c in ("regular", "diesel"):
         meds[f"median_{c}_price"] = r(quantile_scalars(fuel, c, {"m": 0.5})["m"], 6)
-        out += [r(exact_sum(c, 2) / F.count(c), 6).alias(f"avg_{c}_price"),
+        out += [r(exact_sum(c, 6) / F.count(c), 6).alias(f"avg_{c}_price"),
                 r(F.stddev_samp(c), 6).alias(f"{c}_price_std"),
                 r(F.max(c) - F.min(c), 6).alias(f"{c}_price_range"),
-                r(F.stddev_samp(c) / (exact_sum(c, 2) / F.count(c)), 6).alias(f"price_volatility_{c}")]
+                r(F.stddev_samp(c) / (exact_sum(c, 6) / F.count(c)), 6).alias(f"price_volatility_{c}")]
     return fuel.agg(*out).withColumns(meds)
 
 
@@ -109,11 +109,11 @@ def composite_kpis(df: DataFrame, key: str = "state", value: str = "population",
     dev = (log_positive(value) / F.log(max_v) * 0.5 + (1 - F.col(rank) / max_k) * 0.5) * 100
     s = df.select(key, lpi.alias("lpi"), dev.alias("dev"))
     return s.agg(
-        F.max_by(key, F.struct(F.col("lpi"), -F.col(key))).alias("top_logistics_performer"),
+        F.min_by(key, F.struct(-F.col("lpi"), F.col(key))).alias("top_logistics_performer"),
         r(F.max("lpi"), 6).alias("top_logistics_score"),
         F.min_by(key, F.struct(F.col("lpi"), F.col(key))).alias("bottom_logistics_performer"),
         r(F.min("lpi"), 6).alias("bottom_logistics_score"),
-        F.max_by(key, F.struct(F.col("dev"), -F.col(key))).alias("top_developer"),
+        F.min_by(key, F.struct(-F.col("dev"), F.col(key))).alias("top_developer"),
         r(F.max("dev"), 6).alias("top_development_score"),
         F.min_by(key, F.struct(F.col("dev"), F.col(key))).alias("bottom_developer"),
         r(F.min("dev"), 6).alias("bottom_development_score"))

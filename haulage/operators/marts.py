@@ -26,7 +26,8 @@ def staging(df: DataFrame, columns: list[str]) -> DataFrame:
         if c in df.columns:
             out.append(F.col(c))
         else:
-            t = "string" if c in ("postal", "pipeline_run_id") else "double"
+            t = ("string" if c in ("postal", "pipeline_run_id", "data_source")
+                 else "timestamp_ntz" if c in ("scraped_at", "updated_at") else "double")
             out.append(F.lit(None).cast(t).alias(c))
     return df.select(*out)
 
@@ -42,9 +43,8 @@ def freight_analysis(shipping: DataFrame, fuel: DataFrame) -> DataFrame:
     on state, prices coalesced (shipping first), efficiency score =
     population / (diesel x 100) and burden index = population / max(population)
     x diesel (max as a scalar subquery)."""
-    s = shipping.select("state", "postal", "rank", "population", "population_per_rank",
-                        "regular", "mid_grade", "premium", "diesel", "pipeline_run_id")
-    f = fuel.select("state", "regular", "mid_grade", "premium", "diesel", "scraped_at")
+    s = staging(shipping, SHIPPING_COLS)
+    f = staging(fuel, FUEL_COLS[:-1])
     m = full_outer_coalesce(s, f, "state", ["regular", "mid_grade", "premium", "diesel"])
     max_pop = m.select(F.max("population")).scalar()
     return m.withColumns({
@@ -88,8 +88,8 @@ def ecdf(df: DataFrame, value: str, key: str, out: str = "ecdf_pct") -> DataFram
 def daily_costs(shipping: DataFrame, fuel: DataFrame) -> DataFrame:
     """J5/P25 (fct_daily_costs): shipping LEFT JOIN fuel, population in
     millions x price, 2 dp."""
-    f = fuel.select("state", "regular", "mid_grade", "premium", "diesel", "scraped_at")
-    j = shipping.select("state", "population", "pipeline_run_id").join(f, "state", "left")
+    f = staging(fuel, FUEL_COLS[:-1])
+    j = staging(shipping, SHIPPING_COLS).select("state", "population", "pipeline_run_id").join(f, "state", "left")
     return j.select(
         "state", "population", "regular", "mid_grade", "premium", "diesel", "scraped_at",
         round_half_up(F.col("population") / 1000000.0 * F.col("diesel"), 2).alias("estimated_daily_diesel_cost_millions"),

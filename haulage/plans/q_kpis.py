@@ -37,10 +37,14 @@ G_DIST = f"""g_distribution AS (SELECT {rhu('p90', 4)} AS population_90th_percen
                         THEN CAST(population AS DECIMAL(30,2)) END) AS DOUBLE) AS top FROM ent))"""
 
 
+def ms6(c: str) -> str:
+    return f"CAST(SUM(CAST({c} AS DECIMAL(30,6))) AS DOUBLE)"
+
+
 def _fuel_cols(c):
-    return (f"{rhu(ms(c) + f' / COUNT({c})', 6)} AS avg_{c}_price, {rhu(f'quantile_cont({c}, 0.5)', 6)} AS median_{c}_price, "
+    return (f"{rhu(ms6(c) + f' / COUNT({c})', 6)} AS avg_{c}_price, {rhu(f'quantile_cont({c}, 0.5)', 6)} AS median_{c}_price, "
             f"{rhu(f'stddev_samp({c})', 6)} AS {c}_price_std, {rhu(f'max({c}) - min({c})', 6)} AS {c}_price_range, "
-            f"{rhu(f'stddev_samp({c}) / (' + ms(c) + f' / COUNT({c}))', 6)} AS price_volatility_{c}")
+            f"{rhu(f'stddev_samp({c}) / (' + ms6(c) + f' / COUNT({c}))', 6)} AS price_volatility_{c}")
 
 
 G_FUEL = f"g_fuel AS (SELECT {_fuel_cols('regular')}, {_fuel_cols('diesel')} FROM fuel)"

@@ -216,7 +216,7 @@ SELECT (SELECT state FROM fuel WHERE regular IS NOT NULL ORDER BY regular DESC,
 def t04_extreme_states(spark, sf):
     """T4: idxmax / idxmin with max_by / min_by and a tie key."""
     f = latest_fuel(spark, sf).where(F.col("regular").isNotNull())
-    return f.agg(F.max_by("state", F.struct(F.col("regular"), -F.col("state"))).alias("most_expensive"),
+    return f.agg(F.min_by("state", F.struct(-F.col("regular"), F.col("state"))).alias("most_expensive"),
                  F.max("regular").alias("max_regular"),
                  F.min_by("state", F.struct(F.col("regular"), F.col("state"))).alias("cheapest"),
                  F.min("regular").alias("min_regular"))
