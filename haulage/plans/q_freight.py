@@ -177,3 +177,15 @@ def a42_top10_commodity_share(spark, sf):
 SELECT {rhu('SUM(t) / 1000.0', 2)} AS total_tons_m, COUNT(*) AS lanes FROM l""")
 def a43_mode_summary(spark, sf):
     return freight.mode_summary(B.flows(spark, sf), Y, "2-HIGH")
+
+
+@query("a09_freight_summary", with_(FLOWS) + f"""
+SELECT (SELECT COUNT(DISTINCT origin) FROM flows WHERE year = {Y}) AS state_rows,
+  (SELECT COUNT(*) FROM (SELECT 1 FROM flows WHERE year = {Y} GROUP BY origin, destination, commodity, mode LIMIT 100)) AS lane_rows,
+  {rhu('SUM(tons) / 1000.0', 2)} AS total_tons, {rhu(msum('value') + ' / 1000.0', 2)} AS total_value
+FROM flows WHERE year = {Y}""")
+def a09_freight_summary(spark, sf):
+    """The summary row of the freight table run (state rows, lane rows,
+    latest-year totals)."""
+    from haulage.plans.batch import freight_summary
+    return freight_summary(B.flows(spark, sf), Y)
