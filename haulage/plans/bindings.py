@@ -45,7 +45,8 @@ def nation_names(spark: SparkSession, sf_dir: str) -> DataFrame:
                        .select("n_nationkey", "n_name", "r_name"))
 
 
-def flows(spark: SparkSession, sf_dir: str, domestic_only: bool = True) -> DataFrame:
+def flows(spark: SparkSession, sf_dir: str, domestic_only: bool = True,
+          year: int | None = None) -> DataFrame:
     """Long-form freight flows: origin, destination, commodity, mode, year,
     trade_type, tons, value (one row per line item).
 
@@ -54,12 +55,19 @@ def flows(spark: SparkSession, sf_dir: str, domestic_only: bool = True) -> DataF
     order key, then supplier and part. Nation names come from a 25-row
     broadcast. Small sides are broadcast by the size-checked threshold / AQE;
     large ones are sort-merge joined with AQE skew splitting.
+
+    ``year`` restricts the rows to one ship year with a range predicate on the
+    raw date column, which the parquet scan can use (row-group skipping, or
+    partition pruning on a year-partitioned copy); ``year(date) = y`` cannot.
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_linestatus", "l_shipdate")
     if domestic_only:
         li = li.where(F.col("l_linestatus") == "F")
+    if year is not None:
+        li = li.where((F.col("l_shipdate") >= F.lit(f"{year}-01-01").cast("timestamp_ntz"))
+                      & (F.col("l_shipdate") < F.lit(f"{year + 1}-01-01").cast("timestamp_ntz")))
     nat = nation_names(spark, sf_dir)
     cust = (table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
             .join(nat.select(F.col("n_nationkey").alias("c_nationkey"),

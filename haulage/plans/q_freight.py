@@ -22,7 +22,7 @@ GROUP BY origin, destination, commodity, mode
 ORDER BY tons_{Y} DESC, origin, destination, commodity, mode
 LIMIT 100""")
 def a03_lane_totals(spark, sf):
-    return freight.lane_totals(B.flows(spark, sf), Y, 100)
+    return freight.lane_totals(B.flows(spark, sf, year=Y), Y, 100)
 
 
 @query("a01_yearly_totals", with_(FLOWS) + f"""
@@ -66,19 +66,19 @@ SELECT origin AS state, year, SUM(tons) AS tons, {msum('value')} AS value,
        {rhu('SUM(tons) / 1000.0', 2)} AS tons_m, {rhu(msum('value') + ' / 1000.0', 2)} AS value_b
 FROM flows WHERE year = {Y} GROUP BY origin, year""")
 def a02_state_latest(spark, sf):
-    return freight.state_latest(B.flows(spark, sf), Y)
+    return freight.state_latest(B.flows(spark, sf, year=Y), Y)
 
 
 @query("a04_mode_split", with_(FLOWS) + f"""
 SELECT mode, SUM(tons) AS tons_{Y} FROM flows WHERE year = {Y} GROUP BY mode""")
 def a04_mode_split(spark, sf):
-    return freight.mode_split(B.flows(spark, sf), Y)
+    return freight.mode_split(B.flows(spark, sf, year=Y), Y)
 
 
 @query("a05_commodity_split", with_(FLOWS) + f"""
 SELECT commodity, SUM(tons) AS tons_{Y} FROM flows WHERE year = {Y} GROUP BY commodity""")
 def a05_commodity_split(spark, sf):
-    return freight.commodity_split(B.flows(spark, sf), Y)
+    return freight.commodity_split(B.flows(spark, sf, year=Y), Y)
 
 
 _BAL_SQL = with_(FLOWS, f"""o AS (SELECT origin AS state, SUM(tons) AS outbound FROM flows WHERE year = {Y} GROUP BY origin)""",
@@ -92,12 +92,12 @@ FROM o FULL OUTER JOIN i ON o.state = i.state"""
 
 @query("a06_trade_balance", _BAL_SQL)
 def a06_trade_balance(spark, sf):
-    return freight.trade_balance(B.flows(spark, sf), Y)
+    return freight.trade_balance(B.flows(spark, sf, year=Y), Y)
 
 
 @query("j07_trade_balance_full_join", _BAL_SQL)
 def j07_trade_balance_full_join(spark, sf):
-    return freight.trade_balance_full_join(B.flows(spark, sf), Y)
+    return freight.trade_balance_full_join(B.flows(spark, sf, year=Y), Y)
 
 
 @query("a08_top_lanes_truck_mode", with_(FLOWS) + f"""
@@ -105,7 +105,7 @@ SELECT origin, destination, SUM(tons) AS tons_{Y}, {rhu('SUM(tons) / 1000.0', 2)
 FROM flows WHERE year = {Y} AND mode = '1-URGENT'
 GROUP BY origin, destination ORDER BY tons_{Y} DESC, origin, destination LIMIT 20""")
 def a08_top_lanes_truck_mode(spark, sf):
-    return freight.top_lanes_by_mode(B.flows(spark, sf), Y, "1-URGENT", 20)
+    return freight.top_lanes_by_mode(B.flows(spark, sf, year=Y), Y, "1-URGENT", 20)
 
 
 @query("a08_top_lanes_every_mode", with_(FLOWS, f"""l AS (SELECT mode, origin, destination, SUM(tons) AS tons_{Y}
@@ -116,7 +116,7 @@ SELECT * FROM (
          {rhu(f'tons_{Y} / 1000.0', 2)} AS tons_m
   FROM l) WHERE lane_rank <= 20""")
 def a08_top_lanes_every_mode(spark, sf):
-    return freight.top_lanes_every_mode(B.flows(spark, sf), Y, 20)
+    return freight.top_lanes_every_mode(B.flows(spark, sf, year=Y), Y, 20)
 
 
 _LANES_ALL = f"""lanes AS (SELECT origin, destination, commodity, mode, SUM(tons) AS tons_{Y},
@@ -128,7 +128,7 @@ _LANES_ALL = f"""lanes AS (SELECT origin, destination, commodity, mode, SUM(tons
 SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY origin ORDER BY tons_{Y} DESC,
   origin, destination, commodity, mode) AS INTEGER) AS lane_rank FROM lanes) WHERE lane_rank <= 8""")
 def t05_top8_outbound_per_state(spark, sf):
-    lanes = freight.lane_totals(B.flows(spark, sf), Y, None)
+    lanes = freight.lane_totals(B.flows(spark, sf, year=Y), Y, None)
     return freight.top_lanes_per_state(lanes, "origin", f"tons_{Y}", 8)
 
 
@@ -136,7 +136,7 @@ def t05_top8_outbound_per_state(spark, sf):
 SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY destination ORDER BY tons_{Y} DESC,
   origin, destination, commodity, mode) AS INTEGER) AS lane_rank FROM lanes) WHERE lane_rank <= 12""")
 def t06_top12_inbound_per_state(spark, sf):
-    lanes = freight.lane_totals(B.flows(spark, sf), Y, None)
+    lanes = freight.lane_totals(B.flows(spark, sf, year=Y), Y, None)
     return freight.top_lanes_per_state(lanes, "destination", f"tons_{Y}", 12)
 
 
@@ -160,9 +160,9 @@ FROM c""")
 def a42_top10_commodity_share(spark, sf):
     """Top 10 commodities with a 1-based display index, each one's
     share of the top-10 sum and of the grand total (both named)."""
-    fl = B.flows(spark, sf).where(F.col("year") == Y)
+    fl = B.flows(spark, sf, year=Y).where(F.col("year") == Y)
     t = f"tons_{Y}"
-    top = freight.commodity_split(B.flows(spark, sf), Y).limit(10)
+    top = freight.commodity_split(B.flows(spark, sf, year=Y), Y).limit(10)
     total = fl.select(F.sum("tons")).scalar()
     top_sum = top.select(F.sum(t)).scalar()
     w = Window.orderBy(F.desc(t), "commodity")  # over the 10-row result only
@@ -176,7 +176,7 @@ def a42_top10_commodity_share(spark, sf):
   WHERE year = {Y} AND mode = '2-HIGH' GROUP BY origin, destination)""") + f"""
 SELECT {rhu('SUM(t) / 1000.0', 2)} AS total_tons_m, COUNT(*) AS lanes FROM l""")
 def a43_mode_summary(spark, sf):
-    return freight.mode_summary(B.flows(spark, sf), Y, "2-HIGH")
+    return freight.mode_summary(B.flows(spark, sf, year=Y), Y, "2-HIGH")
 
 
 @query("a09_freight_summary", with_(FLOWS) + f"""
@@ -188,4 +188,4 @@ def a09_freight_summary(spark, sf):
     """The summary row of the freight table run (state rows, lane rows,
     latest-year totals)."""
     from haulage.plans.batch import freight_summary
-    return freight_summary(B.flows(spark, sf), Y)
+    return freight_summary(B.flows(spark, sf, year=Y), Y)

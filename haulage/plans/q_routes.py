@@ -122,7 +122,7 @@ FROM lanes l JOIN cong c ON l.origin = c.origin AND l.destination = c.destinatio
 @query("r06_lane_efficiency", with_(*CONG_BASE, _LANES) + _EFF)
 def r06_lane_efficiency(spark, sf):
     """R6/J8/T8 on all lanes (not only the national top 100), by volume."""
-    lanes = freight.lane_totals(B.flows(spark, sf), Y, None)
+    lanes = freight.lane_totals(B.flows(spark, sf, year=Y), Y, None)
     return routes.lane_efficiency(lanes, congested(spark, sf))
 
 
@@ -130,7 +130,7 @@ def r06_lane_efficiency(spark, sf):
 SELECT * FROM ({_EFF}) ORDER BY tons_per_dollar DESC, origin, destination, commodity, mode LIMIT 20""")
 def r06_lane_efficiency_by_tons_per_dollar_top20(spark, sf):
     """Q8: the same table ordered by tons per dollar (most efficient first)."""
-    lanes = freight.lane_totals(B.flows(spark, sf), Y, None)
+    lanes = freight.lane_totals(B.flows(spark, sf, year=Y), Y, None)
     return routes.lane_efficiency(lanes, congested(spark, sf), order_by_efficiency=True).limit(20)
 
 
@@ -185,7 +185,7 @@ SELECT lt.origin AS state, {rhu('SUM(lt.t * r.driving_mi) / nullif(SUM(lt.t), 0)
 FROM lt JOIN routes r ON lt.origin = r.origin AND lt.destination = r.destination GROUP BY lt.origin""")
 def a07_avg_haul(spark, sf):
     """A7 (Q6): ton-miles from lane tons x route miles, over tons, by origin."""
-    return freight.avg_haul(B.flows(spark, sf), route_table(spark, sf), Y)
+    return freight.avg_haul(B.flows(spark, sf, year=Y), route_table(spark, sf), Y)
 
 
 @query("m06_cost_trend_line", with_(*COST_BASE) + f"""
