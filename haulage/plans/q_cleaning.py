@@ -33,11 +33,11 @@ def dirty_shipping(spark, sf):
              .when(F.col("c_custkey") % 3 == 1, F.concat(F.lit(" "), F.upper("name")))\
              .otherwise(F.concat(F.lit(" "), F.lower("code"), F.lit("  ")))
     postal = F.when(F.col("c_custkey") % 11 == 0, F.concat("code", F.lit("X"))).otherwise(F.col("code"))
-    return j.select(F.concat(F.lit(" "), rank.cast("string")).alias("Rank"), state.alias("State"),
+    return j.select(F.col("c_custkey").alias("Id"), F.concat(F.lit(" "), rank.cast("string")).alias("Rank"), state.alias("State"),
                     postal.alias("Postal"), F.concat(F.col("c_acctbal").cast("string"), F.lit(" ")).alias("Population"))
 
 
-_TRUTH = f"""truth AS (SELECT CASE WHEN c_custkey % 7 = 0 THEN 0 ELSE c_custkey + 1 END AS rank, st.code AS state,
+_TRUTH = f"""truth AS (SELECT CAST(CASE WHEN c_custkey % 7 = 0 THEN 0 ELSE c_custkey + 1 END AS INTEGER) AS rank, st.code AS state,
   CASE WHEN c_custkey % 11 = 0 THEN st.code || 'X' ELSE st.code END AS postal, c_acctbal AS population, c_custkey
   FROM customer JOIN st ON st.k = c_custkey % 50)"""
 

@@ -181,6 +181,7 @@ SELECT e.state, e.population, f.regular, f.diesel,
   {rhu('e.population / f.diesel * 100', 6)} AS fuel_affordability_index
 FROM ent e LEFT JOIN fuel f ON e.state = f.state""")
 def f03_fuel_features(spark, sf):
+    """Fuel ratios after a left join of (regular, diesel)."""
     f = features.fuel_features(ent(spark, sf).select("state", "population"), latest_fuel(spark, sf))
     return f.select("state", "population", "regular", "diesel",
                     round_half_up("fuel_efficiency", 6).alias("fuel_efficiency"),
@@ -226,6 +227,7 @@ def f06_all_features_count(spark, sf):
 @query("k01_fuel_cost_index", with_(SNAPS, LATEST_FUEL) + f"""
 SELECT state, diesel, {rhu('diesel / (SELECT avg(diesel) FROM fuel)', 9)} AS fuel_cost_index FROM fuel""")
 def k01_fuel_cost_index(spark, sf):
+    """Diesel against the global mean (scalar subquery)."""
     k = kpis.fuel_cost_index(latest_fuel(spark, sf).select("state", "diesel"))
     return k.withColumn("fuel_cost_index", round_half_up("fuel_cost_index", 9))
 
@@ -237,6 +239,7 @@ _KSEL = f"""kin AS (SELECT e.state, e.population, f.diesel FROM ent e JOIN fuel
 SELECT state, population, diesel, {rhu('population * (population / 1000.0)', 2)} AS logistics_demand_score,
   {rhu('population * (population / 1000.0) / nullif(diesel, 0)', 2)} AS cost_efficiency_index FROM kin""")
 def k02_k04_demand_and_cost_efficiency(spark, sf):
+    """K2/K4: demand = population x density; cost efficiency = demand / diesel."""
     k = kpis.cost_efficiency(kpis.logistics_demand(
         ent(spark, sf).select("state", "population").join(latest_fuel(spark, sf).select("state", "diesel"), "state")))
     return k.select("state", "population", "diesel",
@@ -251,6 +254,7 @@ SELECT state, population, diesel, {rhu('''(0.4 * CASE WHEN phi > plo THEN (popul
   + 0.3 * CASE WHEN fhi > flo THEN (fhi - diesel) / (fhi - flo) ELSE (fhi - diesel) / fhi END) * 100''', 6)} AS freight_opportunity_score
 FROM kin, mm""")
 def k03_freight_opportunity(spark, sf):
+    """Weighted min-max scores (constant column falls back to x / max)."""
     k = kpis.freight_opportunity(
         ent(spark, sf).select("state", "population").join(latest_fuel(spark, sf).select("state", "diesel"), "state"))
     return k.withColumn("freight_opportunity_score", round_half_up("freight_opportunity_score", 6))

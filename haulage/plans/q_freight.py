@@ -22,6 +22,7 @@ GROUP BY origin, destination, commodity, mode
 ORDER BY tons_{Y} DESC, origin, destination, commodity, mode
 LIMIT 100""")
 def a03_lane_totals(spark, sf):
+    """Top 100 lanes by latest-year tons (sort + limit)."""
     return freight.lane_totals(B.flows(spark, sf, year=Y), Y, 100)
 
 
@@ -66,6 +67,7 @@ SELECT origin AS state, year, SUM(tons) AS tons, {msum('value')} AS value,
        {rhu('SUM(tons) / 1000.0', 2)} AS tons_m, {rhu(msum('value') + ' / 1000.0', 2)} AS value_b
 FROM flows WHERE year = {Y} GROUP BY origin, year""")
 def a02_state_latest(spark, sf):
+    """Latest-year totals per origin, scaled to thousands (2 dp)."""
     return freight.state_latest(B.flows(spark, sf, year=Y), Y)
 
 

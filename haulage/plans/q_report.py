@@ -186,7 +186,7 @@ def a46_region_overview(spark, sf):
 
 @query("t03_top10_regular", with_(SNAPS, LATEST_FUEL) + "SELECT state, regular FROM fuel ORDER BY regular DESC, state LIMIT 10")
 def t03_top10_regular(spark, sf):
-    """T3 nlargest(10) with a tie key."""
+    """T3/T7 nlargest(10) with a tie key."""
     return latest_fuel(spark, sf).select("state", "regular").orderBy(F.desc("regular"), "state").limit(10)
 
 

@@ -106,6 +106,7 @@ def r04_route_costs(spark, sf):
 
 @query("r05_congestion", with_(*CONG_BASE) + f"SELECT {CONG_COLS} FROM cong")
 def r05_congestion(spark, sf):
+    """Congestion ratio and right-closed tier bins."""
     return congested(spark, sf)
 
 

@@ -54,6 +54,37 @@ def close(a, b):
     return a == b
 
 
+def spark_family(t) -> str:
+    n = t.simpleString()
+    if n in ("tinyint", "smallint", "int", "bigint", "float", "double"):
+        return {"tinyint": "int8", "smallint": "int16", "int": "int32", "bigint": "int64",
+                "float": "float32", "double": "float64"}[n]
+    if n.startswith("decimal"):
+        return "decimal"
+    if n.startswith("timestamp"):
+        return "timestamp"
+    return n.split("<")[0]
+
+
+def duck_family(t: str) -> str:
+    t = t.upper()
+    widths = {"TINYINT": "int8", "SMALLINT": "int16", "INTEGER": "int32", "BIGINT": "int64",
+              "HUGEINT": "int128", "FLOAT": "float32", "DOUBLE": "float64"}
+    if t in widths:
+        return widths[t]
+    if t.startswith("DECIMAL"):
+        return "decimal"
+    if t.startswith("TIMESTAMP"):
+        return "timestamp"
+    if t == "VARCHAR":
+        return "string"
+    if t == "BOOLEAN":
+        return "boolean"
+    if t == "DATE":
+        return "date"
+    return t.lower()
+
+
 def duck(sf_dir):
     con = duckdb.connect()
     for t in bindings.TABLES:
@@ -74,6 +105,11 @@ def check(spark, con, sf_dir, name, fn, sql):
     drecs = [dict(zip(rel.columns, r)) for r in rel.fetchall()]
     if scols != dcols:
         return {"name": name, "status": "COLUMNS", "spark": scols, "oracle": dcols}
+    sf_types = {f.name: spark_family(f.dataType) for f in sdf.schema.fields}
+    df_types = {c: duck_family(str(t)) for c, t in zip(rel.columns, rel.types)}
+    bad_types = {c: (sf_types[c], df_types[c]) for c in scols if sf_types[c] != df_types[c]}
+    if bad_types:
+        return {"name": name, "status": "TYPES", "diff": bad_types}
     a, b = rows_of(srows, scols), rows_of(drecs, scols)
     if len(a) != len(b):
         return {"name": name, "status": "ROWCOUNT", "spark": len(a), "oracle": len(b)}
