@@ -71,11 +71,16 @@ def anti(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     return df.join(keys.select(on), on, "left_anti")
 
 
-def dedupe_keep_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
-    """One row per key subset, keeping the first by an explicit order
-    (row_number per key group, so the kept row is defined)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+def dedupe_keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One row per key subset, keeping the first row by ``order``
+    (ascending; ties broken by the remaining columns). Written as an
+    aggregate (``min_by`` over the row) so a hot key is reduced map-side
+    instead of being gathered in one window partition."""
+    rest = [c for c in df.columns if c not in keys]
+    row = F.struct(*[F.col(c) for c in rest])
+    rank = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest if c not in order])
+    return (df.groupBy(*keys).agg(F.min_by(row, rank).alias("_row"))
+            .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]))
 
 
 def lookup_with_default(df: DataFrame, dim: DataFrame, key: str, defaults: dict) -> DataFrame:

@@ -69,11 +69,10 @@ def efficiency_percentiles(df: DataFrame, score: str = "efficiency_score") -> Da
     """K5 notebook form / W2 / P22: percentile = average-tie rank / n x 100
     (1 dp), tier from that percentile."""
     ranked = value_ranks(df, score, prefix="_p_")
-    n = df.select(F.count(score)).scalar()
-    pct = round_half_up(F.try_divide(F.col("_p_avg_rank"), n) * 100, 1)
+    pct = round_half_up(F.try_divide(F.col("_p_avg_rank"), F.col("_p_n")) * 100, 1)
     return (ranked.withColumn("efficiency_percentile", pct)
             .withColumn("efficiency_tier", percentile_tier("efficiency_percentile"))
-            .drop("_p_rank", "_p_avg_rank", "_p_percent_rank", "_p_cume_dist"))
+            .drop("_p_rank", "_p_avg_rank", "_p_percent_rank", "_p_cume_dist", "_p_n"))
 
 
 def ecdf(df: DataFrame, value: str, key: str, out: str = "ecdf_pct") -> DataFrame:

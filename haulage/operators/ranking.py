@@ -66,7 +66,7 @@ def value_ranks(df: DataFrame, value: str, prefix: str = "", descending: bool =
                 count_nulls_in_n: bool = False, partitions: int | None = None) -> DataFrame:
     """Attach tie-aware ranks of ``value`` to every row.
 
-    Adds ``{prefix}rank`` (min rank, as SQL RANK), ``{prefix}avg_rank``
+    Adds ``{prefix}n`` (the n used), ``{prefix}rank`` (min rank, as SQL RANK), ``{prefix}avg_rank``
     (average of tied positions, as pandas ``rank()``), ``{prefix}percent_rank``
     ((rank-1)/(n-1), 0 when n = 1) and ``{prefix}cume_dist`` (share of rows
     <= value). Null values get null ranks. ``n`` counts non-null rows, or all
@@ -79,7 +79,8 @@ def value_ranks(df: DataFrame, value: str, prefix: str = "", descending: bool =
               .agg(F.count(F.lit(1)).alias("_n")))
     cum = global_cumsum(counts, ["_key"], "_n", out="_before", partitions=partitions)
     # n is a scalar subquery: computed once, inlined as a value (no join).
-    n_col = (df.select(F.count(F.lit(1))) if count_nulls_in_n else df.select(F.count(v))).scalar()
+    # Non-null n comes from the (checkpointed) distinct-value counts.
+    n_col = (df.select(F.count(F.lit(1))) if count_nulls_in_n else cum.select(F.sum("_n"))).scalar()
     ranks = (cum
              .select(
                  "_key",
@@ -88,6 +89,7 @@ def value_ranks(df: DataFrame, value: str, prefix: str = "", descending: bool =
                  F.when(n_col <= 1, F.lit(0.0))
                   .otherwise(F.col("_before") / (n_col - 1)).alias(prefix + "percent_rank"),
                  ((F.col("_before") + F.col("_n")) / n_col).alias(prefix + "cume_dist"),
+                 n_col.cast("long").alias(prefix + "n"),
              ))
     return (df.withColumn("_key", key)
             .join(ranks, "_key", "left")
@@ -97,9 +99,8 @@ def value_ranks(df: DataFrame, value: str, prefix: str = "", descending: bool =
 def pct_rank_average(df: DataFrame, value: str, out: str, partitions: int | None = None) -> DataFrame:
     """pandas ``rank(pct=True)``: average rank of ties / number of non-null values."""
     ranked = value_ranks(df, value, prefix="_r_", partitions=partitions)
-    n = df.select(F.count(value)).scalar()
-    return (ranked.withColumn(out, F.try_divide(F.col("_r_avg_rank"), n))
-            .drop("_r_rank", "_r_avg_rank", "_r_percent_rank", "_r_cume_dist"))
+    return (ranked.withColumn(out, F.try_divide(F.col("_r_avg_rank"), F.col("_r_n")))
+            .drop("_r_rank", "_r_avg_rank", "_r_percent_rank", "_r_cume_dist", "_r_n"))
 
 
 def grouped_quantiles(df: DataFrame, group_cols: list[str], value: str,

@@ -62,3 +62,11 @@ def test_latest_snapshot_and_latest_non_null(spark):
     assert (latest["CA"].regular, latest["CA"].diesel) == (5.0, 4.5)
     assert latest["TX"].diesel is None
     assert routes.latest_snapshot(snaps).count() == 2
+
+
+def test_dedupe_keep_first_with_hot_key(spark):
+    from haulage.operators.joins import dedupe_keep_first
+    rows = [("CA", "2024-01-0%d" % (i % 9 + 1), float(i)) for i in range(300)] + [("TX", "2024-01-05", 1.0)]
+    df = spark.createDataFrame(rows, "state string, period string, price double")
+    got = {r.state: (r.period, r.price) for r in dedupe_keep_first(df, ["state"], ["period"]).collect()}
+    assert got == {"CA": ("2024-01-01", 0.0), "TX": ("2024-01-05", 1.0)}
