@@ -28,7 +28,7 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     # Importing the modules registers their queries.
     from haulage.plans import (q_freight, q_routes, q_entities, q_kpis, q_profile,  # noqa: F401
-                               q_sources, q_cleaning, q_marts, q_ml, q_report, q_sinks)
+                               q_sources, q_cleaning, q_ml, q_report, q_sinks)
 
 
 def queries() -> dict[str, Callable]:

@@ -15,7 +15,7 @@ from haulage.operators import cleaning, freight, marts
 from haulage.plans import bindings as B
 from haulage.plans.catalog import query
 from haulage.plans.q_entities import ent, latest_fuel
-from haulage.plans.sqlparts import ENTITIES, FLOWS, LATEST_FUEL, LATEST_YEAR as Y, SNAPS, rhu, with_
+from haulage.plans.sqlparts import ENTITIES, FLOWS, LATEST_FUEL, LATEST_YEAR as Y, SNAPS, with_
 from haulage.sources import html
 
 ST = dims.state_index_sql()

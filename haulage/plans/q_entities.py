@@ -3,9 +3,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from haulage.functions import round_half_up
 from haulage.operators import features, joins, kpis, marts
@@ -29,13 +27,6 @@ def shipping(spark, sf):
     return marts.staging(e, marts.SHIPPING_COLS)
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double column (for order-independent comparison)."""
-    return df.select(*[round_half_up(F.col(f.name), digits).alias(f.name)
-                       if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
-                       for f in df.schema.fields])
-
-
 def rsql(cols: list[str], digits: int = 6) -> str:
     return ", ".join(f"{rhu(c, digits)} AS {c}" for c in cols)
 
@@ -145,9 +136,6 @@ def p25_daily_costs(spark, sf):
     return marts.daily_costs(shipping(spark, sf), latest_fuel(spark, sf))
 
 
-_FEAT_COLS = ["population_per_rank", "rank_per_population", "efficiency_score", "log_population", "log_rank"]
-
-
 @query("f01_basic_features", with_(ENTITIES) + f"""
 SELECT state, population, rank, {rsql(['population_per_rank'], 6)},
   {rhu('rank / population', 12)} AS rank_per_population, {rhu('population / (rank * 1000)', 6)} AS efficiency_score,

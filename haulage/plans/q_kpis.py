@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from haulage.operators import kpis
-from haulage.plans import bindings as B
 from haulage.plans.catalog import query
 from haulage.plans.q_entities import ent, latest_fuel
 from haulage.plans.sqlparts import ENTITIES, LATEST_FUEL, SNAPS, rhu, with_

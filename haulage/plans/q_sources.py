@@ -14,7 +14,7 @@ from haulage.operators import cleaning, freight, joins, routes
 from haulage.plans import bindings as B
 from haulage.plans.catalog import query
 from haulage.plans.q_entities import ent
-from haulage.plans.q_routes import CONG_BASE, congested, route_costs
+from haulage.plans.q_routes import CONG_BASE, route_costs
 from haulage.plans.sqlparts import ENTITIES, FLOWS, LATEST_YEAR as Y, msum, rhu, with_
 from haulage.sources import apis
 

@@ -1,7 +1,6 @@
 import math
 
 import pandas as pd
-from pyspark.sql import functions as F
 
 from haulage.operators import features
 
