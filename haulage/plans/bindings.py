@@ -132,7 +132,7 @@ def fuel_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
             for name, et in PRICE_EVENTS.items()]
     snaps = (ev.where(F.col("event_type").isin(list(PRICE_EVENTS.values())))
              .groupBy(F.col("user_id").alias("state"),
-                      F.date_trunc("day", F.col("ts")).alias("scraped_at"))
+                      F.date_trunc("day", F.col("ts")).cast("timestamp_ntz").alias("scraped_at"))
              .agg(*aggs))
     return snaps
 
