@@ -175,3 +175,21 @@ def rounded_stats(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*[round_half_up(F.col(f.name), digits).alias(f.name)
                        if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
                        for f in df.schema.fields])
+
+
+def eda_summary(stats: DataFrame, dist: DataFrame, corr: DataFrame, profile: DataFrame) -> DataFrame:
+    """The descriptive, distribution, correlation and profile tables in
+    one long form (section, item, metric, value)."""
+    s_cols = [c for c in stats.columns if c != "column"]
+    a = (stats.select("column", *[F.col(c).cast("double").alias(c) for c in s_cols])
+         .unpivot("column", s_cols, "metric", "value")
+         .select(F.lit("descriptive").alias("section"), F.col("column").alias("item"), "metric", "value"))
+    d_cols = ["n", "jb_p_value", "outliers_count", "outlier_percentage"]
+    b = (dist.select("column", *[F.col(c).cast("double").alias(c) for c in d_cols])
+         .unpivot("column", d_cols, "metric", "value")
+         .select(F.lit("distribution").alias("section"), F.col("column").alias("item"), "metric", "value"))
+    c = corr.select(F.lit("correlation").alias("section"), F.concat_ws("~", "var1", "var2").alias("item"),
+                    F.lit("correlation").alias("metric"), F.col("correlation").cast("double").alias("value"))
+    p = profile.select(F.lit("profile").alias("section"), F.concat_ws(".", "table_name", "column_name").alias("item"),
+                       F.lit("nulls").alias("metric"), F.col("nulls").cast("double").alias("value"))
+    return a.unionByName(b).unionByName(c).unionByName(p)

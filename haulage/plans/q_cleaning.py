@@ -178,3 +178,13 @@ def p14_p30_select_present_rename(spark, sf):
     e = ent(spark, sf)
     return cleaning.select_present(e, ["state", "postal", "population", "rank", "diesel"]).withColumnRenamed(
         "state", "state_id")
+
+
+@query("a45_first_snapshot_per_state", with_(SNAPS) + """
+SELECT state, scraped_at, regular, mid_grade, premium, diesel FROM (
+  SELECT *, row_number() OVER (PARTITION BY state ORDER BY scraped_at) AS rn FROM snaps) WHERE rn = 1""")
+def a45_first_snapshot_per_state(spark, sf):
+    """One row per key with an explicit kept row (the first snapshot of
+    each state), as an aggregate so a hot key is reduced map-side."""
+    from haulage.operators.joins import dedupe_keep_first
+    return dedupe_keep_first(B.fuel_snapshots(spark, sf), ["state"], ["scraped_at"])

@@ -204,3 +204,32 @@ def i01_insights(spark, sf):
         F.avg("value").alias("mean"))
     corr = eda.correlation_pairs(li.select("l_quantity", "l_tax"), ["l_quantity", "l_tax"], threshold=2.0)
     return eda.insights(reg, stats, corr)
+
+
+def _i2_sql() -> str:
+    from haulage.plans.catalog import ORACLE
+    stats = ORACLE["a18_descriptive_statistics"]
+    dist = ORACLE["a21_distribution_analysis"]
+    corr = ORACLE["a19_correlation_matrix"]
+    s_cols = ["count"] + _A18_COLS[1:]
+    d_cols = ["n", "jb_p_value", "outliers_count", "outlier_percentage"]
+    parts = [f"SELECT 'descriptive' AS section, \"column\" AS item, '{c}' AS metric, CAST({c} AS DOUBLE) AS value FROM s"
+             for c in s_cols]
+    parts += [f"SELECT 'distribution', \"column\", '{c}', CAST({c} AS DOUBLE) FROM d" for c in d_cols]
+    parts += ["SELECT 'correlation', var1 || '~' || var2, 'correlation', CAST(correlation AS DOUBLE) FROM c"]
+    parts += [f"SELECT 'profile', 'lineitem.{c}', 'nulls', CAST((SELECT COUNT(*) FROM lineitem WHERE {c} IS NULL) AS DOUBLE)"
+              for c in TABLE_COLUMNS["lineitem"]]
+    return (f"WITH s AS ({stats}), d AS ({dist}), c AS ({corr})\n" + "\nUNION ALL\n".join(parts))
+
+
+@query("i02_eda_summary", _i2_sql())
+def i02_eda_summary(spark, sf):
+    """Descriptive statistics, distribution tests, correlations and the
+    null profile of the line-item table in one long table."""
+    li = _li(spark, sf)
+    stats = _r(eda.descriptive_statistics(li, LI_COLS))
+    dist = eda.distribution_analysis(li, LI_COLS).withColumn("jb_p_value", round_half_up("jb_p_value", 9)).withColumn(
+        "outlier_percentage", round_half_up("outlier_percentage", 6))
+    corr = eda.correlation_pairs(li, LI_COLS, keep_all=True).withColumn("correlation", round_half_up("correlation", 9))
+    prof = eda.table_profile({"lineitem": B.table(spark, sf, "lineitem")})
+    return eda.eda_summary(stats, dist, corr, prof)
