@@ -47,7 +47,8 @@ def efficiency_kpis(df: DataFrame, value: str = "population", rank: str = "rank"
     rpm = F.col(rank) / (F.col(value) / 1e6)
     d = df.select(ppr.alias("_ppr"), rpm.alias("_rpm"))
     return d.agg(r(F.max("_ppr"), 4).alias("max_efficiency"), r(F.min("_ppr"), 4).alias("min_efficiency"),
-                 r(F.avg("_ppr"), 4).alias("avg_efficiency"), r(F.stddev_samp("_ppr"), 4).alias("efficiency_std"),
+                 r(F.avg("_ppr"), 4).alias("avg_efficiency"), r(F.avg("_ppr"), 4).alias("avg_efficiency_score"),
+                 r(F.stddev_samp("_ppr"), 4).alias("efficiency_std"),
                  r(F.min("_rpm"), 6).alias("best_rank_per_million"),
                  r(F.max("_rpm"), 6).alias("worst_rank_per_million"))
 

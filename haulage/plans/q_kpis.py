@@ -22,7 +22,8 @@ G_BASIC = f"""g_basic AS (SELECT COUNT(*) AS total_states, {ms('population')} AS
   {rhu('quantile_cont(rank, 0.5)', 4)} AS median_rank FROM ent HAVING COUNT(*) > 0)"""
 
 G_EFF = f"""g_efficiency AS (SELECT {rhu('max(ppr)', 4)} AS max_efficiency, {rhu('min(ppr)', 4)} AS min_efficiency,
-  {rhu('avg(ppr)', 4)} AS avg_efficiency, {rhu('stddev_samp(ppr)', 4)} AS efficiency_std,
+  {rhu('avg(ppr)', 4)} AS avg_efficiency, {rhu('avg(ppr)', 4)} AS avg_efficiency_score,
+  {rhu('stddev_samp(ppr)', 4)} AS efficiency_std,
   {rhu('min(rpm)', 6)} AS best_rank_per_million, {rhu('max(rpm)', 6)} AS worst_rank_per_million
   FROM (SELECT population / rank AS ppr, rank / (population / 1000000.0) AS rpm FROM ent))"""
 
@@ -75,7 +76,7 @@ g_quality AS (SELECT {rhu('(1.0 - (COUNT(*) FILTER (WHERE state IS NULL) + COUNT
 GROUP_COLS = {
     "basic": ["total_states", "total_population", "avg_population", "population_std", "avg_rank", "rank_std",
               "median_population", "median_rank"],
-    "efficiency": ["max_efficiency", "min_efficiency", "avg_efficiency", "efficiency_std",
+    "efficiency": ["max_efficiency", "min_efficiency", "avg_efficiency", "avg_efficiency_score", "efficiency_std",
                    "best_rank_per_million", "worst_rank_per_million"],
     "distribution": ["population_90th_percentile", "population_10th_percentile", "population_ratio_90_10",
                      "rank_90th_percentile", "rank_10th_percentile", "rank_ratio_90_10",
