@@ -103,6 +103,28 @@ STATE_CITIES = {
     "WI": "Milwaukee", "WY": "Cheyenne",
 }
 
+# State coordinates (lat, lon) of the state lookup (weather fallback); these
+# differ from the route centroids above and are used only by the lookups.
+STATE_COORDINATES = {
+    "AL": (32.8067, -86.7113), "AK": (64.2008, -152.2782), "AZ": (33.7298, -111.4312),
+    "AR": (34.9697, -92.3731), "CA": (36.1163, -119.6674), "CO": (39.0598, -105.3111),
+    "CT": (41.5978, -72.7554), "DE": (39.3185, -75.5244), "FL": (27.9947, -81.7603),
+    "GA": (33.0406, -83.6431), "HI": (21.0943, -157.4983), "ID": (44.2405, -114.2430),
+    "IL": (40.3495, -88.9861), "IN": (39.8494, -86.2583), "IA": (42.0115, -93.2105),
+    "KS": (38.5266, -96.7265), "KY": (37.6681, -84.6701), "LA": (31.1695, -91.8749),
+    "ME": (44.6939, -69.3819), "MD": (39.0639, -76.8021), "MA": (42.2352, -71.0275),
+    "MI": (43.3266, -84.5361), "MN": (45.6945, -93.9196), "MS": (32.7416, -89.6787),
+    "MO": (38.4561, -92.2884), "MT": (46.9219, -103.6006), "NE": (41.4925, -99.9018),
+    "NV": (38.8026, -116.4194), "NH": (43.4525, -71.3127), "NJ": (40.2206, -74.7597),
+    "NM": (34.5199, -105.8701), "NY": (42.1657, -74.9481), "NC": (35.6301, -79.8064),
+    "ND": (47.5289, -99.784), "OH": (40.3888, -82.7649), "OK": (35.5653, -96.9289),
+    "OR": (43.8041, -120.5542), "PA": (40.5908, -77.2098), "RI": (41.6809, -71.5118),
+    "SC": (34.0007, -81.1637), "SD": (44.2998, -99.4388), "TN": (35.7478, -86.6923),
+    "TX": (31.9686, -99.9018), "UT": (39.3210, -111.0937), "VT": (44.0459, -72.7107),
+    "VA": (37.4316, -78.6569), "WA": (47.4009, -121.4905), "WV": (38.5976, -80.4549),
+    "WI": (44.2685, -89.6165), "WY": (42.7559, -107.3025),
+}
+
 # Fuel price API: product code -> fuel type, and state -> area code.
 EIA_PRODUCTS = {"EPM0R": "regular", "EPM0M": "mid_grade", "EPM0P": "premium", "EPD2D": "diesel"}
 EIA_STATE_AREAS = {"CA": "SCA", "CO": "SCO", "MA": "SMA", "NY": "SNY", "TX": "STX"}
@@ -172,3 +194,8 @@ def state_index_sql() -> str:
     """The same 50-row table as SQL VALUES (for oracle queries)."""
     vals = ", ".join(f"({i}, '{c}', '{n}')" for i, (c, n) in enumerate(STATE_NAMES.items()))
     return f"st AS (SELECT * FROM (VALUES {vals}) AS t(k, code, name))"
+
+
+def state_coords_dim(spark: SparkSession) -> DataFrame:
+    rows = [(c, float(lat), float(lon)) for c, (lat, lon) in STATE_COORDINATES.items()]
+    return spark.createDataFrame(rows, "code string, lat double, lon double")

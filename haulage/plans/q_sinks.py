@@ -158,21 +158,23 @@ def _values(name, cols, rows):
 
 _P4_DIMS = [dims.state_index_sql(),
             _values("sd", "code, name, city", [(c, n, dims.STATE_CITIES.get(c)) for c, n in dims.STATE_NAMES.items()]),
-            _values("ctr", "code, lat, lon", [(c, a, b) for c, (a, b) in dims.ROUTE_CENTERS.items()])]
+            _values("ctr", "code, lat, lon", [(c, a, b) for c, (a, b) in dims.STATE_COORDINATES.items()])]
 
 
 @query("p04_state_lookups", with_(*_P4_DIMS) + """
-SELECT DISTINCT st.code AS state, coalesce(sd.name, st.code) AS name, sd.city, ctr.lat, ctr.lon
+SELECT DISTINCT st.code AS state, coalesce(sd.name, st.code) AS name, coalesce(sd.city, st.code) AS city, ctr.lat, ctr.lon
 FROM customer JOIN st ON st.k = c_custkey % 50 LEFT JOIN sd ON sd.code = st.code LEFT JOIN ctr ON ctr.code = st.code""")
 def p04_state_lookups(spark, sf):
-    """Name (default the code), city and centroid per state code found in
-    the cleaned shipping rows (broadcast lookups of fixed dimensions)."""
+    """Name and city (default: the code) and coordinates (default: nulls)
+    per state code found in the cleaned shipping rows (broadcast lookups of
+    fixed dimensions)."""
     raw = cleaning.normalize_state(dirty_shipping(spark, sf).select(F.col("State").alias("state")))
     codes = raw.select("state").distinct()
     sd = dims.states_dim(spark).select(F.col("code").alias("state"), "name", "city")
-    ctr = dims.centers_dim(spark).select(F.col("code").alias("state"), "lat", "lon")
+    ctr = dims.state_coords_dim(spark).select(F.col("code").alias("state"), "lat", "lon")
     out = joins.lookup_with_default(codes, sd, "state", {}).join(F.broadcast(ctr), "state", "left")
-    return out.select("state", F.coalesce("name", "state").alias("name"), "city", "lat", "lon")
+    return out.select("state", F.coalesce("name", "state").alias("name"),
+                      F.coalesce("city", "state").alias("city"), "lat", "lon")
 
 
 @query("p08_state_upper_variant", with_(dims.state_index_sql()) + """

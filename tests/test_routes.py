@@ -70,3 +70,9 @@ def test_dedupe_keep_first_with_hot_key(spark):
     df = spark.createDataFrame(rows, "state string, period string, price double")
     got = {r.state: (r.period, r.price) for r in dedupe_keep_first(df, ["state"], ["period"]).collect()}
     assert got == {"CA": ("2024-01-01", 0.0), "TX": ("2024-01-05", 1.0)}
+
+
+def test_zero_over_zero_stays_null(spark):
+    from haulage.functions import inf_to_zero_div
+    df = spark.createDataFrame([(0.0, 0.0), (5.0, 0.0), (-5.0, 0.0), (6.0, 3.0)], "a double, b double")
+    assert [r.x for r in df.select(inf_to_zero_div("a", "b").alias("x")).collect()] == [None, 0.0, 0.0, 2.0]
