@@ -24,9 +24,11 @@ def safe_div(num, den) -> Column:
 
 
 def inf_to_zero_div(num, den) -> Column:
-    """Division where a zero divisor yields 0 instead of +-inf (pandas replace(inf, 0))."""
-    d = col(den)
-    return F.when(d == 0, F.lit(0.0)).otherwise(F.try_divide(col(num), d))
+    """Division where x / 0 yields 0 instead of +-inf (pandas ``replace(inf, 0)``);
+    0 / 0 stays null (NaN there)."""
+    n, d = col(num), col(den)
+    return (F.when(d == 0, F.when(n == 0, F.lit(None).cast("double")).otherwise(F.lit(0.0)))
+            .otherwise(F.try_divide(n, d)))
 
 
 def round_half_up(c, digits: int) -> Column:

@@ -115,8 +115,8 @@ _LANES = f"""lanes AS (SELECT origin, destination, commodity, mode, SUM(tons) AS
   GROUP BY origin, destination, commodity, mode)"""
 
 _EFF = f"""SELECT l.*, c.driving_mi, c.total_cost, c.cost_per_mi, c.fuel_pct, c.congestion_ratio, c.congestion_tier,
-  {rhu('CASE WHEN c.total_cost = 0 THEN 0.0 ELSE l.tons_m / c.total_cost END', 6)} AS tons_per_dollar,
-  {rhu('CASE WHEN c.driving_mi = 0 THEN 0.0 ELSE l.tons_m / c.driving_mi END', 2)} AS tons_per_mile
+  {rhu('CASE WHEN c.total_cost = 0 THEN (CASE WHEN l.tons_m = 0 THEN NULL ELSE 0.0 END) ELSE l.tons_m / c.total_cost END', 6)} AS tons_per_dollar,
+  {rhu('CASE WHEN c.driving_mi = 0 THEN (CASE WHEN l.tons_m = 0 THEN NULL ELSE 0.0 END) ELSE l.tons_m / c.driving_mi END', 2)} AS tons_per_mile
 FROM lanes l JOIN cong c ON l.origin = c.origin AND l.destination = c.destination"""
 
 
