@@ -124,3 +124,24 @@ def surplus_labels(df: DataFrame, net: str = "net_tons") -> DataFrame:
         "trade_role": F.when(F.col(net) >= 0, "Net Exporter").otherwise("Net Importer"),
         "abs_net": F.abs(F.col(net)),
     })
+
+
+def require_rows(df: DataFrame, message: str) -> DataFrame:
+    """Fail when ``df`` has no rows (one bounded ``isEmpty`` probe)."""
+    if df.isEmpty():
+        raise ValueError(message)
+    return df
+
+
+def ingest_fuel_pages(pages: DataFrame, run_id: str, source: str = "AAA") -> tuple[DataFrame, DataFrame]:
+    """S7 + P3 + P6 + P10 + P13: parse the price tables of landed pages,
+    normalise states, apply the fuel contract, fail if nothing is valid, and
+    stamp run id, scrape time and source. Returns (valid, rejects)."""
+    from haulage.sources.files import stamp
+    from haulage.sources.html import fuel_price_table
+
+    rows = normalize_state(fuel_price_table(pages), "state_raw", "state")
+    valid, rejects = apply_contract(rows, fuel_contract(pages.sparkSession))
+    require_rows(valid, "no valid fuel price rows after validation")
+    out = stamp(valid.select("state", "regular", "mid_grade", "premium", "diesel"), run_id, source, "scraped_at")
+    return out, rejects

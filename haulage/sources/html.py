@@ -40,7 +40,7 @@ def fuel_price_table(pages: DataFrame, html: str = "html", key: str = "page_id")
     """Price table with positional names (state, regular, mid_grade,
     premium, diesel); '$' and ',' stripped; unparsable prices -> null."""
     rows = table_rows(pages, html, key).where(~F.col("is_header"))
-    cell = lambda i: F.element_at("cells", i)
+    cell = lambda i: F.try_element_at("cells", F.lit(i))  # noqa: E731  (ragged rows -> null)
     return rows.select(
         key, "row_idx", F.upper(F.trim(cell(1))).alias("state_raw"),
         *[currency_to_double(cell(i + 2)).alias(n)

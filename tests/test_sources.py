@@ -79,3 +79,17 @@ def test_flow_csv_pruned(spark, tmp_path):
     p.write_text(",".join(head) + "\n" + ",".join(["x", "6", "48", "1", "2", "1"] + ["1.5"] * 14) + "\n")
     df = files.read_flow_csv(spark, str(p), schema=files.flow_file_schema(extra_leading=["fr_orig"]))
     assert "fr_orig" not in df.columns and df.first().tons_2024 == 1.5
+
+
+def test_fuel_ingest_stamps_and_fails_when_empty(spark):
+    import pytest
+
+    from haulage.operators.cleaning import ingest_fuel_pages
+    pages = spark.createDataFrame([(7, PRICES)], "page_id long, html string")
+    valid, rejects = ingest_fuel_pages(pages, "run-9")
+    rows = valid.collect()
+    assert [(r.state, r.pipeline_run_id, r.data_source) for r in rows] == [("AK", "run-9", "AAA")]
+    assert rejects.count() == 1
+    bad = spark.createDataFrame([(1, "<table><tr><td>Atlantis</td><td>$1</td></tr></table>")], "page_id long, html string")
+    with pytest.raises(ValueError):
+        ingest_fuel_pages(bad, "run-9")
