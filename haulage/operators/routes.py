@@ -35,7 +35,7 @@ def parse_routing(raw: DataFrame, payload: str = "payload") -> DataFrame:
     """JSON response -> miles (/1609.34, 1 dp) and hours (/3600, 2 dp),
     only for responses with code 'Ok' and at least one route."""
     j = F.from_json(F.col(payload), ROUTING_SCHEMA)
-    leg = F.element_at(j["routes"], 1)
+    leg = F.try_element_at(j["routes"], F.lit(1))
     return (raw.select("origin", "destination", j["code"].alias("code"), leg.alias("leg"))
             .where((F.col("code") == "Ok") & F.col("leg").isNotNull())
             .select("origin", "destination",

@@ -105,7 +105,7 @@ def weather_rows(raw: DataFrame, payload: str = "payload") -> DataFrame:
     w = F.from_json(F.col(payload), WEATHER_SCHEMA)
     return raw.select("state", w.alias("w")).select(
         "state", F.col("w.main.temp").alias("temperature"),
-        F.initcap(F.element_at("w.weather", 1)["description"]).alias("condition"),
+        F.initcap(F.try_element_at("w.weather", F.lit(1))["description"]).alias("condition"),
         F.col("w.main.humidity").alias("humidity"), F.col("w.wind.speed").alias("wind_speed"),
         F.col("w.main.feels_like").alias("feels_like"), F.lit("OpenWeatherMap").alias("data_source"))
 
