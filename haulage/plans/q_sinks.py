@@ -7,8 +7,6 @@ folder and return what they read back, so the oracle checks both halves.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +22,7 @@ from haulage.plans.q_profile import TABLE_COLUMNS
 from haulage.plans.q_sources import _WX, weather_payloads
 from haulage.plans.sqlparts import (COORDS, ENTITIES, FLOWS, LATEST_FUEL, LATEST_YEAR as Y,
                                     NATION_SNAPS, SNAPS, rhu, with_)
-from haulage.session import ensure_checkpoint_dir
+from haulage.session import scratch_path
 from haulage.sources import apis, files
 
 # The oracles of these queries are the ones of the tables they write.
@@ -32,7 +30,7 @@ from haulage.plans import q_freight, q_profile, q_routes  # noqa: F401  (registe
 
 
 def scratch(spark) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    return scratch_path(spark)
 
 
 LANE_SCHEMA = (f"origin string, destination string, commodity string, mode string, "

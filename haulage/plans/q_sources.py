@@ -208,9 +208,17 @@ FROM cf JOIN fips fo ON cf.o = fo.fips JOIN fips fd ON cf.d = fd.fips
 LEFT JOIN modes md ON cf.m = md.dms_mode LEFT JOIN sctg sc ON cf.k = sc.sctg2
 GROUP BY 1, 2, 3, 4""")
 def s02_p15_p16_coded_lanes(spark, sf):
-    """S2 layout -> P15 (domestic, known codes) -> P16 (labels) -> U1 (stack)
-    -> lane totals of the latest year."""
-    wide = coded_flow_rows(spark, sf)
+    """Coded wide rows landed as gzip CSV in the shared scratch folder,
+    read back with the file schema (float32 measures, pruned columns), then
+    P15 (domestic, known codes) -> P16 (labels) -> U1 (stack) -> lane totals
+    of the latest year."""
+    from haulage.session import scratch_path
+    from haulage.sources import files
+    path = scratch_path(spark)
+    landed = coded_flow_rows(spark, sf).select(
+        *files.FLOW_KEYS, *[f"tons_{y}" for y in YEARS], *[f"value_{y}" for y in YEARS])
+    landed.write.option("header", True).option("compression", "gzip").csv(path)
+    wide = files.read_flow_csv(spark, path, YEARS)
     dom = freight.domestic_flows(wide, dims.fips_dim(spark))
     lab = freight.label_flows(dom, dims.fips_dim(spark), dims.mode_dim(spark), dims.sctg_dim(spark))
     long = freight.wide_to_long(lab, YEARS, ["origin", "destination", "commodity", "mode"])

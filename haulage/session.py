@@ -78,3 +78,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc.setCheckpointDir(path)
         return sc.getCheckpointDir()
     raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for checkpoints")
+
+
+def scratch_path(spark: SparkSession, kind: str = "tables") -> str:
+    """A fresh folder under the shared checkpoint folder (never machine-local
+    on a cluster) for intermediate tables and round trips."""
+    import uuid
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}/{uuid.uuid4().hex}"
