@@ -152,8 +152,8 @@ def nation_fuel_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed_routes(spark: SparkSession, sf_dir: str, lanes: DataFrame | None = None) -> DataFrame:
     """Routing results as if landed from a routing service, one per observed
-    lane with distinct ends: origin, destination, distance (m), duration (s),
-    code. Road distance = 1.18 x great circle; time = miles / 55 x factor,
+    lane: origin, destination, distance (m), duration (s), code ('Ok' for
+    distinct ends, 'NoRoute' for same-place pairs). Road distance = 1.18 x great circle; time = miles / 55 x factor,
     factor 1.05 + 0.1 * ((o + d) % 4) by nation keys."""
     from haulage.functions import haversine_miles
     if lanes is None:
@@ -163,12 +163,15 @@ def landed_routes(spark: SparkSession, sf_dir: str, lanes: DataFrame | None = No
                  F.col("lon").alias("olon"), F.col("nation_key").alias("ok"))
     d = c.select(F.col("code").alias("destination"), F.col("lat").alias("dlat"),
                  F.col("lon").alias("dlon"), F.col("nation_key").alias("dk"))
-    pairs = lanes.where(F.col("origin") != F.col("destination")).join(o, "origin").join(d, "destination")
+    # No filter on the pairs here: same-place pairs get a 'NoRoute' status
+    # instead, so the pair set stays one shared (reusable) subplan.
+    pairs = lanes.join(o, "origin").join(d, "destination")
     miles = haversine_miles("olat", "olon", "dlat", "dlon")
     road_mi = miles * 1.18
     factor = F.lit(1.05) + F.lit(0.1) * ((F.col("ok") + F.col("dk")) % 4)
     return pairs.select(
-        "origin", "destination", F.lit("Ok").alias("code"),
+        "origin", "destination",
+        F.when(F.col("origin") != F.col("destination"), F.lit("Ok")).otherwise(F.lit("NoRoute")).alias("code"),
         (road_mi * 1609.34).alias("distance"),
         (road_mi / 55.0 * factor * 3600.0).alias("duration"))
 

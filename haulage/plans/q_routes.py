@@ -8,13 +8,16 @@ from haulage.functions import round_half_up
 from haulage.operators import freight, joins, routes
 from haulage.plans import bindings as B
 from haulage.plans.catalog import query
+from haulage.session import materialize
 from haulage.plans.sqlparts import (COORDS, FLOWS, LANDED, LATEST_FUEL, LATEST_YEAR as Y,
                                     NATION_SNAPS, ROUTES, SNAPS, haversine, rhu, with_)
 
 
-def route_table(spark, sf):
-    fl = B.flows(spark, sf)
-    seen = fl.select("origin", "destination").distinct()
+def route_table(spark, sf, seen=None):
+    """Routes for the observed (origin, destination) pairs; ``seen`` narrows
+    them to the pairs a caller needs (e.g. the lanes of one year)."""
+    if seen is None:
+        seen = B.flows(spark, sf).select("origin", "destination").distinct()
     landed = B.landed_routes(spark, sf, seen)
     routed = routes.parse_routing(routes.routing_payload(landed))
     return routes.route_table(seen, routed, B.nation_coords(spark, sf))
@@ -25,12 +28,12 @@ def origin_diesel(spark, sf):
     return routes.latest_snapshot(B.nation_fuel_snapshots(spark, sf)).select("state", "diesel")
 
 
-def route_costs(spark, sf):
-    return routes.route_costs(route_table(spark, sf), origin_diesel(spark, sf))
+def route_costs(spark, sf, seen=None):
+    return routes.route_costs(route_table(spark, sf, seen), origin_diesel(spark, sf))
 
 
-def congested(spark, sf):
-    return routes.congestion(route_costs(spark, sf))
+def congested(spark, sf, seen=None):
+    return routes.congestion(route_costs(spark, sf, seen))
 
 
 _FUEL_LATEST = "fuel_latest AS (SELECT state, diesel FROM nsnaps WHERE scraped_at = (SELECT max(scraped_at) FROM nsnaps))"
@@ -122,17 +125,22 @@ FROM lanes l JOIN cong c ON l.origin = c.origin AND l.destination = c.destinatio
 
 @query("r06_lane_efficiency", with_(*CONG_BASE, _LANES) + _EFF)
 def r06_lane_efficiency(spark, sf):
-    """R6/J8/T8 on all lanes (not only the national top 100), by volume."""
-    lanes = freight.lane_totals(B.flows(spark, sf, year=Y), Y, None)
-    return routes.lane_efficiency(lanes, congested(spark, sf))
+    """R6/J8/T8 on all lanes (not only the national top 100), by volume.
+    Routes are built for the pairs of these lanes only (same result under the
+    inner join). The lane table is materialised once, so the flow join runs
+    a single time for both of its consumers."""
+    lanes = materialize(freight.lane_totals(B.flows(spark, sf, year=Y), Y, None))
+    seen = lanes.select("origin", "destination").distinct()
+    return routes.lane_efficiency(lanes, congested(spark, sf, seen))
 
 
 @query("r06_lane_efficiency_by_tons_per_dollar_top20", with_(*CONG_BASE, _LANES) + f"""
 SELECT * FROM ({_EFF}) ORDER BY tons_per_dollar DESC, origin, destination, commodity, mode LIMIT 20""")
 def r06_lane_efficiency_by_tons_per_dollar_top20(spark, sf):
     """Q8: the same table ordered by tons per dollar (most efficient first)."""
-    lanes = freight.lane_totals(B.flows(spark, sf, year=Y), Y, None)
-    return routes.lane_efficiency(lanes, congested(spark, sf), order_by_efficiency=True).limit(20)
+    lanes = materialize(freight.lane_totals(B.flows(spark, sf, year=Y), Y, None))
+    seen = lanes.select("origin", "destination").distinct()
+    return routes.lane_efficiency(lanes, congested(spark, sf, seen), order_by_efficiency=True).limit(20)
 
 
 @query("a44_cost_summary", with_(*CONG_BASE) + """
@@ -186,7 +194,12 @@ SELECT lt.origin AS state, {rhu('SUM(lt.t * r.driving_mi) / nullif(SUM(lt.t), 0)
 FROM lt JOIN routes r ON lt.origin = r.origin AND lt.destination = r.destination GROUP BY lt.origin""")
 def a07_avg_haul(spark, sf):
     """A7 (Q6): ton-miles from lane tons x route miles, over tons, by origin."""
-    return freight.avg_haul(B.flows(spark, sf, year=Y), route_table(spark, sf), Y)
+    # lane tons of the year, materialised once: both the route pairs and the
+    # ton-mile sums read it (same columns as the flow rows avg_haul needs)
+    lanes = materialize(B.flows(spark, sf, year=Y).groupBy("origin", "destination", "year")
+                        .agg(F.sum("tons").alias("tons")))
+    seen = lanes.select("origin", "destination")
+    return freight.avg_haul(lanes, route_table(spark, sf, seen), Y)
 
 
 @query("m06_cost_trend_line", with_(*COST_BASE) + f"""

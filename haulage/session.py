@@ -85,3 +85,12 @@ def scratch_path(spark: SparkSession, kind: str = "tables") -> str:
     on a cluster) for intermediate tables and round trips."""
     import uuid
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}/{uuid.uuid4().hex}"
+
+
+def materialize(df):
+    """Eager reliable checkpoint: computes ``df`` once, stores it in the shared
+    checkpoint folder and cuts its lineage, so several consumers (and a
+    recomputation after executor loss) read the stored copy instead of
+    re-running the plan. Meant for aggregated, reused intermediates."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
