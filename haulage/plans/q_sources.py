@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from haulage import dims
+from haulage.functions import round_half_up
 from haulage.operators import cleaning, freight, joins, routes
 from haulage.plans import bindings as B
 from haulage.plans.catalog import query
@@ -64,19 +65,24 @@ def s03_eia_fuel_prices(spark, sf):
     return rows.dropDuplicates(["state", "fuel_type", "period"])
 
 
-def rate_payloads(spark, sf):
+def lane_quarters(spark, sf):
+    """Flows aggregated by (year, quarter, origin, destination): tons, exact
+    value sum (decimal) and row count. Several consumers can share it."""
+    return (B.flows(spark, sf).groupBy("year", "quarter", "origin", "destination")
+            .agg(F.sum("tons").alias("t"), F.sum(F.col("value").cast("decimal(18,2)")).alias("v_dec"),
+                 F.count(F.lit(1)).alias("n")))
+
+
+def rate_payloads(spark, sf, lq=None):
     """Landed truck-rate records (all fields as text) per year, quarter,
     origin nation and destination nation; the origin's rate region is picked
     by nation key % 10 from the region list; quarter 4 records omit the
     quarter field."""
-    fl = B.flows(spark, sf)
+    lq = lq if lq is not None else lane_quarters(spark, sf)
     nk = B.table(spark, sf, "nation").select(F.col("n_name").alias("origin"), "n_nationkey")
     regions = list(dims.RATE_REGIONS)
     reg = F.create_map(*[x for i, r in enumerate(regions) for x in (F.lit(i), F.lit(r))])
-    agg = (fl.groupBy("year", "quarter", "origin", "destination")
-           .agg(F.sum("tons").alias("t"), F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("v"),
-                F.count(F.lit(1)).alias("n"))
-           .join(F.broadcast(nk), "origin"))
+    agg = lq.withColumn("v", F.col("v_dec").cast("double")).join(F.broadcast(nk), "origin")
     rec = F.struct(F.col("year").cast("string").alias("year"),
                    F.when(F.col("quarter") != 4, F.col("quarter").cast("string")).alias("quarter"),
                    reg[(F.col("n_nationkey") % 10).cast("int")].alias("region"),
@@ -236,7 +242,13 @@ FROM y WHERE year = {Y}""")
 def a37_headline_metrics(spark, sf):
     """Latest-year totals, mean truck rate, mean cost per mile and
     count of highly congested routes, side by side."""
-    yearly = freight.yearly_totals(B.flows(spark, sf))
-    rates = apis.truck_rates(rate_payloads(spark, sf), Y)
-    c = route_costs(spark, sf)
+    from haulage.session import materialize
+    # one pass over the flows: the lane-quarter aggregate feeds the yearly
+    # totals, the rate records and the route pairs
+    lq = materialize(lane_quarters(spark, sf))
+    yearly = (lq.groupBy("year").agg(F.sum("t").alias("_t"), F.sum("v_dec").cast("double").alias("_v"))
+              .select("year", round_half_up(F.col("_t") / 1e3, 2).alias("tons_m"),
+                      round_half_up(F.col("_v") / 1e3, 2).alias("value_b")))
+    rates = apis.truck_rates(rate_payloads(spark, sf, lq), Y)
+    c = route_costs(spark, sf, lq.select("origin", "destination").distinct())
     return routes.headline_metrics(yearly, rates, c, routes.congestion(c), Y)
