@@ -193,3 +193,14 @@ def eda_summary(stats: DataFrame, dist: DataFrame, corr: DataFrame, profile: Dat
     p = profile.select(F.lit("profile").alias("section"), F.concat_ws(".", "table_name", "column_name").alias("item"),
                        F.lit("nulls").alias("metric"), F.col("nulls").cast("double").alias("value"))
     return a.unionByName(b).unionByName(c).unionByName(p)
+
+
+def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """Per numeric column count, mean, sample std, min and max in one
+    aggregate over the unpivoted columns (exact; no approximate percentiles,
+    unlike ``DataFrame.summary``)."""
+    cols = cols or numeric_columns(df)
+    long = to_long(df, cols).where(F.col("value").isNotNull())
+    return long.groupBy("column").agg(
+        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"), F.max("value").alias("max"))

@@ -48,3 +48,13 @@ def test_all_features_chain_keeps_rows(shipping, fuel):
 def test_feature_summary(spark):
     s = {r.feature_type: r.feature_count for r in features.feature_summary(spark).collect()}
     assert s["statistical_features"] == 4 and sum(s.values()) == 16
+
+
+def test_describe_matches_pandas(spark, shipping):
+    from haulage.operators.eda import describe
+    got = {r.column: r for r in describe(shipping).collect()}
+    pdf = shipping.toPandas()
+    for c in ("rank", "population", "population_per_rank"):
+        d = pdf[c].describe()
+        assert got[c].count == d["count"] and math.isclose(got[c].mean, d["mean"])
+        assert math.isclose(got[c].std, d["std"]) and got[c].min == d["min"] and got[c].max == d["max"]
