@@ -56,5 +56,5 @@ def test_describe_matches_pandas(spark, shipping):
     pdf = shipping.toPandas()
     for c in ("rank", "population", "population_per_rank"):
         d = pdf[c].describe()
-        assert got[c].count == d["count"] and math.isclose(got[c].mean, d["mean"])
+        assert got[c]["count"] == d["count"] and math.isclose(got[c].mean, d["mean"])
         assert math.isclose(got[c].std, d["std"]) and got[c].min == d["min"] and got[c].max == d["max"]
