@@ -88,6 +88,17 @@ def annotate(df: DataFrame, text_col: str, make, added: str, keep: list[str] | N
     return base.mapInArrow(run, schema)
 
 
+def open_file(path: str):
+    """A file of any store that the tasks reach: a shared mount, or what pyarrow opens (hdfs, s3, gs)."""
+    if path.startswith("file:"):
+        path = "/" + path[5:].lstrip("/")
+    if path.startswith("/"):
+        return open(path, "rb")
+    from pyarrow import fs
+    store, name = fs.FileSystem.from_uri(path)
+    return store.open_input_file(name)
+
+
 def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string array one after the other, and n+1 offsets; null counts as empty."""
     texts = texts.cast(pa.large_string()).fill_null("")

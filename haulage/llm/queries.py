@@ -9,7 +9,10 @@ from haulage.llm import registry
 
 def load_all() -> None:
     # Importing the modules registers their queries.
-    from haulage.llm import (op04_nra, op05_token_counts, op06_byte_bpe, op10_url_filter)  # noqa: F401
+    from haulage.llm import (op01_language_id, op02_secret_crf, op03_prefix_groups, op04_nra,  # noqa: F401
+                             op05_token_counts, op06_byte_bpe, op07_training_order, op08_warc,
+                             op09_decontaminate, op10_url_filter)
+
 
 
 def queries() -> dict[str, Callable]:
