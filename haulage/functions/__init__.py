@@ -36,9 +36,13 @@ def round_half_up(c, digits: int) -> Column:
 
     Written as plain arithmetic so every engine gives the same bits; Spark's
     ``round`` rounds the decimal text (1.005 -> 1.01) and others do not.
+    ``floor`` gives a 64-bit integer and would saturate; from 2^53 on every
+    double is an integer already and stays as it is.
     """
     scale = float(10 ** digits)
-    return (F.floor(col(c) * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale))
+    shifted = col(c).cast("double") * F.lit(scale) + F.lit(0.5)
+    whole = F.when(F.abs(shifted) < F.lit(2.0 ** 53), F.floor(shifted).cast("double")).otherwise(shifted)
+    return whole / F.lit(scale)
 
 
 def money_sum(c, scale: int = 2) -> Column:

@@ -86,13 +86,13 @@ def state_latest(flows: DataFrame, year: int) -> DataFrame:
 
 def lane_totals(flows: DataFrame, year: int, k: int | None = 100) -> DataFrame:
     """Tons by (origin, destination, commodity, mode) in ``year``,
-    largest first (ties by key), top ``k``; tons_m in thousands, 2 dp."""
+    top ``k`` (largest first, ties by key), or all lanes in no order; tons_m in
+    thousands, 2 dp."""
     t = f"tons_{year}"
     lanes = (flows.where(F.col("year") == year)
              .groupBy(*LANE_KEYS).agg(F.sum("tons").alias(t))
              .withColumn("tons_m", round_half_up(F.col(t) / 1e3, 2)))
-    ordered = lanes.orderBy(F.desc(t), *LANE_KEYS)
-    return ordered.limit(k) if k else ordered
+    return lanes.orderBy(F.desc(t), *LANE_KEYS).limit(k) if k else lanes
 
 
 def mode_split(flows: DataFrame, year: int) -> DataFrame:

@@ -1,11 +1,10 @@
 """Linear cost model (M1-M5).
 
-``split`` is a deterministic hash split on a row key (the same rows land in
+``split`` is a deterministic hash split on the row keys (the same rows land in
 train/test whatever the partitioning). ``fit_ols2`` solves the two-feature
 least-squares problem from one aggregate of second moments (the normal
-equations), which is exactly what MLlib's normal-equation solver does in a
-distributed pass; ``fit_mllib`` is the general MLlib path for any number of
-features.
+equations), which is what MLlib's normal-equation solver does in a distributed
+pass.
 """
 
 from __future__ import annotations
@@ -15,12 +14,11 @@ from pyspark.sql import functions as F
 
 from haulage.functions import round_half_up
 
-HASH_MULT = 2654435761  # Knuth multiplicative hash constant
-
-
-def split(df: DataFrame, key: str, train_pct: int = 80) -> tuple[DataFrame, DataFrame]:
-    """M1: (train, test) by pmod(key * 2654435761, 100) < train_pct."""
-    bucket = F.pmod(F.col(key).cast("long") * F.lit(HASH_MULT), F.lit(100))
+def split(df: DataFrame, keys: list[str], train_pct: int = 80) -> tuple[DataFrame, DataFrame]:
+    """M1: (train, test) by a bucket of 100 from the first 8 hex digits of
+    md5(key1 ~ key2 ...), so all keys take part and no key can overflow."""
+    digest = F.md5(F.concat_ws("~", *[F.col(k).cast("string") for k in keys]).cast("binary"))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 100
     return df.where(bucket < train_pct), df.where(bucket >= train_pct)
 
 
@@ -76,14 +74,3 @@ def prediction_table(pred: DataFrame, x1: str, x2: str, y: str) -> DataFrame:
 def enough_rows(df: DataFrame, minimum: int = 50) -> DataFrame:
     """Gate: rows only if the table has at least ``minimum`` rows (scalar)."""
     return df.where(df.select(F.count(F.lit(1))).scalar() >= minimum)
-
-
-def fit_mllib(train: DataFrame, features: list[str], label: str):
-    """General path: MLlib linear regression with the normal-equation solver."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-
-    vec = VectorAssembler(inputCols=features, outputCol="_features").transform(train)
-    lr = LinearRegression(featuresCol="_features", labelCol=label, solver="normal", regParam=0.0,
-                          standardization=False)
-    return lr.fit(vec)

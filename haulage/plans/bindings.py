@@ -45,10 +45,25 @@ def nation_names(spark: SparkSession, sf_dir: str) -> DataFrame:
                        .select("n_nationkey", "n_name", "r_name"))
 
 
-def flows(spark: SparkSession, sf_dir: str, domestic_only: bool = True,
-          year: int | None = None) -> DataFrame:
+FLOW_COLUMNS = ("origin", "destination", "commodity", "mode", "year", "quarter", "trade_type", "tons", "value")
+
+
+def ship_years(spark: SparkSession, sf_dir: str) -> list[int]:
+    """All ship years from the first to the last (one min/max aggregate)."""
+    lo, hi = table(spark, sf_dir, "lineitem").agg(F.year(F.min("l_shipdate")), F.year(F.max("l_shipdate"))).first()
+    return [] if lo is None else list(range(lo, hi + 1))
+
+
+def flows(spark: SparkSession, sf_dir: str, domestic_only: bool = True, year: int | None = None,
+          columns: tuple[str, ...] = FLOW_COLUMNS, read=table, bucketed: bool = False) -> DataFrame:
     """Long-form freight flows: origin, destination, commodity, mode, year,
-    trade_type, tons, value (one row per line item).
+    quarter, trade_type, tons, value (one row per line item).
+
+    Only the sides that ``columns`` need are joined: supplier for the origin,
+    orders for the mode, orders and customer for the destination, part for the
+    commodity. This relies on every line item's foreign keys resolving (a test
+    checks the tables); a row without its supplier would otherwise count in a
+    total that does not read the origin.
 
     Join order keeps the fact stream narrow: orders pick up the customer's
     nation first (an orders-sized join), then line items join orders on the
@@ -59,37 +74,40 @@ def flows(spark: SparkSession, sf_dir: str, domestic_only: bool = True,
     ``year`` restricts the rows to one ship year with a range predicate on the
     raw date column, which the parquet scan can use (row-group skipping, or
     partition pruning on a year-partitioned copy); ``year(date) = y`` cannot.
+    ``read`` gives a table by name. With ``bucketed`` tables (see layout) the
+    line items join the orders first, as both lie by the order key.
     """
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-        "l_linestatus", "l_shipdate")
+    need = set(columns)
+    out = read(spark, sf_dir, "lineitem")
     if domestic_only:
-        li = li.where(F.col("l_linestatus") == "F")
+        out = out.where(F.col("l_linestatus") == "F")
     if year is not None:
-        li = li.where((F.col("l_shipdate") >= F.lit(f"{year}-01-01").cast("timestamp_ntz"))
-                      & (F.col("l_shipdate") < F.lit(f"{year + 1}-01-01").cast("timestamp_ntz")))
+        out = out.where((F.col("l_shipdate") >= F.lit(f"{year}-01-01").cast("timestamp_ntz"))
+                        & (F.col("l_shipdate") < F.lit(f"{year + 1}-01-01").cast("timestamp_ntz")))
     nat = nation_names(spark, sf_dir)
-    cust = (table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-            .join(nat.select(F.col("n_nationkey").alias("c_nationkey"),
-                             F.col("n_name").alias("destination")), "c_nationkey")
-            .select("c_custkey", "destination"))
-    orders = (table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-              .join(cust, F.col("o_custkey") == F.col("c_custkey"))
-              .select("o_orderkey", "destination", F.col("o_orderpriority").alias("mode")))
-    supp = (table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-            .join(nat.select(F.col("n_nationkey").alias("s_nationkey"),
-                             F.col("n_name").alias("origin")), "s_nationkey")
-            .select("s_suppkey", "origin"))
-    part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("commodity"))
-    return (li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(supp, F.col("l_suppkey") == F.col("s_suppkey"))
-            .join(part, F.col("l_partkey") == F.col("p_partkey"))
-            .select("origin", "destination", "commodity", "mode",
-                    F.year("l_shipdate").alias("year"),
-                    F.quarter("l_shipdate").alias("quarter"),
-                    F.when(F.col("l_linestatus") == "F", 1).otherwise(2).alias("trade_type"),
-                    F.col("l_quantity").alias("tons"),
-                    F.col("l_extendedprice").alias("value")))
+    if need & {"destination", "mode"}:
+        orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_orderpriority").alias("mode"))
+        if "destination" in need:
+            cust = (read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+                    .join(nat.select(F.col("n_nationkey").alias("c_nationkey"),
+                                     F.col("n_name").alias("destination")), "c_nationkey"))
+            if not bucketed:
+                orders = orders.join(cust, F.col("o_custkey") == F.col("c_custkey"))
+        out = out.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        if bucketed and "destination" in need:
+            out = out.join(cust, F.col("o_custkey") == F.col("c_custkey"))
+    if "origin" in need:
+        supp = (read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+                .join(nat.select(F.col("n_nationkey").alias("s_nationkey"),
+                                 F.col("n_name").alias("origin")), "s_nationkey"))
+        out = out.join(supp, F.col("l_suppkey") == F.col("s_suppkey"))
+    if "commodity" in need:
+        part = read(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("commodity"))
+        out = out.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    made = {"year": F.year("l_shipdate"), "quarter": F.quarter("l_shipdate"),
+            "trade_type": F.when(F.col("l_linestatus") == "F", 1).otherwise(2),
+            "tons": F.col("l_quantity"), "value": F.col("l_extendedprice")}
+    return out.select(*[made[c].alias(c) if c in made else c for c in FLOW_COLUMNS if c in need])
 
 
 def nation_coords(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,7 +175,7 @@ def landed_routes(spark: SparkSession, sf_dir: str, lanes: DataFrame | None = No
     factor 1.05 + 0.1 * ((o + d) % 4) by nation keys."""
     from haulage.functions import haversine_miles
     if lanes is None:
-        lanes = flows(spark, sf_dir).select("origin", "destination").distinct()
+        lanes = flows(spark, sf_dir, columns=("origin", "destination")).distinct()
     c = nation_coords(spark, sf_dir)
     o = c.select(F.col("code").alias("origin"), F.col("lat").alias("olat"),
                  F.col("lon").alias("olon"), F.col("nation_key").alias("ok"))

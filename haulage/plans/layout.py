@@ -11,7 +11,6 @@ same way for the orders-customer join. Tables go to the session catalog
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from haulage.plans import bindings as B
 
@@ -27,30 +26,9 @@ def write_bucketed(spark: SparkSession, sf_dir: str, database: str, buckets: int
          .saveAsTable(f"{database}.{name}"))
 
 
-def flows_bucketed(spark: SparkSession, sf_dir: str, database: str,
-                   year: int | None = None) -> DataFrame:
-    """Same rows as ``bindings.flows`` with line items and orders read from
-    the bucketed copies, so their join is shuffle-free."""
-    li = spark.table(f"{database}.lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_linestatus", "l_shipdate")
-    li = li.where(F.col("l_linestatus") == "F")
-    if year is not None:
-        li = li.where((F.col("l_shipdate") >= F.lit(f"{year}-01-01").cast("timestamp_ntz"))
-                      & (F.col("l_shipdate") < F.lit(f"{year + 1}-01-01").cast("timestamp_ntz")))
-    nat = B.nation_names(spark, sf_dir)
-    orders = spark.table(f"{database}.orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    cust = (spark.table(f"{database}.customer").select("c_custkey", "c_nationkey")
-            .join(nat.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("destination")),
-                  "c_nationkey"))
-    supp = (B.table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-            .join(nat.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("origin")),
-                  "s_nationkey"))
-    part = B.table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("commodity"))
-    lo = li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return (lo.join(cust, F.col("o_custkey") == F.col("c_custkey"))
-            .join(supp, F.col("l_suppkey") == F.col("s_suppkey"))
-            .join(part, F.col("l_partkey") == F.col("p_partkey"))
-            .select("origin", "destination", "commodity", F.col("o_orderpriority").alias("mode"),
-                    F.year("l_shipdate").alias("year"), F.quarter("l_shipdate").alias("quarter"),
-                    F.when(F.col("l_linestatus") == "F", 1).otherwise(2).alias("trade_type"),
-                    F.col("l_quantity").alias("tons"), F.col("l_extendedprice").alias("value")))
+def flows_bucketed(spark: SparkSession, sf_dir: str, database: str, year: int | None = None) -> DataFrame:
+    """``bindings.flows`` with line items, orders and customers read from the
+    bucketed copies, so the join of the first two is shuffle-free."""
+    def read(spark, sf_dir, name):
+        return spark.table(f"{database}.{name}") if name in ("lineitem", "orders", "customer") else B.table(spark, sf_dir, name)
+    return B.flows(spark, sf_dir, year=year, read=read, bucketed=True)

@@ -12,7 +12,10 @@ from haulage.plans.catalog import query
 from haulage.plans.sqlparts import FLOWS, LATEST_YEAR as Y, msum, rhu, with_
 from haulage.session import materialize
 
-YEARS = list(range(1995, 2002))
+# Flow columns that a query reads; sides of other columns are not joined.
+LANES = ("origin", "destination", "commodity", "mode", "year", "tons")
+PAIRS = ("origin", "destination", "year", "tons")
+TOTALS = ("year", "tons", "value")
 
 
 @query("a03_lane_totals", with_(FLOWS) + f"""
@@ -24,43 +27,35 @@ ORDER BY tons_{Y} DESC, origin, destination, commodity, mode
 LIMIT 100""")
 def a03_lane_totals(spark, sf):
     """Top 100 lanes by latest-year tons (sort + limit)."""
-    return freight.lane_totals(B.flows(spark, sf, year=Y), Y, 100)
+    return freight.lane_totals(B.flows(spark, sf, year=Y, columns=LANES), Y, 100)
 
 
 @query("a01_yearly_totals", with_(FLOWS) + f"""
 SELECT year, {rhu('SUM(tons) / 1000.0', 2)} AS tons_m, {rhu(msum('value') + ' / 1000.0', 2)} AS value_b
 FROM flows GROUP BY year""")
 def a01_yearly_totals(spark, sf):
-    return freight.yearly_totals(B.flows(spark, sf))
+    return freight.yearly_totals(B.flows(spark, sf, columns=TOTALS))
 
 
-_WIDE_SQL = ", ".join(
-    f"SUM(CASE WHEN year = {y} THEN tons ELSE 0 END) AS tons_{y}, "
-    f"CAST(SUM(CASE WHEN year = {y} THEN CAST(value AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS value_{y}"
-    for y in YEARS)
-_STACK_SQL = " UNION ALL ".join(
-    f"SELECT origin, destination, {y} AS year, tons_{y} AS tons, value_{y} AS value FROM wide"
-    for y in YEARS)
-
-
-@query("u01_wide_to_long_yearly", with_(FLOWS, f"wide AS (SELECT origin, destination, {_WIDE_SQL} FROM flows GROUP BY origin, destination)",
-                                        f"longf AS ({_STACK_SQL})") + f"""
-SELECT CAST(year AS INTEGER) AS year, {rhu('SUM(tons) / 1000.0', 2)} AS tons_m,
-       {rhu(msum('value') + ' / 1000.0', 2)} AS value_b
-FROM longf GROUP BY year""")
+@query("u01_wide_to_long_yearly", with_(FLOWS) + f"""
+SELECT year, {rhu('SUM(tons) / 1000.0', 2)} AS tons_m, {rhu(msum('value') + ' / 1000.0', 2)} AS value_b
+FROM flows GROUP BY year""")
 def u01_wide_to_long_yearly(spark, sf):
     """Land flows in the wide file layout (tons_Y / value_Y), unpivot them back
-    with one stack and total by year."""
-    wide = freight.long_to_wide(B.flows(spark, sf), YEARS, ["origin", "destination"])
-    long = freight.wide_to_long(wide, YEARS, ["origin", "destination"])
-    return freight.yearly_totals(long.withColumn("year", F.col("year").cast("int")))
+    with one stack and total by year. The years are the data's; a year without
+    flows would show as a row of zeros and is dropped."""
+    years = B.ship_years(spark, sf)
+    wide = freight.long_to_wide(B.flows(spark, sf, columns=("origin", "destination", *TOTALS)), years, ["origin", "destination"])
+    long = freight.wide_to_long(wide, years, ["origin", "destination"])
+    total = freight.yearly_totals(long.withColumn("year", F.col("year").cast("int")))
+    return total.where("tons_m <> 0 OR value_b <> 0")
 
 
 @query("a02_state_year_totals", with_(FLOWS) + f"""
 SELECT origin AS state, year, SUM(tons) AS tons, {msum('value')} AS value
 FROM flows GROUP BY origin, year""")
 def a02_state_year_totals(spark, sf):
-    return freight.state_year_totals(B.flows(spark, sf))
+    return freight.state_year_totals(B.flows(spark, sf, columns=("origin", *TOTALS)))
 
 
 @query("a02_state_latest", with_(FLOWS) + f"""
@@ -69,19 +64,19 @@ SELECT origin AS state, year, SUM(tons) AS tons, {msum('value')} AS value,
 FROM flows WHERE year = {Y} GROUP BY origin, year""")
 def a02_state_latest(spark, sf):
     """Latest-year totals per origin, scaled to thousands (2 dp)."""
-    return freight.state_latest(B.flows(spark, sf, year=Y), Y)
+    return freight.state_latest(B.flows(spark, sf, year=Y, columns=("origin", *TOTALS)), Y)
 
 
 @query("a04_mode_split", with_(FLOWS) + f"""
 SELECT mode, SUM(tons) AS tons_{Y} FROM flows WHERE year = {Y} GROUP BY mode""")
 def a04_mode_split(spark, sf):
-    return freight.mode_split(B.flows(spark, sf, year=Y), Y)
+    return freight.mode_split(B.flows(spark, sf, year=Y, columns=("mode", "year", "tons")), Y)
 
 
 @query("a05_commodity_split", with_(FLOWS) + f"""
 SELECT commodity, SUM(tons) AS tons_{Y} FROM flows WHERE year = {Y} GROUP BY commodity""")
 def a05_commodity_split(spark, sf):
-    return freight.commodity_split(B.flows(spark, sf, year=Y), Y)
+    return freight.commodity_split(B.flows(spark, sf, year=Y, columns=("commodity", "year", "tons")), Y)
 
 
 _BAL_SQL = with_(FLOWS, f"""o AS (SELECT origin AS state, SUM(tons) AS outbound FROM flows WHERE year = {Y} GROUP BY origin)""",
@@ -95,12 +90,12 @@ FROM o FULL OUTER JOIN i ON o.state = i.state"""
 
 @query("a06_trade_balance", _BAL_SQL)
 def a06_trade_balance(spark, sf):
-    return freight.trade_balance(B.flows(spark, sf, year=Y), Y)
+    return freight.trade_balance(B.flows(spark, sf, year=Y, columns=PAIRS), Y)
 
 
 @query("j07_trade_balance_full_join", _BAL_SQL)
 def j07_trade_balance_full_join(spark, sf):
-    return freight.trade_balance_full_join(B.flows(spark, sf, year=Y), Y)
+    return freight.trade_balance_full_join(B.flows(spark, sf, year=Y, columns=PAIRS), Y)
 
 
 @query("a08_top_lanes_truck_mode", with_(FLOWS) + f"""
@@ -108,7 +103,7 @@ SELECT origin, destination, SUM(tons) AS tons_{Y}, {rhu('SUM(tons) / 1000.0', 2)
 FROM flows WHERE year = {Y} AND mode = '1-URGENT'
 GROUP BY origin, destination ORDER BY tons_{Y} DESC, origin, destination LIMIT 20""")
 def a08_top_lanes_truck_mode(spark, sf):
-    return freight.top_lanes_by_mode(B.flows(spark, sf, year=Y), Y, "1-URGENT", 20)
+    return freight.top_lanes_by_mode(B.flows(spark, sf, year=Y, columns=("mode", *PAIRS)), Y, "1-URGENT", 20)
 
 
 @query("a08_top_lanes_every_mode", with_(FLOWS, f"""l AS (SELECT mode, origin, destination, SUM(tons) AS tons_{Y}
@@ -119,7 +114,7 @@ SELECT * FROM (
          {rhu(f'tons_{Y} / 1000.0', 2)} AS tons_m
   FROM l) WHERE lane_rank <= 20""")
 def a08_top_lanes_every_mode(spark, sf):
-    return freight.top_lanes_every_mode(B.flows(spark, sf, year=Y), Y, 20)
+    return freight.top_lanes_every_mode(B.flows(spark, sf, year=Y, columns=("mode", *PAIRS)), Y, 20)
 
 
 _LANES_ALL = f"""lanes AS (SELECT origin, destination, commodity, mode, SUM(tons) AS tons_{Y},
@@ -131,7 +126,7 @@ _LANES_ALL = f"""lanes AS (SELECT origin, destination, commodity, mode, SUM(tons
 SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY origin ORDER BY tons_{Y} DESC,
   origin, destination, commodity, mode) AS INTEGER) AS lane_rank FROM lanes) WHERE lane_rank <= 8""")
 def t05_top8_outbound_per_state(spark, sf):
-    lanes = freight.lane_totals(B.flows(spark, sf, year=Y), Y, None)
+    lanes = freight.lane_totals(B.flows(spark, sf, year=Y, columns=LANES), Y, None)
     return freight.top_lanes_per_state(lanes, "origin", f"tons_{Y}", 8)
 
 
@@ -139,7 +134,7 @@ def t05_top8_outbound_per_state(spark, sf):
 SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY destination ORDER BY tons_{Y} DESC,
   origin, destination, commodity, mode) AS INTEGER) AS lane_rank FROM lanes) WHERE lane_rank <= 12""")
 def t06_top12_inbound_per_state(spark, sf):
-    lanes = freight.lane_totals(B.flows(spark, sf, year=Y), Y, None)
+    lanes = freight.lane_totals(B.flows(spark, sf, year=Y, columns=LANES), Y, None)
     return freight.top_lanes_per_state(lanes, "destination", f"tons_{Y}", 12)
 
 
@@ -149,7 +144,7 @@ SELECT year, tons_m, value_b,
        {rhu('(tons_m - lag(tons_m) OVER (ORDER BY year)) / nullif(lag(tons_m) OVER (ORDER BY year), 0) * 100', 1)} AS yoy_pct
 FROM y""")
 def w08_year_over_year(spark, sf):
-    return freight.year_over_year(freight.yearly_totals(B.flows(spark, sf)))
+    return freight.year_over_year(freight.yearly_totals(B.flows(spark, sf, columns=TOTALS)))
 
 
 @query("a42_top10_commodity_share", with_(FLOWS, f"""c AS (SELECT commodity, SUM(tons) AS tons_{Y}
@@ -166,7 +161,7 @@ def a42_top10_commodity_share(spark, sf):
     t = f"tons_{Y}"
     # one pass over the flows: the (small) commodity table is materialised and
     # both the top 10 and the grand total read it
-    comm = materialize(freight.commodity_split(B.flows(spark, sf, year=Y), Y))
+    comm = materialize(freight.commodity_split(B.flows(spark, sf, year=Y, columns=("commodity", "year", "tons")), Y))
     top = comm.orderBy(F.desc(t), "commodity").limit(10)
     total = comm.select(F.sum(t)).scalar()
     top_sum = top.select(F.sum(t)).scalar()
@@ -181,7 +176,7 @@ def a42_top10_commodity_share(spark, sf):
   WHERE year = {Y} AND mode = '2-HIGH' GROUP BY origin, destination)""") + f"""
 SELECT {rhu('SUM(t) / 1000.0', 2)} AS total_tons_m, COUNT(*) AS lanes FROM l""")
 def a43_mode_summary(spark, sf):
-    return freight.mode_summary(B.flows(spark, sf, year=Y), Y, "2-HIGH")
+    return freight.mode_summary(B.flows(spark, sf, year=Y, columns=("mode", *PAIRS)), Y, "2-HIGH")
 
 
 @query("a09_freight_summary", with_(FLOWS) + f"""
@@ -193,5 +188,8 @@ def a09_freight_summary(spark, sf):
     """The summary row of the freight table run (state rows, lane rows,
     latest-year totals)."""
     from haulage.plans.batch import freight_summary
-    # the three summaries all read the latest year: materialise it once
-    return freight_summary(materialize(B.flows(spark, sf, year=Y)), Y)
+    # the three summaries read the year's lanes, aggregated and stored once
+    rows = B.flows(spark, sf, year=Y, columns=(*LANES, "value"))
+    lanes = rows.groupBy(*freight.LANE_KEYS, "year").agg(
+        F.sum("tons").alias("tons"), F.sum(F.col("value").cast("decimal(18,2)")).alias("value"))
+    return freight_summary(materialize(lanes), Y)

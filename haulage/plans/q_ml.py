@@ -2,36 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from haulage.operators import ml
-from haulage.plans import bindings as B
 from haulage.plans.catalog import query
 from haulage.plans.q_routes import COST_BASE, route_costs
 from haulage.plans.sqlparts import rhu, with_
+from haulage.session import materialize
 
 X1, X2, Y_ = "driving_mi", "driving_hr", "total_cost"
 
 
-def keyed_costs(spark, sf):
-    """Route costs with a numeric route key (origin key x 1000 + destination key)."""
-    nk = B.table(spark, sf, "nation").select("n_name", "n_nationkey")
-    o = nk.select(F.col("n_name").alias("origin"), F.col("n_nationkey").alias("_ok"))
-    d = nk.select(F.col("n_name").alias("destination"), F.col("n_nationkey").alias("_dk"))
-    c = route_costs(spark, sf).join(F.broadcast(o), "origin").join(F.broadcast(d), "destination")
-    return ml.enough_rows(c.withColumn("route_key", F.col("_ok") * 1000 + F.col("_dk")))
+def _costs(spark, sf):
+    """Route costs, stored once: the model, its metrics and its predictions read them."""
+    return ml.enough_rows(materialize(route_costs(spark, sf)))
 
 
 def _model(spark, sf):
-    train, test = ml.split(keyed_costs(spark, sf), "route_key")
-    model = ml.fit_ols2(train, X1, X2, Y_)
+    train, test = ml.split(_costs(spark, sf), ["origin", "destination"])
+    model = materialize(ml.fit_ols2(train, X1, X2, Y_))
     return model, ml.predict(test, model, X1, X2)
 
 
-_SPLIT = f"""kc AS (SELECT c.*, o.n_nationkey * 1000 + d.n_nationkey AS route_key FROM costs c
-  JOIN nation o ON c.origin = o.n_name JOIN nation d ON c.destination = d.n_name),
-tr AS (SELECT * FROM kc WHERE (route_key * {ml.HASH_MULT}) % 100 < 80),
-te AS (SELECT * FROM kc WHERE (route_key * {ml.HASH_MULT}) % 100 >= 80),
+_BUCKET = "CAST('0x' || substr(md5(origin || '~' || destination), 1, 8) AS BIGINT) % 100"
+_SPLIT = f"""tr AS (SELECT * FROM costs WHERE {_BUCKET} < 80),
+te AS (SELECT * FROM costs WHERE {_BUCKET} >= 80),
 mom AS (SELECT var_samp(driving_mi) AS s11, var_samp(driving_hr) AS s22, covar_samp(driving_mi, driving_hr) AS s12,
   covar_samp(driving_mi, total_cost) AS s1y, covar_samp(driving_hr, total_cost) AS s2y,
   avg(driving_mi) AS m1, avg(driving_hr) AS m2, avg(total_cost) AS my, COUNT(*) AS n_train FROM tr),

@@ -13,11 +13,14 @@ from haulage.plans.sqlparts import (COORDS, FLOWS, LANDED, LATEST_FUEL, LATEST_Y
                                     NATION_SNAPS, ROUTES, SNAPS, haversine, rhu, with_)
 
 
+LANES = (*freight.LANE_KEYS, "year", "tons")
+
+
 def route_table(spark, sf, seen=None):
     """Routes for the observed (origin, destination) pairs; ``seen`` narrows
     them to the pairs a caller needs (e.g. the lanes of one year)."""
     if seen is None:
-        seen = B.flows(spark, sf).select("origin", "destination").distinct()
+        seen = B.flows(spark, sf, columns=("origin", "destination")).distinct()
     landed = B.landed_routes(spark, sf, seen)
     routed = routes.parse_routing(routes.routing_payload(landed))
     return routes.route_table(seen, routed, B.nation_coords(spark, sf))
@@ -78,7 +81,7 @@ def r03_route_matrix(spark, sf):
 SELECT origin, destination, {rhu('distance / 1609.34', 1)} AS routed_mi,
        {rhu('duration / 3600.0', 2)} AS routed_hr FROM landed""")
 def s06_parse_routing(spark, sf):
-    seen = B.flows(spark, sf).select("origin", "destination").distinct()
+    seen = B.flows(spark, sf, columns=("origin", "destination")).distinct()
     return routes.parse_routing(routes.routing_payload(B.landed_routes(spark, sf, seen)))
 
 
@@ -88,7 +91,7 @@ SELECT l.origin, l.destination, {rhu('hav', 1)} AS gc_mi FROM (
   FROM lanes_seen l JOIN coords o ON l.origin = o.code JOIN coords d ON l.destination = d.code) l""")
 def r01_great_circle_miles(spark, sf):
     from haulage.functions import haversine_miles
-    seen = B.flows(spark, sf).select("origin", "destination").distinct()
+    seen = B.flows(spark, sf, columns=("origin", "destination")).distinct()
     c = B.nation_coords(spark, sf)
     o = c.select(F.col("code").alias("origin"), F.col("lat").alias("a"), F.col("lon").alias("b"))
     d = c.select(F.col("code").alias("destination"), F.col("lat").alias("x"), F.col("lon").alias("y"))
@@ -129,7 +132,7 @@ def r06_lane_efficiency(spark, sf):
     Routes are built for the pairs of these lanes only (same result under the
     inner join). The lane table is materialised once, so the flow join runs
     a single time for both of its consumers."""
-    lanes = materialize(freight.lane_totals(B.flows(spark, sf, year=Y), Y, None))
+    lanes = materialize(freight.lane_totals(B.flows(spark, sf, year=Y, columns=LANES), Y, None))
     seen = lanes.select("origin", "destination").distinct()
     return routes.lane_efficiency(lanes, congested(spark, sf, seen))
 
@@ -138,7 +141,7 @@ def r06_lane_efficiency(spark, sf):
 SELECT * FROM ({_EFF}) ORDER BY tons_per_dollar DESC, origin, destination, commodity, mode LIMIT 20""")
 def r06_lane_efficiency_by_tons_per_dollar_top20(spark, sf):
     """Q8: the same table ordered by tons per dollar (most efficient first)."""
-    lanes = materialize(freight.lane_totals(B.flows(spark, sf, year=Y), Y, None))
+    lanes = materialize(freight.lane_totals(B.flows(spark, sf, year=Y, columns=LANES), Y, None))
     seen = lanes.select("origin", "destination").distinct()
     return routes.lane_efficiency(lanes, congested(spark, sf, seen), order_by_efficiency=True).limit(20)
 
@@ -196,7 +199,7 @@ def a07_avg_haul(spark, sf):
     """A7 (Q6): ton-miles from lane tons x route miles, over tons, by origin."""
     # lane tons of the year, materialised once: both the route pairs and the
     # ton-mile sums read it (same columns as the flow rows avg_haul needs)
-    lanes = materialize(B.flows(spark, sf, year=Y).groupBy("origin", "destination", "year")
+    lanes = materialize(B.flows(spark, sf, year=Y, columns=("origin", "destination", "year", "tons")).groupBy("origin", "destination", "year")
                         .agg(F.sum("tons").alias("tons")))
     seen = lanes.select("origin", "destination")
     return freight.avg_haul(lanes, route_table(spark, sf, seen), Y)

@@ -42,7 +42,7 @@ def s01_s11_csv_round_trip(spark, sf):
     """S11 then S1: write the top lanes as CSV with a header, read them back
     with an explicit schema."""
     path = scratch(spark)
-    files.write_csv(freight.lane_totals(B.flows(spark, sf, year=Y), Y, 100), path)
+    files.write_csv(freight.lane_totals(B.flows(spark, sf, year=Y, columns=(*freight.LANE_KEYS, "year", "tons")), Y, 100), path)
     return files.read_csv(spark, path, LANE_SCHEMA)
 
 
@@ -50,7 +50,7 @@ def s01_s11_csv_round_trip(spark, sf):
 def s09_s10_table_round_trip(spark, sf):
     """S10 replace + append into a year-partitioned parquet table, then S9."""
     path = scratch(spark)
-    totals = freight.state_year_totals(B.flows(spark, sf))
+    totals = freight.state_year_totals(B.flows(spark, sf, columns=("origin", "year", "tons", "value")))
     files.write_table(totals.where(F.col("year") < Y), path, "overwrite", ["year"])
     files.write_table(totals.where(F.col("year") >= Y), path, "append", ["year"])
     return files.read_table(spark, path)
@@ -137,7 +137,7 @@ FROM (SELECT DISTINCT origin FROM flows) o LEFT JOIN ld ON o.origin = ld.state L
 def j10_origin_lookup_with_defaults(spark, sf):
     """Each origin with its latest non-null diesel (default 0) and
     coordinates (default 0, 0)."""
-    origins = B.flows(spark, sf).select(F.col("origin").alias("state")).distinct()
+    origins = B.flows(spark, sf, columns=("origin",)).select(F.col("origin").alias("state")).distinct()
     diesel = joins.latest_per_key(B.nation_fuel_snapshots(spark, sf), value_cols=["diesel"]).select("state", "diesel")
     c = B.nation_coords(spark, sf).select(F.col("code").alias("state"), "lat", "lon")
     out = joins.lookup_with_default(origins.join(diesel, "state", "left"), c, "state", {"lat": 0.0, "lon": 0.0})

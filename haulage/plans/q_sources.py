@@ -68,7 +68,8 @@ def s03_eia_fuel_prices(spark, sf):
 def lane_quarters(spark, sf):
     """Flows aggregated by (year, quarter, origin, destination): tons, exact
     value sum (decimal) and row count. Several consumers can share it."""
-    return (B.flows(spark, sf).groupBy("year", "quarter", "origin", "destination")
+    columns = ("origin", "destination", "year", "quarter", "tons", "value")
+    return (B.flows(spark, sf, columns=columns).groupBy("year", "quarter", "origin", "destination")
             .agg(F.sum("tons").alias("t"), F.sum(F.col("value").cast("decimal(18,2)")).alias("v_dec"),
                  F.count(F.lit(1)).alias("n")))
 
@@ -117,7 +118,7 @@ def p24_rates_by_state(spark, sf):
 
 @query("t10_sorted_rates", with_(FLOWS, _RATES.replace(f"SELECT year, CASE WHEN quarter = 4", f"SELECT rg, year, CASE WHEN quarter = 4")) + """
 SELECT year, quarter, origin_state, destination, rate_per_mile, rate_per_truckload FROM rates
-ORDER BY quarter, rg, destination LIMIT 10000""")
+ORDER BY quarter, rg, destination, origin_state NULLS LAST, rate_per_mile NULLS LAST, rate_per_truckload NULLS LAST LIMIT 10000""")
 def t10_sorted_rates(spark, sf):
     """Ordered by quarter, region, destination; first 10,000 rows."""
     return apis.sorted_rates(apis.truck_rates(rate_payloads(spark, sf), Y)).drop("_region")
@@ -165,10 +166,7 @@ def j16_states_without_weather(spark, sf):
     return joins.anti(ent(spark, sf).select("state"), valid, "state")
 
 
-YEARS = list(range(1995, 2002))
-
-
-def coded_flow_rows(spark, sf):
+def coded_flow_rows(spark, sf, years):
     """Freight-flow file rows in the coded wide layout: origin / destination
     codes from the supplier / customer nation keys (2k and 2k+1, so some are
     not state codes), mode from the order priority digit, commodity code
@@ -186,7 +184,7 @@ def coded_flow_rows(spark, sf):
                     F.when(F.col("l_linestatus") == "F", 1).otherwise(2).alias("trade_type"),
                     F.year("l_shipdate").alias("year"), F.col("l_quantity").alias("tons"),
                     F.col("l_extendedprice").alias("value"))
-    return freight.long_to_wide(long, YEARS, ["dms_origst", "dms_destst", "dms_mode", "sctg2", "trade_type"])
+    return freight.long_to_wide(long, years, ["dms_origst", "dms_destst", "dms_mode", "sctg2", "trade_type"])
 
 
 def _values(name, cols, items):
@@ -221,13 +219,15 @@ def s02_p15_p16_coded_lanes(spark, sf):
     from haulage.session import scratch_path
     from haulage.sources import files
     path = scratch_path(spark)
-    landed = coded_flow_rows(spark, sf).select(
-        *files.FLOW_KEYS, *[f"tons_{y}" for y in YEARS], *[f"value_{y}" for y in YEARS])
-    landed.write.option("header", True).option("compression", "gzip").csv(path)
-    wide = files.read_flow_csv(spark, path, YEARS)
+    years = B.ship_years(spark, sf)
+    landed = coded_flow_rows(spark, sf, years).select(
+        *files.FLOW_KEYS, *[f"tons_{y}" for y in years], *[f"value_{y}" for y in years])
+    # gzip files cannot be split, so each holds a bounded number of rows
+    landed.write.option("header", True).option("compression", "gzip").option("maxRecordsPerFile", 500_000).csv(path)
+    wide = files.read_flow_csv(spark, path, years)
     dom = freight.domestic_flows(wide, dims.fips_dim(spark))
     lab = freight.label_flows(dom, dims.fips_dim(spark), dims.mode_dim(spark), dims.sctg_dim(spark))
-    long = freight.wide_to_long(lab, YEARS, ["origin", "destination", "commodity", "mode"])
+    long = freight.wide_to_long(lab, years, ["origin", "destination", "commodity", "mode"])
     return (long.where(F.col("year") == Y).groupBy("origin", "destination", "commodity", "mode")
             .agg(F.sum("tons").alias(f"tons_{Y}")))
 

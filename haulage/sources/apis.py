@@ -94,8 +94,10 @@ def rates_by_state(rates: DataFrame) -> DataFrame:
 
 
 def sorted_rates(rates: DataFrame, limit: int = 10000) -> DataFrame:
-    """Ordered by quarter, region, destination, first ``limit`` rows."""
-    return rates.orderBy("quarter", "_region", "destination").limit(limit)
+    """Ordered by quarter, region, destination, first ``limit`` rows. The
+    remaining columns break ties, so the rows kept do not depend on the plan."""
+    ties = ["origin_state", "rate_per_mile", "rate_per_truckload"]
+    return rates.orderBy("quarter", "_region", "destination", *[F.asc_nulls_last(c) for c in ties]).limit(limit)
 
 
 def weather_rows(raw: DataFrame, payload: str = "payload") -> DataFrame:
