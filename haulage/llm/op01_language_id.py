@@ -14,11 +14,12 @@ For each language l the score of a document is
 * Declared markup language and address suffix: P(value | l) from counts.
 
 All counts are grouped aggregates over all documents, by the language that the
-text alone suggests. They are joined as tables, whose sizes Spark checks before
+text alone suggests. The class ``und`` has a fixed small prior, and any
+declared language or suffix is to it as likely as in all documents. They are joined as tables, whose sizes Spark checks before
 it broadcasts any.
 
 A document is accepted if its best class is a language and has a posterior of
-at least ACCEPT, and there is any evidence: a letter in the text or a known
+at least ACCEPT, and there is any evidence: a trigram in the text or a known
 declared language.
 
 Edge rows: a null or empty text is no evidence, and so is a null or unknown
@@ -46,6 +47,7 @@ TRIGRAMS = 1 << 16      # buckets of the text model
 TRUST = 200             # trigrams that a text counts as, at most
 UND_LOG_P = -10.5       # log probability of a trigram in the class und
 SMOOTH = 20.0           # documents' worth of the level above in each level of a prior
+UND_PRIOR = 1e-3        # prior of the class und, whatever the host
 ACCEPT = 0.5
 
 _MAP = np.full(256, 32, np.uint8)
@@ -122,11 +124,11 @@ def suffix_of(host: Column) -> Column:
 
 
 def _counts(frame: DataFrame, classes: list[str]) -> DataFrame:
-    """Documents per evidence value and class: (kind, key, n array)."""
+    """Documents per evidence value and language: (kind, key, n array)."""
     kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("key")) for k in ("host", "domain", "declared", "suffix")],
                     F.struct(F.lit("all").alias("kind"), F.lit("").alias("key")))
-    rows = frame.where("text_best is not null").select("text_best", F.explode(kinds).alias("e")).where("e.key is not null")
-    sums = [F.sum((F.col("text_best") == i).cast("long")).cast("double") for i in range(len(classes))]
+    rows = frame.where(F.col("text_best") < len(classes) - 1).select("text_best", F.explode(kinds).alias("e")).where("e.key is not null")
+    sums = [F.sum((F.col("text_best") == i).cast("long")).cast("double") for i in range(len(classes) - 1)]
     return rows.groupBy("e.kind", "e.key").agg(F.array(*sums).alias("n"))
 
 
@@ -140,7 +142,7 @@ def _smoothed(n: Column, above: Column) -> Column:
 
 def fuse(frame: DataFrame, classes: list[str]) -> DataFrame:
     """Adds language, confidence and accepted to rows with text_log_p, host, declared and suffix."""
-    n_classes = len(classes)
+    n_languages = len(classes) - 1
     best = lambda a: F.array_position(a, F.array_max(a)).cast("int") - 1
     has_text = F.exists("text_log_p", lambda x: x != 0)
     frame = store(frame.withColumn("text_best", F.when(has_text, best(F.col("text_log_p"))))
@@ -148,18 +150,19 @@ def fuse(frame: DataFrame, classes: list[str]) -> DataFrame:
     counts = store(_counts(frame, classes), "language-counts")
     of = lambda k, name: counts.where(F.col("kind") == k).select(F.col("key").alias(k), F.col("n").alias(name))
     # one row at most: the totals by class
-    total = [r["n"] for r in counts.where("kind = 'all'").collect()] or [[0.0] * n_classes]
-    whole = F.array(*[F.lit((n + SMOOTH / n_classes) / (sum(total[0]) + SMOOTH)) for n in total[0]])
+    total = [r["n"] for r in counts.where("kind = 'all'").collect()] or [[0.0] * n_languages]
+    whole = F.array(*[F.lit((n + SMOOTH / n_languages) / (sum(total[0]) + SMOOTH)) for n in total[0]])
     n_all = F.array(*map(F.lit, total[0]))
     rows = (frame.join(of("host", "n_host"), "host", "left").join(of("domain", "n_domain"), "domain", "left")
             .join(of("declared", "n_declared"), "declared", "left").join(of("suffix", "n_suffix"), "suffix", "left"))
-    zero = F.array(*[F.lit(0.0)] * n_classes)
-    prior = _smoothed(F.coalesce("n_host", zero), _smoothed(F.coalesce("n_domain", zero), whole))
+    zero = F.array(*[F.lit(0.0)] * n_languages)
+    prior = F.array_append(_smoothed(F.coalesce("n_host", zero), _smoothed(F.coalesce("n_domain", zero), whole)), UND_PRIOR)
 
     def likelihood(n: str) -> Column:
-        """log P(value | class) up to a constant; 0 where there is no value."""
+        """log P(value | class); 0 where there is no value."""
         some = F.transform(F.arrays_zip(F.col(n).alias("n"), n_all.alias("a")), lambda x: F.log((x["n"] + F.lit(0.5)) / (x["a"] + F.lit(SMOOTH))))
-        return F.coalesce(some, zero)
+        overall = F.log((_total(F.col(n)) + F.lit(0.5)) / F.lit(sum(total[0]) + SMOOTH))
+        return F.coalesce(F.array_append(some, overall), F.array_append(zero, 0.0))
     score = F.transform(F.arrays_zip(F.col("text_log_p").alias("t"), prior.alias("p"), likelihood("n_declared").alias("d"),
                                      likelihood("n_suffix").alias("s")), lambda x: x["t"] + F.log(x["p"]) + x["d"] + x["s"])
     rows = rows.withColumn("score", score)
