@@ -46,6 +46,7 @@ SAMPLE_DOCS = 4_000     # labelled rows that the text model is fitted on, at mos
 TRIGRAMS = 1 << 16      # buckets of the text model
 TRUST = 200             # trigrams that a text counts as, at most
 UND_LOG_P = -10.5       # log probability of a trigram in the class und
+MIX = 0.3               # share of und in each language, so that a key or a number in a text costs little
 SMOOTH = 20.0           # documents' worth of the level above in each level of a prior
 UND_PRIOR = 1e-3        # prior of the class und, whatever the host
 ACCEPT = 0.5
@@ -98,7 +99,7 @@ def fit(docs: DataFrame, label_col: str, id_col: str, text_col: str, languages=L
             counts[r["g"], r["l"]] = r["n"]
     counts += 0.05
     model = np.full((TRIGRAMS, len(languages) + 1), UND_LOG_P, np.float32)
-    model[:, :-1] = np.log(counts / counts.sum(axis=0))
+    model[:, :-1] = np.log((1 - MIX) * counts / counts.sum(axis=0) + MIX * np.exp(UND_LOG_P))
     return model
 
 
