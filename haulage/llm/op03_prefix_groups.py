@@ -14,11 +14,13 @@ each exact, that leave less and less to do:
    others keep their prefix in that order.
 3. Sets with the same prefix and size form a group. Groups that share a
    prefix token and whose sizes allow a link are candidate group pairs.
-4. Group pairs are expanded and verified in two rounds. First each token's
-   smallest and largest group meet all others of the token (linear in the
-   token's groups). What is linked now needs no more tests inside its class.
-   Then every candidate pair whose members are still in different classes is
-   verified, so no link between classes is missed.
+4. Group pairs are expanded and verified. First some groups of each token
+   meet all others of the token, in rounds that are linear in the token's
+   sets. What is linked then needs no more tests inside its class. Last,
+   every candidate pair whose members are still in different classes is
+   verified if the tokens from the shared one onwards can suffice in both
+   sets; at the first token that a linked pair shares, they do. So no link
+   between classes is missed.
 
 Edge rows: a null or empty text, or one of white space, has no shingles and
 links with nothing. With fewer than five words the whole sequence is the one
@@ -42,6 +44,7 @@ from haulage.llm.registry import query, table
 
 SHARE = 80            # two sets link at this many hundredths of their union
 SLACK = 10            # the first step's prefix is longer by n / SLACK tokens
+ROUNDS = 2            # rounds of one set per token before all pairs between classes are tested
 LOCAL = 8             # a token in this many sets of a batch is counted in the batch
 MAX_BLOCKS = 1 << 20  # words of the filter before the text join: 8 MiB
 
@@ -168,6 +171,26 @@ def _sizes_allow(a: str, b: str):
     return 100 * F.least(a, b) >= SHARE * F.greatest(a, b)
 
 
+def _open_rows(expanded: DataFrame, comp: DataFrame) -> DataFrame:
+    """Prefix rows with their class, of the tokens that still have more than one."""
+    rows = (expanded.join(comp, F.col("sig") == F.col("node"), "left")
+            .select("token", "sig", "n", "left", F.coalesce("comp", "sig").alias("class")))
+    several = rows.groupBy("token").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("token")
+    return store(rows.join(several, "token", "left_semi"), "open-rows")
+
+
+def _merged(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """Classes (node, comp) after further links between sets; a set without a class is its own."""
+    label = lambda side: comp.select(F.col("node").alias(side), F.col("comp").alias(f"c{side}"))
+    found = store(links, "links")
+    if found.isEmpty():
+        return comp
+    upper = components(found.join(label("a"), "a", "left").join(label("b"), "b", "left")
+                       .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))).toDF("below", "top")
+    return store(comp.join(upper, F.col("comp") == F.col("below"), "full")
+                 .select(F.coalesce("node", "below").alias("node"), F.coalesce("top", "comp").alias("comp")), "classes")
+
+
 def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, class_id, row_key, stays), one row per row of ``docs``.
 
@@ -202,14 +225,17 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     prefixes = (by_token.join(frequent, "token").groupBy("sig", "n")
                 .agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
                 .where(F.size("t") >= least)
-                .select("sig", "n", F.expr(f"transform(slice(t, 1, size(t) - cast(floor(({SHARE} * n + 99) / 100) as int) + 1),"
-                                           " x -> x.token)").alias("prefix")))
+                .select("sig", "n", F.size("t").cast("long").alias("s"),
+                        F.expr(f"transform(slice(t, 1, size(t) - cast(floor(({SHARE} * n + 99) / 100) as int) + 1),"
+                               " x -> x.token)").alias("prefix")))
 
-    # 3. groups of equal prefix and size
+    # 3. groups of equal prefix and size (such sets have as many common tokens, too)
     prefixes = store(prefixes.dropDuplicates(["sig", "n"]), "prefixes")
-    groups = store(prefixes.groupBy("n", "prefix").agg(F.min("sig").alias("gid")), "groups")
-    members = store(prefixes.join(groups, ["n", "prefix"]).select("sig", "n", "gid"), "members")
-    group_tokens = groups.select("gid", "n", F.explode("prefix").alias("token"))
+    groups = store(prefixes.groupBy("n", "s", "prefix").agg(F.min("sig").alias("gid")), "groups")
+    members = store(prefixes.join(groups, ["n", "s", "prefix"]).select("sig", "n", "gid"), "members")
+    # left: tokens of the set that are not before this one in the global order
+    group_tokens = store(groups.select("gid", "n", "s", F.posexplode("prefix").alias("at", "token"))
+                         .select("gid", "n", (F.col("s") - F.col("at")).alias("left"), "token"), "group-tokens")
 
     # 4a. within groups, and each token's outermost groups against its others
     ends = group_tokens.groupBy("token").agg(F.min(F.struct("n", "gid")).alias("lo"), F.max(F.struct("n", "gid")).alias("hi"))
@@ -222,23 +248,26 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     inside = members.where("sig <> gid").select(F.col("sig").alias("a"), F.col("gid").alias("b"))
     comp = components(_verified(_pairs(star.unionByName(inside)), tokens))
 
-    # 4b. every candidate pair between classes
-    rows = (group_tokens.join(members.select("gid", "sig"), "gid").join(comp, F.col("sig") == F.col("node"), "left")
-            .select("token", "sig", "n", F.coalesce("comp", "sig").alias("comp")))
-    rows = store(rows, "rows")
-    most = (rows.groupBy("token", "comp").agg(F.count("*").alias("c")).groupBy("token")
-            .agg(F.max_by("comp", "c").alias("most"), F.count("*").alias("classes")).where("classes > 1").select("token", "most"))
-    few = (rows.join(most, "token").where("comp <> most")
-           .select("token", F.col("sig").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca")))
-    every = rows.join(most, "token").select("token", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-    across = few.join(every, "token").where((F.col("ca") != F.col("cb")) & _sizes_allow("na", "nb"))
-    more = _verified(_pairs(across), tokens)
-    label = lambda side: comp.select(F.col("node").alias(side), F.col("comp").alias(f"c{side}"))
-    merged = components(more.join(label("a"), "a", "left").join(label("b"), "b", "left")
-                        .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
-    upper = merged.toDF("below", "top")
-    comp = (comp.join(upper, F.col("comp") == F.col("below"), "full")
-            .select(F.coalesce("node", "below").alias("sig"), F.coalesce("top", "comp").alias("class")))
+    # 4b. more rounds: a set of each token, by a hash, against those in other classes
+    expanded = group_tokens.join(members.select("gid", "sig"), "gid").select("token", "sig", "n", "left")
+    for turn in range(ROUNDS):
+        rows = _open_rows(expanded, comp)
+        pivot = rows.groupBy("token").agg(F.min_by(F.struct("sig", "n", "class"), F.xxhash64("sig", "token", F.lit(turn))).alias("p"))
+        near = (rows.join(pivot, "token").where((F.col("class") != F.col("p.class")) & _sizes_allow("n", "p.n"))
+                .select(F.col("sig").alias("a"), F.col("p.sig").alias("b")))
+        comp = _merged(comp, _verified(_pairs(near), tokens))
+
+    # 4c. every candidate pair between classes; one side is outside its token's largest class
+    rows = _open_rows(expanded, comp)
+    most = (rows.groupBy("token", "class").agg(F.count("*").alias("c")).groupBy("token")
+            .agg(F.max_by("class", F.struct("c", "class")).alias("most")))
+    few = (rows.join(most, "token").where("class <> most")
+           .select("token", F.col("sig").alias("a"), F.col("n").alias("na"), F.col("left").alias("la"), F.col("class").alias("ca")))
+    every = rows.select("token", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("left").alias("lb"), F.col("class").alias("cb"))
+    # at the first token that two linked sets share, both still hold all that they share
+    enough = 100 * F.least("la", "lb") * (100 + SHARE) >= 100 * SHARE * (F.col("na") + F.col("nb"))
+    across = few.join(every, "token").where((F.col("ca") != F.col("cb")) & _sizes_allow("na", "nb") & enough)
+    comp = _merged(comp, _verified(_pairs(across), tokens)).toDF("sig", "class")
 
     # class ids: sets without a link are classes of their own, empty documents stay alone
     named = (sets.join(comp.distinct(), "sig", "left")
