@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from haulage.functions import jarque_bera_p, round_half_up
-from haulage.operators.ranking import grouped_quantiles
+from haulage.operators.ranking import grouped_quantiles, quantile_scalars
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -122,7 +122,8 @@ def box_stats(df: DataFrame, group: list[str], value: str) -> DataFrame:
 
 def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
     """Equal-width histogram over [min, max] (the max lands in the last
-    bin), with bin edges; min and max are scalar subqueries."""
+    bin), with bin edges and, on every row, the mean and the median of all
+    values; these and min and max are scalar subqueries."""
     v = F.col(value).cast("double")
     mm = df.select(F.min(v).alias("lo"), F.max(v).alias("hi"))
     lo, hi = mm.select("lo").scalar(), mm.select("hi").scalar()
@@ -131,7 +132,9 @@ def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
     b = F.when(hi == lo, F.lit(1)).otherwise(b)
     return (df.where(v.isNotNull()).groupBy(b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
             .withColumn("bin_start", lo + (F.col("bin") - 1) * width)
-            .withColumn("bin_end", lo + F.col("bin") * width))
+            .withColumn("bin_end", lo + F.col("bin") * width)
+            .withColumn("mean", df.select(F.avg(v)).scalar())
+            .withColumn("median", quantile_scalars(df, value, {"m": 0.5})["m"]))
 
 
 def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
@@ -154,21 +157,35 @@ def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def insights(regional: DataFrame, stats: DataFrame, corr: DataFrame) -> DataFrame:
-    """Insight rows (insight_key, value, text) from the regional,
-    descriptive and correlation tables, formatted with ``format_string``."""
-    top_region = regional.agg(F.max_by("region", F.struct("total_population", "region")).alias("v"))
-    a = top_region.select(F.lit("largest_region").alias("insight_key"), F.col("v").alias("value"),
-                          F.format_string("Largest region by population: %s", "v").alias("text"))
-    # Values are rounded before formatting so the text does not depend on
-    # the formatter's own rounding rule.
-    b = stats.select(F.concat(F.lit("mean_"), F.col("column")).alias("insight_key"),
-                     F.format_string("%.4f", round_half_up("mean", 4)).alias("value"),
-                     F.format_string("Mean of %s: %.2f", F.col("column"), round_half_up("mean", 2)).alias("text"))
-    c = corr.select(F.concat_ws("~", "var1", "var2").alias("insight_key"),
-                    F.format_string("%.4f", round_half_up("correlation", 4)).alias("value"),
-                    F.format_string("%s correlation between %s and %s", "strength", "var1", "var2").alias("text"))
-    return a.unionByName(b).unionByName(c)
+def insights(df: DataFrame, numeric: list[str], region: str = "region", value: str = "population",
+             efficiency: str = "population_per_rank") -> DataFrame:
+    """Findings as rows (insight_key, text) about a table with a region and
+    numeric columns. Values are rounded before formatting, so the text does
+    not depend on the formatter's own rounding rule."""
+    fmt = lambda text, *cols: F.format_string(text, *cols)
+    q = quantile_scalars(df, value, {"p90": 0.9, "p10": 0.1})
+    stats = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi"), F.avg(value).alias("m"),
+                   (F.stddev_samp(value) / F.avg(value)).alias("cv"), F.avg(efficiency).alias("eff"))
+    regions = regional_analysis(df, region, value, "rank").agg(
+        F.max_by(region, F.struct("total_population", region)).alias("largest"),
+        F.max_by(region, F.struct("avg_population", region)).alias("highest"))
+    pairs = correlation_pairs(df, numeric)
+    row = lambda src, key, text: src.select(F.lit(key).alias("insight_key"), text.alias("text"))
+    r = round_half_up
+    parts = [
+        row(stats, "population_range", fmt("Population ranges from %.2f to %.2f", r("lo", 2), r("hi", 2))),
+        row(stats, "population_mean", fmt("Average population is %.2f with CV of %.4f", r("m", 2), r("cv", 4))),
+        row(pairs.agg(F.count(F.lit(1)).alias("n")).where("n > 0"), "strong_pairs",
+            fmt("Found %d strong correlations between variables", F.col("n"))),
+        pairs.select(F.concat(F.lit("pair_"), F.concat_ws("~", "var1", "var2")).alias("insight_key"),
+                     fmt("Strong correlation: %s vs %s (%.4f)", F.col("var1"), F.col("var2"), r(r("correlation", 9), 4)).alias("text")),
+        row(regions, "highest_average_region", fmt("Region with highest average population: %s", F.col("highest"))),
+        row(stats, "average_efficiency", fmt("Average efficiency score: %.4f", r("eff", 4))),
+        row(stats.select(r(q["p90"] / q["p10"], 4).alias("ratio")), "population_ratio_90_10",
+            fmt("Population disparity: Top 10%% have %.4fx more population than bottom 10%%", F.col("ratio"))),
+        row(regions, "largest_region", fmt("Largest region by population: %s", F.col("largest"))),
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def rounded_stats(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -196,11 +213,12 @@ def eda_summary(stats: DataFrame, dist: DataFrame, corr: DataFrame, profile: Dat
 
 
 def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Per numeric column count, mean, sample std, min and max in one
-    aggregate over the unpivoted columns (exact; no approximate percentiles,
-    unlike ``DataFrame.summary``)."""
+    """Per numeric column count, mean, sample std, min, quartiles and max.
+    All are exact, the quartiles too (unlike ``DataFrame.summary``)."""
     cols = cols or numeric_columns(df)
     long = to_long(df, cols).where(F.col("value").isNotNull())
-    return long.groupBy("column").agg(
+    q = grouped_quantiles(long, ["column"], "value", {"q25": 0.25, "median": 0.5, "q75": 0.75}).drop("n")
+    stats = long.groupBy("column").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"))
+    return stats.join(q, "column").select("column", "count", "mean", "std", "min", "q25", "median", "q75", "max")

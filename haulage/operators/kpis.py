@@ -167,9 +167,22 @@ def to_metric_rows(one_row: DataFrame, category: str) -> DataFrame:
             .select(F.lit(category).alias("category"), "metric", "value"))
 
 
-def all_kpis(groups: dict[str, DataFrame]) -> DataFrame:
-    """Union of every KPI group in long form."""
+def regional_metric_rows(regional: DataFrame, region: str = "region") -> DataFrame:
+    """The regional table as (category, metric, value) rows, the metric
+    named after its region ('ASIA.state_count'); the best entity's key is
+    cast to double."""
+    cols = [c for c in regional.columns if c != region]
+    return (regional.select(region, *[F.col(c).cast("double").alias(c) for c in cols])
+            .unpivot(region, cols, "_m", "value")
+            .select(F.lit("regional").alias("category"), F.concat_ws(".", region, "_m").alias("metric"), "value"))
+
+
+def all_kpis(groups: dict[str, DataFrame], regional: DataFrame | None = None) -> DataFrame:
+    """Union of every KPI group in long form, with the regional table
+    if given."""
     parts = [to_metric_rows(df, cat) for cat, df in groups.items()]
+    if regional is not None:
+        parts.append(regional_metric_rows(regional))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

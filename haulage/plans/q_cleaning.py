@@ -14,7 +14,7 @@ from haulage import dims
 from haulage.operators import cleaning, freight, marts
 from haulage.plans import bindings as B
 from haulage.plans.catalog import query
-from haulage.plans.q_entities import ent, latest_fuel
+from haulage.plans.q_entities import ent, latest_fuel, plain
 from haulage.plans.sqlparts import ENTITIES, FLOWS, LATEST_FUEL, LATEST_YEAR as Y, SNAPS, with_
 from haulage.sources import html
 
@@ -135,22 +135,20 @@ def s08_html_population_table(spark, sf):
 SELECT e.state, e.population AS population, f.diesel,
   CASE WHEN f.diesel IS NOT NULL AND f.diesel <> 0 THEN e.population / f.diesel END AS pop_per_dollar,
   'run-1' AS pipeline_run_id
-FROM ent e LEFT JOIN fuel f ON e.state = f.state""")
+FROM (SELECT state, CASE WHEN state % 10 = 0 THEN population * 0.9 ELSE population END AS population FROM ent0) e
+LEFT JOIN fuel f ON e.state = f.state""")
 def k06_population_update(spark, sf):
     """Master rows (older population), new population
     from the parsed pages (coalesce new over old), diesel joined,
     pop_per_dollar guarded, lineage stamped."""
-    e = ent(spark, sf)
-    master = e.select(F.upper(F.concat(F.lit("Customer "), F.col("state").cast("string"))).alias("name"),
-                      "state", (F.col("population") * 0.9).alias("population"))
-    parsed = html.population_table(population_pages(spark, sf)).select(
-        F.col("state").alias("name"), "new_population")
-    m = master.join(parsed, "name", "left").withColumn(
-        "population", F.coalesce("new_population", "population")).drop("new_population", "name")
-    diesel = latest_fuel(spark, sf).select("state", "diesel")
-    out = marts.population_update(m, m.select("state", F.lit(None).cast("double").alias("new_population")),
-                                  diesel, "run-1")
-    return out.select("state", "population", "diesel", "pop_per_dollar", "pipeline_run_id")
+    named = lambda c: F.upper(F.concat(F.lit("Customer "), F.col(c).cast("string")))
+    master = plain(spark, sf).select(named("state").alias("name"), "state", (F.col("population") * 0.9).alias("population"))
+    master = master.withColumnsRenamed({"state": "key", "name": "state"})
+    # every tenth entity is missing from the pages and keeps its older population
+    parsed = html.population_table(population_pages(spark, sf)).where(~F.col("state").endswith("0"))
+    diesel = latest_fuel(spark, sf).select(named("state").alias("state"), "diesel")
+    out = marts.population_update(master, parsed, diesel, "run-1")
+    return out.select(F.col("key").alias("state"), "population", "diesel", "pop_per_dollar", "pipeline_run_id")
 
 
 @query("p28_price_spread", with_(SNAPS, LATEST_FUEL) + """

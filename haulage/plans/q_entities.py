@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from haulage import dims
 from haulage.functions import round_half_up
 from haulage.operators import features, joins, kpis, marts
 from haulage.plans import bindings as B
@@ -16,6 +17,18 @@ def ent(spark, sf):
     return B.entities(spark, sf)
 
 
+def plain(spark, sf):
+    """Entities without rank, for the queries that don't read it."""
+    return B.entities(spark, sf, with_rank=False)
+
+
+def coded(df):
+    """Binding of entities to state codes: key modulo the number of codes picks
+    one of the fixed codes, two of which are no state."""
+    codes = F.array(*map(F.lit, CODES))
+    return df.withColumn("postal", F.element_at(codes, (F.col("state") % len(CODES) + 1).cast("int")))
+
+
 def latest_fuel(spark, sf):
     return joins.latest_per_key(B.fuel_snapshots(spark, sf))
 
@@ -45,6 +58,12 @@ fa AS (SELECT *, population / nullif(diesel * 100, 0) AS efficiency_score,
 
 BASE = [ENTITIES, SNAPS, LATEST_FUEL]
 
+CODES = [*sorted(c for codes in dims.REGIONS.values() for c in codes), "PR", "XX"]
+_CODE = f"list_value({', '.join(repr(c) for c in CODES)})[state % {len(CODES)} + 1]"
+_REGION = lambda code, dc: "CASE " + " ".join(
+    f"WHEN {code} IN ({', '.join(repr(c) for c in codes if dc or c != 'DC')}) THEN '{name}'"
+    for name, codes in dims.REGIONS.items())
+
 
 @query("e00_entity_rank", with_(ENTITIES) + "SELECT state, nation, region, segment, population, rank, population_per_rank FROM ent")
 def e00_entity_rank(spark, sf):
@@ -66,13 +85,13 @@ def j01_enrich_with_latest_fuel(spark, sf):
 @query("j16_entities_without_fuel", with_(*BASE) + """
 SELECT state, population FROM ent WHERE state NOT IN (SELECT state FROM fuel)""")
 def j16_entities_without_fuel(spark, sf):
-    return joins.anti(ent(spark, sf).select("state", "population"), latest_fuel(spark, sf), "state")
+    return joins.anti(plain(spark, sf).select("state", "population"), latest_fuel(spark, sf), "state")
 
 
 @query("j15_entities_with_fuel", with_(*BASE) + """
 SELECT state, population FROM ent WHERE state IN (SELECT state FROM fuel)""")
 def j15_entities_with_fuel(spark, sf):
-    return joins.semi(ent(spark, sf).select("state", "population"), latest_fuel(spark, sf), "state")
+    return joins.semi(plain(spark, sf).select("state", "population"), latest_fuel(spark, sf), "state")
 
 
 @query("j06_freight_analysis", with_(*BASE, _SHIP, _FA) + f"""
@@ -123,7 +142,7 @@ def w02_efficiency_percentile_tier(spark, sf):
 SELECT state, population, row_number() OVER (ORDER BY population, state) / (SELECT count(*) FROM ent) * 100 AS ecdf_pct
 FROM ent""")
 def w07_population_ecdf(spark, sf):
-    return marts.ecdf(ent(spark, sf).select("state", "population"), "population", "state")
+    return marts.ecdf(plain(spark, sf).select("state", "population"), "population", "state")
 
 
 @query("p25_daily_costs", with_(*BASE, _SHIP) + f"""
@@ -156,7 +175,7 @@ SELECT state, region, population,
   {rhu('stddev_samp(population) OVER (PARTITION BY region)', 4)} AS region_population_std FROM ent""")
 def f02_regional_features(spark, sf):
     """Region mean and std mapped back to every row."""
-    f = features.regional_features(ent(spark, sf).select("state", "region", "population"))
+    f = features.regional_features(plain(spark, sf).select("state", "region", "population"))
     return f.select("state", "region", "population",
                     round_half_up("region_population_mean", 4).alias("region_population_mean"),
                     round_half_up("region_population_std", 4).alias("region_population_std"))
@@ -170,7 +189,7 @@ SELECT e.state, e.population, f.regular, f.diesel,
 FROM ent e LEFT JOIN fuel f ON e.state = f.state""")
 def f03_fuel_features(spark, sf):
     """Fuel ratios after a left join of (regular, diesel)."""
-    f = features.fuel_features(ent(spark, sf).select("state", "population"), latest_fuel(spark, sf))
+    f = features.fuel_features(plain(spark, sf).select("state", "population"), latest_fuel(spark, sf))
     return f.select("state", "population", "regular", "diesel",
                     round_half_up("fuel_efficiency", 6).alias("fuel_efficiency"),
                     round_half_up("fuel_cost_per_capita", 12).alias("fuel_cost_per_capita"),
@@ -202,14 +221,31 @@ def f05_composite_features(spark, sf):
                     round_half_up("development_score", 9).alias("development_score"))
 
 
-@query("f06_all_features_count", with_(*BASE) + """
-SELECT COUNT(*) AS rows, COUNT(f.diesel) AS rows_with_diesel FROM ent e LEFT JOIN fuel f ON e.state = f.state""")
-def f06_all_features_count(spark, sf):
-    """the full chained feature table (basic -> regional -> statistical ->
-    composite -> fuel); checked by row count and fuel coverage."""
-    f = features.all_features(ent(spark, sf).select("state", "region", "population", "rank"),
-                              latest_fuel(spark, sf))
-    return f.agg(F.count(F.lit(1)).alias("rows"), F.count("diesel").alias("rows_with_diesel"))
+_F06 = [("population_per_rank", "population / rank", 6), ("rank_per_population", "rank / population", 12),
+        ("efficiency_score", "population / (rank * 1000)", 6), ("log_population", "ln(population)", 9), ("log_rank", "ln(rank)", 9),
+        ("region_population_mean", "avg(population) OVER (PARTITION BY region)", 4),
+        ("region_population_std", "stddev_samp(population) OVER (PARTITION BY region)", 4),
+        ("population_percentile", "(rank() OVER (ORDER BY population) + (count(*) OVER (PARTITION BY population) - 1) / 2.0)"
+                                  " / count(population) OVER ()", 12),
+        ("rank_percentile", "rank / CAST(count(rank) OVER () AS DOUBLE)", 12),
+        ("population_zscore", "(population - avg(population) OVER ()) / stddev_samp(population) OVER ()", 9),
+        ("rank_zscore", "(rank - avg(rank) OVER ()) / stddev_samp(rank) OVER ()", 9),
+        ("logistics_index", "population / rank * 0.5 + (population / 1000000) * 0.3 + (100 - rank) * 0.2", 6),
+        ("development_score", "ln(population) * 0.6 + (100 - rank) * 0.4", 9),
+        ("fuel_efficiency", "population / nullif(diesel, 0)", 6),
+        ("fuel_cost_per_capita", "diesel / nullif(population, 0) * 1000", 12),
+        ("fuel_affordability_index", "population / nullif(diesel, 0) * 100", 6)]
+
+
+@query("f06_all_features", with_(*BASE) + "SELECT state, region, population, rank, regular, diesel, "
+       + ", ".join(f"{rhu(sql, d)} AS {name}" for name, sql, d in _F06)
+       + " FROM (SELECT e.*, f.regular, f.diesel FROM ent e LEFT JOIN fuel f ON e.state = f.state)")
+def f06_all_features(spark, sf):
+    """every feature of the chained table (basic -> regional ->
+    statistical -> composite -> fuel), one row per entity."""
+    f = features.all_features(ent(spark, sf).select("state", "region", "population", "rank"), latest_fuel(spark, sf))
+    return f.select("state", "region", "population", "rank", "regular", "diesel",
+                    *[round_half_up(name, d).alias(name) for name, _, d in _F06])
 
 
 @query("k01_fuel_cost_index", with_(SNAPS, LATEST_FUEL) + f"""
@@ -229,7 +265,7 @@ SELECT state, population, diesel, {rhu('population * (population / 1000.0)', 2)}
 def k02_k04_demand_and_cost_efficiency(spark, sf):
     """K2/K4: demand = population x density; cost efficiency = demand / diesel."""
     k = kpis.cost_efficiency(kpis.logistics_demand(
-        ent(spark, sf).select("state", "population").join(latest_fuel(spark, sf).select("state", "diesel"), "state")))
+        plain(spark, sf).select("state", "population").join(latest_fuel(spark, sf).select("state", "diesel"), "state")))
     return k.select("state", "population", "diesel",
                     round_half_up("logistics_demand_score", 2).alias("logistics_demand_score"),
                     round_half_up("cost_efficiency_index", 2).alias("cost_efficiency_index"))
@@ -244,21 +280,24 @@ FROM kin, mm""")
 def k03_freight_opportunity(spark, sf):
     """Weighted min-max scores (constant column falls back to x / max)."""
     k = kpis.freight_opportunity(
-        ent(spark, sf).select("state", "population").join(latest_fuel(spark, sf).select("state", "diesel"), "state"))
+        plain(spark, sf).select("state", "population").join(latest_fuel(spark, sf).select("state", "diesel"), "state"))
     return k.withColumn("freight_opportunity_score", round_half_up("freight_opportunity_score", 6))
 
 
-@query("p18_dim_state", with_(ENTITIES) + """
-SELECT state, nation AS postal, rank, population, 'Unknown' AS region FROM ent""")
+@query("p18_dim_state", with_(ENTITIES) + f"""
+SELECT state, postal, rank, population, {_REGION('postal', False)} ELSE 'Unknown' END AS region
+FROM (SELECT *, {_CODE} AS postal FROM ent)""")
 def p18_dim_state(spark, sf):
-    """P18 (dim_state): region CASE over the code; nation names are no US
-    state codes, so every row is 'Unknown' here (tests cover the codes)."""
-    d = marts.dim_state(shipping(spark, sf))
+    """P18 (dim_state): region CASE over the state code; DC and codes that are
+    no state are 'Unknown'."""
+    d = marts.dim_state(marts.staging(coded(ent(spark, sf)), marts.SHIPPING_COLS))
     return d.drop("loaded_at")
 
 
-@query("p17_region_of_entities", with_(ENTITIES) + """
-SELECT region, COUNT(*) AS states FROM ent GROUP BY region""")
+@query("p17_region_of_entities", with_(ENTITIES) + f"""
+SELECT state, postal, {_REGION('postal', True)} ELSE 'Other' END AS region
+FROM (SELECT state, {_CODE} AS postal FROM ent0)""")
 def p17_region_of_entities(spark, sf):
-    """P17 via the region dimension join (nation -> region), counted."""
-    return ent(spark, sf).groupBy("region").agg(F.count(F.lit(1)).alias("states"))
+    """Region of each entity's state code by the state dimension; DC is in
+    the South, codes that are no state are 'Other'."""
+    return features.assign_region(coded(plain(spark, sf)).select("state", "postal"))

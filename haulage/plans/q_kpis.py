@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from haulage.operators import kpis
-from haulage.plans.catalog import query
-from haulage.plans.q_entities import ent, latest_fuel
+from haulage.plans.catalog import ORACLE, query
+from haulage.plans.q_entities import ent, latest_fuel, plain
 from haulage.plans.sqlparts import ENTITIES, LATEST_FUEL, SNAPS, rhu, with_
 
 
@@ -146,21 +146,31 @@ def a16_quality_kpis(spark, sf):
     return kpis.quality_kpis(ent(spark, sf).select("state", "region", "population", "rank"))
 
 
+_REG = ORACLE["a14_regional_kpis"].split("SELECT region, COUNT(*) AS state_count", 1)[1]
+G_REG = "g_regional AS (SELECT region, COUNT(*) AS state_count" + _REG + ")"
+REG_COLS = ["state_count", "total_population", "avg_population", "avg_rank", "population_share", "best_state_rank", "best_rank_value"]
+
 _LONG = " UNION ALL ".join(
     f"SELECT '{g}' AS category, '{c}' AS metric, CAST({c} AS DOUBLE) AS value FROM g_{g}"
     for g, cols in GROUP_COLS.items() for c in cols)
+_LONG_REG = " UNION ALL ".join(f"SELECT 'regional' AS category, region || '.{c}' AS metric, CAST({c} AS DOUBLE) AS value FROM g_regional"
+                               for c in REG_COLS)
 
 
-@query("a17_all_kpis_long", with_(*ALL_GROUPS) + _LONG)
+@query("a17_all_kpis_long", with_(*ALL_GROUPS, G_REG) + _LONG + " UNION ALL " + _LONG_REG)
 def a17_all_kpis_long(spark, sf):
-    """Every one-row KPI group as (category, metric, value) rows."""
-    return kpis.all_kpis(_groups(spark, sf))
+    """Every KPI group as (category, metric, value) rows, the regional
+    group with one set of metrics per region."""
+    return kpis.all_kpis(_groups(spark, sf), kpis.regional_kpis(ent(spark, sf)))
 
 
-@query("a17_kpi_count_by_category", with_(*ALL_GROUPS) + f"""
-SELECT category, COUNT(*) AS kpis FROM ({_LONG}) GROUP BY category""")
+@query("a17_kpi_count_by_category", with_(*ALL_GROUPS, G_REG) + f"""
+SELECT category, COUNT(DISTINCT split_part(metric, '.', 1)) AS kpis FROM ({_LONG} UNION ALL {_LONG_REG}) GROUP BY category""")
 def a17_kpi_count_by_category(spark, sf):
-    return kpis.all_kpis(_groups(spark, sf)).groupBy("category").agg(F.count(F.lit(1)).alias("kpis"))
+    """Names per category; a region counts once, as one entry of the
+    regional group."""
+    long = kpis.all_kpis(_groups(spark, sf), kpis.regional_kpis(ent(spark, sf)))
+    return long.groupBy("category").agg(F.countDistinct(F.split_part("metric", F.lit("."), F.lit(1))).alias("kpis"))
 
 
 @query("a20_population_outliers", with_(ENTITIES, """f AS (SELECT quantile_cont(population, 0.25) AS q1,
@@ -168,4 +178,4 @@ def a17_kpi_count_by_category(spark, sf):
 SELECT state, population FROM ent, f WHERE population < q1 - 1.5 * (q3 - q1) OR population > q3 + 1.5 * (q3 - q1)""")
 def a20_population_outliers(spark, sf):
     """Rows outside the 1.5 x IQR fences (exact distributed quartiles)."""
-    return kpis.outliers_iqr(ent(spark, sf).select("state", "population"), "population")
+    return kpis.outliers_iqr(plain(spark, sf).select("state", "population"), "population")

@@ -8,8 +8,9 @@ from haulage.functions import round_half_up
 from haulage.operators import eda
 from haulage.plans import bindings as B
 from haulage.plans.catalog import query
-from haulage.plans.q_entities import ent, latest_fuel
+from haulage.plans.q_entities import ent, latest_fuel, plain
 from haulage.plans.sqlparts import ENTITIES, LATEST_FUEL, SNAPS, rhu, with_
+from haulage.session import materialize
 
 LI_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -41,16 +42,27 @@ def _r(df, digits=6):
     return eda.rounded_stats(df, digits)
 
 
+# Names of column types that both engines' names map to.
+_KINDS = {"integer": ("bigint", "int"), "floating": ("double", "float"), "text": ("string",),
+          "timestamp": ("timestamp", "timestamp_ntz"), "array": ("array<float>",)}
+_KIND_SQL = ("CASE typeof(any_value({c})) WHEN 'BIGINT' THEN 'integer' WHEN 'INTEGER' THEN 'integer' WHEN 'DOUBLE' THEN 'floating' "
+             "WHEN 'FLOAT' THEN 'floating' WHEN 'VARCHAR' THEN 'text' WHEN 'TIMESTAMP' THEN 'timestamp' WHEN 'FLOAT[]' THEN 'array' END")
+
+
 @query("s15_table_profile", " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, '{c}' AS column_name, (SELECT COUNT(*) FROM {t}) AS rows, "
-    f"(SELECT COUNT(*) FROM {t} WHERE {c} IS NULL) AS nulls, "
-    f"CASE WHEN (SELECT COUNT(*) FROM {t}) > 0 THEN (SELECT COUNT(*) FROM {t} WHERE {c} IS NULL) / (SELECT COUNT(*) FROM {t}) * 100 ELSE 0.0 END AS null_pct"
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, {_KIND_SQL.format(c=c)} AS kind, COUNT(*) AS rows, "
+    f"COUNT(*) FILTER (WHERE {c} IS NULL) AS nulls, "
+    f"CASE WHEN COUNT(*) > 0 THEN COUNT(*) FILTER (WHERE {c} IS NULL) / COUNT(*) * 100 ELSE 0.0 END AS null_pct FROM {t}"
     for t, cols in TABLE_COLUMNS.items() for c in cols))
 def s15_table_profile(spark, sf):
-    """Rows, null counts and null % per column of every driver table
-    (one aggregate per table)."""
+    """Kind, rows, null counts and null % per column of every driver
+    table (one aggregate per table)."""
     tables = {t: B.table(spark, sf, t) for t in TABLE_COLUMNS}
-    return eda.table_profile(tables).drop("dtype")
+    kind = None
+    for name, types in _KINDS.items():
+        kind = F.when(F.col("dtype").isin(*types), name) if kind is None else kind.when(F.col("dtype").isin(*types), name)
+    p = eda.table_profile(tables).withColumn("kind", kind)
+    return p.select("table_name", "column_name", "kind", "rows", "nulls", "null_pct")
 
 
 _MOM = lambda c: f"""SELECT '{c}' AS "column", COUNT({c}) AS count, avg({c}) AS mean, stddev_samp({c}) AS std,
@@ -176,34 +188,70 @@ FROM (SELECT ent.*, quantile_cont(population, 0.25) OVER (PARTITION BY region) A
 GROUP BY region""")
 def a25_population_box_by_region(spark, sf):
     """Box statistics of population per region (distributed quantiles)."""
-    return _r(eda.box_stats(ent(spark, sf).select("region", "population"), ["region"], "population"), 6)
+    return _r(eda.box_stats(plain(spark, sf).select("region", "population"), ["region"], "population"), 6)
 
 
-@query("a26_price_histogram", """WITH mm AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem)
-SELECT CAST(CASE WHEN hi = lo THEN 1 ELSE least(floor((l_extendedprice - lo) / (hi - lo) * 30) + 1, 30) END AS INTEGER) AS bin,
-  COUNT(*) AS count, """ + rhu("min(lo) + (CAST(CASE WHEN hi = lo THEN 1 ELSE least(floor((l_extendedprice - lo) / (hi - lo) * 30) + 1, 30) END AS INTEGER) - 1) * ((min(hi) - min(lo)) / 30)", 6) + """ AS bin_start,
-  """ + rhu("min(lo) + CAST(CASE WHEN hi = lo THEN 1 ELSE least(floor((l_extendedprice - lo) / (hi - lo) * 30) + 1, 30) END AS INTEGER) * ((min(hi) - min(lo)) / 30)", 6) + """ AS bin_end
-FROM lineitem, mm WHERE l_extendedprice IS NOT NULL GROUP BY 1""")
-def a26_price_histogram(spark, sf):
-    """30 equal-width bins of the line price."""
-    h = eda.histogram(B.table(spark, sf, "lineitem").select("l_extendedprice"), "l_extendedprice", 30)
-    return h.withColumn("bin_start", round_half_up("bin_start", 6)).withColumn("bin_end", round_half_up("bin_end", 6))
+def _hist_sql(bins: int) -> str:
+    b = f"CAST(CASE WHEN hi = lo THEN 1 ELSE least(floor((l_extendedprice - lo) / (hi - lo) * {bins}) + 1, {bins}) END AS INTEGER)"
+    return f"""WITH mm AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem),
+h AS (SELECT {b} AS bin, COUNT(*) AS count FROM lineitem, mm WHERE l_extendedprice IS NOT NULL GROUP BY 1)
+SELECT bin, count, {rhu(f'lo + (bin - 1) * ((hi - lo) / {bins})', 6)} AS bin_start, {rhu(f'lo + bin * ((hi - lo) / {bins})', 6)} AS bin_end,
+  (SELECT {rhu('avg(l_extendedprice)', 4)} FROM lineitem) AS mean,
+  (SELECT {rhu('quantile_cont(l_extendedprice, 0.5)', 6)} FROM lineitem) AS median FROM h, mm"""
 
 
-@query("i01_insights", with_(ENTITIES) + f"""
-SELECT 'largest_region' AS insight_key, v AS value, 'Largest region by population: ' || v AS text
-FROM (SELECT arg_max(region, t) AS v FROM (SELECT region, CAST(SUM(CAST(population AS DECIMAL(30,2))) AS DOUBLE) AS t FROM ent GROUP BY region))
-UNION ALL
-SELECT 'mean_' || c AS insight_key, printf('%.4f', {rhu('m', 4)}) AS value, printf('Mean of %s: %.2f', c, {rhu('m', 2)}) AS text
-FROM (SELECT 'l_quantity' AS c, avg(l_quantity) AS m FROM lineitem UNION ALL SELECT 'l_tax', avg(l_tax) FROM lineitem)""")
+def _hist(spark, sf, bins):
+    h = eda.histogram(B.table(spark, sf, "lineitem").select("l_extendedprice"), "l_extendedprice", bins)
+    return h.withColumns({"bin_start": round_half_up("bin_start", 6), "bin_end": round_half_up("bin_end", 6),
+                          "mean": round_half_up("mean", 4), "median": round_half_up("median", 6)})
+
+
+@query("a26_price_histogram", _hist_sql(30))
+def a26_price_histogram(spark, sf):
+    """30 equal-width bins of the line price, mean and median beside them."""
+    return _hist(spark, sf, 30)
+
+
+@query("a26_price_histogram_15", _hist_sql(15))
+def a26_price_histogram_15(spark, sf):
+    """The report's form with 15 bins."""
+    return _hist(spark, sf, 15)
+
+
+@query("a27_describe", " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", COUNT({c}) AS count, {rhu(f'avg({c})', 6)} AS mean, {rhu(f'stddev_samp({c})', 6)} AS std,
+  {rhu(f'min({c})', 6)} AS min, {rhu(f'quantile_cont({c}, 0.25)', 6)} AS q25, {rhu(f'quantile_cont({c}, 0.5)', 6)} AS median,
+  {rhu(f'quantile_cont({c}, 0.75)', 6)} AS q75, {rhu(f'max({c})', 6)} AS max FROM lineitem""" for c in LI_COLS))
+def a27_describe(spark, sf):
+    """Count, mean, std, min, quartiles and max per numeric column."""
+    return _r(eda.describe(_li(spark, sf), LI_COLS))
+
+
+_I1_NUM = ["population", "rank", "population_per_rank"]
+_I1_CORR = " UNION ALL ".join(f"SELECT '{a}' AS var1, '{b}' AS var2, {rhu(f'corr({a}, {b})', 9)} AS r FROM ent"
+                              for i, a in enumerate(_I1_NUM) for b in _I1_NUM[i + 1:])
+
+
+@query("i01_insights", with_(ENTITIES, f"""reg AS (SELECT region, CAST(SUM(CAST(population AS DECIMAL(30,2))) AS DOUBLE) AS t, avg(population) AS m
+  FROM ent GROUP BY region),
+pc AS ({_I1_CORR}),
+st AS (SELECT min(population) AS lo, max(population) AS hi, avg(population) AS m, stddev_samp(population) / avg(population) AS cv,
+  avg(population_per_rank) AS eff, quantile_cont(population, 0.9) / quantile_cont(population, 0.1) AS ratio FROM ent)""") + f"""
+SELECT 'population_range' AS insight_key, printf('Population ranges from %.2f to %.2f', {rhu('lo', 2)}, {rhu('hi', 2)}) AS text FROM st
+UNION ALL SELECT 'population_mean', printf('Average population is %.2f with CV of %.4f', {rhu('m', 2)}, {rhu('cv', 4)}) FROM st
+UNION ALL SELECT 'strong_pairs', printf('Found %d strong correlations between variables', (SELECT COUNT(*) FROM pc WHERE abs(r) > 0.5))
+  FROM st WHERE (SELECT COUNT(*) FROM pc WHERE abs(r) > 0.5) > 0
+UNION ALL SELECT 'pair_' || var1 || '~' || var2, printf('Strong correlation: %s vs %s (%.4f)', var1, var2, {rhu('r', 4)}) FROM pc WHERE abs(r) > 0.5
+UNION ALL SELECT 'highest_average_region', 'Region with highest average population: ' || arg_max(region, m) FROM reg
+UNION ALL SELECT 'average_efficiency', printf('Average efficiency score: %.4f', {rhu('eff', 4)}) FROM st
+UNION ALL SELECT 'population_ratio_90_10', printf('Population disparity: Top 10%% have %.4fx more population than bottom 10%%', {rhu('ratio', 4)}) FROM st
+UNION ALL SELECT 'largest_region', 'Largest region by population: ' || arg_max(region, t) FROM reg""")
 def i01_insights(spark, sf):
-    """Insight rows formatted from the regional and descriptive tables."""
-    reg = eda.regional_analysis(ent(spark, sf))
-    li = B.table(spark, sf, "lineitem")
-    stats = eda.to_long(li.select("l_quantity", "l_tax"), ["l_quantity", "l_tax"]).groupBy("column").agg(
-        F.avg("value").alias("mean"))
-    corr = eda.correlation_pairs(li.select("l_quantity", "l_tax"), ["l_quantity", "l_tax"], threshold=2.0)
-    return eda.insights(reg, stats, corr)
+    """The findings of the profile and of the KPI summary as rows: range
+    and variation of population, strong correlations (they exist: population,
+    rank and their ratio), best regions, mean efficiency and the 90/10 ratio."""
+    e = materialize(ent(spark, sf).select("state", "region", *_I1_NUM))
+    return eda.insights(e, _I1_NUM)
 
 
 def _i2_sql() -> str:

@@ -13,16 +13,18 @@ from haulage.functions import round_half_up
 from haulage.operators import kpis, marts
 from haulage.operators.ranking import quantile_scalars
 from haulage.plans.catalog import query
-from haulage.plans.q_entities import _FA, _SHIP, ent, latest_fuel, shipping
+from haulage.plans.q_entities import _FA, _SHIP, ent, latest_fuel, plain, shipping
 from haulage.plans.sqlparts import ENTITIES, LATEST_FUEL, SNAPS, rhu, with_
 
 BASE = [ENTITIES, SNAPS, LATEST_FUEL]
 
 
-def enriched(spark, sf):
-    """Entities that have fuel readings: state, region, population, rank,
-    four prices."""
-    return ent(spark, sf).select("state", "region", "population", "rank").join(
+def enriched(spark, sf, rank=False):
+    """Entities that have fuel readings: state, region, population, four
+    prices, and the rank if asked for."""
+    e = ent(spark, sf).select("state", "region", "population", "rank") if rank else plain(spark, sf).select(
+        "state", "region", "population")
+    return e.join(
         latest_fuel(spark, sf).select("state", "regular", "mid_grade", "premium", "diesel"), "state")
 
 
@@ -105,7 +107,7 @@ _PAIRS32 = [("population", "diesel"), ("population", "regular"), ("regular", "di
     for a, b in _PAIRS32))
 def a32_correlation_direction(spark, sf):
     """Pairwise correlation with a sign class (|r| < 0.3 none)."""
-    e = enriched(spark, sf)
+    e = enriched(spark, sf, rank=True)
     one = e.agg(*[F.corr(a, b).alias(f"{a}~{b}") for a, b in _PAIRS32])
     long = one.unpivot([], [f"{a}~{b}" for a, b in _PAIRS32], "pair", "r")
     return long.select(F.split("pair", "~")[0].alias("var1"), F.split("pair", "~")[1].alias("var2"),

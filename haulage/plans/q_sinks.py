@@ -17,7 +17,7 @@ from haulage.plans import batch
 from haulage.plans import bindings as B
 from haulage.plans.catalog import ORACLE, query
 from haulage.plans.q_cleaning import dirty_shipping
-from haulage.plans.q_entities import ent, latest_fuel, shipping
+from haulage.plans.q_entities import ent, latest_fuel, shipping, plain
 from haulage.plans.q_profile import TABLE_COLUMNS
 from haulage.plans.q_sources import _WX, weather_payloads
 from haulage.plans.sqlparts import (COORDS, ENTITIES, FLOWS, LATEST_FUEL, LATEST_YEAR as Y,
@@ -75,7 +75,7 @@ def s14_optional_weather_table(spark, sf):
     """A missing weather table reads as an empty typed table, and the
     optional left join keeps every entity with null weather."""
     w = files.optional_table(spark, scratch(spark), WEATHER_SCHEMA)
-    return joins.enrich_left(ent(spark, sf).select("state", "population"), w, "state", ["temperature"])
+    return joins.enrich_left(plain(spark, sf).select("state", "population"), w, "state", ["temperature"])
 
 
 PROFILE_SCHEMA = "table_name string, column_name string, rows long, nulls long, null_pct double"

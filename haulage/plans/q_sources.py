@@ -14,7 +14,7 @@ from haulage.functions import round_half_up
 from haulage.operators import cleaning, freight, joins, routes
 from haulage.plans import bindings as B
 from haulage.plans.catalog import query
-from haulage.plans.q_entities import ent
+from haulage.plans.q_entities import plain
 from haulage.plans.q_routes import CONG_BASE, route_costs
 from haulage.plans.sqlparts import ENTITIES, FLOWS, LATEST_YEAR as Y, msum, rhu, with_
 from haulage.sources import apis
@@ -163,7 +163,7 @@ SELECT state FROM ent WHERE state NOT IN (SELECT state FROM wx
 def j16_states_without_weather(spark, sf):
     """Entities with no valid weather row (anti join)."""
     valid, _ = cleaning.apply_contract(apis.weather_rows(weather_payloads(spark, sf)), cleaning.weather_contract())
-    return joins.anti(ent(spark, sf).select("state"), valid, "state")
+    return joins.anti(plain(spark, sf).select("state"), valid, "state")
 
 
 def coded_flow_rows(spark, sf, years):
