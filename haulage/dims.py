@@ -178,12 +178,6 @@ def centers_dim(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "code string, lat double, lon double")
 
 
-def rate_regions_dim(spark: SparkSession) -> DataFrame:
-    schema = T.StructType([T.StructField("region", T.StringType()),
-                           T.StructField("codes", T.StringType())])
-    return spark.createDataFrame(list(RATE_REGIONS.items()), schema)
-
-
 def state_index_dim(spark: SparkSession) -> DataFrame:
     """k (0..49, in the order above), code, name: binds a numeric key to a state."""
     rows = [(i, c, n) for i, (c, n) in enumerate(STATE_NAMES.items())]

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from haulage.functions import jarque_bera_p, round_half_up
 from haulage.operators.ranking import grouped_quantiles, quantile_scalars
+from haulage.session import small_side
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -74,7 +75,7 @@ def iqr_outlier_counts(df: DataFrame, cols: list[str], group: list[str] | None =
     q = grouped_quantiles(long, [*g, "column"], "value", {"q1": 0.25, "q3": 0.75})
     fences = q.select(*g, "column", (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lo"),
                       (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("hi"), "n")
-    return (long.join(fences, [*g, "column"])
+    return (long.join(small_side(fences), [*g, "column"])
             .groupBy(*g, "column")
             .agg(F.count_if((F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi"))).alias("outliers_count"),
                  F.first("n").alias("n")))
@@ -111,7 +112,7 @@ def regional_analysis(df: DataFrame, region: str = "region", value: str = "popul
 
 def box_stats(df: DataFrame, group: list[str], value: str) -> DataFrame:
     """Min, quartiles, max and 1.5 x IQR outlier count per group."""
-    q = grouped_quantiles(df, group, value, {"q0": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "q4": 1.0})
+    q = small_side(grouped_quantiles(df, group, value, {"q0": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "q4": 1.0}))
     long = df.select(*group, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
     out = (long.join(q, group)
            .groupBy(*group)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulage import dims
-from haulage.functions import log_positive, region_case
+from haulage.functions import log_positive
 from haulage.operators.joins import group_stats_to_rows
 from haulage.operators.kpis import zscore
 from haulage.operators.ranking import pct_rank_average
@@ -108,8 +108,3 @@ def feature_summary(spark, with_fuel: bool = True) -> DataFrame:
     cat = spark.createDataFrame(rows, "feature_type string, feature string")
     return cat.groupBy("feature_type").agg(F.count(F.lit(1)).alias("feature_count"),
                                            F.concat_ws(", ", F.sort_array(F.collect_list("feature"))).alias("features"))
-
-
-def region_mart_case(df: DataFrame, code: str = "state") -> DataFrame:
-    """P17 SQL form (dim_state): CASE on the code, DC and unknown -> 'Unknown'."""
-    return df.withColumn("region", region_case(code, "Unknown", include_dc=False))

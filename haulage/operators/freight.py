@@ -27,7 +27,7 @@ def domestic_flows(wide: DataFrame, known_codes: DataFrame) -> DataFrame:
          .dropna(subset=["dms_origst", "dms_destst"])
          .withColumn("dms_origst", F.col("dms_origst").cast("int"))
          .withColumn("dms_destst", F.col("dms_destst").cast("int")))
-    codes = F.broadcast(known_codes.select("fips"))
+    codes = known_codes.select("fips")
     return (f.join(codes.withColumnRenamed("fips", "dms_origst"), "dms_origst", "left_semi")
             .join(codes.withColumnRenamed("fips", "dms_destst"), "dms_destst", "left_semi"))
 
@@ -35,11 +35,11 @@ def domestic_flows(wide: DataFrame, known_codes: DataFrame) -> DataFrame:
 def label_flows(f: DataFrame, fips: DataFrame, modes: DataFrame, sctg: DataFrame) -> DataFrame:
     """Codes to labels via broadcast dimension joins; unknown mode ->
     'Other', unknown commodity -> 'Unknown'."""
-    o = F.broadcast(fips.select(F.col("fips").alias("dms_origst"), F.col("code").alias("origin")))
-    d = F.broadcast(fips.select(F.col("fips").alias("dms_destst"), F.col("code").alias("destination")))
+    o = fips.select(F.col("fips").alias("dms_origst"), F.col("code").alias("origin"))
+    d = fips.select(F.col("fips").alias("dms_destst"), F.col("code").alias("destination"))
     return (f.join(o, "dms_origst", "left").join(d, "dms_destst", "left")
-            .join(F.broadcast(modes), "dms_mode", "left")
-            .join(F.broadcast(sctg), "sctg2", "left")
+            .join(modes, "dms_mode", "left")
+            .join(sctg, "sctg2", "left")
             .withColumn("mode", F.coalesce("mode", F.lit("Other")))
             .withColumn("commodity", F.coalesce("commodity", F.lit("Unknown"))))
 
@@ -195,5 +195,3 @@ def mode_summary(flows: DataFrame, year: int, mode: str) -> DataFrame:
     return lanes.agg(round_half_up(F.sum(t) / 1e3, 2).alias("total_tons_m"),
                      F.count(F.lit(1)).alias("lanes"))
 
-
-MODE_LABELS = list(dims.MODE_NAMES.values())

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from haulage.session import small_side
+
 PRICE_COLS = ["regular", "mid_grade", "premium", "diesel"]
 
 
@@ -54,11 +56,12 @@ def full_outer_coalesce(left: DataFrame, right: DataFrame, key: str,
 
 
 def group_stats_to_rows(df: DataFrame, group: str, value: str, prefix: str) -> DataFrame:
-    """Per-group mean and sample std of ``value`` mapped back to rows via
-    a groupBy and an equi-join (the stats side has one row per group)."""
+    """Per-group mean and sample std of ``value`` mapped back to rows. The
+    stats have one row per group and are broadcast if counted to be few, so
+    the rows are not shuffled to a handful of group keys."""
     stats = df.groupBy(group).agg(F.avg(value).alias(f"{prefix}_mean"),
                                   F.stddev_samp(value).alias(f"{prefix}_std"))
-    return df.join(stats, group, "left")
+    return df.join(small_side(stats), group, "left")
 
 
 def semi(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
@@ -86,7 +89,7 @@ def dedupe_keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataF
 def lookup_with_default(df: DataFrame, dim: DataFrame, key: str, defaults: dict) -> DataFrame:
     """Left lookup against a small dimension with default values for
     misses (``coalesce``)."""
-    j = df.join(F.broadcast(dim), key, "left")
+    j = df.join(dim, key, "left")
     for c, v in defaults.items():
         j = j.withColumn(c, F.coalesce(F.col(c), F.lit(v)))
     return j

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulage.functions import log_positive, round_half_up, safe_div
-from haulage.operators.ranking import quantile_scalars
+from haulage.operators.ranking import column_quantiles
 
 
 def r(c: Column, d: int = 6) -> Column:
@@ -28,8 +28,8 @@ def exact_sum(c: str, scale: int = 2) -> Column:
 def basic_kpis(df: DataFrame, value: str = "population", rank: str = "rank") -> DataFrame:
     """A10: count, sum, mean, median, sample std of population and rank.
     An empty input gives an empty result (no row)."""
-    med_v = quantile_scalars(df, value, {"m": 0.5})["m"]
-    med_r = quantile_scalars(df, rank, {"m": 0.5})["m"]
+    q = column_quantiles(df, {value: {"m": 0.5}, rank: {"m": 0.5}})
+    med_v, med_r = q[value]["m"], q[rank]["m"]
     out = df.agg(
         F.count(F.lit(1)).alias("total_states"),
         exact_sum(value).alias("total_population"),
@@ -56,8 +56,8 @@ def efficiency_kpis(df: DataFrame, value: str = "population", rank: str = "rank"
 def distribution_kpis(df: DataFrame, value: str = "population", rank: str = "rank") -> DataFrame:
     """P90/P10 of population and rank, their ratios, and the share of
     population held by rows at or above P90 (threshold as scalar subquery)."""
-    pq = quantile_scalars(df, value, {"p90": 0.9, "p10": 0.1})
-    rq = quantile_scalars(df, rank, {"r90": 0.9, "r10": 0.1})
+    q = column_quantiles(df, {value: {"p90": 0.9, "p10": 0.1}, rank: {"r90": 0.9, "r10": 0.1}})
+    pq, rq = q[value], q[rank]
     stats = (df.agg(exact_sum(value).alias("_tot"),
                     F.sum(F.when(F.col(value) >= pq["p90"], F.col(value).cast("decimal(30,2)")))
                     .cast("double").alias("_top"))
@@ -76,8 +76,9 @@ def fuel_kpis(fuel: DataFrame) -> DataFrame:
     """Mean, median, std, range and coefficient of variation of the
     regular and diesel prices."""
     out, meds = [], {}
+    q = column_quantiles(fuel, {"regular": {"m": 0.5}, "diesel": {"m": 0.5}})
     for c in ("regular", "diesel"):
-        meds[f"median_{c}_price"] = r(quantile_scalars(fuel, c, {"m": 0.5})["m"], 6)
+        meds[f"median_{c}_price"] = r(q[c]["m"], 6)
         out += [r(exact_sum(c, 6) / F.count(c), 6).alias(f"avg_{c}_price"),
                 r(F.stddev_samp(c), 6).alias(f"{c}_price_std"),
                 r(F.max(c) - F.min(c), 6).alias(f"{c}_price_range"),
@@ -120,17 +121,20 @@ def composite_kpis(df: DataFrame, key: str = "state", value: str = "population",
         r(F.min("dev"), 6).alias("bottom_development_score"))
 
 
-def iqr_fences(df: DataFrame, value: str) -> tuple[Column, Column]:
-    """A20 helper: lower/upper 1.5 x IQR fences as scalar subqueries."""
-    q = quantile_scalars(df, value, {"q1": 0.25, "q3": 0.75})
-    q1, q3 = q["q1"], q["q3"]
-    iqr = q3 - q1
-    return q1 - 1.5 * iqr, q3 + 1.5 * iqr
+def iqr_fences(df: DataFrame, *values: str) -> list[tuple[Column, Column]]:
+    """A20 helper: lower/upper 1.5 x IQR fences of each column as scalars, all
+    from one pass."""
+    q = column_quantiles(df, {v: {"q1": 0.25, "q3": 0.75} for v in values})
+    out = []
+    for v in values:
+        q1, q3 = q[v]["q1"], q[v]["q3"]
+        out.append((q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)))
+    return out
 
 
 def outliers_iqr(df: DataFrame, value: str) -> DataFrame:
     """Rows outside the 1.5 x IQR fences."""
-    lo, hi = iqr_fences(df, value)
+    (lo, hi), = iqr_fences(df, value)
     return df.where((F.col(value) < lo) | (F.col(value) > hi))
 
 
@@ -141,8 +145,7 @@ def quality_kpis(df: DataFrame, key: str = "state", value: str = "population",
     duplicate keys, floor 0)."""
     cols = df.columns
     nulls = reduce(lambda a, b: a + b, [F.count_if(F.col(c).isNull()) for c in cols])
-    plo, phi = iqr_fences(df, value)
-    rlo, rhi = iqr_fences(df, rank)
+    (plo, phi), (rlo, rhi) = iqr_fences(df, value, rank)
     agg = df.agg(
         (F.lit(1.0) - nulls / (F.count(F.lit(1)) * len(cols))).alias("_compl"),
         (F.count(F.lit(1)) - F.count_distinct(key)).alias("duplicate_states"),

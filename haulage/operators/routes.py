@@ -47,7 +47,7 @@ def route_table(pairs: DataFrame, routed: DataFrame, centers: DataFrame) -> Data
     """One row per (origin, destination) pair. Same-place pairs
     are 0 miles / 0 hours; routed pairs take the routed values; the rest fall
     back to the great-circle distance (1 dp) at 55 mph (2 dp)."""
-    c = F.broadcast(centers.select("code", "lat", "lon"))
+    c = centers.select("code", "lat", "lon")
     o = c.select(F.col("code").alias("origin"), F.col("lat").alias("_olat"), F.col("lon").alias("_olon"))
     d = c.select(F.col("code").alias("destination"), F.col("lat").alias("_dlat"), F.col("lon").alias("_dlon"))
     gc = round_half_up(haversine_miles("_olat", "_olon", "_dlat", "_dlon"), 1)

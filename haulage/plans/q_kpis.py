@@ -8,6 +8,7 @@ from haulage.operators import kpis
 from haulage.plans.catalog import ORACLE, query
 from haulage.plans.q_entities import ent, latest_fuel, plain
 from haulage.plans.sqlparts import ENTITIES, LATEST_FUEL, SNAPS, rhu, with_
+from haulage.session import materialize
 
 
 def ms(c: str) -> str:
@@ -94,8 +95,8 @@ GROUP_COLS = {
 ALL_GROUPS = [ENTITIES, SNAPS, LATEST_FUEL, G_BASIC, G_EFF, G_DIST, G_FUEL, G_COMP, G_QUAL]
 
 
-def _groups(spark, sf):
-    e = ent(spark, sf)
+def _groups(spark, sf, e):
+    """One-row KPI groups of the stored entities ``e``."""
     return {
         "basic": kpis.basic_kpis(e),
         "efficiency": kpis.efficiency_kpis(e),
@@ -161,7 +162,8 @@ _LONG_REG = " UNION ALL ".join(f"SELECT 'regional' AS category, region || '.{c}'
 def a17_all_kpis_long(spark, sf):
     """Every KPI group as (category, metric, value) rows, the regional
     group with one set of metrics per region."""
-    return kpis.all_kpis(_groups(spark, sf), kpis.regional_kpis(ent(spark, sf)))
+    e = materialize(ent(spark, sf))
+    return kpis.all_kpis(_groups(spark, sf, e), kpis.regional_kpis(e))
 
 
 @query("a17_kpi_count_by_category", with_(*ALL_GROUPS, G_REG) + f"""
@@ -169,7 +171,8 @@ SELECT category, COUNT(DISTINCT split_part(metric, '.', 1)) AS kpis FROM ({_LONG
 def a17_kpi_count_by_category(spark, sf):
     """Names per category; a region counts once, as one entry of the
     regional group."""
-    long = kpis.all_kpis(_groups(spark, sf), kpis.regional_kpis(ent(spark, sf)))
+    e = materialize(ent(spark, sf))
+    long = kpis.all_kpis(_groups(spark, sf, e), kpis.regional_kpis(e))
     return long.groupBy("category").agg(F.countDistinct(F.split_part("metric", F.lit("."), F.lit(1))).alias("kpis"))
 
 

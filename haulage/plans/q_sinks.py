@@ -7,18 +7,20 @@ folder and return what they read back, so the oracle checks both halves.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from haulage import dims
 from haulage.functions import round_half_up
-from haulage.operators import cleaning, eda, features, freight, joins, marts, routes
+from haulage.operators import cleaning, features, freight, joins, marts, routes
 from haulage.plans import batch
 from haulage.plans import bindings as B
 from haulage.plans.catalog import ORACLE, query
 from haulage.plans.q_cleaning import dirty_shipping
 from haulage.plans.q_entities import ent, latest_fuel, shipping, plain
-from haulage.plans.q_profile import TABLE_COLUMNS
+from haulage.plans.q_profile import s15_table_profile
 from haulage.plans.q_sources import _WX, weather_payloads
 from haulage.plans.sqlparts import (COORDS, ENTITIES, FLOWS, LATEST_FUEL, LATEST_YEAR as Y,
                                     NATION_SNAPS, SNAPS, rhu, with_)
@@ -61,9 +63,11 @@ SELECT state, nation AS postal, rank, population FROM ent
 WHERE population > (SELECT avg(population) FROM ent)""")
 def s12_s13_staging_view_sql(spark, sf):
     """S13 staging projection registered as a view (S12) and queried with SQL."""
-    marts.register_view(shipping(spark, sf), "stg_shipping_stats")
-    return spark.sql("SELECT state, postal, rank, population FROM stg_shipping_stats "
-                     "WHERE population > (SELECT avg(population) FROM stg_shipping_stats)")
+    # a name of its own: two runs may share the session
+    view = f"stg_shipping_stats_{uuid.uuid4().hex}"
+    marts.register_view(shipping(spark, sf), view)
+    return spark.sql(f"SELECT state, postal, rank, population FROM {view} "
+                     f"WHERE population > (SELECT avg(population) FROM {view})")
 
 
 WEATHER_SCHEMA = T.StructType([T.StructField("state", T.LongType()), T.StructField("temperature", T.DoubleType())])
@@ -78,15 +82,14 @@ def s14_optional_weather_table(spark, sf):
     return joins.enrich_left(plain(spark, sf).select("state", "population"), w, "state", ["temperature"])
 
 
-PROFILE_SCHEMA = "table_name string, column_name string, rows long, nulls long, null_pct double"
+PROFILE_SCHEMA = "table_name string, column_name string, kind string, rows long, nulls long, null_pct double"
 
 
 @query("s16_profile_json_round_trip", ORACLE["s15_table_profile"])
 def s16_profile_json_round_trip(spark, sf):
     """S15 profile written as JSON lines (S16) and read back."""
     path = scratch(spark)
-    prof = eda.table_profile({t: B.table(spark, sf, t) for t in TABLE_COLUMNS}).drop("dtype")
-    files.write_json(prof, path)
+    files.write_json(s15_table_profile(spark, sf), path)
     return spark.read.schema(PROFILE_SCHEMA).json(path)
 
 
@@ -170,7 +173,7 @@ def p04_state_lookups(spark, sf):
     codes = raw.select("state").distinct()
     sd = dims.states_dim(spark).select(F.col("code").alias("state"), "name", "city")
     ctr = dims.state_coords_dim(spark).select(F.col("code").alias("state"), "lat", "lon")
-    out = joins.lookup_with_default(codes, sd, "state", {}).join(F.broadcast(ctr), "state", "left")
+    out = joins.lookup_with_default(codes, sd, "state", {}).join(ctr, "state", "left")
     return out.select("state", F.coalesce("name", "state").alias("name"),
                       F.coalesce("city", "state").alias("city"), "lat", "lon")
 

@@ -87,6 +87,14 @@ def scratch_path(spark: SparkSession, kind: str = "tables") -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}/{uuid.uuid4().hex}"
 
 
+def small_side(df, limit: int = 100_000):
+    """``df`` stored once, and marked for broadcast if it is counted to have at
+    most ``limit`` rows; else the join is left to the size-checked threshold."""
+    from pyspark.sql import functions as F
+    stored = materialize(df)
+    return F.broadcast(stored) if stored.count() <= limit else stored
+
+
 def materialize(df):
     """Eager reliable checkpoint: computes ``df`` once, stores it in the shared
     checkpoint folder and cuts its lineage, so several consumers (and a

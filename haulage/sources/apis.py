@@ -53,11 +53,6 @@ def eia_rows(raw: DataFrame, payload: str = "payload") -> DataFrame:
                        F.lit("EIA").alias("data_source"))
 
 
-def union_national_and_state(national: DataFrame, per_state: DataFrame) -> DataFrame:
-    """National rows and per-state rows in one table."""
-    return national.unionByName(per_state)
-
-
 def latest_periods(df: DataFrame, keys: list[str], period: str = "period", n: int = 10) -> DataFrame:
     """The latest ``n`` periods per key (row_number per key group; a group
     keeps at most n rows)."""
@@ -110,7 +105,3 @@ def weather_rows(raw: DataFrame, payload: str = "payload") -> DataFrame:
         F.initcap(F.try_element_at("w.weather", F.lit(1))["description"]).alias("condition"),
         F.col("w.main.humidity").alias("humidity"), F.col("w.wind.speed").alias("wind_speed"),
         F.col("w.main.feels_like").alias("feels_like"), F.lit("OpenWeatherMap").alias("data_source"))
-
-
-def union_all(dfs: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), dfs)

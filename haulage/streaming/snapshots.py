@@ -59,12 +59,14 @@ def append_to_table(stream: DataFrame, table_path: str, name: str = "fuel_snapsh
 def publish_latest(stream: DataFrame, table_path: str, name: str = "fuel_latest",
                    available_now: bool = True) -> StreamingQuery:
     """Keep the latest non-null price per state (W4) as streaming aggregation
-    state and overwrite the published table with the full current view each
-    micro-batch (complete mode; one row per state)."""
+    state and publish the full current view each micro-batch (complete mode;
+    one row per state) in a folder of its own under ``table_path``. A reader
+    (``read_published``) takes the newest complete folder, so it never meets
+    one that is being written; a repeated batch rewrites its own folder."""
     latest = latest_per_key(stream, "state", "scraped_at", PRICE_COLS)
 
-    def write(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(table_path)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{table_path}/batch={batch_id}")
 
     w = (latest.writeStream.outputMode("complete").foreachBatch(write)
          .option("checkpointLocation", checkpoint_path(stream.sparkSession, name)))
@@ -72,6 +74,16 @@ def publish_latest(stream: DataFrame, table_path: str, name: str = "fuel_latest"
     return w.start()
 
 
+def read_published(spark: SparkSession, table_path: str) -> DataFrame:
+    """The newest complete view that ``publish_latest`` wrote."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(table_path)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = [int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(path)
+            if s.getPath().getName().startswith("batch=")
+            and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
+    return spark.read.parquet(f"{table_path}/batch={max(done)}")
+
+
 def latest_from_table(spark: SparkSession, table_path: str) -> DataFrame:
     """Batch read of the appended table reduced to the latest per state."""
     return latest_per_key(spark.read.schema(SNAPSHOT_SCHEMA).parquet(table_path).select(

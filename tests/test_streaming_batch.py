@@ -29,7 +29,7 @@ def test_snapshot_stream_append_and_latest(spark, tmp_path):
     assert spark.read.parquet(table).count() == 3
     q2 = snapshots.publish_latest(snapshots.read_snapshots(spark, str(land)), latest, name=f"latest-{tmp_path.name}")
     q2.awaitTermination(120)
-    got = {r.state: r for r in spark.read.parquet(latest).collect()}
+    got = {r.state: r for r in snapshots.read_published(spark, latest).collect()}
     assert (got["CA"].regular, got["CA"].diesel) == (5.0, 6.5)
     batch_view = {r.state: r for r in snapshots.latest_from_table(spark, table).collect()}
     assert batch_view["CA"].diesel == 6.5 and batch_view["TX"].diesel == 4.0
