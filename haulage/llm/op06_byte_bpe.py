@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from haulage.llm.common import _BYTE, _powers, annotate, mix
 from haulage.llm.registry import query, table
 
-REMEMBERED = 800_000  # distinct pre-tokens that a Python worker remembers, some 150 MB
+REMEMBERED = 300_000  # distinct pre-tokens that a Python worker remembers, some 60 MB
 U64 = np.uint64
 
 
