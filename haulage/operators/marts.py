@@ -38,6 +38,25 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def store_layers(shipping: DataFrame, fuel: DataFrame, out_dir: str) -> None:
+    """The staging, intermediate and mart tables under ``out_dir`` by
+    layer and name. Each layer reads the written tables of the one below, so
+    a join or a rank runs once however many marts use it."""
+    spark = shipping.sparkSession
+
+    def put(layer: str, name: str, df: DataFrame) -> DataFrame:
+        path = f"{out_dir}/{layer}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    ship = put("staging", "stg_shipping_stats", staging(shipping, SHIPPING_COLS))
+    prices = put("staging", "stg_fuel_prices", staging(fuel, FUEL_COLS))
+    analysis = put("intermediate", "int_freight_analysis", freight_analysis(ship, prices))
+    put("marts", "fct_efficiency_analysis", efficiency_mart(analysis))
+    put("marts", "fct_daily_costs", daily_costs(ship, prices))
+    put("marts", "dim_state", dim_state(ship))
+
+
 def freight_analysis(shipping: DataFrame, fuel: DataFrame) -> DataFrame:
     """J6/P19/P20/P26/P27 (int_freight_analysis): shipping FULL OUTER JOIN fuel
     on state, prices coalesced (shipping first), efficiency score =

@@ -109,11 +109,14 @@ def s07_html_fuel_rejects(spark, sf):
     return cleaning.reject_counts(rejects)
 
 
-def population_pages(spark, sf):
-    """Landed population pages from the entity table: 50 rows per page,
+def population_pages(spark, sf, without=None):
+    """Landed population pages from the entity table (less one segment, if
+    named): 50 rows per page,
     header 'Rank / State / Population', names with bracketed footnotes,
     comma-grouped numbers."""
     e = ent(spark, sf)
+    if without is not None:
+        e = e.where(F.col("segment") != without)
     tr = F.concat(F.lit("<tr><td>"), F.col("rank").cast("string"), F.lit("</td><td>Customer "),
                   F.col("state").cast("string"), F.lit("<sup>[" ), F.lower(F.substring("segment", 1, 1)),
                   F.lit("]</sup></td><td>"), F.format_number("population", 2), F.lit("</td></tr>"))
@@ -135,7 +138,7 @@ def s08_html_population_table(spark, sf):
 SELECT e.state, e.population AS population, f.diesel,
   CASE WHEN f.diesel IS NOT NULL AND f.diesel <> 0 THEN e.population / f.diesel END AS pop_per_dollar,
   'run-1' AS pipeline_run_id
-FROM (SELECT state, CASE WHEN state % 10 = 0 THEN population * 0.9 ELSE population END AS population FROM ent0) e
+FROM (SELECT state, CASE WHEN segment = 'MACHINERY' THEN population * 0.9 ELSE population END AS population FROM ent0) e
 LEFT JOIN fuel f ON e.state = f.state""")
 def k06_population_update(spark, sf):
     """Master rows (older population), new population
@@ -144,8 +147,8 @@ def k06_population_update(spark, sf):
     named = lambda c: F.upper(F.concat(F.lit("Customer "), F.col(c).cast("string")))
     master = plain(spark, sf).select(named("state").alias("name"), "state", (F.col("population") * 0.9).alias("population"))
     master = master.withColumnsRenamed({"state": "key", "name": "state"})
-    # every tenth entity is missing from the pages and keeps its older population
-    parsed = html.population_table(population_pages(spark, sf)).where(~F.col("state").endswith("0"))
+    # entities of one segment are not on the pages and keep their older population
+    parsed = html.population_table(population_pages(spark, sf, without="MACHINERY"))
     diesel = latest_fuel(spark, sf).select(named("state").alias("state"), "diesel")
     out = marts.population_update(master, parsed, diesel, "run-1")
     return out.select(F.col("key").alias("state"), "population", "diesel", "pop_per_dollar", "pipeline_run_id")

@@ -105,6 +105,28 @@ def j06_freight_analysis(spark, sf):
         "fuel_burden_index", round_half_up("fuel_burden_index", 6))
 
 
+_SHIP_PART = """ship AS (SELECT state, nation AS postal, rank, population, population_per_rank,
+  CASE WHEN region = 'ASIA' THEN 3.25 END AS regular, CAST(NULL AS DOUBLE) AS mid_grade, CAST(NULL AS DOUBLE) AS premium,
+  CASE WHEN region = 'EUROPE' THEN 4.5 END AS diesel, CAST(NULL AS VARCHAR) AS pipeline_run_id
+  FROM ent WHERE segment <> 'MACHINERY')"""
+
+
+@query("j06_both_unmatched_sides", with_(*BASE, _SHIP_PART, _FA) + f"""
+SELECT state, postal, rank, population, population_per_rank, regular, mid_grade, premium, diesel,
+  pipeline_run_id, scraped_at, {rhu('efficiency_score', 6)} AS efficiency_score,
+  {rhu('fuel_burden_index', 6)} AS fuel_burden_index FROM fa""")
+def j06_both_unmatched_sides(spark, sf):
+    """J6/P19 with rows on either side only and prices on both: the shipping
+    table has no entities of one segment, so their fuel rows stand alone, and
+    its own prices for two regions come before the readings."""
+    e = ent(spark, sf).where("segment <> 'MACHINERY'").withColumns({
+        "postal": F.col("nation"), "regular": F.when(F.col("region") == "ASIA", 3.25),
+        "diesel": F.when(F.col("region") == "EUROPE", 4.5)})
+    fa = marts.freight_analysis(marts.staging(e, marts.SHIPPING_COLS), latest_fuel(spark, sf))
+    return fa.withColumn("efficiency_score", round_half_up("efficiency_score", 6)).withColumn(
+        "fuel_burden_index", round_half_up("fuel_burden_index", 6))
+
+
 @query("k05_efficiency_mart_percent_rank_tier", with_(*BASE, _SHIP, _FA) + f"""
 SELECT state, postal, rank, population, regular, mid_grade, premium, diesel,
   {rhu('fuel_burden_index', 6)} AS fuel_burden_index, {rhu('efficiency_score', 6)} AS efficiency_score,

@@ -14,16 +14,18 @@ from pyspark.sql import types as T
 
 from haulage import dims
 from haulage.functions import round_half_up
-from haulage.operators import cleaning, features, freight, joins, marts, routes
+from haulage.operators import cleaning, features, freight, joins, kpis, marts, routes
 from haulage.plans import batch
 from haulage.plans import bindings as B
 from haulage.plans.catalog import ORACLE, query
 from haulage.plans.q_cleaning import dirty_shipping
 from haulage.plans.q_entities import ent, latest_fuel, shipping, plain
+from haulage.plans.q_kpis import G_BASIC, G_EFF, GROUP_COLS
 from haulage.plans.q_profile import s15_table_profile
 from haulage.plans.q_sources import _WX, weather_payloads
 from haulage.plans.sqlparts import (COORDS, ENTITIES, FLOWS, LATEST_FUEL, LATEST_YEAR as Y,
                                     NATION_SNAPS, SNAPS, rhu, with_)
+from haulage.session import materialize
 from haulage.session import scratch_path
 from haulage.sources import apis, files
 
@@ -70,6 +72,17 @@ def s12_s13_staging_view_sql(spark, sf):
                      f"WHERE population > (SELECT avg(population) FROM {view})")
 
 
+@query("s12_layer_tables", ORACLE["k05_efficiency_mart_percent_rank_tier"])
+def s12_layer_tables(spark, sf):
+    """Staging, intermediate and mart tables written by layer and name;
+    the efficiency mart read back."""
+    path = scratch(spark)
+    marts.store_layers(shipping(spark, sf), latest_fuel(spark, sf), path)
+    fa = files.read_table(spark, f"{path}/marts/fct_efficiency_analysis")
+    return fa.withColumn("fuel_burden_index", round_half_up("fuel_burden_index", 6)).withColumn(
+        "efficiency_score", round_half_up("efficiency_score", 6))
+
+
 WEATHER_SCHEMA = T.StructType([T.StructField("state", T.LongType()), T.StructField("temperature", T.DoubleType())])
 
 
@@ -132,6 +145,26 @@ def k07_enriched_dataset(spark, sf):
                     round_half_up("region_population_std", 4).alias("region_population_std"))
 
 
+@query("k07_enriched_csv", ORACLE["k07_enriched_dataset"])
+def k07_enriched_csv(spark, sf):
+    """K7: the enriched dataset with its features as CSV, read back."""
+    path = scratch(spark)
+    out = k07_enriched_dataset(spark, sf)
+    files.write_csv(out, path)
+    return files.read_csv(spark, path, out.schema)
+
+
+@query("k07_kpi_summary_csv", with_(ENTITIES, G_BASIC, G_EFF) + " UNION ALL ".join(
+    f"SELECT '{c}' AS metric, CAST({c} AS DOUBLE) AS value FROM g_{g}" for g in ("basic", "efficiency") for c in GROUP_COLS[g]))
+def k07_kpi_summary_csv(spark, sf):
+    """The KPI summary (basic and efficiency metrics) as CSV, read back."""
+    path = scratch(spark)
+    e = materialize(ent(spark, sf))
+    long = kpis.all_kpis({"basic": kpis.basic_kpis(e), "efficiency": kpis.efficiency_kpis(e)}).drop("category")
+    files.write_csv(long, path)
+    return files.read_csv(spark, path, "metric string, value double")
+
+
 @query("j10_origin_lookup_with_defaults", with_(FLOWS, COORDS, SNAPS, NATION_SNAPS) + """
 , ld AS (SELECT state, arg_max(diesel, scraped_at) FILTER (WHERE diesel IS NOT NULL) AS diesel FROM nsnaps GROUP BY state)
 SELECT o.origin AS state, coalesce(ld.diesel, 0.0) AS diesel, coalesce(c.lat, 0.0) AS lat, coalesce(c.lon, 0.0) AS lon
