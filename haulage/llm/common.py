@@ -16,10 +16,11 @@ from haulage.session import scratch_path
 
 # Rows in one Arrow batch. Texts can be long, so batches are kept small: the
 # Python side holds one batch at a time.
-ARROW_ROWS = 1000
+ARROW_ROWS = 256
 
-# Bytes of text that the vectorised word functions take at once.
-CHUNK_BYTES = 1 << 20
+# Bytes of text that the vectorised functions take at once; they hold some 50
+# bytes for each.
+CHUNK_BYTES = 1 << 18
 
 U64 = np.uint64
 
@@ -48,11 +49,11 @@ def ddl(text: str) -> StructType:
     return StructType.fromDDL(text)
 
 
-def store(df: DataFrame, kind: str) -> DataFrame:
+def store(df: DataFrame, kind: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and read it back (cuts the lineage, so
     a lost executor costs a read and not a recomputation)."""
     path = scratch_path(df.sparkSession, kind)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

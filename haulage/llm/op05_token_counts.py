@@ -23,7 +23,6 @@ import os
 import re
 import unicodedata
 import uuid
-from collections import Counter
 from itertools import chain
 
 import numpy as np
@@ -91,28 +90,51 @@ _BATCHES = ("batch string, bucket int, words array<string>, ids array<long>, n_b
                "n_special array<long>, n_distinct array<long>, codes binary, times binary")
 
 
-def _batch_rows(ids: list, words: list[dict], n_bytes: list[int], n_special: list[int], buckets: int):
-    """One row with the documents of a batch, and one per bucket with its part of the dictionary."""
-    name = uuid.uuid4().hex
-    distinct = list(set(chain.from_iterable(words)))
-    bucket = np.fromiter((xxhash.xxh32_intdigest(w) % buckets for w in distinct), np.int64, len(distinct))
-    by_word = sorted(range(len(distinct)), key=distinct.__getitem__)
-    order = np.asarray(by_word, np.int64)[np.argsort(bucket[by_word], kind="stable")] if distinct else np.zeros(0, np.int64)
-    rank = {distinct[i]: r for r, i in enumerate(order.tolist())}
-    codes = np.fromiter(map(rank.__getitem__, chain.from_iterable(words)), np.int32, sum(map(len, words)))
-    times = np.fromiter(chain.from_iterable(w.values() for w in words), np.int32, len(codes))
-    zstd = pa.Codec("zstd", compression_level=1)
-    pack = lambda a: len(a).to_bytes(8, "little") + zstd.compress(a.tobytes(), asbytes=True)
-    rows = [{"batch": name, "ids": ids, "n_bytes": n_bytes, "n_special": n_special,
-             "n_distinct": [len(w) for w in words], "codes": pack(codes), "times": pack(times)}]
-    cut = np.searchsorted(bucket[order], np.arange(buckets + 1)) if len(order) else np.zeros(buckets + 1, np.int64)
-    for b in range(buckets):
-        if cut[b + 1] > cut[b]:
-            rows.append({"batch": name, "bucket": b, "words": [distinct[i] for i in order[cut[b]:cut[b + 1]].tolist()]})
-    return pa.RecordBatch.from_pylist(rows, schema=pa.schema([
-        ("batch", pa.string()), ("bucket", pa.int32()), ("words", pa.list_(pa.string())), ("ids", pa.list_(pa.int64())),
-        ("n_bytes", pa.list_(pa.int64())), ("n_special", pa.list_(pa.int64())), ("n_distinct", pa.list_(pa.int64())),
-        ("codes", pa.binary()), ("times", pa.binary())]))
+class _Codes(dict):
+    """Numbers words in the order in which they are first seen."""
+
+    def __missing__(self, word):
+        code = self[word] = len(self)
+        return code
+
+
+class _Batch:
+    """Documents of one batch: word frequencies as codes into the batch's dictionary."""
+
+    def __init__(self):
+        self.code, self.size = _Codes(), 0
+        self.ids, self.n_bytes, self.n_special, self.n_distinct, self.codes, self.times = [], [], [], [], [], []
+
+    def add(self, i, words: list[str], n_bytes: int, n_special: int) -> None:
+        of = np.fromiter(map(self.code.__getitem__, words), np.int32, len(words))
+        codes, times = np.unique(of, return_counts=True)
+        for part, x in ((self.ids, i), (self.n_bytes, n_bytes), (self.n_special, n_special), (self.n_distinct, len(codes)),
+                        (self.codes, codes), (self.times, times.astype(np.int32))):
+            part.append(x)
+        self.size += n_bytes + 64
+
+    def rows(self, buckets: int) -> pa.RecordBatch:
+        """One row with the documents, and one per bucket with its part of the dictionary."""
+        name = uuid.uuid4().hex
+        words = list(self.code)
+        bucket = np.fromiter((xxhash.xxh32_intdigest(w) % buckets for w in words), np.int64, len(words))
+        by_word = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
+        order = by_word[np.argsort(bucket[by_word], kind="stable")]
+        rank = np.empty(len(words), np.int32)
+        rank[order] = np.arange(len(words), dtype=np.int32)
+        zstd = pa.Codec("zstd", compression_level=1)
+        pack = lambda a: len(a).to_bytes(8, "little") + zstd.compress(a.tobytes(), asbytes=True)
+        flat = lambda parts: np.concatenate([np.zeros(0, np.int32), *parts]).astype(np.int32)
+        out = [{"batch": name, "ids": self.ids, "n_bytes": self.n_bytes, "n_special": self.n_special,
+                "n_distinct": self.n_distinct, "codes": pack(rank[flat(self.codes)]), "times": pack(flat(self.times))}]
+        cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        for b in range(buckets):
+            if cut[b + 1] > cut[b]:
+                out.append({"batch": name, "bucket": b, "words": [words[i] for i in order[cut[b]:cut[b + 1]].tolist()]})
+        return pa.RecordBatch.from_pylist(out, schema=pa.schema([
+            ("batch", pa.string()), ("bucket", pa.int32()), ("words", pa.list_(pa.string())), ("ids", pa.list_(pa.int64())),
+            ("n_bytes", pa.list_(pa.int64())), ("n_special", pa.list_(pa.int64())), ("n_distinct", pa.list_(pa.int64())),
+            ("codes", pa.binary()), ("times", pa.binary())]))
 
 
 def _unpack(raw: bytes) -> np.ndarray:
@@ -127,25 +149,25 @@ def count_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     prepare(spark)
     src = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
+    # parts of a dictionary's size, however many batches there are
+    buckets = max(buckets, 2 * src.rdd.getNumPartitions())
+
     def split(batches):
         splitter = Splitter(path)
-        held = ([], [], [], [])
-        size = 0
+        held = _Batch()
         for batch in batches:
             lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
             for i, text, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), lengths):
-                if size and size + n > batch_bytes:
-                    yield _batch_rows(*held, buckets)
-                    held, size = ([], [], [], []), 0
+                if held.size and held.size + n > batch_bytes:
+                    yield held.rows(buckets)
+                    held = _Batch()
                 words, special = splitter.words(text or "")
-                for part, x in zip(held, (i, Counter(words), n, special)):
-                    part.append(x)
-                size += n + 64
-        if held[0]:
-            yield _batch_rows(*held, buckets)
+                held.add(i, words, n, special)
+        if held.ids:
+            yield held.rows(buckets)
 
     # written down, as the batch names are made up: a lost executor must not make others
-    parts = store(src.mapInArrow(split, _BATCHES), "token-counts")
+    parts = store(src.mapInArrow(split, _BATCHES), "token-counts", "zstd")
 
     def count(rows: pa.Table) -> pa.Table:
         splitter = Splitter(path)
