@@ -149,8 +149,8 @@ def count_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     prepare(spark)
     src = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
-    # parts of a dictionary's size, however many batches there are
-    buckets = max(buckets, 2 * src.rdd.getNumPartitions())
+    # a part holds the words of some eight batches' dictionaries, however many batches there are
+    buckets = max(buckets, src.rdd.getNumPartitions() // 8)
 
     def split(batches):
         splitter = Splitter(path)
