@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from haulage.llm.blocked_bloom import may_hold
 from haulage.llm.registry import query, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -24,7 +25,6 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # false hit in a hundred or better. A longer list only lets more rows through
 # to the exact join; raise the parameter for it.
 FILTER_BLOCKS = 1 << 17
-PROBES = 4
 
 # The rules of the query, (verdict, host, path).
 RULES = [
@@ -77,34 +77,6 @@ def matching_rule(host: Column, path: Column, rules: list[tuple[str, str, str]])
     return (none, none) if rule is None else (rule, verdict)
 
 
-def _block(key: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
-
-
-def _mask(key: Column) -> Column:
-    """The bits of a key within its block, from a second hash."""
-    h = F.xxhash64(key, F.lit("bits"))
-    out = F.lit(0).cast("long")
-    for i in range(PROBES):
-        bit = F.shiftrightunsigned(h, 6 * i).bitwiseAND(F.lit(63)).cast("int")
-        out = out.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), bit))
-    return out
-
-
-def bloom_words(listed: DataFrame, key: str, blocks: int) -> DataFrame:
-    """One row with the filter as an array of ``blocks`` words.
-
-    The words of a block are combined map-side (bit_or), so what reaches the
-    last task is at most ``blocks`` rows, however long the list is.
-    """
-    spark = listed.sparkSession
-    words = (listed.where(F.col(key).isNotNull())
-             .select(_block(F.col(key), blocks).alias("b"), _mask(F.col(key)).alias("w"))
-             .unionByName(spark.range(blocks).select(F.col("id").cast("int").alias("b"), F.lit(0).cast("long").alias("w")))
-             .groupBy("b").agg(F.bit_or("w").alias("w")))
-    return words.agg(F.transform(F.array_sort(F.collect_list(F.struct("b", "w"))), lambda x: x["w"]).alias("words"))
-
-
 def judge(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str, str]], url_col: str = "url",
           blocks: int = FILTER_BLOCKS) -> DataFrame:
     """``pages`` plus host, path, rule, verdict and listed.
@@ -118,11 +90,10 @@ def judge(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str, str]]
                         host_of(F.col(f"`{url_col}`")).alias("host"), path_of(F.col(f"`{url_col}`")).alias("path"),
                         canonical(F.col(f"`{url_col}`")).alias("_canonical"))
     keys = listed.select(canonical(F.col("url")).alias("_key")).where("_key is not null").distinct()
-    word = F.element_at(bloom_words(keys, "_key", blocks).scalar(), _block(F.col("_canonical"), blocks) + 1)
-    mask = _mask(F.col("_canonical"))
-    rows = rows.withColumn("_maybe", F.when(F.col("_canonical").isNotNull() & (word.bitwiseAND(mask) == mask), F.col("_canonical")))
-    # the exact join: rows that the filter stopped have a null key and match nothing
-    rows = rows.join(keys, F.col("_maybe") == F.col("_key"), "left")
+    rows = rows.withColumn("_maybe", F.when(may_hold(F.col("_canonical"), keys, "_key", blocks), F.col("_canonical")))
+    # the exact join, for possible hits only; rows that the filter stopped are not shuffled
+    hits = rows.where("_maybe is not null").join(keys, F.col("_maybe") == F.col("_key"), "left")
+    rows = rows.where("_maybe is null").withColumn("_key", F.lit(None).cast("string")).unionByName(hits)
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
     hit = F.col("_key").isNotNull()
     return (rows.withColumn("rule", rule)
