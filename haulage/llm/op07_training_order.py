@@ -3,7 +3,8 @@
 1. Texts are encoded, each followed by the end mark, and a task's stream of
    ids is cut into sequences of LENGTH ids. Nothing is left out; a task's last
    sequence is filled up with end marks. The sequences are stored in
-   compressed packs, numbered by the task and the place in it.
+   compressed packs, numbered by the task and by how many sequences of the
+   task came before.
 2. Offsets of the tasks (one row per task) turn that into a dense index 0..N-1.
 3. A keyed Feistel permutation maps index to slot. Its domain is the next even
    power of two; a value beyond N is mapped again until it falls below N
@@ -36,9 +37,10 @@ from haulage.llm.common import mix, open_file, prepare, store
 from haulage.llm.registry import query, table
 from haulage.session import scratch_path
 
-LENGTH = 1024          # ids in a sequence
-SHARD_SLOTS = 8192     # sequences in a shard, some 17 MB
-PACK = 1024            # sequences in a stored pack
+LENGTH = 2048          # ids in a sequence
+SHARD_SLOTS = 4096     # sequences in a shard, some 17 MB
+PACK = 512             # sequences in a stored pack
+BROADCAST_TASKS = 1_000_000  # rows of the tasks' offsets that may be broadcast, 16 bytes each
 ROUNDS = 6
 KEY = 20240229
 END_OF_RECORD = b"\xff\xff"
@@ -98,7 +100,7 @@ class _Stream:
 
 def sequences(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
               length: int = LENGTH) -> DataFrame:
-    """Stored packs of records: (part, place, n, pack)."""
+    """Stored packs of records: (part, before, n, pack)."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
@@ -110,18 +112,18 @@ def sequences(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc
             raise ValueError("ids of this vocabulary need more than 16 bits")
         end = max(ranks.values()) + 1
         encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        zstd = pa.Codec("zstd", compression_level=6)
+        zstd = pa.Codec("zstd", compression_level=9)
         part = TaskContext.get().partitionId()
-        stream, place = _Stream(length), 0
+        stream, before = _Stream(length), 0
 
         def packs(least):
-            nonlocal place
+            nonlocal before
             while len(stream.records) >= least:
                 taken, stream.records = stream.records[:PACK], stream.records[PACK:]
-                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([place], pa.int32()), pa.array([len(taken)], pa.int32()),
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([before]), pa.array([len(taken)], pa.int32()),
                                                   pa.array([zstd.compress(b"".join(taken), asbytes=True)], pa.binary())],
-                                                 names=["part", "place", "n", "pack"])
-                place += 1
+                                                 names=["part", "before", "n", "pack"])
+                before += len(taken)
         for batch in batches:
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if text:
@@ -130,7 +132,7 @@ def sequences(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc
         stream.finish(end)
         yield from packs(1)
 
-    made = rows.mapInArrow(encode, "part int, place int, n int, pack binary")
+    made = rows.mapInArrow(encode, "part int, before long, n int, pack binary")
     return store(made, "sequences")
 
 
@@ -139,18 +141,17 @@ def write_shards(packs: DataFrame, path: str, key: int = KEY, length: int = LENG
     n = packs.agg(F.sum("n")).collect()[0][0] or 0
     if n == 0:
         return 0
-    # one row per task of the encoding, then one per pack of a task
+    # one row per task of the encoding
     totals = packs.groupBy("part").agg(F.sum("n").alias("total"))
-    before = F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    totals = totals.select("part", F.coalesce(before, F.lit(0)).alias("base"))
-    inside = F.sum("n").over(Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, -1))
-    places = packs.select("part", "place", "n").withColumn("inside", F.coalesce(inside, F.lit(0)))
-    offsets = places.join(totals, "part").select("part", "place", (F.col("base") + F.col("inside")).alias("first"))
-    indexed = packs.join(offsets, ["part", "place"]).select("first", "n", "pack")
+    base = F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    totals = totals.select("part", F.coalesce(base, F.lit(0)).alias("base"))
+    if totals.count() <= BROADCAST_TASKS:  # else the packs are shuffled
+        totals = F.broadcast(totals)
+    indexed = packs.join(totals, "part").select((F.col("base") + F.col("before")).alias("first"), "n", "pack")
     width = 2 * (length + 4)
 
     def permute(batches):
-        big, one = pa.Codec("zstd"), pa.Codec("zstd", compression_level=3)
+        big, one = pa.Codec("zstd"), pa.Codec("zstd", compression_level=6)
         for batch in batches:
             for first, m, pack in zip(*(c.to_pylist() for c in batch.columns)):
                 raw = big.decompress(pack, m * width, asbytes=True)
