@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from haulage.functions import jarque_bera_p, round_half_up
 from haulage.operators.ranking import grouped_quantiles, quantile_scalars
-from haulage.session import small_side
+from haulage.session import materialize, small_side
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -67,17 +67,27 @@ def correlation_pairs(df: DataFrame, cols: list[str] | None = None, threshold: f
     return out if keep_all else out.where(F.abs("correlation") > threshold)
 
 
-def iqr_outlier_counts(df: DataFrame, cols: list[str], group: list[str] | None = None) -> DataFrame:
-    """A20 in bulk: rows outside 1.5 x IQR fences per column (and group)."""
+def value_counts(df: DataFrame, cols: list[str], group: list[str] | None = None) -> DataFrame:
+    """(group, column, value, rows) of the distinct values, stored once: one
+    scan serves the quantiles and the outlier counts, and a value that many
+    rows share is one row from then on."""
     g = group or []
     long = (df.select(*g, *[F.col(c).cast("double").alias(c) for c in cols])
             .unpivot(g, cols, "column", "value").where(F.col("value").isNotNull()))
-    q = grouped_quantiles(long, [*g, "column"], "value", {"q1": 0.25, "q3": 0.75})
+    return materialize(long.groupBy(*g, "column", "value").agg(F.count(F.lit(1)).alias("rows")))
+
+
+def iqr_outlier_counts(df: DataFrame, cols: list[str], group: list[str] | None = None) -> DataFrame:
+    """A20 in bulk: rows outside 1.5 x IQR fences per column (and group)."""
+    g = group or []
+    values = value_counts(df, cols, group)
+    q = grouped_quantiles(values, [*g, "column"], "value", {"q1": 0.25, "q3": 0.75}, weight="rows")
     fences = q.select(*g, "column", (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lo"),
                       (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("hi"), "n")
-    return (long.join(small_side(fences), [*g, "column"])
+    outside = (F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi"))
+    return (values.join(small_side(fences), [*g, "column"])
             .groupBy(*g, "column")
-            .agg(F.count_if((F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi"))).alias("outliers_count"),
+            .agg(F.sum(F.when(outside, F.col("rows")).otherwise(0)).alias("outliers_count"),
                  F.first("n").alias("n")))
 
 
@@ -112,12 +122,12 @@ def regional_analysis(df: DataFrame, region: str = "region", value: str = "popul
 
 def box_stats(df: DataFrame, group: list[str], value: str) -> DataFrame:
     """Min, quartiles, max and 1.5 x IQR outlier count per group."""
-    q = small_side(grouped_quantiles(df, group, value, {"q0": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "q4": 1.0}))
-    long = df.select(*group, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    out = (long.join(q, group)
-           .groupBy(*group)
-           .agg(F.count_if((F.col("_x") < F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")))
-                           | (F.col("_x") > F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))).alias("outliers")))
+    values = value_counts(df, [value], group)
+    q = small_side(grouped_quantiles(values, group, "value", {"q0": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "q4": 1.0},
+                                     weight="rows"))
+    outside = ((F.col("value") < F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")))
+               | (F.col("value") > F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))))
+    out = values.join(q, group).groupBy(*group).agg(F.sum(F.when(outside, F.col("rows")).otherwise(0)).alias("outliers"))
     return q.join(out, group)
 
 
@@ -195,6 +205,26 @@ def rounded_stats(df: DataFrame, digits: int = 6) -> DataFrame:
                        for f in df.schema.fields])
 
 
+def shape_rows(df: DataFrame, name: str) -> DataFrame:
+    """Rows and columns of a table, and each column's kind, in long form."""
+    numeric = set(numeric_columns(df))
+    kinds = F.explode(F.array(*[F.struct(F.lit("column").alias("section"), F.lit(c).alias("item"),
+                                         F.lit("numeric" if c in numeric else "categorical").alias("metric"),
+                                         F.lit(1.0).alias("value")) for c in df.columns])).alias("k")
+    size = df.agg(F.count(F.lit(1)).cast("double").alias("rows"), F.lit(float(len(df.columns))).alias("columns"))
+    shape = (size.unpivot([], ["rows", "columns"], "metric", "value")
+             .select(F.lit("shape").alias("section"), F.lit(name).alias("item"), "metric", "value"))
+    return shape.unionByName(size.select(kinds).select("k.*"))
+
+
+def regional_rows(regional: DataFrame, region: str = "region") -> DataFrame:
+    """The regional table in long form."""
+    cols = [c for c in regional.columns if c != region]
+    return (regional.select(region, *[F.col(c).cast("double").alias(c) for c in cols])
+            .unpivot(region, cols, "metric", "value")
+            .select(F.lit("regional").alias("section"), F.col(region).alias("item"), "metric", "value"))
+
+
 def eda_summary(stats: DataFrame, dist: DataFrame, corr: DataFrame, profile: DataFrame) -> DataFrame:
     """The descriptive, distribution, correlation and profile tables in
     one long form (section, item, metric, value)."""

@@ -104,7 +104,7 @@ def pct_rank_average(df: DataFrame, value: str, out: str, partitions: int | None
 
 
 def grouped_quantiles(df: DataFrame, group_cols: list[str], value: str,
-                      probs: dict[str, float], partitions: int | None = None) -> DataFrame:
+                      probs: dict[str, float], partitions: int | None = None, weight: str | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas ``quantile``, SQL
     ``percentile_cont``) per group, without holding a group in one task.
 
@@ -113,10 +113,11 @@ def grouped_quantiles(df: DataFrame, group_cols: list[str], value: str,
     conditional aggregate picks the values at positions floor/ceil of
     (n - 1) * p. Returns one row per group with a column per name in
     ``probs`` (plus ``n``). Nulls are ignored; an all-null group gives null.
+    With ``weight`` a row stands for that many equal values.
     """
     v = F.col(value)
-    counts = (df.where(v.isNotNull()).groupBy(*group_cols, v.alias("_v"))
-              .agg(F.count(F.lit(1)).alias("_n")))
+    size = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    counts = df.where(v.isNotNull()).groupBy(*group_cols, v.alias("_v")).agg(size.alias("_n"))
     cum = global_cumsum(counts, [*group_cols, "_v"], "_n", out="_before", partitions=partitions)
     if group_cols:
         starts = cum.groupBy(*group_cols).agg(F.min("_before").alias("_g0"), F.sum("_n").alias("_gn"))

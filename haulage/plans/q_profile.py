@@ -267,17 +267,27 @@ def _i2_sql() -> str:
     parts += ["SELECT 'correlation', var1 || '~' || var2, 'correlation', CAST(correlation AS DOUBLE) FROM c"]
     parts += [f"SELECT 'profile', 'lineitem.{c}', 'nulls', CAST((SELECT COUNT(*) FROM lineitem WHERE {c} IS NULL) AS DOUBLE)"
               for c in TABLE_COLUMNS["lineitem"]]
-    return (f"WITH s AS ({stats}), d AS ({dist}), c AS ({corr})\n" + "\nUNION ALL\n".join(parts))
+    parts += ["SELECT 'shape', 'lineitem', 'rows', CAST(COUNT(*) AS DOUBLE) FROM lineitem",
+              f"SELECT 'shape', 'lineitem', 'columns', {float(len(TABLE_COLUMNS['lineitem']))}"]
+    text = {"l_returnflag", "l_linestatus", "l_shipdate"}
+    parts += [f"SELECT 'column', '{c}', '{'categorical' if c in text else 'numeric'}', 1.0" for c in TABLE_COLUMNS["lineitem"]]
+    reg = ORACLE["a22_regional_analysis"]
+    r_cols = ["count", "avg_population", "avg_rank", "total_population", "population_std", "best_rank", "worst_rank"]
+    parts += [f"SELECT 'regional', region, '{c}', CAST({c} AS DOUBLE) FROM (SELECT * FROM r)" for c in r_cols]
+    return (f"WITH r AS ({reg}), s AS ({stats}), d AS ({dist}), c AS ({corr})\n" + "\nUNION ALL\n".join(parts))
 
 
 @query("i02_eda_summary", _i2_sql())
 def i02_eda_summary(spark, sf):
-    """Descriptive statistics, distribution tests, correlations and the
-    null profile of the line-item table in one long table."""
+    """Shape, columns, null profile, descriptive statistics, distribution
+    tests and correlations of the line-item table, and the regional table of
+    the entities, in one long table (the findings in words are I1)."""
+    whole = B.table(spark, sf, "lineitem")
     li = _li(spark, sf)
     stats = _r(eda.descriptive_statistics(li, LI_COLS))
     dist = eda.distribution_analysis(li, LI_COLS).withColumn("jb_p_value", round_half_up("jb_p_value", 9)).withColumn(
         "outlier_percentage", round_half_up("outlier_percentage", 6))
     corr = eda.correlation_pairs(li, LI_COLS, keep_all=True).withColumn("correlation", round_half_up("correlation", 9))
-    prof = eda.table_profile({"lineitem": B.table(spark, sf, "lineitem")})
-    return eda.eda_summary(stats, dist, corr, prof)
+    prof = eda.table_profile({"lineitem": whole})
+    return (eda.eda_summary(stats, dist, corr, prof).unionByName(eda.shape_rows(whole, "lineitem"))
+            .unionByName(eda.regional_rows(a22_regional_analysis(spark, sf))))
