@@ -281,7 +281,20 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     "row_key", (~linked | (F.col("row_key") == F.col("first.row_key"))).alias("stays")))
 
 
-@query("op3_jaccard_classes")
+SQL = """
+with recursive w as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') w from documents),
+s as (select doc_id, list_distinct(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+             when len(w) > 0 then [array_to_string(w, ' ')] else [] end) sh from w),
+u as (select doc_id, unnest(sh) t from s),
+c as (select a.doc_id a, b.doc_id b, count(*) common from u a join u b on a.t = b.t and a.doc_id < b.doc_id group by all),
+l as (select a, b from c join s x on x.doc_id = a join s y on y.doc_id = b where 100 * common >= 80 * (len(x.sh) + len(y.sh) - common)),
+e as (select a, b from l union select b, a from l),
+r as (select doc_id, doc_id reached from s union select r.doc_id, e.b from r join e on e.a = r.reached)
+select s.doc_id, len(any_value(s.sh))::bigint n_shingles, min(r.reached) component_id from s join r using (doc_id) group by s.doc_id"""
+
+
+@query("op3_jaccard_classes", SQL)
 def op3_jaccard_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = link_classes(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "n_shingles", F.col("class_id").alias("component_id"))
