@@ -83,8 +83,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document; ``intact`` says that they decode to the text."""
     encoder = op06_byte_bpe.public_encoder()
-    ids = op06_byte_bpe.encode(_documents(docs), encoder)
-    back = op06_byte_bpe.decode(ids, encoder)
+    back = op06_byte_bpe.round_trip(_documents(docs), encoder)
     text = F.coalesce("text", F.lit("")).cast("binary")
     return back.select("doc_id", "lang", "source", "n_chars", F.size("ids").cast("long").alias("n_tokens"), "ids",
                        (F.col("decoded") == text).alias("intact"))

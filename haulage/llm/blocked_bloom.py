@@ -14,12 +14,18 @@ def block_of(key: Column, blocks: int) -> Column:
 
 def mask_of(key: Column) -> Column:
     """The bits of a key within its block, from a second hash."""
-    h = F.xxhash64(key, F.lit("bits"))
-    out = F.lit(0).cast("long")
-    for i in range(PROBES):
-        bit = F.shiftrightunsigned(h, 6 * i).bitwiseAND(F.lit(63)).cast("int")
-        out = out.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), bit))
-    return out
+    def bits(h):
+        out = F.lit(0).cast("long")
+        for i in range(PROBES):
+            bit = F.shiftrightunsigned(h, 6 * i).bitwiseAND(F.lit(63)).cast("int")
+            out = out.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), bit))
+        return out
+    return once(F.xxhash64(key, F.lit("bits")), bits)
+
+
+def once(value: Column, fn) -> Column:
+    """``fn(value)`` with the value worked out once, however often fn uses it."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
 
 
 def words_of_filter(keys: DataFrame, key: str, blocks: int) -> DataFrame:
@@ -41,6 +47,7 @@ def may_hold(key: Column, keys: DataFrame, key_col: str, blocks: int) -> Column:
 
     The array that each task gets has ``blocks`` words of 8 bytes.
     """
-    word = F.element_at(words_of_filter(keys, key_col, blocks).scalar(), block_of(key, blocks) + 1)
-    mask = mask_of(key)
-    return key.isNotNull() & (word.bitwiseAND(mask) == mask)
+    at = once(key, lambda k: F.when(k.isNotNull(), F.struct(block_of(k, blocks).alias("block"), mask_of(k).alias("mask"))))
+    word = F.element_at(words_of_filter(keys, key_col, blocks).scalar(), F.coalesce(at["block"], F.lit(0)) + 1)
+    # no bit of the mask is missing from the word
+    return F.coalesce(F.bitwise_not(word).bitwiseAND(at["mask"]) == 0, F.lit(False))

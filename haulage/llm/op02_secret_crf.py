@@ -207,7 +207,7 @@ def train(x: np.ndarray, y: np.ndarray, epochs: int = EPOCHS) -> Field:
     length = y.shape[1]
     for _ in range(epochs):
         for part in np.array_split(rng.permutation(len(x)), max(1, len(x) // 128)):
-            xs, ys = x[part], y[part]
+            xs, ys = x[part].astype(np.int64), y[part].astype(np.int64)
             m = len(part)
             e = weights[xs].sum(axis=2)
             fwd, bwd = [e[:, 0]], [np.zeros((m, 3))]
@@ -236,8 +236,11 @@ def _byte_place(text: str, at: int) -> int:
     return len(text[:at].encode())
 
 
-def training_windows(texts: list[str]) -> list[tuple[bool, list, list]]:
-    """(has a secret, features, tags) around each base span, and around one token of every text."""
+def training_windows(texts: list[str]) -> list[tuple[bool, np.ndarray, np.ndarray]]:
+    """(has a secret, features, tags) around each base span, and around one token of every text.
+
+    Feature numbers stay below 2**16 and are kept in two bytes.
+    """
     out = []
     for text in texts:
         data, off = text_buffer(pa.array([text]))
@@ -259,10 +262,10 @@ def training_windows(texts: list[str]) -> list[tuple[bool, list, list]]:
         for c in middles:
             at = np.arange(c - WINDOW // 2, c + WINDOW // 2 + 1)
             inside = (at >= 0) & (at < len(start))
-            xs = np.full((WINDOW, x.shape[1]), PAD)
-            ys = np.zeros(WINDOW, np.int64)
+            xs = np.full((WINDOW, x.shape[1]), PAD, np.uint16)
+            ys = np.zeros(WINDOW, np.uint8)
             xs[inside], ys[inside] = x[at[inside]], y[at[inside]]
-            out.append((bool(ys.any()), xs.reshape(-1).tolist(), ys.tolist()))
+            out.append((bool(ys.any()), xs, ys))
     return out
 
 
@@ -281,16 +284,16 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
                 found = training_windows([text] if text else [])
                 for i, (hit, xs, ys) in enumerate(found):
                     yield pa.RecordBatch.from_arrays([pa.array([h]), pa.array([i], pa.int32()), pa.array([hit]),
-                                                      pa.array([xs], pa.list_(pa.int32())), pa.array([ys], pa.list_(pa.int32()))],
+                                                      pa.array([xs.tobytes()]), pa.array([ys.tobytes()])],
                                                      names=["h", "i", "hit", "x", "y"])
 
-    made = rows.where(F.col("h") <= last).mapInArrow(cut, "h long, i int, hit boolean, x array<int>, y array<int>")
+    made = rows.where(F.col("h") <= last).mapInArrow(cut, "h long, i int, hit boolean, x binary, y binary")
     # windows with a secret first; both kinds in an order that depends on the rows alone
     kept = made.orderBy(F.desc("hit"), "h", "i", "x").limit(sample_windows).collect()
     if not kept or not kept[0]["hit"]:
         return None
-    x = np.array([r["x"] for r in kept], np.int64).reshape(len(kept), WINDOW, -1)
-    return train(x, np.array([r["y"] for r in kept], np.int64))
+    x = np.frombuffer(b"".join(r["x"] for r in kept), np.uint16).reshape(len(kept), WINDOW, -1)
+    return train(x, np.frombuffer(b"".join(r["y"] for r in kept), np.uint8).reshape(len(kept), WINDOW))
 
 
 def field_spans(field: Field, texts: pa.Array) -> list[list[tuple[int, int]]]:

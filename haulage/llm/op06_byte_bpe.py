@@ -263,13 +263,25 @@ def decode(df: DataFrame, encoder: Encoder, ids_col: str = "ids", keep: list[str
     return annotate(df, ids_col, lambda: lambda ids: [encoder.decode(ids)], "decoded binary", keep)
 
 
+def round_trip(df: DataFrame, encoder: Encoder, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``df`` plus ``ids array<int>`` and ``decoded binary``, the ids decoded again, in one pass."""
+    def make():
+        fn = encoder.batch_encoder()
+
+        def both(texts):
+            ids = fn(texts)
+            return [ids, encoder.decode(ids)]
+        return both
+    return annotate(df, text_col, make, "ids array<int>, decoded binary", keep)
+
+
 def public_encoder() -> Encoder:
     import public_tokenizers
     return Encoder(read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
 
 
 def digests(docs: DataFrame, encoder: Encoder) -> DataFrame:
-    rows = decode(encode(docs.select("doc_id", "text"), encoder, keep=["doc_id"]), encoder)
+    rows = round_trip(docs.select("doc_id", "text"), encoder, keep=["doc_id"])
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))

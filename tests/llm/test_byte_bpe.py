@@ -69,6 +69,9 @@ def test_decode_nulls_and_unknown_ids():
 def test_edge_rows_and_clashing_names(spark):
     df = docs(spark).withColumn("IDS", F.lit("x")).withColumn("decoded", F.lit(1))
     out = op.decode(op.encode(df, ENCODER), ENCODER).collect()
+    again = op.round_trip(df, ENCODER)
+    assert again.columns == op.decode(op.encode(df, ENCODER), ENCODER).columns
+    assert sorted(map(str, again.collect())) == sorted(map(str, out))
     assert len(out) == len(ROWS)
     for r in out:
         assert r.ids == LIBRARY.encode_ordinary(r.text or "") and bytes(r.decoded) == (r.text or "").encode()
