@@ -5,10 +5,12 @@ For each language l the score of a document is
     log P(l | host) + log P(declared | l) + log P(suffix | l) + trust * log P(text | l)
 
 * Text: byte trigrams of the lower-cased letters, naive Bayes, fitted on a
-  bounded sample of labelled rows (SAMPLE_DOCS with the smallest hash of the
-  id). Neighbouring trigrams depend on each other, so a long text counts as
-  TRUST trigrams at most. A further class, ``und``, gives every trigram the
-  same small probability; it wins on text that is like none of the languages.
+  bounded sample of labelled rows: of each language the SAMPLE_DOCS distinct
+  rows with the smallest hash, so that a rare language is fitted too. A label
+  counts by its first part (``en-US`` is ``en``). Neighbouring trigrams depend
+  on each other, so a long text counts as TRUST trigrams at most. A further
+  class, ``und``, gives every trigram the same small probability; it wins on
+  text that is like none of the languages.
 * Host prior, smoothed by levels: host, then its domain (last two labels), then
   all documents. A level with few documents leans on the one above.
 * Declared markup language and address suffix: P(value | l) from counts.
@@ -24,7 +26,8 @@ declared language.
 
 Edge rows: a null or empty text is no evidence, and so is a null or unknown
 declared language, host or suffix. Without any evidence the language is
-``und`` and the row is not accepted. Ties go to the language listed first.
+``und`` and the row is not accepted. A language that no row is labelled with
+can't be fitted and isn't given. Ties go to the language listed first.
 Repeated rows get the same answer. An empty table gives an empty result. An
 input column named like a result column is replaced.
 """
@@ -42,7 +45,7 @@ from haulage.llm.registry import query, table
 
 LANGUAGES = ("en", "de", "fr", "es")
 UNKNOWN = "und"
-SAMPLE_DOCS = 4_000     # labelled rows that the text model is fitted on, at most
+SAMPLE_DOCS = 4_000     # labelled rows of each language that the text model is fitted on, at most
 TRIGRAMS = 1 << 16      # buckets of the text model
 TRUST = 200             # trigrams that a text counts as, at most
 UND_LOG_P = -10.5       # log probability of a trigram in the class und
@@ -71,16 +74,28 @@ def trigrams(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return row[:-2][same], ((code[same] * np.uint32(2654435761)) >> np.uint32(16)).astype(np.int64)
 
 
+def primary(tag: Column) -> Column:
+    """First part of a language tag, in lower case: ``en`` of ``en-US``."""
+    return F.regexp_extract(F.lower(tag), "^\\s*([^-_\\s]*)", 1)
+
+
 def fit(docs: DataFrame, label_col: str, id_col: str, text_col: str, languages=LANGUAGES,
         sample_docs: int = SAMPLE_DOCS) -> np.ndarray:
     """Log probabilities (trigram bucket, class), the class ``und`` last."""
     prepare(docs.sparkSession)
-    label = F.array_position(F.array(*map(F.lit, languages)), F.lower(F.col(f"`{label_col}`"))) - 1
-    rows = docs.select(F.xxhash64(F.col(f"`{id_col}`")).alias("h"), label.cast("int").alias("l"),
+    label = F.array_position(F.array(*map(F.lit, languages)), primary(F.col(f"`{label_col}`"))) - 1
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), label.cast("int").alias("l"),
                        F.col(f"`{text_col}`").cast("string").alias("text")).where("l >= 0")
-    last = rows.select("h").orderBy("h").limit(sample_docs).agg(F.max("h")).collect()[0][0]
+    rows = rows.select("l", "text", F.xxhash64("id", "l", "text").alias("h"))
+    # repeated rows count once, or a few of them could fill a language's share
+    hashes = store(rows.select("l", "h").distinct(), "language-labels")
+    last = [hashes.where(F.col("l") == i).select("h").orderBy("h").limit(sample_docs).agg(F.max("h")).collect()[0][0]
+            for i in range(len(languages))]
     counts = np.zeros((TRIGRAMS, len(languages)))
-    if last is not None:
+    if any(h is not None for h in last):
+        bound = F.element_at(F.array(*[F.lit(h).cast("long") for h in last]), F.col("l") + 1)
+        sample = rows.where(F.col("h") <= bound).dropDuplicates(["l", "h"])
+
         def count(batches):
             total = np.zeros((len(languages), TRIGRAMS), np.int64)
             for batch in batches:
@@ -94,7 +109,7 @@ def fit(docs: DataFrame, label_col: str, id_col: str, text_col: str, languages=L
                 yield pa.RecordBatch.from_arrays([pa.array(l, pa.int32()), pa.array(g, pa.int32()), pa.array(total[l, g])],
                                                  names=["l", "g", "n"])
         # at most one row per class and bucket reaches the driver
-        for r in (rows.where(F.col("h") <= last).select("l", "text").mapInArrow(count, "l int, g int, n long")
+        for r in (sample.select("l", "text").mapInArrow(count, "l int, g int, n long")
                   .groupBy("l", "g").agg(F.sum("n").alias("n")).collect()):
             counts[r["g"], r["l"]] = r["n"]
     counts += 0.05
@@ -208,7 +223,7 @@ def identify(docs: DataFrame, pages: DataFrame, languages=LANGUAGES) -> DataFram
                       "text_log_p array<double>", keep=["doc_id", "lang", "source", "row_key"])
     rows = (narrow.join(page_evidence(pages), "doc_id", "left")
             .select("row_key", "doc_id", "text_log_p", F.coalesce("page_host", "source").alias("host"),
-                    F.coalesce("page_language", F.lower("lang")).alias("declared"), suffix_of(F.col("page_host")).alias("suffix")))
+                    F.coalesce("page_language", primary(F.col("lang"))).alias("declared"), suffix_of(F.col("page_host")).alias("suffix")))
     return fuse(rows, classes).select("row_key", "doc_id", "language", "confidence", "accepted")
 
 

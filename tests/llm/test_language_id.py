@@ -1,3 +1,4 @@
+import pyarrow as pa
 import pyarrow.parquet as pq
 
 from haulage.llm import op01_language_id as op
@@ -42,6 +43,24 @@ def test_page_markup_counts_for_the_document(spark):
     assert got[500] == ("de", True) and len(out) == len(rows)
 
 
+def test_rare_language_is_fitted(spark):
+    """The bounded sample holds rows of every language, however rare its label and whatever form it has."""
+    rows = [(i, f"the of and with this is that on a{i} " * 4, "en-US", "a", 1) for i in range(600)]
+    rows += [(1000 + i, "der die das und ist nicht mit von " * 4, "DE", "a", 1) for i in range(3)]
+    rows += [(2000, "die und das ist mit der nicht von " * 3, None, None, 1)]
+    model = op.fit(docs(spark, rows), "lang", "doc_id", "text", sample_docs=20)
+    held = pa.array(["nicht mit der und das ist von die " * 3, "this is the that with and of on " * 3])
+    assert op.text_scores(model, held).argmax(axis=1).tolist() == [1, 0]
+    got, _ = _identify(spark, rows)
+    assert got[2000] == ("de", True) and got[0] == ("en", True)
+
+
+def test_repeated_rows_and_null_ids_do_not_fill_the_sample(spark):
+    rows = [(None, "xx yy zz", "de", "a", 1)] * 200 + [(None, f"der die das und ist nicht mit von b{i}", "de", "a", 1) for i in range(10)]
+    model = op.fit(docs(spark, rows), "lang", "doc_id", "text", sample_docs=11)
+    assert op.text_scores(model, pa.array(["der die das und ist nicht mit von"])).argmax() == 1
+
+
 def test_edge_rows(spark):
     got, out = _identify(spark, None)
     assert len(out) == docs(spark).count()
