@@ -192,23 +192,26 @@ def fuse(frame: DataFrame, classes: list[str]) -> DataFrame:
 
 
 def page_evidence(pages: DataFrame) -> DataFrame:
-    """(doc_id, page_host, page_language) of each document shown by a page, from its page of smallest id.
+    """(doc_id, page_host, page_language) of each document shown by a page.
 
     A page's path is ``/<language>/<document>``; its markup names a language.
+    Host and language each come from the page of smallest id that has one; a
+    null id comes last.
     """
     number = F.nullif(F.regexp_extract(path_of(F.col("url")), "^/[a-z]+/([0-9]{1,18})", 1), F.lit("")).try_cast("long")
     markup = F.lower(F.regexp_extract("html", "(?i)<html[^>]*\\blang\\s*=\\s*[\"']?([a-z]+)", 1))
     rows = pages.select(number.alias("doc_id"), "page_id", F.nullif(host_of(F.col("url")), F.lit("")).alias("host"),
                         F.nullif(markup, F.lit("")).alias("language")).where("doc_id is not null")
-    return (rows.groupBy("doc_id").agg(F.min(F.struct("page_id", "host", "language")).alias("p"))
-            .select("doc_id", F.col("p.host").alias("page_host"), F.col("p.language").alias("page_language")))
+    first = lambda c: F.min(F.when(F.col(c).isNotNull(), F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", c)))
+    return (rows.groupBy("doc_id").agg(first("host").alias("h"), first("language").alias("l"))
+            .select("doc_id", F.col("h.host").alias("page_host"), F.col("l.language").alias("page_language")))
 
 
 def identify(docs: DataFrame, pages: DataFrame, languages=LANGUAGES) -> DataFrame:
     """One row per row of ``docs``: row_key, doc_id, language, confidence, accepted.
 
-    A document's declared language and host are those of its page, where it
-    has one, else its ``lang`` and ``source``. ``row_key`` is a hash of what
+    A document's declared language and host are those of its pages, where they
+    have one, else its ``lang`` and ``source``. ``row_key`` is a hash of what
     the answer depends on.
     """
     model = fit(docs, "lang", "doc_id", "text", languages)

@@ -61,6 +61,15 @@ def test_repeated_rows_and_null_ids_do_not_fill_the_sample(spark):
     assert op.text_scores(model, pa.array(["der die das und ist nicht mit von"])).argmax() == 1
 
 
+def test_evidence_of_all_pages_of_a_document(spark):
+    """Host and language each come from the page of smallest id that has one; null ids come last."""
+    pages = [(3, "http://c.example.org/de/7", '<html lang="fr">'), (2, "http://b.example.org/de/7", '<html lang="de">'),
+             (1, "http://a.example.org/de/7", "<html>"), (None, "http://n.example.org/de/7", '<html lang="es">'),
+             (None, "http://n.example.org/de/8", '<html lang="es">'), (4, "http://d.example.org/de/9", None)]
+    got = {r.doc_id: (r.page_host, r.page_language) for r in op.page_evidence(spark.createDataFrame(pages, PAGES)).collect()}
+    assert got == {7: ("a.example.org", "de"), 8: ("n.example.org", "es"), 9: ("d.example.org", None)}
+
+
 def test_edge_rows(spark):
     got, out = _identify(spark, None)
     assert len(out) == docs(spark).count()
