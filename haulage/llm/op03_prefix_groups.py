@@ -209,14 +209,16 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
               .repartition("token").sortWithinPartitions("token")
               .mapInArrow(_shared_rows, "sig long, shared long").groupBy("sig").agg(F.sum("shared").alias("shared")))
     least = F.floor((SHARE * F.col("n") + 99) / 100)
-    reps = (sets.where("n > 0").groupBy("sig", "n").agg(F.min("id").alias("rep")).join(shared, "sig")
+    # a row with an id stands for its set
+    named_row = F.when(F.col("id").isNotNull(), F.col("row_key"))
+    reps = (sets.where("n > 0").groupBy("sig", "n").agg(F.min(named_row).alias("rep")).join(shared, "sig")
             .where(F.col("shared") >= F.greatest(F.lit(1), F.floor(least / SLACK))).select("sig", "n", "rep"))
     reps = store(reps, "candidates")
     wanted = reps.where("rep is not null").select("rep").distinct()
     blocks = min(MAX_BLOCKS, max(64, 1 << (wanted.count() // 4).bit_length()))
-    # the filter keeps most texts out of the join's shuffle
-    texts = (src.where(may_hold(F.col("id"), wanted, "rep", blocks))
-             .join(wanted, F.col("id") == F.col("rep"), "left_semi"))
+    # the filter keeps most texts out of the join's shuffle; of repeated rows one is left, so each set is there once
+    texts = (keyed.select("row_key", "text").where(may_hold(F.col("row_key"), wanted, "rep", blocks))
+             .dropDuplicates(["row_key"]).join(wanted, F.col("row_key") == F.col("rep"), "left_semi"))
     tokens = store(annotate(texts, "text", _tokens, "sig long, n long, tokens array<long>", keep=[]), "tokens")
 
     # 2. rare-first prefixes of the sets that have enough tokens in common with others

@@ -79,6 +79,23 @@ def test_one_document_of_each_class_stays(spark):
     assert all(r.stays for r in out if r.n_shingles == 0)
 
 
+def test_repeated_rows_are_one_set(spark, monkeypatch):
+    """Each set is exploded and verified once, however often its row is repeated."""
+    stored = {}
+    store = op.store
+
+    def noted(df, kind, *args):
+        out = store(df, kind, *args)
+        stored[kind] = out
+        return out
+    monkeypatch.setattr(op, "store", noted)
+    text = " ".join(f"r{i}" for i in range(60))
+    # id 1 has a second text: its set has a row of its own to stand for it, or none
+    _check(spark, [(1, text)] * 30 + [(2, text + " end")] * 20 + [(1, "other words that are not like those above at all")])
+    sigs = [r.sig for r in stored["tokens"].select("sig").collect()]
+    assert len(sigs) == len(set(sigs)) == 2
+
+
 def test_empty_table_and_clashing_columns(spark):
     assert _got(spark, []) == []
     extra = docs(spark).withColumn("sig", F.lit("x")).withColumn("token", F.lit(1)).withColumn("row_key", F.lit(2))
