@@ -25,9 +25,8 @@ each exact, that leave less and less to do:
 Edge rows: a null or empty text, or one of white space, has no shingles and
 links with nothing. With fewer than five words the whole sequence is the one
 shingle. Repeated rows have equal sets and come back each. A row with a null id
-comes back and never names a class; it belongs to the class of the documents
-with an equal set, and a set that only such rows have links with nothing and
-has a null class id. An empty table gives no rows. Other columns are not read.
+comes back and links like others but never names a class; a class of such rows
+only has a null class id. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -209,12 +208,10 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
               .repartition("token").sortWithinPartitions("token")
               .mapInArrow(_shared_rows, "sig long, shared long").groupBy("sig").agg(F.sum("shared").alias("shared")))
     least = F.floor((SHARE * F.col("n") + 99) / 100)
-    # a row with an id stands for its set
-    named_row = F.when(F.col("id").isNotNull(), F.col("row_key"))
-    reps = (sets.where("n > 0").groupBy("sig", "n").agg(F.min(named_row).alias("rep")).join(shared, "sig")
+    reps = (sets.where("n > 0").groupBy("sig", "n").agg(F.min("row_key").alias("rep")).join(shared, "sig")
             .where(F.col("shared") >= F.greatest(F.lit(1), F.floor(least / SLACK))).select("sig", "n", "rep"))
     reps = store(reps, "candidates")
-    wanted = reps.where("rep is not null").select("rep").distinct()
+    wanted = reps.select("rep").distinct()
     blocks = min(MAX_BLOCKS, max(64, 1 << (wanted.count() // 4).bit_length()))
     # the filter keeps most texts out of the join's shuffle; of repeated rows one is left, so each set is there once
     texts = (keyed.select("row_key", "text").where(may_hold(F.col("row_key"), wanted, "rep", blocks))

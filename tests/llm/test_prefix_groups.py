@@ -96,6 +96,16 @@ def test_repeated_rows_are_one_set(spark, monkeypatch):
     assert len(sigs) == len(set(sigs)) == 2
 
 
+def test_rows_without_id_link_like_others(spark):
+    """A set that only rows with a null id have links, joins classes and is thinned out."""
+    chain, alone = [f"n{i}" for i in range(130)], [f"m{i}" for i in range(60)]
+    part = lambda w, a: " ".join(w[a:a + 60])
+    rows = [(5, part(chain, 0)), (None, part(chain, 5)), (9, part(chain, 10)), (None, part(alone, 0)), (None, part(alone, 0) + " end")]
+    out = _got(spark, [(i, t, "en", "a", 1) for i, t in rows])
+    assert sorted(((r.id, r.class_id) for r in out), key=str) == sorted([(5, 5), (9, 5), (None, 5), (None, None), (None, None)], key=str)
+    assert sum(r.stays for r in out if r.class_id == 5) == 1 and sum(r.stays for r in out if r.class_id is None) == 1
+
+
 def test_empty_table_and_clashing_columns(spark):
     assert _got(spark, []) == []
     extra = docs(spark).withColumn("sig", F.lit("x")).withColumn("token", F.lit(1)).withColumn("row_key", F.lit(2))
