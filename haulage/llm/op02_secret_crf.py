@@ -8,9 +8,14 @@ file's density of digits and punctuation. Tags come from Viterbi decoding.
 Tokens tagged begin or inside that no base span touches are added as spans of
 kind ``crf``.
 
-Training. The field learns from the base spans of a bounded sample: the
-SAMPLE_DOCS documents with the smallest hash of their id, of which at most
-SAMPLE_WINDOWS windows of WINDOW tokens are used. The keyword and the quotes
+Training. The field learns from the base spans of a bounded sample. Documents
+are sorted by the kinds of base spans that they hold anywhere in the corpus, or
+as clean; of each sort the distinct texts with the smallest hash are taken, at
+most SAMPLE_DOCS in all. Of their windows of WINDOW tokens at most
+SAMPLE_WINDOWS are used. Each kind of base span, harmless tokens beside them
+and clean documents have an equal share of both bounds, and what one leaves
+open goes to the others. A document gives DOC_WINDOWS windows of a kind at
+most, and its second one only after the first one of every other. The keyword and the quotes
 before a value are seen by their hash only, the value by its shape, so it tags
 values of the same make in other surroundings.
 
@@ -20,7 +25,7 @@ tags it outside; Viterbi runs over the stretches between such tokens, all
 stretches of a batch side by side.
 
 Edge rows: a null or empty text has no spans. Without any base span in the
-sample there is nothing to learn and the field adds nothing. Repeated rows are
+table there is nothing to learn and the field adds nothing. Repeated rows are
 scanned each, a null id changes nothing; an empty table gives an empty result;
 an input column named like a result column is replaced. Whole texts are read.
 """
@@ -34,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulage.llm.common import _BYTE, _LOWER, _powers, annotate, chunks, mix, prepare, text_buffer
+from haulage.llm.common import _BYTE, _LOWER, _powers, annotate, chunks, mix, prepare, store, text_buffer
 from haulage.llm.registry import query, table
 
 KINDS = ("assign", "access", "hex", "crf")
@@ -45,9 +50,14 @@ _ASSIGN = re.compile(r"""((?:password|passwd|secret|token|api_?key))["']?\x20*[:
 _ASSIGN_LEAST = 6
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # 20 characters or more; a shorter match has no longer one inside
 _HEX = re.compile(r"[0-9a-f]{24,}")         # 24 or more, likewise
+# In Spark: true wherever there is a base span, and for a few other texts.
+_ANY = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{6}|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"""
+CLEAN = 3       # sort of a document without a base span
+HARMLESS = 4    # kind of a window around a harmless token of a document that has base spans
 
 SAMPLE_DOCS = 10_000
 SAMPLE_WINDOWS = 6_000
+DOC_WINDOWS = 64   # windows of one kind from a document, at most
 WINDOW = 21        # tokens of a training window, the labelled one in the middle
 EPOCHS = 12
 LEAST_CHARS = 8    # characters of a span that the field adds, at least
@@ -64,8 +74,13 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def value_spans(text: str) -> list[tuple[int, int]]:
     """Spans of the secrets themselves: an assignment's value, else the match."""
-    out = [m.span(2) for m in _ASSIGN.finditer(text) if len(m[2]) >= _ASSIGN_LEAST]
-    return out + [m.span() for m in _ACCESS.finditer(text)] + [m.span() for m in _HEX.finditer(text)]
+    return [(a, b) for a, b, _ in _values(text)]
+
+
+def _values(text: str) -> list[tuple[int, int, int]]:
+    """(start, end, kind) of the secrets themselves."""
+    out = [(*m.span(2), 0) for m in _ASSIGN.finditer(text) if len(m[2]) >= _ASSIGN_LEAST]
+    return out + [(*m.span(), 1) for m in _ACCESS.finditer(text)] + [(*m.span(), 2) for m in _HEX.finditer(text)]
 
 
 # --- tokens and features ----------------------------------------------------
@@ -232,65 +247,107 @@ def train(x: np.ndarray, y: np.ndarray, epochs: int = EPOCHS) -> Field:
     return Field(weights, steps)
 
 
-def _byte_place(text: str, at: int) -> int:
-    return len(text[:at].encode())
+def _byte_places(text: str, values: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Byte spans of sorted values, in one walk along the text."""
+    place, at = {0: 0}, 0
+    for p in sorted({p for a, b, _ in values for p in (a, b)}):
+        place[p] = place[at] + len(text[at:p].encode())
+        at = p
+    return [(place[a], place[b]) for a, b, _ in values]
 
 
-def training_windows(texts: list[str]) -> list[tuple[bool, np.ndarray, np.ndarray]]:
-    """(has a secret, features, tags) around each base span, and around one token of every text.
+def training_windows(text: str) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(kind, number within the kind, features, tags) around base spans and around one harmless token.
 
     Feature numbers stay below 2**16 and are kept in two bytes.
     """
+    data, off = text_buffer(pa.array([text]))
+    start, end, row = tokens_of(data, off)
+    if len(start) == 0:
+        return []
+    x = features(data, off, start, end, row)
+    y = np.zeros(len(start), np.int64)
+    middles: list[list[int]] = [[], [], []]
+    values = sorted(_values(text))
+    for (_, _, kind), (a, b) in zip(values, _byte_places(text, values)):
+        first, last = int(np.searchsorted(end, a, side="right")), int(np.searchsorted(start, b, side="left"))
+        y[first:last] = INSIDE
+        y[first:min(first + 1, last)] = BEGIN
+        middles[kind].extend([first] if last > first else [])
+    digits = np.flatnonzero(x[:, 2] >= _FIRST[2] + 200)  # tokens with a digit, often alike but harmless
+    plain = digits[y[digits] == OUT]
+    harmless = int(plain[len(text) % len(plain)]) if len(plain) else len(text) % len(start)
     out = []
-    for text in texts:
-        data, off = text_buffer(pa.array([text]))
-        start, end, row = tokens_of(data, off)
-        if len(start) == 0:
-            continue
-        x = features(data, off, start, end, row)
-        y = np.zeros(len(start), np.int64)
-        middles = []
-        for a, b in sorted(value_spans(text)):
-            a, b = _byte_place(text, a), _byte_place(text, b)
-            hit = np.flatnonzero((start < b) & (end > a))
-            y[hit] = INSIDE
-            y[hit[:1]] = BEGIN
-            middles.extend(hit[:1].tolist())
-        digits = np.flatnonzero(x[:, 2] >= _FIRST[2] + 200)  # tokens with a digit, often alike but harmless
-        plain = digits[y[digits] == OUT]
-        middles.append(int(plain[len(text) % len(plain)]) if len(plain) else len(text) % len(start))
-        for c in middles:
+    for kind, places in [*enumerate(middles), (HARMLESS if values else CLEAN, [harmless])]:
+        # evenly over the document, if it has more
+        spread = np.unique(np.linspace(0, len(places) - 1, min(len(places), DOC_WINDOWS)).astype(int)) if places else []
+        for i, c in enumerate(places[j] for j in spread):
             at = np.arange(c - WINDOW // 2, c + WINDOW // 2 + 1)
             inside = (at >= 0) & (at < len(start))
             xs = np.full((WINDOW, x.shape[1]), PAD, np.uint16)
             ys = np.zeros(WINDOW, np.uint8)
             xs[inside], ys[inside] = x[at[inside]], y[at[inside]]
-            out.append((bool(ys.any()), xs, ys))
+            out.append((kind, i, xs, ys))
     return out
 
 
+def shares(sizes: list[int], total: int) -> list[int]:
+    """Equal shares of ``total``; what one doesn't need goes to the others."""
+    out = [0] * len(sizes)
+    order = sorted(range(len(sizes)), key=lambda k: sizes[k])
+    for at, k in enumerate(order):
+        out[k] = min(sizes[k], -(-(total - sum(out)) // (len(sizes) - at)))
+    return out
+
+
+def _sorts(batches):
+    """(sort, h) of rows (h, text); a null text stands for a clean one."""
+    for batch in batches:
+        found = set()
+        for h, text in zip(*(c.to_pylist() for c in batch.columns)):
+            kinds = {k for _, _, k in _values(text)} if text else ()
+            found.update((k, h) for k in kinds or (CLEAN,))
+        if found:
+            kind, h = zip(*sorted(found))
+            yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(h, pa.int64())], names=["sort", "h"])
+
+
+def _cut(batches):
+    for batch in batches:
+        for h, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for kind, i, xs, ys in training_windows(text):
+                yield pa.RecordBatch.from_arrays([pa.array([h]), pa.array([kind], pa.int32()), pa.array([i], pa.int32()),
+                                                  pa.array([xs.tobytes()]), pa.array([ys.tobytes()])], names=["h", "kind", "i", "x", "y"])
+
+
+def sample(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS, sample_windows: int = SAMPLE_WINDOWS) -> list:
+    """Rows (kind, x, y) of the windows to learn from; none if no document has a base span."""
+    spark = docs.sparkSession
+    text = F.col(f"`{text_col}`").cast("string")
+    rows = docs.select(text.alias("text")).where("text <> ''").select("text", F.xxhash64("text").alias("h"))
+    sorts = store(rows.select("h", F.when(F.col("text").rlike(_ANY), F.col("text")).alias("text"))
+                  .mapInArrow(_sorts, "sort int, h long").distinct(), "secret-sorts")
+    first = [[r["h"] for r in sorts.where(F.col("sort") == k).select("h").orderBy("h").limit(sample_docs).collect()] for k in range(CLEAN + 1)]
+    if not any(first[:CLEAN]):
+        return []
+    taken = sorted({h for f, n in zip(first, shares([len(f) for f in first], sample_docs)) for h in f[:n]})
+    # at most sample_docs hashes; equal texts count once
+    chosen = F.broadcast(spark.createDataFrame(pa.table({"h": pa.array(taken, pa.int64())})))
+    made = store(rows.join(chosen, "h", "left_semi").dropDuplicates(["h"]).select("h", "text")
+                 .mapInArrow(_cut, "h long, kind int, i int, x binary, y binary"), "secret-windows")
+    held = {r["kind"]: r["count"] for r in made.groupBy("kind").count().collect()}
+    sizes = [held.get(k, 0) for k in range(HARMLESS + 1)]
+    # in an order that depends on the texts alone
+    return [r for k, n in enumerate(shares(sizes, sample_windows)) if n
+            for r in made.where(F.col("kind") == k).orderBy("i", "h").limit(n).select("kind", "x", "y").collect()]
+
+
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS,
           sample_windows: int = SAMPLE_WINDOWS) -> Field | None:
-    """The field trained on a bounded sample of ``docs``; None if the sample holds no secret."""
+    """The field trained on a bounded sample of ``docs``; None if no document holds a secret."""
     prepare(docs.sparkSession)
-    rows = docs.select(F.xxhash64(F.col(f"`{id_col}`")).alias("h"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    last = rows.select("h").orderBy("h").limit(sample_docs).agg(F.max("h")).collect()[0][0]
-    if last is None:
-        return None
-
-    def cut(batches):
-        for batch in batches:
-            for h, text in zip(*(c.to_pylist() for c in batch.columns)):
-                found = training_windows([text] if text else [])
-                for i, (hit, xs, ys) in enumerate(found):
-                    yield pa.RecordBatch.from_arrays([pa.array([h]), pa.array([i], pa.int32()), pa.array([hit]),
-                                                      pa.array([xs.tobytes()]), pa.array([ys.tobytes()])],
-                                                     names=["h", "i", "hit", "x", "y"])
-
-    made = rows.where(F.col("h") <= last).mapInArrow(cut, "h long, i int, hit boolean, x binary, y binary")
-    # windows with a secret first; both kinds in an order that depends on the rows alone
-    kept = made.orderBy(F.desc("hit"), "h", "i", "x").limit(sample_windows).collect()
-    if not kept or not kept[0]["hit"]:
+    kept = sample(docs, text_col, sample_docs, sample_windows)
+    if not kept:
         return None
     x = np.frombuffer(b"".join(r["x"] for r in kept), np.uint16).reshape(len(kept), WINDOW, -1)
     return train(x, np.frombuffer(b"".join(r["y"] for r in kept), np.uint8).reshape(len(kept), WINDOW))

@@ -83,6 +83,23 @@ def test_field_finds_held_out_values(spark):
     assert total and found >= 0.9 * total and extra <= 0.1 * total + 2
 
 
+def test_sample_takes_rare_secrets_of_every_kind(spark):
+    """Few documents with secrets, one of them dense, and null ids: every kind and clean text get their share."""
+    digests = " ".join(hashlib.sha256(str(i).encode()).hexdigest() for i in range(300))
+    rows = [(i, f"plain words of document {i} and nothing more", "en", "a", 1) for i in range(400)]
+    rows += [(None, digests, "en", "a", 1)] * 3 + [(None, f"the key AKIA{i:016d} of the host", "en", "a", 1) for i in range(3)]
+    rows += [(1000 + i, f"here password=abcdefgh{i} is set", "en", "a", 1) for i in range(3)]
+    d = docs(spark, rows)
+    kinds = [r["kind"] for r in op.sample(d, sample_docs=20, sample_windows=30)]
+    assert len(kinds) == 30
+    assert kinds.count(0) == kinds.count(1) == 3 and kinds.count(2) >= 6 and kinds.count(op.CLEAN) >= 6
+    assert op.learn(d, sample_docs=20, sample_windows=30) is not None
+
+
+def test_shares():
+    assert op.shares([3, 100, 100, 0], 30) == [3, 14, 13, 0] and op.shares([1, 2], 30) == [1, 2]
+
+
 def test_edge_rows_and_masking(spark):
     field = op.learn(docs(spark))
     out = op.find_secrets(docs(spark), field).withColumn("masked", op.mask(F.col("text"), F.col("spans"))).collect()
