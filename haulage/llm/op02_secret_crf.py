@@ -5,8 +5,8 @@ as tokens (runs of word characters, runs of other characters) and tags each as
 secret begin, inside or outside. Features: the token's shape (length, kinds of
 characters, how often they change), the words around it, their shapes, and the
 file's density of digits and punctuation. Tags come from Viterbi decoding.
-Tokens tagged begin or inside that no base span touches are added as spans of
-kind ``crf``.
+What runs of tokens tagged begin or inside hold outside the base spans is added
+as spans of kind ``crf``, if it has at least LEAST_CHARS (8) characters.
 
 Training. The field learns from the base spans of a bounded sample. Documents
 are sorted by the kinds of base spans that they hold anywhere in the corpus, or
@@ -376,19 +376,31 @@ def field_spans(field: Field, texts: pa.Array) -> list[list[tuple[int, int]]]:
     return out
 
 
+def _outside(s: int, e: int, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The parts of s..e that no base span (sorted by start) covers."""
+    out = []
+    for s2, _, e2 in base:
+        if s2 >= e:
+            break
+        if s2 > s:
+            out.append((s, s2))
+        s = max(s, e2)
+    return [*out, (s, e)] if s < e else out
+
+
 def all_spans(field: Field | None, texts: pa.Array) -> list[list[dict]]:
     """Base spans and the field's, per text, by start and kind; places count code points."""
     tagged = field_spans(field, texts) if field is not None else [[] for _ in range(len(texts))]
     out = []
     for text, extra in zip(texts.to_pylist(), tagged):
         spans = base_spans(text) if text else []
+        base = list(spans)
         if extra:
             raw = text.encode()
             for s, e in extra:
                 s = len(raw[:s].decode())
                 e = s + len(raw[len(text[:s].encode()):e].decode())
-                if e - s >= LEAST_CHARS and not any(s < e2 and e > s2 for s2, _, e2 in spans):
-                    spans.append((s, 3, e))
+                spans.extend((a, 3, b) for a, b in _outside(s, e, base) if b - a >= LEAST_CHARS)
             spans.sort()
         out.append([{"kind": KINDS[k], "start": s, "end": e} for s, k, e in spans])
     return out

@@ -111,6 +111,20 @@ def test_edge_rows_and_masking(spark):
     assert by_id[11].spans == []  # only ASCII letters count as either case
 
 
+def test_rest_of_a_tagged_run_is_reported(monkeypatch):
+    """The base span ends at '$'; what the field tags beyond it is a span of its own."""
+    text = "é password=Xy9abc7$kLm2pQ7Zz end"
+    start, end = len(text[:text.index("Xy")].encode()), len(text[:text.index(" end")].encode())
+    monkeypatch.setattr(op, "field_spans", lambda field, texts: [[(start, end)]])
+    got = op.all_spans(object(), pa.array([text]))[0]
+    assert [(s["kind"], text[s["start"]:s["end"]]) for s in got] == [("assign", "password=Xy9abc7"), ("crf", "$kLm2pQ7Zz")]
+
+
+def test_parts_outside_base_spans():
+    assert op._outside(0, 10, []) == [(0, 10)] and op._outside(2, 10, [(0, 0, 3), (5, 1, 6), (5, 2, 8)]) == [(3, 5), (8, 10)]
+    assert op._outside(2, 10, [(0, 0, 20)]) == [] and op._outside(2, 10, [(12, 0, 20)]) == [(2, 10)]
+
+
 def test_masking_of_overlapping_spans(spark):
     text = "x token=" + "0123456789abcdef" * 2 + "zz é"
     df = spark.createDataFrame([(text,)], "text string")
