@@ -9,7 +9,7 @@ task) or a ``row_number`` over already-aggregated lanes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulage import dims
@@ -62,6 +62,29 @@ def long_to_wide(flows: DataFrame, years: list[int], keys: list[str]) -> DataFra
 
 
 # ---- aggregates ------------------------------------------------------------
+#
+# The aggregates of one year take its number. With None the rows are those of
+# the wanted year already (``latest`` gives them), so nothing is filtered. Their
+# tonnage column is ``tons_<year>`` or ``tons_latest``.
+
+def latest_year(flows: DataFrame) -> Column:
+    """The last year that has flows, as a scalar subquery."""
+    return flows.select(F.max("year")).scalar()
+
+
+def latest(flows: DataFrame) -> DataFrame:
+    """Flows of the last year. On a stored table with a folder per year the
+    subquery runs first, and the scan opens that folder only."""
+    return flows.where(F.col("year") == latest_year(flows))
+
+
+def of_year(flows: DataFrame, year: int | None) -> DataFrame:
+    return flows if year is None else flows.where(F.col("year") == year)
+
+
+def tons_column(year: int | None) -> str:
+    return "tons_latest" if year is None else f"tons_{year}"
+
 
 def yearly_totals(flows: DataFrame) -> DataFrame:
     """A1: per year total tons and value, in thousands, 2 dp."""
@@ -77,39 +100,39 @@ def state_year_totals(flows: DataFrame) -> DataFrame:
             .agg(F.sum("tons").alias("tons"), money_sum("value").alias("value")))
 
 
-def state_latest(flows: DataFrame, year: int) -> DataFrame:
+def state_latest(flows: DataFrame, year: int | None) -> DataFrame:
     """A2 latest-year slice with tons_m / value_b (filter pushed below the aggregate)."""
-    return (state_year_totals(flows.where(F.col("year") == year))
+    return (state_year_totals(of_year(flows, year))
             .withColumn("tons_m", round_half_up(F.col("tons") / 1e3, 2))
             .withColumn("value_b", round_half_up(F.col("value") / 1e3, 2)))
 
 
-def lane_totals(flows: DataFrame, year: int, k: int | None = 100) -> DataFrame:
+def lane_totals(flows: DataFrame, year: int | None, k: int | None = 100) -> DataFrame:
     """Tons by (origin, destination, commodity, mode) in ``year``,
     top ``k`` (largest first, ties by key), or all lanes in no order; tons_m in
     thousands, 2 dp."""
-    t = f"tons_{year}"
-    lanes = (flows.where(F.col("year") == year)
+    t = tons_column(year)
+    lanes = (of_year(flows, year)
              .groupBy(*LANE_KEYS).agg(F.sum("tons").alias(t))
              .withColumn("tons_m", round_half_up(F.col(t) / 1e3, 2)))
     return lanes.orderBy(F.desc(t), *LANE_KEYS).limit(k) if k else lanes
 
 
-def mode_split(flows: DataFrame, year: int) -> DataFrame:
+def mode_split(flows: DataFrame, year: int | None) -> DataFrame:
     """A4: tons by mode, largest first."""
-    t = f"tons_{year}"
-    return (flows.where(F.col("year") == year).groupBy("mode").agg(F.sum("tons").alias(t))
+    t = tons_column(year)
+    return (of_year(flows, year).groupBy("mode").agg(F.sum("tons").alias(t))
             .orderBy(F.desc(t), "mode"))
 
 
-def commodity_split(flows: DataFrame, year: int) -> DataFrame:
+def commodity_split(flows: DataFrame, year: int | None) -> DataFrame:
     """A5: tons by commodity, largest first."""
-    t = f"tons_{year}"
-    return (flows.where(F.col("year") == year).groupBy("commodity").agg(F.sum("tons").alias(t))
+    t = tons_column(year)
+    return (of_year(flows, year).groupBy("commodity").agg(F.sum("tons").alias(t))
             .orderBy(F.desc(t), "commodity"))
 
 
-def trade_balance(flows: DataFrame, year: int) -> DataFrame:
+def trade_balance(flows: DataFrame, year: int | None) -> DataFrame:
     """Outbound, inbound, net and net in thousands per state.
 
     Lanes are pre-aggregated (origin, destination) first, then each lane is
@@ -117,8 +140,8 @@ def trade_balance(flows: DataFrame, year: int) -> DataFrame:
     destination, and one groupBy sums them: no full outer join, and states
     with only one direction get 0 for the other.
     """
-    t = f"tons_{year}"
-    lanes = (flows.where(F.col("year") == year)
+    t = tons_column(year)
+    lanes = (of_year(flows, year)
              .groupBy("origin", "destination").agg(F.sum("tons").alias("_t")))
     sides = lanes.select(F.explode(F.array(
         F.struct(F.col("origin").alias("state"), F.col("_t").alias("o"), F.lit(0.0).alias("i")),
@@ -129,9 +152,9 @@ def trade_balance(flows: DataFrame, year: int) -> DataFrame:
             .withColumn("net_tons_m", round_half_up(F.col("net_tons") / 1e3, 2)))
 
 
-def trade_balance_full_join(flows: DataFrame, year: int) -> DataFrame:
+def trade_balance_full_join(flows: DataFrame, year: int | None) -> DataFrame:
     """The same balance written as outbound FULL OUTER JOIN inbound, fill 0."""
-    f = flows.where(F.col("year") == year)
+    f = of_year(flows, year)
     out = f.groupBy(F.col("origin").alias("state")).agg(F.sum("tons").alias("outbound"))
     inn = f.groupBy(F.col("destination").alias("state")).agg(F.sum("tons").alias("inbound"))
     bal = out.join(inn, "state", "full").na.fill(0.0, ["outbound", "inbound"])
@@ -139,11 +162,11 @@ def trade_balance_full_join(flows: DataFrame, year: int) -> DataFrame:
             .withColumn("net_tons_m", round_half_up(F.col("net_tons") / 1e3, 2)))
 
 
-def avg_haul(flows: DataFrame, routes: DataFrame, year: int) -> DataFrame:
+def avg_haul(flows: DataFrame, routes: DataFrame, year: int | None) -> DataFrame:
     """Ton-miles / tons by origin, 1 dp. Ton-miles = tons x route miles
     (routes: origin, destination, driving_mi). Lanes are aggregated before
     the route join, so the join sees one row per lane."""
-    lanes = (flows.where(F.col("year") == year)
+    lanes = (of_year(flows, year)
              .groupBy("origin", "destination").agg(F.sum("tons").alias("_t")))
     r = routes.select("origin", "destination", "driving_mi")
     haul = (lanes.join(r, ["origin", "destination"])
@@ -152,20 +175,20 @@ def avg_haul(flows: DataFrame, routes: DataFrame, year: int) -> DataFrame:
     return haul.select("state", round_half_up(safe_div("_tm", "_t"), 1).alias("avg_miles"))
 
 
-def top_lanes_by_mode(flows: DataFrame, year: int, mode: str, k: int = 20) -> DataFrame:
+def top_lanes_by_mode(flows: DataFrame, year: int | None, mode: str, k: int = 20) -> DataFrame:
     """Top ``k`` (origin, destination) lanes of one mode."""
-    t = f"tons_{year}"
-    return (flows.where((F.col("year") == year) & (F.col("mode") == mode))
+    t = tons_column(year)
+    return (of_year(flows, year).where(F.col("mode") == mode)
             .groupBy("origin", "destination").agg(F.sum("tons").alias(t))
             .withColumn("tons_m", round_half_up(F.col(t) / 1e3, 2))
             .orderBy(F.desc(t), "origin", "destination").limit(k))
 
 
-def top_lanes_every_mode(flows: DataFrame, year: int, k: int = 20) -> DataFrame:
+def top_lanes_every_mode(flows: DataFrame, year: int | None, k: int = 20) -> DataFrame:
     """A8 for all modes at once: row_number per mode over the aggregated
     lanes (at most origins x destinations rows per mode)."""
-    t = f"tons_{year}"
-    lanes = (flows.where(F.col("year") == year)
+    t = tons_column(year)
+    lanes = (of_year(flows, year)
              .groupBy("mode", "origin", "destination").agg(F.sum("tons").alias(t)))
     w = Window.partitionBy("mode").orderBy(F.desc(t), "origin", "destination")
     return (lanes.withColumn("lane_rank", F.row_number().over(w))
@@ -187,10 +210,10 @@ def year_over_year(yearly: DataFrame, metric: str = "tons_m") -> DataFrame:
     return yearly.withColumn("yoy_pct", round_half_up(safe_div(F.col(metric) - prev, prev) * 100, 1))
 
 
-def mode_summary(flows: DataFrame, year: int, mode: str) -> DataFrame:
+def mode_summary(flows: DataFrame, year: int | None, mode: str) -> DataFrame:
     """Total tons (thousands) and lane count for one mode."""
-    t = f"tons_{year}"
-    lanes = (flows.where((F.col("year") == year) & (F.col("mode") == mode))
+    t = tons_column(year)
+    lanes = (of_year(flows, year).where(F.col("mode") == mode)
              .groupBy("origin", "destination").agg(F.sum("tons").alias(t)))
     return lanes.agg(round_half_up(F.sum(t) / 1e3, 2).alias("total_tons_m"),
                      F.count(F.lit(1)).alias("lanes"))

@@ -2,8 +2,9 @@
 
 Routes are built for the lanes that carry freight (distinct origin /
 destination pairs of the flow table), not as an all-pairs cross product:
-the pair set comes from a ``distinct`` and the coordinates from two
-broadcast lookups of the (fixed-size) centroid dimension.
+the pair set comes from a ``distinct``, a pair and its reverse are worked out
+once, and the coordinates come from two broadcast lookups of the (fixed-size)
+centroid dimension.
 """
 
 from __future__ import annotations
@@ -44,22 +45,33 @@ def parse_routing(raw: DataFrame, payload: str = "payload") -> DataFrame:
 
 
 def route_table(pairs: DataFrame, routed: DataFrame, centers: DataFrame) -> DataFrame:
-    """One row per (origin, destination) pair. Same-place pairs
-    are 0 miles / 0 hours; routed pairs take the routed values; the rest fall
-    back to the great-circle distance (1 dp) at 55 mph (2 dp)."""
+    """One row per (origin, destination) pair.
+
+    A pair and its reverse are one unordered pair, worked out once and mirrored
+    into the directions that were asked for, so both have equal miles and hours.
+    Same-place pairs are 0 miles / 0 hours. The others take the routed values of
+    the direction whose origin sorts first, else those of the other direction,
+    else the great-circle distance (1 dp) at 55 mph (2 dp).
+    """
+    low, high = F.least("origin", "destination").alias("_a"), F.greatest("origin", "destination").alias("_b")
+    ends = (pairs.select(low, high, (F.col("origin") <= F.col("destination")).alias("_f"))
+            .groupBy("_a", "_b").agg(F.bool_or("_f").alias("_forward"), F.bool_or(~F.col("_f")).alias("_back")))
+    legs = (routed.select(low, high, F.struct("routed_mi", "routed_hr").alias("_leg"), (F.col("origin") > F.col("destination")).alias("_r"))
+            .groupBy("_a", "_b").agg(F.min_by("_leg", "_r").alias("_leg")))
     c = centers.select("code", "lat", "lon")
-    o = c.select(F.col("code").alias("origin"), F.col("lat").alias("_olat"), F.col("lon").alias("_olon"))
-    d = c.select(F.col("code").alias("destination"), F.col("lat").alias("_dlat"), F.col("lon").alias("_dlon"))
+    o = c.select(F.col("code").alias("_a"), F.col("lat").alias("_olat"), F.col("lon").alias("_olon"))
+    d = c.select(F.col("code").alias("_b"), F.col("lat").alias("_dlat"), F.col("lon").alias("_dlon"))
     gc = round_half_up(haversine_miles("_olat", "_olon", "_dlat", "_dlon"), 1)
-    same = F.col("origin") == F.col("destination")
-    return (pairs.select("origin", "destination").join(o, "origin").join(d, "destination")
-            .join(routed, ["origin", "destination"], "left")
-            .select("origin", "destination",
-                    F.when(F.col("routed_mi").isNotNull(), F.col("routed_mi"))
-                     .when(same, F.lit(0.0)).otherwise(gc).alias("driving_mi"),
-                    F.when(F.col("routed_mi").isNotNull(), F.col("routed_hr"))
-                     .when(same, F.lit(0.0)).otherwise(round_half_up(gc / dims.SPEED_BASELINE, 2))
-                     .alias("driving_hr")))
+    same, known = F.col("_a") == F.col("_b"), F.col("_leg").isNotNull()
+    once = (ends.join(o, "_a").join(d, "_b").join(legs, ["_a", "_b"], "left")
+            .select("_a", "_b", "_forward", "_back",
+                    F.when(same, F.lit(0.0)).when(known, F.col("_leg.routed_mi")).otherwise(gc).alias("driving_mi"),
+                    F.when(same, F.lit(0.0)).when(known, F.col("_leg.routed_hr"))
+                     .otherwise(round_half_up(gc / dims.SPEED_BASELINE, 2)).alias("driving_hr")))
+    directions = F.array(F.when(F.col("_forward"), F.struct(F.col("_a").alias("origin"), F.col("_b").alias("destination"))),
+                         F.when(F.col("_back"), F.struct(F.col("_b").alias("origin"), F.col("_a").alias("destination"))))
+    return (once.select(F.explode(F.array_compact(directions)).alias("_d"), "driving_mi", "driving_hr")
+            .select("_d.origin", "_d.destination", "driving_mi", "driving_hr"))
 
 
 def latest_snapshot(fuel: DataFrame, ts: str = "scraped_at") -> DataFrame:
@@ -175,14 +187,14 @@ def origin_route_summary(congested: DataFrame) -> DataFrame:
 
 
 def headline_metrics(yearly: DataFrame, rates: DataFrame, costs: DataFrame,
-                     congested: DataFrame, year: int) -> DataFrame:
-    """Latest-year totals, mean truck rate, mean cost per mile, count of
+                     congested: DataFrame) -> DataFrame:
+    """Totals of one year (``yearly`` holds its row), mean truck rate, mean cost per mile, count of
     High congestion: four one-row aggregates side by side."""
     r = rates.select(F.sum(F.col("rate_per_mile").cast("decimal(18,4)")).cast("double")
                      / F.count("rate_per_mile")).scalar()
     c = costs.where(F.col("cost_per_mi") > 0).select(
         F.sum(F.col("cost_per_mi").cast("decimal(18,4)")).cast("double") / F.count("cost_per_mi")).scalar()
     h = congested.select(F.count_if(F.col("congestion_tier") == "High")).scalar()
-    return yearly.where(F.col("year") == year).select(
+    return yearly.select(
         "tons_m", "value_b", r.alias("avg_rate_per_mile"), c.alias("avg_cost_per_mi"),
         h.alias("high_congestion"))

@@ -16,37 +16,43 @@ from haulage.plans import bindings as B
 from haulage.sources.files import read_table, write_table
 
 
-def freight_summary(flows: DataFrame, year: int) -> DataFrame:
-    """A9 summary row: states with latest-year totals, rows of the top-lane
-    table, latest-year tons and value (thousands, 2 dp)."""
-    states = freight.state_latest(flows, year).select(F.count(F.lit(1))).scalar()
-    lanes = freight.lane_totals(flows, year, 100).select(F.count(F.lit(1))).scalar()
-    return (freight.yearly_totals(flows).where(F.col("year") == year)
+def freight_summary(flows: DataFrame) -> DataFrame:
+    """A9 summary row of the flows of one year: states, rows of the top-lane
+    table, tons and value (thousands, 2 dp)."""
+    states = freight.state_latest(flows, None).select(F.count(F.lit(1))).scalar()
+    lanes = freight.lane_totals(flows, None, 100).select(F.count(F.lit(1))).scalar()
+    return (freight.yearly_totals(flows)
             .select(states.alias("state_rows"), lanes.alias("lane_rows"),
                     F.col("tons_m").alias("total_tons"), F.col("value_b").alias("total_value")))
 
 
+def _one_year(flows: DataFrame, year: int | None) -> DataFrame:
+    return freight.latest(flows) if year is None else freight.of_year(flows, year)
+
+
 def store_freight_tables(spark: SparkSession, sf_dir: str, out_dir: str,
-                         year: int = B.LATEST_YEAR) -> DataFrame:
-    """Write flows once, then every freight table from that copy."""
+                         year: int | None = None) -> DataFrame:
+    """Write flows once, then every freight table from that copy; ``year``
+    (by default the last one that has flows) is the year of the tables of one year."""
     write_table(B.flows(spark, sf_dir), f"{out_dir}/flows", partition_by=["year"])
     flows = read_table(spark, f"{out_dir}/flows")
+    one = _one_year(flows, year)
     tables = {
-        "freight_by_state": freight.state_latest(flows, year),
-        "freight_lanes": freight.lane_totals(flows, year, 100),
-        "freight_mode_split": freight.mode_split(flows, year),
-        "freight_commodities": freight.commodity_split(flows, year),
+        "freight_by_state": freight.state_latest(one, year),
+        "freight_lanes": freight.lane_totals(one, year, 100),
+        "freight_mode_split": freight.mode_split(one, year),
+        "freight_commodities": freight.commodity_split(one, year),
         "freight_yearly": freight.yearly_totals(flows),
-        "freight_trade_balance": freight.trade_balance(flows, year),
-        "freight_lanes_by_mode": freight.top_lanes_every_mode(flows, year, 20),
+        "freight_trade_balance": freight.trade_balance(one, year),
+        "freight_lanes_by_mode": freight.top_lanes_every_mode(one, year, 20),
     }
     for name, df in tables.items():
         write_table(df, f"{out_dir}/{name}")
-    return freight_summary(flows, year)
+    return freight_summary(one)
 
 
 def store_cost_tables(spark: SparkSession, sf_dir: str, out_dir: str,
-                      year: int = B.LATEST_YEAR) -> DataFrame:
+                      year: int | None = None) -> DataFrame:
     """Route table -> costs -> congestion -> lane efficiency, each written;
     later steps read the written tables (one lineage cut per stage)."""
     flows = read_table(spark, f"{out_dir}/flows")
@@ -58,6 +64,6 @@ def store_cost_tables(spark: SparkSession, sf_dir: str, out_dir: str,
     costs = read_table(spark, f"{out_dir}/route_costs")
     write_table(routes.congestion(costs), f"{out_dir}/route_congestion")
     cong = read_table(spark, f"{out_dir}/route_congestion")
-    lanes = freight.lane_totals(flows, year, None)
+    lanes = freight.lane_totals(_one_year(flows, year), year, None)
     write_table(routes.lane_efficiency(lanes, cong), f"{out_dir}/lane_efficiency")
     return routes.cost_summary(costs, cong)

@@ -19,7 +19,7 @@ parquet scan, and projections are pruned to the columns used.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulage.functions import money_sum, round_half_up
@@ -30,8 +30,6 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 # Event type that carries each fuel price in the events table (binding rule).
 PRICE_EVENTS = {"regular": "view", "mid_grade": "click", "premium": "purchase", "diesel": "signup"}
 
-LATEST_YEAR = 2001
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -54,8 +52,14 @@ def ship_years(spark: SparkSession, sf_dir: str) -> list[int]:
     return [] if lo is None else list(range(lo, hi + 1))
 
 
+def latest_year(spark: SparkSession, sf_dir: str) -> Column:
+    """Last ship year of the domestic flows, as a scalar subquery."""
+    return (table(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == "F")
+            .select(F.year(F.max("l_shipdate"))).scalar())
+
+
 def flows(spark: SparkSession, sf_dir: str, domestic_only: bool = True, year: int | None = None,
-          columns: tuple[str, ...] = FLOW_COLUMNS, read=table, bucketed: bool = False) -> DataFrame:
+          columns: tuple[str, ...] = FLOW_COLUMNS, read=table, bucketed: bool = False, latest: bool = False) -> DataFrame:
     """Long-form freight flows: origin, destination, commodity, mode, year,
     quarter, trade_type, tons, value (one row per line item).
 
@@ -74,6 +78,9 @@ def flows(spark: SparkSession, sf_dir: str, domestic_only: bool = True, year: in
     ``year`` restricts the rows to one ship year with a range predicate on the
     raw date column, which the parquet scan can use (row-group skipping, or
     partition pruning on a year-partitioned copy); ``year(date) = y`` cannot.
+    ``latest`` restricts them to the last year that has any: the start of that
+    year is a scalar subquery over two columns, whose value reaches the scan as a
+    pushed filter when the query runs.
     ``read`` gives a table by name. With ``bucketed`` tables (see layout) the
     line items join the orders first, as both lie by the order key.
     """
@@ -84,6 +91,9 @@ def flows(spark: SparkSession, sf_dir: str, domestic_only: bool = True, year: in
     if year is not None:
         out = out.where((F.col("l_shipdate") >= F.lit(f"{year}-01-01").cast("timestamp_ntz"))
                         & (F.col("l_shipdate") < F.lit(f"{year + 1}-01-01").cast("timestamp_ntz")))
+    if latest:
+        start = out.select(F.date_trunc("year", F.max("l_shipdate")).cast("timestamp_ntz")).scalar()
+        out = out.where(F.col("l_shipdate") >= start)
     nat = nation_names(spark, sf_dir)
     if need & {"destination", "mode"}:
         orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_orderpriority").alias("mode"))
@@ -168,14 +178,14 @@ def nation_fuel_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(*[F.max(c).alias(c) for c in PRICE_EVENTS]))
 
 
-def landed_routes(spark: SparkSession, sf_dir: str, lanes: DataFrame | None = None) -> DataFrame:
+def landed_routes(spark: SparkSession, sf_dir: str, lanes: DataFrame) -> DataFrame:
     """Routing results as if landed from a routing service, one per observed
-    lane: origin, destination, distance (m), duration (s), code ('Ok' for
-    distinct ends, 'NoRoute' for same-place pairs). Road distance = 1.18 x great circle; time = miles / 55 x factor,
-    factor 1.05 + 0.1 * ((o + d) % 4) by nation keys."""
+    lane: origin, destination, distance (m), duration (s), code. Road distance =
+    1.18 x great circle; time = miles / 55 x factor, factor 1.05 + 0.1 *
+    ((2 o + d) % 4) by nation keys, so the two directions of a pair differ. The
+    code is 'NoRoute' for same-place pairs and for lanes with (o + 2 d) % 5 = 0:
+    some pairs are routed in one direction only, and some in none."""
     from haulage.functions import haversine_miles
-    if lanes is None:
-        lanes = flows(spark, sf_dir, columns=("origin", "destination")).distinct()
     c = nation_coords(spark, sf_dir)
     o = c.select(F.col("code").alias("origin"), F.col("lat").alias("olat"),
                  F.col("lon").alias("olon"), F.col("nation_key").alias("ok"))
@@ -186,14 +196,15 @@ def landed_routes(spark: SparkSession, sf_dir: str, lanes: DataFrame | None = No
     pairs = lanes.join(o, "origin").join(d, "destination")
     miles = haversine_miles("olat", "olon", "dlat", "dlon")
     road_mi = miles * 1.18
-    factor = F.lit(1.05) + F.lit(0.1) * ((F.col("ok") + F.col("dk")) % 4)
+    factor = F.lit(1.05) + F.lit(0.1) * ((F.col("ok") * 2 + F.col("dk")) % 4)
     return pairs.select(
         "origin", "destination",
-        F.when(F.col("origin") != F.col("destination"), F.lit("Ok")).otherwise(F.lit("NoRoute")).alias("code"),
+        F.when((F.col("origin") != F.col("destination")) & ((F.col("ok") + F.col("dk") * 2) % 5 != 0), F.lit("Ok"))
+         .otherwise(F.lit("NoRoute")).alias("code"),
         (road_mi * 1609.34).alias("distance"),
         (road_mi / 55.0 * factor * 3600.0).alias("duration"))
 
 
 __all__ = ["table", "flows", "entities", "fuel_snapshots", "nation_fuel_snapshots",
-           "nation_coords", "landed_routes", "nation_names", "PRICE_EVENTS", "LATEST_YEAR",
+           "nation_coords", "landed_routes", "nation_names", "PRICE_EVENTS",
            "round_half_up"]

@@ -168,7 +168,7 @@ FROM (SELECT coalesce(o.state, i.state) AS state, coalesce(outbound, 0.0) - coal
       FROM o FULL OUTER JOIN i ON o.state = i.state)""")
 def p32_trade_balance_labels(spark, sf):
     """Surplus/Deficit and Net Exporter/Importer labels on the balance."""
-    b = freight.trade_balance(B.flows(spark, sf, year=Y, columns=("origin", "destination", "year", "tons")), Y)
+    b = freight.trade_balance(B.flows(spark, sf, latest=True, columns=("origin", "destination", "year", "tons")), None)
     return cleaning.surplus_labels(b).select("state", "net_tons", "balance_label", "trade_role", "abs_net")
 
 

@@ -19,15 +19,15 @@ TOTALS = ("year", "tons", "value")
 
 
 @query("a03_lane_totals", with_(FLOWS) + f"""
-SELECT origin, destination, commodity, mode, SUM(tons) AS tons_{Y},
+SELECT origin, destination, commodity, mode, SUM(tons) AS tons_latest,
        {rhu(f'SUM(tons) / 1000.0', 2)} AS tons_m
 FROM flows WHERE year = {Y}
 GROUP BY origin, destination, commodity, mode
-ORDER BY tons_{Y} DESC, origin, destination, commodity, mode
+ORDER BY tons_latest DESC, origin, destination, commodity, mode
 LIMIT 100""")
 def a03_lane_totals(spark, sf):
     """Top 100 lanes by latest-year tons (sort + limit)."""
-    return freight.lane_totals(B.flows(spark, sf, year=Y, columns=LANES), Y, 100)
+    return freight.lane_totals(B.flows(spark, sf, latest=True, columns=LANES), None, 100)
 
 
 @query("a01_yearly_totals", with_(FLOWS) + f"""
@@ -64,19 +64,19 @@ SELECT origin AS state, year, SUM(tons) AS tons, {msum('value')} AS value,
 FROM flows WHERE year = {Y} GROUP BY origin, year""")
 def a02_state_latest(spark, sf):
     """Latest-year totals per origin, scaled to thousands (2 dp)."""
-    return freight.state_latest(B.flows(spark, sf, year=Y, columns=("origin", *TOTALS)), Y)
+    return freight.state_latest(B.flows(spark, sf, latest=True, columns=("origin", *TOTALS)), None)
 
 
 @query("a04_mode_split", with_(FLOWS) + f"""
-SELECT mode, SUM(tons) AS tons_{Y} FROM flows WHERE year = {Y} GROUP BY mode""")
+SELECT mode, SUM(tons) AS tons_latest FROM flows WHERE year = {Y} GROUP BY mode""")
 def a04_mode_split(spark, sf):
-    return freight.mode_split(B.flows(spark, sf, year=Y, columns=("mode", "year", "tons")), Y)
+    return freight.mode_split(B.flows(spark, sf, latest=True, columns=("mode", "year", "tons")), None)
 
 
 @query("a05_commodity_split", with_(FLOWS) + f"""
-SELECT commodity, SUM(tons) AS tons_{Y} FROM flows WHERE year = {Y} GROUP BY commodity""")
+SELECT commodity, SUM(tons) AS tons_latest FROM flows WHERE year = {Y} GROUP BY commodity""")
 def a05_commodity_split(spark, sf):
-    return freight.commodity_split(B.flows(spark, sf, year=Y, columns=("commodity", "year", "tons")), Y)
+    return freight.commodity_split(B.flows(spark, sf, latest=True, columns=("commodity", "year", "tons")), None)
 
 
 _BAL_SQL = with_(FLOWS, f"""o AS (SELECT origin AS state, SUM(tons) AS outbound FROM flows WHERE year = {Y} GROUP BY origin)""",
@@ -90,52 +90,52 @@ FROM o FULL OUTER JOIN i ON o.state = i.state"""
 
 @query("a06_trade_balance", _BAL_SQL)
 def a06_trade_balance(spark, sf):
-    return freight.trade_balance(B.flows(spark, sf, year=Y, columns=PAIRS), Y)
+    return freight.trade_balance(B.flows(spark, sf, latest=True, columns=PAIRS), None)
 
 
 @query("j07_trade_balance_full_join", _BAL_SQL)
 def j07_trade_balance_full_join(spark, sf):
-    return freight.trade_balance_full_join(B.flows(spark, sf, year=Y, columns=PAIRS), Y)
+    return freight.trade_balance_full_join(B.flows(spark, sf, latest=True, columns=PAIRS), None)
 
 
 @query("a08_top_lanes_truck_mode", with_(FLOWS) + f"""
-SELECT origin, destination, SUM(tons) AS tons_{Y}, {rhu('SUM(tons) / 1000.0', 2)} AS tons_m
+SELECT origin, destination, SUM(tons) AS tons_latest, {rhu('SUM(tons) / 1000.0', 2)} AS tons_m
 FROM flows WHERE year = {Y} AND mode = '1-URGENT'
-GROUP BY origin, destination ORDER BY tons_{Y} DESC, origin, destination LIMIT 20""")
+GROUP BY origin, destination ORDER BY tons_latest DESC, origin, destination LIMIT 20""")
 def a08_top_lanes_truck_mode(spark, sf):
-    return freight.top_lanes_by_mode(B.flows(spark, sf, year=Y, columns=("mode", *PAIRS)), Y, "1-URGENT", 20)
+    return freight.top_lanes_by_mode(B.flows(spark, sf, latest=True, columns=("mode", *PAIRS)), None, "1-URGENT", 20)
 
 
-@query("a08_top_lanes_every_mode", with_(FLOWS, f"""l AS (SELECT mode, origin, destination, SUM(tons) AS tons_{Y}
+@query("a08_top_lanes_every_mode", with_(FLOWS, f"""l AS (SELECT mode, origin, destination, SUM(tons) AS tons_latest
   FROM flows WHERE year = {Y} GROUP BY mode, origin, destination)""") + f"""
 SELECT * FROM (
-  SELECT mode, origin, destination, tons_{Y},
-         CAST(row_number() OVER (PARTITION BY mode ORDER BY tons_{Y} DESC, origin, destination) AS INTEGER) AS lane_rank,
-         {rhu(f'tons_{Y} / 1000.0', 2)} AS tons_m
+  SELECT mode, origin, destination, tons_latest,
+         CAST(row_number() OVER (PARTITION BY mode ORDER BY tons_latest DESC, origin, destination) AS INTEGER) AS lane_rank,
+         {rhu('tons_latest / 1000.0', 2)} AS tons_m
   FROM l) WHERE lane_rank <= 20""")
 def a08_top_lanes_every_mode(spark, sf):
-    return freight.top_lanes_every_mode(B.flows(spark, sf, year=Y, columns=("mode", *PAIRS)), Y, 20)
+    return freight.top_lanes_every_mode(B.flows(spark, sf, latest=True, columns=("mode", *PAIRS)), None, 20)
 
 
-_LANES_ALL = f"""lanes AS (SELECT origin, destination, commodity, mode, SUM(tons) AS tons_{Y},
+_LANES_ALL = f"""lanes AS (SELECT origin, destination, commodity, mode, SUM(tons) AS tons_latest,
   {rhu('SUM(tons) / 1000.0', 2)} AS tons_m FROM flows WHERE year = {Y}
   GROUP BY origin, destination, commodity, mode)"""
 
 
 @query("t05_top8_outbound_per_state", with_(FLOWS, _LANES_ALL) + f"""
-SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY origin ORDER BY tons_{Y} DESC,
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY origin ORDER BY tons_latest DESC,
   origin, destination, commodity, mode) AS INTEGER) AS lane_rank FROM lanes) WHERE lane_rank <= 8""")
 def t05_top8_outbound_per_state(spark, sf):
-    lanes = freight.lane_totals(B.flows(spark, sf, year=Y, columns=LANES), Y, None)
-    return freight.top_lanes_per_state(lanes, "origin", f"tons_{Y}", 8)
+    lanes = freight.lane_totals(B.flows(spark, sf, latest=True, columns=LANES), None, None)
+    return freight.top_lanes_per_state(lanes, "origin", "tons_latest", 8)
 
 
 @query("t06_top12_inbound_per_state", with_(FLOWS, _LANES_ALL) + f"""
-SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY destination ORDER BY tons_{Y} DESC,
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY destination ORDER BY tons_latest DESC,
   origin, destination, commodity, mode) AS INTEGER) AS lane_rank FROM lanes) WHERE lane_rank <= 12""")
 def t06_top12_inbound_per_state(spark, sf):
-    lanes = freight.lane_totals(B.flows(spark, sf, year=Y, columns=LANES), Y, None)
-    return freight.top_lanes_per_state(lanes, "destination", f"tons_{Y}", 12)
+    lanes = freight.lane_totals(B.flows(spark, sf, latest=True, columns=LANES), None, None)
+    return freight.top_lanes_per_state(lanes, "destination", "tons_latest", 12)
 
 
 @query("w08_year_over_year", with_(FLOWS, f"""y AS (SELECT year, {rhu('SUM(tons) / 1000.0', 2)} AS tons_m,
@@ -147,21 +147,21 @@ def w08_year_over_year(spark, sf):
     return freight.year_over_year(freight.yearly_totals(B.flows(spark, sf, columns=TOTALS)))
 
 
-@query("a42_top10_commodity_share", with_(FLOWS, f"""c AS (SELECT commodity, SUM(tons) AS tons_{Y}
-  FROM flows WHERE year = {Y} GROUP BY commodity ORDER BY tons_{Y} DESC, commodity LIMIT 10)""",
+@query("a42_top10_commodity_share", with_(FLOWS, f"""c AS (SELECT commodity, SUM(tons) AS tons_latest
+  FROM flows WHERE year = {Y} GROUP BY commodity ORDER BY tons_latest DESC, commodity LIMIT 10)""",
                                            f"""t AS (SELECT SUM(tons) AS total FROM flows WHERE year = {Y})""") + f"""
-SELECT commodity, tons_{Y},
-       CAST(row_number() OVER (ORDER BY tons_{Y} DESC, commodity) AS INTEGER) AS display_rank,
-       {rhu(f'tons_{Y} / SUM(tons_{Y}) OVER () * 100', 1)} AS share_of_top_pct,
-       {rhu(f'tons_{Y} / (SELECT total FROM t) * 100', 1)} AS share_of_total_pct
+SELECT commodity, tons_latest,
+       CAST(row_number() OVER (ORDER BY tons_latest DESC, commodity) AS INTEGER) AS display_rank,
+       {rhu('tons_latest / SUM(tons_latest) OVER () * 100', 1)} AS share_of_top_pct,
+       {rhu('tons_latest / (SELECT total FROM t) * 100', 1)} AS share_of_total_pct
 FROM c""")
 def a42_top10_commodity_share(spark, sf):
     """Top 10 commodities with a 1-based display index, each one's
     share of the top-10 sum and of the grand total (both named)."""
-    t = f"tons_{Y}"
+    t = "tons_latest"
     # one pass over the flows: the (small) commodity table is materialised and
     # both the top 10 and the grand total read it
-    comm = materialize(freight.commodity_split(B.flows(spark, sf, year=Y, columns=("commodity", "year", "tons")), Y))
+    comm = materialize(freight.commodity_split(B.flows(spark, sf, latest=True, columns=("commodity", "year", "tons")), None))
     top = comm.orderBy(F.desc(t), "commodity").limit(10)
     total = comm.select(F.sum(t)).scalar()
     top_sum = top.select(F.sum(t)).scalar()
@@ -176,7 +176,7 @@ def a42_top10_commodity_share(spark, sf):
   WHERE year = {Y} AND mode = '2-HIGH' GROUP BY origin, destination)""") + f"""
 SELECT {rhu('SUM(t) / 1000.0', 2)} AS total_tons_m, COUNT(*) AS lanes FROM l""")
 def a43_mode_summary(spark, sf):
-    return freight.mode_summary(B.flows(spark, sf, year=Y, columns=("mode", *PAIRS)), Y, "2-HIGH")
+    return freight.mode_summary(B.flows(spark, sf, latest=True, columns=("mode", *PAIRS)), None, "2-HIGH")
 
 
 @query("a09_freight_summary", with_(FLOWS) + f"""
@@ -189,7 +189,7 @@ def a09_freight_summary(spark, sf):
     latest-year totals)."""
     from haulage.plans.batch import freight_summary
     # the three summaries read the year's lanes, aggregated and stored once
-    rows = B.flows(spark, sf, year=Y, columns=(*LANES, "value"))
+    rows = B.flows(spark, sf, latest=True, columns=(*LANES, "value"))
     lanes = rows.groupBy(*freight.LANE_KEYS, "year").agg(
         F.sum("tons").alias("tons"), F.sum(F.col("value").cast("decimal(18,2)")).alias("value"))
-    return freight_summary(materialize(lanes), Y)
+    return freight_summary(materialize(lanes))

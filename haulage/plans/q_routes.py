@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from haulage.functions import round_half_up
 from haulage.operators import freight, joins, routes
 from haulage.plans import bindings as B
+from haulage.plans.lanes import lane_quarters, observed_pairs
 from haulage.plans.catalog import query
-from haulage.session import materialize
 from haulage.plans.sqlparts import (COORDS, FLOWS, LANDED, LATEST_FUEL, LATEST_YEAR as Y,
                                     NATION_SNAPS, ROUTES, SNAPS, haversine, rhu, with_)
 
@@ -16,11 +16,9 @@ from haulage.plans.sqlparts import (COORDS, FLOWS, LANDED, LATEST_FUEL, LATEST_Y
 LANES = (*freight.LANE_KEYS, "year", "tons")
 
 
-def route_table(spark, sf, seen=None):
-    """Routes for the observed (origin, destination) pairs; ``seen`` narrows
-    them to the pairs a caller needs (e.g. the lanes of one year)."""
-    if seen is None:
-        seen = B.flows(spark, sf, columns=("origin", "destination")).distinct()
+def route_table(spark, sf):
+    """Routes for the observed (origin, destination) pairs."""
+    seen = observed_pairs(spark, sf)
     landed = B.landed_routes(spark, sf, seen)
     routed = routes.parse_routing(routes.routing_payload(landed))
     return routes.route_table(seen, routed, B.nation_coords(spark, sf))
@@ -31,12 +29,12 @@ def origin_diesel(spark, sf):
     return routes.latest_snapshot(B.nation_fuel_snapshots(spark, sf)).select("state", "diesel")
 
 
-def route_costs(spark, sf, seen=None):
-    return routes.route_costs(route_table(spark, sf, seen), origin_diesel(spark, sf))
+def route_costs(spark, sf):
+    return routes.route_costs(route_table(spark, sf), origin_diesel(spark, sf))
 
 
-def congested(spark, sf, seen=None):
-    return routes.congestion(route_costs(spark, sf, seen))
+def congested(spark, sf):
+    return routes.congestion(route_costs(spark, sf))
 
 
 _FUEL_LATEST = "fuel_latest AS (SELECT state, diesel FROM nsnaps WHERE scraped_at = (SELECT max(scraped_at) FROM nsnaps))"
@@ -81,7 +79,7 @@ def r03_route_matrix(spark, sf):
 SELECT origin, destination, {rhu('distance / 1609.34', 1)} AS routed_mi,
        {rhu('duration / 3600.0', 2)} AS routed_hr FROM landed""")
 def s06_parse_routing(spark, sf):
-    seen = B.flows(spark, sf, columns=("origin", "destination")).distinct()
+    seen = observed_pairs(spark, sf)
     return routes.parse_routing(routes.routing_payload(B.landed_routes(spark, sf, seen)))
 
 
@@ -91,7 +89,7 @@ SELECT l.origin, l.destination, {rhu('hav', 1)} AS gc_mi FROM (
   FROM lanes_seen l JOIN coords o ON l.origin = o.code JOIN coords d ON l.destination = d.code) l""")
 def r01_great_circle_miles(spark, sf):
     from haulage.functions import haversine_miles
-    seen = B.flows(spark, sf, columns=("origin", "destination")).distinct()
+    seen = observed_pairs(spark, sf)
     c = B.nation_coords(spark, sf)
     o = c.select(F.col("code").alias("origin"), F.col("lat").alias("a"), F.col("lon").alias("b"))
     d = c.select(F.col("code").alias("destination"), F.col("lat").alias("x"), F.col("lon").alias("y"))
@@ -116,7 +114,7 @@ def r05_congestion(spark, sf):
     return congested(spark, sf)
 
 
-_LANES = f"""lanes AS (SELECT origin, destination, commodity, mode, SUM(tons) AS tons_{Y},
+_LANES = f"""lanes AS (SELECT origin, destination, commodity, mode, SUM(tons) AS tons_latest,
   {rhu('SUM(tons) / 1000.0', 2)} AS tons_m FROM flows WHERE year = {Y}
   GROUP BY origin, destination, commodity, mode)"""
 
@@ -128,22 +126,18 @@ FROM lanes l JOIN cong c ON l.origin = c.origin AND l.destination = c.destinatio
 
 @query("r06_lane_efficiency", with_(*CONG_BASE, _LANES) + _EFF)
 def r06_lane_efficiency(spark, sf):
-    """R6/J8/T8 on all lanes (not only the national top 100), by volume.
-    Routes are built for the pairs of these lanes only (same result under the
-    inner join). The lane table is materialised once, so the flow join runs
-    a single time for both of its consumers."""
-    lanes = materialize(freight.lane_totals(B.flows(spark, sf, year=Y, columns=LANES), Y, None))
-    seen = lanes.select("origin", "destination").distinct()
-    return routes.lane_efficiency(lanes, congested(spark, sf, seen))
+    """R6/J8/T8 on all lanes (not only the national top 100), by volume. The
+    routes come from the stored lane table, one row per pair of places."""
+    lanes = freight.lane_totals(B.flows(spark, sf, latest=True, columns=LANES), None, None)
+    return routes.lane_efficiency(lanes, congested(spark, sf))
 
 
 @query("r06_lane_efficiency_by_tons_per_dollar_top20", with_(*CONG_BASE, _LANES) + f"""
 SELECT * FROM ({_EFF}) ORDER BY tons_per_dollar DESC, origin, destination, commodity, mode LIMIT 20""")
 def r06_lane_efficiency_by_tons_per_dollar_top20(spark, sf):
     """Q8: the same table ordered by tons per dollar (most efficient first)."""
-    lanes = materialize(freight.lane_totals(B.flows(spark, sf, year=Y, columns=LANES), Y, None))
-    seen = lanes.select("origin", "destination").distinct()
-    return routes.lane_efficiency(lanes, congested(spark, sf, seen), order_by_efficiency=True).limit(20)
+    lanes = freight.lane_totals(B.flows(spark, sf, latest=True, columns=LANES), None, None)
+    return routes.lane_efficiency(lanes, congested(spark, sf), order_by_efficiency=True).limit(20)
 
 
 @query("a44_cost_summary", with_(*CONG_BASE) + """
@@ -197,12 +191,9 @@ SELECT lt.origin AS state, {rhu('SUM(lt.t * r.driving_mi) / nullif(SUM(lt.t), 0)
 FROM lt JOIN routes r ON lt.origin = r.origin AND lt.destination = r.destination GROUP BY lt.origin""")
 def a07_avg_haul(spark, sf):
     """A7 (Q6): ton-miles from lane tons x route miles, over tons, by origin."""
-    # lane tons of the year, materialised once: both the route pairs and the
-    # ton-mile sums read it (same columns as the flow rows avg_haul needs)
-    lanes = materialize(B.flows(spark, sf, year=Y, columns=("origin", "destination", "year", "tons")).groupBy("origin", "destination", "year")
-                        .agg(F.sum("tons").alias("tons")))
-    seen = lanes.select("origin", "destination")
-    return freight.avg_haul(lanes, route_table(spark, sf, seen), Y)
+    stored = lane_quarters(spark, sf)
+    lanes = freight.latest(stored).select("origin", "destination", F.col("t").alias("tons"))
+    return freight.avg_haul(lanes, route_table(spark, sf), None)
 
 
 @query("m06_cost_trend_line", with_(*COST_BASE) + f"""

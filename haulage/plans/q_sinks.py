@@ -23,7 +23,7 @@ from haulage.plans.q_entities import ent, latest_fuel, shipping, plain
 from haulage.plans.q_kpis import G_BASIC, G_EFF, GROUP_COLS
 from haulage.plans.q_profile import s15_table_profile
 from haulage.plans.q_sources import _WX, weather_payloads
-from haulage.plans.sqlparts import (COORDS, ENTITIES, FLOWS, LATEST_FUEL, LATEST_YEAR as Y,
+from haulage.plans.sqlparts import (COORDS, ENTITIES, FLOWS, LATEST_FUEL,
                                     NATION_SNAPS, SNAPS, rhu, with_)
 from haulage.session import materialize
 from haulage.session import scratch_path
@@ -38,7 +38,7 @@ def scratch(spark) -> str:
 
 
 LANE_SCHEMA = (f"origin string, destination string, commodity string, mode string, "
-               f"tons_{Y} double, tons_m double")
+               f"tons_latest double, tons_m double")
 
 
 @query("s01_s11_csv_round_trip", ORACLE["a03_lane_totals"])
@@ -46,7 +46,7 @@ def s01_s11_csv_round_trip(spark, sf):
     """S11 then S1: write the top lanes as CSV with a header, read them back
     with an explicit schema."""
     path = scratch(spark)
-    files.write_csv(freight.lane_totals(B.flows(spark, sf, year=Y, columns=(*freight.LANE_KEYS, "year", "tons")), Y, 100), path)
+    files.write_csv(freight.lane_totals(B.flows(spark, sf, latest=True, columns=(*freight.LANE_KEYS, "year", "tons")), None, 100), path)
     return files.read_csv(spark, path, LANE_SCHEMA)
 
 
@@ -54,9 +54,10 @@ def s01_s11_csv_round_trip(spark, sf):
 def s09_s10_table_round_trip(spark, sf):
     """S10 replace + append into a year-partitioned parquet table, then S9."""
     path = scratch(spark)
-    totals = freight.state_year_totals(B.flows(spark, sf, columns=("origin", "year", "tons", "value")))
-    files.write_table(totals.where(F.col("year") < Y), path, "overwrite", ["year"])
-    files.write_table(totals.where(F.col("year") >= Y), path, "append", ["year"])
+    totals = materialize(freight.state_year_totals(B.flows(spark, sf, columns=("origin", "year", "tons", "value"))))
+    last = freight.latest_year(totals)
+    files.write_table(totals.where(F.col("year") < last), path, "overwrite", ["year"])
+    files.write_table(totals.where(F.col("year") >= last), path, "append", ["year"])
     return files.read_table(spark, path)
 
 

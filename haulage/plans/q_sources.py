@@ -13,6 +13,7 @@ from haulage import dims
 from haulage.functions import round_half_up
 from haulage.operators import cleaning, freight, joins, routes
 from haulage.plans import bindings as B
+from haulage.plans.lanes import lane_quarters, observed_pairs
 from haulage.plans.catalog import query
 from haulage.plans.q_entities import plain
 from haulage.plans.q_routes import CONG_BASE, route_costs
@@ -65,15 +66,6 @@ def s03_eia_fuel_prices(spark, sf):
     return rows.dropDuplicates(["state", "fuel_type", "period"])
 
 
-def lane_quarters(spark, sf):
-    """Flows aggregated by (year, quarter, origin, destination): tons, exact
-    value sum (decimal) and row count. Several consumers can share it."""
-    columns = ("origin", "destination", "year", "quarter", "tons", "value")
-    return (B.flows(spark, sf, columns=columns).groupBy("year", "quarter", "origin", "destination")
-            .agg(F.sum("tons").alias("t"), F.sum(F.col("value").cast("decimal(18,2)")).alias("v_dec"),
-                 F.count(F.lit(1)).alias("n")))
-
-
 def rate_payloads(spark, sf, lq=None):
     """Landed truck-rate records (all fields as text) per year, quarter,
     origin nation and destination nation; the origin's rate region is picked
@@ -102,10 +94,15 @@ rates AS (SELECT year, CASE WHEN quarter = 4 THEN 1 ELSE quarter END AS quarter,
   FROM (SELECT ra.*, {_REG_SQL} AS rg FROM ra JOIN nation ON nation.n_name = ra.origin) WHERE year = {Y})"""
 
 
+def _latest_rates(spark, sf):
+    """Rate rows of the latest year, from the landed records."""
+    return apis.truck_rates(rate_payloads(spark, sf), freight.latest_year(lane_quarters(spark, sf)))
+
+
 @query("s04_truck_rates", with_(FLOWS, _RATES) + "SELECT * FROM rates")
 def s04_truck_rates(spark, sf):
     """Typed rate rows with defaults, region -> state codes, year filter."""
-    return apis.truck_rates(rate_payloads(spark, sf), Y).drop("_region")
+    return _latest_rates(spark, sf).drop("_region")
 
 
 @query("p24_rates_by_state", with_(FLOWS, _RATES) + """
@@ -113,7 +110,7 @@ SELECT year, quarter, unnest(string_split(origin_state, ',')) AS origin_state, d
   rate_per_truckload FROM rates WHERE origin_state IS NOT NULL""")
 def p24_rates_by_state(spark, sf):
     """P24 exploded view: one row per state of a multi-state rate region."""
-    return apis.rates_by_state(apis.truck_rates(rate_payloads(spark, sf), Y).drop("_region"))
+    return apis.rates_by_state(_latest_rates(spark, sf).drop("_region"))
 
 
 @query("t10_sorted_rates", with_(FLOWS, _RATES.replace(f"SELECT year, CASE WHEN quarter = 4", f"SELECT rg, year, CASE WHEN quarter = 4")) + """
@@ -121,7 +118,7 @@ SELECT year, quarter, origin_state, destination, rate_per_mile, rate_per_trucklo
 ORDER BY quarter, rg, destination, origin_state NULLS LAST, rate_per_mile NULLS LAST, rate_per_truckload NULLS LAST LIMIT 10000""")
 def t10_sorted_rates(spark, sf):
     """Ordered by quarter, region, destination; first 10,000 rows."""
-    return apis.sorted_rates(apis.truck_rates(rate_payloads(spark, sf), Y)).drop("_region")
+    return apis.sorted_rates(_latest_rates(spark, sf)).drop("_region")
 
 
 def weather_payloads(spark, sf):
@@ -199,7 +196,7 @@ _DIMS = [_values("fips", "fips, code", dims.STATE_FIPS.items()),
 
 _CF = f"""cf AS (SELECT s.s_nationkey * 2 AS o, c.c_nationkey * 2 + 1 AS d,
     CAST(substr(ord.o_orderpriority, 1, 1) AS INTEGER) AS m, p.p_size AS k,
-    CASE WHEN year(l.l_shipdate) = {Y} THEN l.l_quantity ELSE 0.0 END AS tons
+    CASE WHEN year(l.l_shipdate) = (SELECT max(year(l_shipdate)) FROM lineitem WHERE l_linestatus = 'F') THEN l.l_quantity ELSE 0.0 END AS tons
   FROM lineitem l JOIN orders ord ON l.l_orderkey = ord.o_orderkey
   JOIN customer c ON ord.o_custkey = c.c_custkey JOIN supplier s ON l.l_suppkey = s.s_suppkey
   JOIN part p ON l.l_partkey = p.p_partkey WHERE l.l_linestatus = 'F')"""
@@ -207,7 +204,7 @@ _CF = f"""cf AS (SELECT s.s_nationkey * 2 AS o, c.c_nationkey * 2 + 1 AS d,
 
 @query("s02_p15_p16_coded_lanes", with_(*_DIMS, _CF) + f"""
 SELECT fo.code AS origin, fd.code AS destination, coalesce(sc.commodity, 'Unknown') AS commodity,
-  coalesce(md.mode, 'Other') AS mode, SUM(tons) AS tons_{Y}
+  coalesce(md.mode, 'Other') AS mode, SUM(tons) AS tons_latest
 FROM cf JOIN fips fo ON cf.o = fo.fips JOIN fips fd ON cf.d = fd.fips
 LEFT JOIN modes md ON cf.m = md.dms_mode LEFT JOIN sctg sc ON cf.k = sc.sctg2
 GROUP BY 1, 2, 3, 4""")
@@ -228,8 +225,8 @@ def s02_p15_p16_coded_lanes(spark, sf):
     dom = freight.domestic_flows(wide, dims.fips_dim(spark))
     lab = freight.label_flows(dom, dims.fips_dim(spark), dims.mode_dim(spark), dims.sctg_dim(spark))
     long = freight.wide_to_long(lab, years, ["origin", "destination", "commodity", "mode"])
-    return (long.where(F.col("year") == Y).groupBy("origin", "destination", "commodity", "mode")
-            .agg(F.sum("tons").alias(f"tons_{Y}")))
+    return (long.where(F.col("year") == B.latest_year(spark, sf)).groupBy("origin", "destination", "commodity", "mode")
+            .agg(F.sum("tons").alias("tons_latest")))
 
 
 @query("a37_headline_metrics", with_(*CONG_BASE, _RATES, f"""y AS (SELECT year, {rhu('SUM(tons) / 1000.0', 2)} AS tons_m,
@@ -242,13 +239,11 @@ FROM y WHERE year = {Y}""")
 def a37_headline_metrics(spark, sf):
     """Latest-year totals, mean truck rate, mean cost per mile and
     count of highly congested routes, side by side."""
-    from haulage.session import materialize
-    # one pass over the flows: the lane-quarter aggregate feeds the yearly
-    # totals, the rate records and the route pairs
-    lq = materialize(lane_quarters(spark, sf))
+    # the stored lane table feeds the yearly totals, the rate records and the route pairs
+    lq = lane_quarters(spark, sf)
     yearly = (lq.groupBy("year").agg(F.sum("t").alias("_t"), F.sum("v_dec").cast("double").alias("_v"))
               .select("year", round_half_up(F.col("_t") / 1e3, 2).alias("tons_m"),
                       round_half_up(F.col("_v") / 1e3, 2).alias("value_b")))
-    rates = apis.truck_rates(rate_payloads(spark, sf, lq), Y)
-    c = route_costs(spark, sf, lq.select("origin", "destination").distinct())
-    return routes.headline_metrics(yearly, rates, c, routes.congestion(c), Y)
+    rates = _latest_rates(spark, sf)
+    c = route_costs(spark, sf)
+    return routes.headline_metrics(freight.latest(yearly), rates, c, routes.congestion(c))

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from haulage import dims
 
-LATEST_YEAR = 2001
+# The last year that has flows.
+LATEST_YEAR = "(SELECT max(year) FROM flows)"
 
 
 def rhu(expr: str, digits: int) -> str:
@@ -47,28 +48,30 @@ def haversine(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     return f"({dims.EARTH_RADIUS_MI} * 2 * atan2(sqrt({a}), sqrt(1 - {a})))"
 
 
-# Landed routing results for observed lanes with distinct ends (see bindings.landed_routes).
+# Landed routing results with code 'Ok' (see bindings.landed_routes).
 LANDED = f"""lanes_seen AS (SELECT DISTINCT origin, destination FROM flows),
 landed AS (
   SELECT l.origin, l.destination, 'Ok' AS code,
          {haversine('o.lat', 'o.lon', 'd.lat', 'd.lon')} * 1.18 * 1609.34 AS distance,
          {haversine('o.lat', 'o.lon', 'd.lat', 'd.lon')} * 1.18 / 55.0
-           * (1.05 + 0.1 * ((o.nation_key + d.nation_key) % 4)) * 3600.0 AS duration
+           * (1.05 + 0.1 * ((o.nation_key * 2 + d.nation_key) % 4)) * 3600.0 AS duration
   FROM lanes_seen l JOIN coords o ON l.origin = o.code JOIN coords d ON l.destination = d.code
-  WHERE l.origin <> l.destination)"""
+  WHERE l.origin <> l.destination AND (o.nation_key + d.nation_key * 2) % 5 <> 0)"""
 
-# Route table: routed miles/hours where landed, else great circle and miles/55.
+# Route table: routed miles/hours of the direction whose origin sorts first, else
+# of the other one, else great circle and miles/55.
 ROUTES = f"""routes AS (
   SELECT l.origin, l.destination,
-         CASE WHEN r.code = 'Ok' THEN {rhu('r.distance / 1609.34', 1)}
-              WHEN l.origin = l.destination THEN 0.0
+         CASE WHEN l.origin = l.destination THEN 0.0
+              WHEN coalesce(f.code, b.code) = 'Ok' THEN {rhu('coalesce(f.distance, b.distance) / 1609.34', 1)}
               ELSE {rhu(haversine('o.lat', 'o.lon', 'd.lat', 'd.lon'), 1)} END AS driving_mi,
-         CASE WHEN r.code = 'Ok' THEN {rhu('r.duration / 3600.0', 2)}
-              WHEN l.origin = l.destination THEN 0.0
+         CASE WHEN l.origin = l.destination THEN 0.0
+              WHEN coalesce(f.code, b.code) = 'Ok' THEN {rhu('coalesce(f.duration, b.duration) / 3600.0', 2)}
               ELSE {rhu(rhu(haversine('o.lat', 'o.lon', 'd.lat', 'd.lon'), 1) + ' / 55.0', 2)} END AS driving_hr
   FROM lanes_seen l
   JOIN coords o ON l.origin = o.code JOIN coords d ON l.destination = d.code
-  LEFT JOIN landed r ON l.origin = r.origin AND l.destination = r.destination)"""
+  LEFT JOIN landed f ON f.origin = least(l.origin, l.destination) AND f.destination = greatest(l.origin, l.destination)
+  LEFT JOIN landed b ON b.origin = greatest(l.origin, l.destination) AND b.destination = least(l.origin, l.destination))"""
 
 # Entities (customers with orders) and their rank by population.
 ENTITIES = f"""pop AS (

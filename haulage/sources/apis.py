@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,7 +60,7 @@ def latest_periods(df: DataFrame, keys: list[str], period: str = "period", n: in
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def truck_rates(raw: DataFrame, year: int, payload: str = "payload") -> DataFrame:
+def truck_rates(raw: DataFrame, year: int | Column, payload: str = "payload") -> DataFrame:
     """Landed rate records (strings) -> typed rows: missing year ->
     ``year``, missing quarter -> 1, missing rates -> 0; destination trimmed and
     upper-cased; region mapped to state codes (unmapped keeps its name,

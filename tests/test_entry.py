@@ -11,8 +11,8 @@ def test_entry_runs_on_smoke_data(spark):
     df = entry_mod.entry(spark)
     rows = df.collect()
     assert 0 < len(rows) <= 100
-    assert df.columns == ["origin", "destination", "commodity", "mode", "tons_2001", "tons_m"]
-    tons = [r.tons_2001 for r in rows]
+    assert df.columns == ["origin", "destination", "commodity", "mode", "tons_latest", "tons_m"]
+    tons = [r.tons_latest for r in rows]
     assert tons == sorted(tons, reverse=True)
 
 

@@ -45,3 +45,38 @@ def test_top_lanes_every_mode_matches_single(spark):
         one = [(r.origin, r.destination) for r in freight.top_lanes_by_mode(flows, 2024, m, 3).collect()]
         many = [(r.origin, r.destination) for r in allm.where(F.col("mode") == m).orderBy("lane_rank").collect()]
         assert one == many
+
+
+def test_latest_year_follows_the_tables(spark, tmp_path):
+    import datetime
+    import shutil
+
+    from haulage.plans import bindings as B
+    copy = tmp_path / "tables"
+    shutil.copytree("/root/testdata/sf0.001", copy)
+    before = freight.mode_split(B.flows(spark, str(copy), latest=True), None).agg(F.sum("tons_latest")).first()[0]
+    li = spark.read.parquet(str(copy / "lineitem.parquet"))
+    last = li.where("l_linestatus = 'F'").agg(F.year(F.max("l_shipdate"))).first()[0]
+    new = (li.where("l_linestatus = 'F'").limit(3).withColumn("l_shipdate", F.lit(datetime.datetime(last + 1, 6, 1)).cast("timestamp_ntz"))
+           .withColumn("l_quantity", F.lit(7.0)))
+    li.unionByName(new).write.parquet(str(copy / "new.parquet"))
+    (copy / "lineitem.parquet").unlink()
+    (copy / "new.parquet").rename(copy / "lineitem.parquet")
+    after = freight.state_latest(B.flows(spark, str(copy), latest=True), None)
+    assert {r.year for r in after.collect()} == {last + 1} and after.agg(F.sum("tons")).first()[0] == 21.0 != before
+    assert spark.range(1).select(B.latest_year(spark, str(copy))).first()[0] == last + 1
+
+
+def test_latest_year_reaches_the_scan(spark, tmp_path):
+    from haulage.plans import bindings as B
+    rows = B.flows(spark, "/root/testdata/sf0.001", latest=True, columns=("year", "tons"))
+    assert len({r.year for r in rows.collect()}) == 1  # the plan is final once the subquery has run
+    plan = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(rows._jdf.queryExecution(), "formatted")
+    assert "GreaterThanOrEqual(l_shipdate,ScalarSubquery" in plan
+    rows = [(y, float(y)) for y in range(2018, 2025) for _ in range(3)]
+    path = str(tmp_path / "flows")
+    spark.createDataFrame(rows, "year int, tons double").write.partitionBy("year").parquet(path)
+    one = freight.latest(spark.read.parquet(path))
+    assert one.agg(F.sum("tons")).first()[0] == 3 * 2024.0
+    scan = [x for x in one._jdf.queryExecution().executedPlan().toString().split("\n") if "PartitionFilters" in x]
+    assert any("year" in x.split("PartitionFilters")[1] and "ubquery" in x for x in scan), scan

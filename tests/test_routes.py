@@ -76,3 +76,49 @@ def test_zero_over_zero_stays_null(spark):
     from haulage.functions import inf_to_zero_div
     df = spark.createDataFrame([(0.0, 0.0), (5.0, 0.0), (-5.0, 0.0), (6.0, 3.0)], "a double, b double")
     assert [r.x for r in df.select(inf_to_zero_div("a", "b").alias("x")).collect()] == [None, 0.0, 0.0, 2.0]
+
+
+def _matrix(spark, pairs, responses):
+    raw = spark.createDataFrame(responses, "origin string, destination string, payload string")
+    t = routes.route_table(spark.createDataFrame(pairs, "origin string, destination string"), routes.parse_routing(raw), dims.centers_dim(spark))
+    return {(r.origin, r.destination): (r.driving_mi, r.driving_hr) for r in t.collect()}
+
+
+def _ok(miles, hours):
+    return '{"code": "Ok", "routes": [{"distance": %f, "duration": %f}]}' % (miles * 1609.34, hours * 3600)
+
+
+def test_reverse_pair_takes_the_routed_value(spark):
+    both = [("CA", "TX"), ("TX", "CA")]
+    assert _matrix(spark, both, [("CA", "TX", _ok(123.4, 2.5))]) == {("CA", "TX"): (123.4, 2.5), ("TX", "CA"): (123.4, 2.5)}
+    assert _matrix(spark, both, [("TX", "CA", _ok(99.0, 2.0))]) == {("CA", "TX"): (99.0, 2.0), ("TX", "CA"): (99.0, 2.0)}
+
+
+def test_first_direction_wins_when_both_are_routed(spark):
+    answers = [("TX", "CA", _ok(99.0, 2.0)), ("CA", "TX", _ok(123.4, 2.5))]
+    got = _matrix(spark, [("TX", "CA"), ("CA", "TX"), ("TX", "CA")], answers)
+    assert got == {("CA", "TX"): (123.4, 2.5), ("TX", "CA"): (123.4, 2.5)}
+
+
+def test_only_directions_that_were_asked_for(spark):
+    got = _matrix(spark, [("TX", "CA"), ("NY", "NY"), ("NY", "CA")], [("CA", "TX", _ok(10.0, 1.0)), ("NY", "NY", _ok(5.0, 1.0))])
+    assert set(got) == {("TX", "CA"), ("NY", "NY"), ("NY", "CA")}
+    assert got[("TX", "CA")] == (10.0, 1.0) and got[("NY", "NY")] == (0.0, 0.0) and got[("NY", "CA")][0] > 2000
+
+
+def test_route_queries_share_one_stored_lane_table(spark, tmp_path):
+    import shutil
+
+    from haulage.plans import lanes
+    copy = tmp_path / "tables"
+    shutil.copytree("/root/testdata/sf0.001", copy)
+    first = lanes.lane_quarters(spark, str(copy))
+    again = lanes.lane_quarters(spark, str(copy))
+    assert first.inputFiles() == again.inputFiles()
+    li = spark.read.parquet(str(copy / "lineitem.parquet"))
+    li.withColumn("l_quantity", F.col("l_quantity") * 2).write.parquet(str(copy / "new.parquet"))
+    (copy / "lineitem.parquet").unlink()
+    (copy / "new.parquet").rename(copy / "lineitem.parquet")
+    changed = lanes.lane_quarters(spark, str(copy))
+    assert changed.inputFiles() != first.inputFiles()
+    assert changed.agg(F.sum("t")).first()[0] == 2 * first.agg(F.sum("t")).first()[0]
