@@ -9,13 +9,14 @@ centroid dimension.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from haulage import dims
 from haulage.functions import (congestion_tier, haversine_miles, inf_to_zero_div,
                                round_half_up, safe_div)
+from haulage.sources.landed import Landed, ingest
 
 ROUTING_SCHEMA = T.StructType([
     T.StructField("code", T.StringType()),
@@ -32,12 +33,25 @@ def routing_payload(landed: DataFrame) -> DataFrame:
     return landed.select("origin", "destination", F.to_json(body).alias("payload"))
 
 
+def routing_landed(spark: SparkSession, path: str, out: str) -> Landed:
+    """One response per line, in an envelope with its origin and destination;
+    ``rows`` has (origin, destination, response) of the routed ones."""
+    schema = T.StructType([T.StructField("origin", T.StringType()), T.StructField("destination", T.StringType()),
+                           T.StructField("response", ROUTING_SCHEMA)])
+    routed = (F.col("response.code") == "Ok") & (F.size("response.routes") > 0)
+    return ingest(spark, path, out, schema, {"no_route": routed})
+
+
 def parse_routing(raw: DataFrame, payload: str = "payload") -> DataFrame:
-    """JSON response -> miles (/1609.34, 1 dp) and hours (/3600, 2 dp),
+    """``routed_legs`` for responses in a string column."""
+    return routed_legs(raw.select("origin", "destination", F.from_json(F.col(payload), ROUTING_SCHEMA).alias("response")))
+
+
+def routed_legs(parsed: DataFrame) -> DataFrame:
+    """Routing response -> miles (/1609.34, 1 dp) and hours (/3600, 2 dp),
     only for responses with code 'Ok' and at least one route."""
-    j = F.from_json(F.col(payload), ROUTING_SCHEMA)
-    leg = F.try_element_at(j["routes"], F.lit(1))
-    return (raw.select("origin", "destination", j["code"].alias("code"), leg.alias("leg"))
+    leg = F.try_element_at(F.col("response.routes"), F.lit(1))
+    return (parsed.select("origin", "destination", F.col("response.code").alias("code"), leg.alias("leg"))
             .where((F.col("code") == "Ok") & F.col("leg").isNotNull())
             .select("origin", "destination",
                     round_half_up(F.col("leg.distance") / 1609.34, 1).alias("routed_mi"),

@@ -9,6 +9,8 @@ from haulage.operators import freight, joins, routes
 from haulage.plans import bindings as B
 from haulage.plans.lanes import lane_quarters, observed_pairs
 from haulage.plans.catalog import query
+from haulage.session import scratch_path
+from haulage.sources import landed
 from haulage.plans.sqlparts import (COORDS, FLOWS, LANDED, LATEST_FUEL, LATEST_YEAR as Y,
                                     NATION_SNAPS, ROUTES, SNAPS, haversine, rhu, with_)
 
@@ -16,12 +18,22 @@ from haulage.plans.sqlparts import (COORDS, FLOWS, LANDED, LATEST_FUEL, LATEST_Y
 LANES = (*freight.LANE_KEYS, "year", "tons")
 
 
+def routing_landed(spark, sf):
+    """The routing responses of the observed pairs, landed as lines and read
+    back; those of pairs in descending order arrive cut off too."""
+    answers = B.landed_routes(spark, sf, observed_pairs(spark, sf))
+    line = F.to_json(F.struct("origin", "destination", F.struct("code", F.array(F.struct("distance", "duration")).alias("routes")).alias("response")))
+    cut = F.when(F.col("origin") > F.col("destination"), F.substring("payload", 1, 40))
+    sent = answers.withColumn("payload", line).select(F.explode(F.array_compact(F.array("payload", cut))).alias("payload"))
+    path = scratch_path(spark, "landing")
+    landed.land(sent, path, [])
+    return routes.routing_landed(spark, path, scratch_path(spark, "responses"))
+
+
 def route_table(spark, sf):
     """Routes for the observed (origin, destination) pairs."""
-    seen = observed_pairs(spark, sf)
-    landed = B.landed_routes(spark, sf, seen)
-    routed = routes.parse_routing(routes.routing_payload(landed))
-    return routes.route_table(seen, routed, B.nation_coords(spark, sf))
+    routed = routes.routed_legs(routing_landed(spark, sf).rows)
+    return routes.route_table(observed_pairs(spark, sf), routed, B.nation_coords(spark, sf))
 
 
 def origin_diesel(spark, sf):
@@ -79,8 +91,7 @@ def r03_route_matrix(spark, sf):
 SELECT origin, destination, {rhu('distance / 1609.34', 1)} AS routed_mi,
        {rhu('duration / 3600.0', 2)} AS routed_hr FROM landed""")
 def s06_parse_routing(spark, sf):
-    seen = observed_pairs(spark, sf)
-    return routes.parse_routing(routes.routing_payload(B.landed_routes(spark, sf, seen)))
+    return routes.routed_legs(routing_landed(spark, sf).rows)
 
 
 @query("r01_great_circle_miles", with_(FLOWS, COORDS, "lanes_seen AS (SELECT DISTINCT origin, destination FROM flows)") + f"""

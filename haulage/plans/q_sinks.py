@@ -22,7 +22,7 @@ from haulage.plans.q_cleaning import dirty_shipping
 from haulage.plans.q_entities import ent, latest_fuel, shipping, plain
 from haulage.plans.q_kpis import G_BASIC, G_EFF, GROUP_COLS
 from haulage.plans.q_profile import s15_table_profile
-from haulage.plans.q_sources import _WX, weather_payloads
+from haulage.plans.q_sources import _WX, weather_landed
 from haulage.plans.sqlparts import (COORDS, ENTITIES, FLOWS, LATEST_FUEL,
                                     NATION_SNAPS, SNAPS, rhu, with_)
 from haulage.session import materialize
@@ -134,7 +134,7 @@ def k07_enriched_dataset(spark, sf):
     order, then F1 and F2 features."""
     order = ["state", "rank", "population", "region", "regular", "mid_grade", "premium", "diesel",
              "temperature", "condition", "humidity", "wind_speed", "visibility"]
-    valid, _ = cleaning.apply_contract(apis.weather_rows(weather_payloads(spark, sf)), cleaning.weather_contract())
+    valid, _ = cleaning.apply_contract(apis.weather_flat(weather_landed(spark, sf).rows), cleaning.weather_contract())
     e = joins.enrich_left(ent(spark, sf), latest_fuel(spark, sf), "state",
                           ["regular", "mid_grade", "premium", "diesel"])
     e = joins.enrich_left(e, valid, "state", ["temperature", "condition", "humidity", "wind_speed"])

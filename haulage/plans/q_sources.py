@@ -1,12 +1,15 @@
 """Landed-source queries.
 
-Raw payloads are derived from the driver tables (one JSON document per
-request, as a service would return it), then parsed with the engine's
-readers; the oracle computes the expected rows straight from the tables.
+Responses are derived from the driver tables (as a service would return them),
+written to the landing folder as JSON files, some of them a second time cut off
+or with an error in place of data, and read from there by the engine's readers.
+The oracle computes the expected rows straight from the tables.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from haulage import dims
@@ -16,9 +19,10 @@ from haulage.plans import bindings as B
 from haulage.plans.lanes import lane_quarters, observed_pairs
 from haulage.plans.catalog import query
 from haulage.plans.q_entities import plain
-from haulage.plans.q_routes import CONG_BASE, route_costs
-from haulage.plans.sqlparts import ENTITIES, FLOWS, LATEST_YEAR as Y, msum, rhu, with_
-from haulage.sources import apis
+from haulage.plans.q_routes import CONG_BASE, route_costs, routing_landed
+from haulage.plans.sqlparts import COORDS, ENTITIES, FLOWS, LANDED, LATEST_YEAR as Y, msum, rhu, with_
+from haulage.session import scratch_path
+from haulage.sources import apis, files, landed
 
 # Event type -> price product code (binding), area index -> area code.
 EVENT_PRODUCT = {"view": "EPM0R", "click": "EPM0M", "purchase": "EPM0P", "signup": "EPD2D"}
@@ -43,7 +47,30 @@ def eia_payloads(spark, sf):
     resp = (daily.groupBy("product_code", "area_code")  # at most 10 rows per group
             .agg(F.sort_array(F.collect_list(F.struct(F.col("period"), item.alias("it"))), asc=False).alias("d")))
     body = F.struct(F.struct(F.transform("d", lambda x: x["it"]).alias("data")).alias("response"))
-    return resp.select("product_code", "area_code", F.to_json(body).alias("payload"))
+    return resp.select("product_code", "area_code", F.to_json(body, {"pretty": "true"}).alias("payload"))
+
+
+def cut_off(payload="payload"):
+    """The first half of a response body."""
+    return F.substring(F.col(payload), F.lit(1), (F.length(payload) / 2).cast("int"))
+
+
+def deliveries(raw, **again):
+    """``raw`` with each response delivered once as it is, and once more as the
+    given body where that is not null: column ``delivery`` names which one."""
+    sent = [F.struct(F.lit("first").alias("delivery"), F.col("payload"))]
+    sent += [F.when(body.isNotNull(), F.struct(F.lit(name).alias("delivery"), body.alias("payload"))) for name, body in again.items()]
+    rest = [c for c in raw.columns if c != "payload"]
+    return raw.select(*rest, F.explode(F.array_compact(F.array(*sent))).alias("d")).select(*rest, "d.delivery", "d.payload")
+
+
+def eia_landed(spark, sf):
+    """S3: responses of one product arrive cut off too, those of another with an error."""
+    error = F.when(F.col("product_code") == "EPD2D", F.lit('{"error": {"code": 429}}'))
+    sent = deliveries(eia_payloads(spark, sf), cut=F.when(F.col("product_code") == "EPM0R", cut_off()), error=error)
+    path = scratch_path(spark, "landing")
+    landed.land(sent, path, ["product_code", "area_code", "delivery"])
+    return apis.eia_landed(spark, path, scratch_path(spark, "responses"))
 
 
 _EV = """ev AS (SELECT CASE event_type WHEN 'view' THEN 'EPM0R' WHEN 'click' THEN 'EPM0M'
@@ -60,29 +87,40 @@ SELECT state, CASE product_code WHEN 'EPM0R' THEN 'regular' WHEN 'EPM0M' THEN 'm
   WHEN 'EPM0P' THEN 'premium' ELSE 'diesel' END AS fuel_type, price, period, product_code, area_name,
   'EIA' AS data_source FROM top WHERE rn <= 10""")
 def s03_eia_fuel_prices(spark, sf):
-    """Parse the landed responses, map product and area
+    """Read the landed responses, map product and area
     codes, keep one row per (state, fuel type, period)."""
-    rows = apis.eia_rows(eia_payloads(spark, sf))
+    rows = apis.eia_flat(eia_landed(spark, sf).rows)
     return rows.dropDuplicates(["state", "fuel_type", "period"])
 
 
-def rate_payloads(spark, sf, lq=None):
-    """Landed truck-rate records (all fields as text) per year, quarter,
-    origin nation and destination nation; the origin's rate region is picked
-    by nation key % 10 from the region list; quarter 4 records omit the
-    quarter field."""
-    lq = lq if lq is not None else lane_quarters(spark, sf)
+def rate_pages(spark, sf):
+    """Truck-rate responses, an array of records (all fields as text) per year
+    and quarter: one record per origin and destination nation; the origin's rate
+    region is picked by nation key % 10 from the region list; quarter 4 records
+    omit the quarter field, and quarter 3 pages end with a record without region.
+    A page holds at most one record per pair of nations."""
     nk = B.table(spark, sf, "nation").select(F.col("n_name").alias("origin"), "n_nationkey")
     regions = list(dims.RATE_REGIONS)
     reg = F.create_map(*[x for i, r in enumerate(regions) for x in (F.lit(i), F.lit(r))])
-    agg = lq.withColumn("v", F.col("v_dec").cast("double")).join(F.broadcast(nk), "origin")
+    agg = lane_quarters(spark, sf).withColumn("v", F.col("v_dec").cast("double")).join(F.broadcast(nk), "origin")
     rec = F.struct(F.col("year").cast("string").alias("year"),
                    F.when(F.col("quarter") != 4, F.col("quarter").cast("string")).alias("quarter"),
                    reg[(F.col("n_nationkey") % 10).cast("int")].alias("region"),
                    F.concat(F.lit(" "), F.lower("destination"), F.lit(" ")).alias("destination"),
                    (F.col("v") / F.col("t") / 1000.0).cast("string").alias("rate_per_mile"),
                    (F.col("v") / F.col("n")).cast("string").alias("rate_per_truckload"))
-    return agg.select(F.to_json(rec).alias("payload"))
+    page = agg.groupBy("year", "quarter").agg(F.collect_list(F.to_json(rec)).alias("records"))
+    records = F.when(F.col("quarter") == 3, F.array_append("records", F.lit('{"destination": "nowhere"}'))).otherwise(F.col("records"))
+    return page.select(F.concat(F.lit("y"), "year", F.lit("q"), "quarter").alias("page"), "quarter",
+                       F.concat(F.lit("["), F.concat_ws(",\n", records), F.lit("]")).alias("payload"))
+
+
+def rates_landed(spark, sf):
+    """Pages of quarter 2 arrive cut off too."""
+    sent = deliveries(rate_pages(spark, sf), cut=F.when(F.col("quarter") == 2, cut_off()))
+    path = scratch_path(spark, "landing")
+    landed.land(sent, path, ["page", "delivery"])
+    return apis.rates_landed(spark, path, scratch_path(spark, "responses"))
 
 
 _REG_SQL = "CASE n_nationkey % 10 " + " ".join(f"WHEN {i} THEN '{r}'" for i, r in enumerate(dims.RATE_REGIONS)) + " END"
@@ -95,8 +133,8 @@ rates AS (SELECT year, CASE WHEN quarter = 4 THEN 1 ELSE quarter END AS quarter,
 
 
 def _latest_rates(spark, sf):
-    """Rate rows of the latest year, from the landed records."""
-    return apis.truck_rates(rate_payloads(spark, sf), freight.latest_year(lane_quarters(spark, sf)))
+    """Rate rows of the latest year, from the landed pages."""
+    return apis.typed_rates(rates_landed(spark, sf).rows, freight.latest_year(lane_quarters(spark, sf)))
 
 
 @query("s04_truck_rates", with_(FLOWS, _RATES) + "SELECT * FROM rates")
@@ -135,7 +173,16 @@ def weather_payloads(spark, sf):
     body = F.struct(F.struct("temp", "humidity", (F.col("temp") - 1.5).alias("feels_like")).alias("main"),
                     F.struct("speed").alias("wind"),
                     F.array(F.struct(F.concat(F.lit("light "), F.col("last")).alias("description"))).alias("weather"))
-    return w.select("state", F.to_json(body).alias("payload"))
+    return w.select("state", F.to_json(F.struct("state", body.alias("response"))).alias("payload"))
+
+
+def weather_landed(spark, sf):
+    """Lines of every seventh state arrive cut off too, of every eleventh with an error."""
+    error = F.concat(F.lit('{"state": '), F.col("state"), F.lit(', "response": {"cod": 401}}'))
+    sent = deliveries(weather_payloads(spark, sf), cut=F.when(F.col("state") % 7 == 0, cut_off()), error=F.when(F.col("state") % 11 == 0, error))
+    path = scratch_path(spark, "landing")
+    landed.land(sent, path, [])
+    return apis.weather_landed(spark, path, scratch_path(spark, "responses"))
 
 
 _WX = """wx AS (SELECT user_id AS state, max(CASE WHEN event_type = 'view' THEN value END) AS temperature,
@@ -149,8 +196,8 @@ _WX = """wx AS (SELECT user_id AS state, max(CASE WHEN event_type = 'view' THEN
 SELECT state, temperature, condition, humidity, wind_speed, feels_like, 'OpenWeatherMap' AS data_source FROM wx
 WHERE humidity BETWEEN 0 AND 100 AND wind_speed >= 0 AND length(coalesce(condition, '')) >= 1""")
 def s05_weather_valid(spark, sf):
-    """Flatten the nested responses and apply the weather contract."""
-    valid, _ = cleaning.apply_contract(apis.weather_rows(weather_payloads(spark, sf)), cleaning.weather_contract())
+    """Flatten the landed responses and apply the weather contract."""
+    valid, _ = cleaning.apply_contract(apis.weather_flat(weather_landed(spark, sf).rows), cleaning.weather_contract())
     return valid
 
 
@@ -159,10 +206,27 @@ SELECT state FROM ent WHERE state NOT IN (SELECT state FROM wx
   WHERE humidity BETWEEN 0 AND 100 AND wind_speed >= 0 AND length(coalesce(condition, '')) >= 1)""")
 def j16_states_without_weather(spark, sf):
     """Entities with no valid weather row (anti join)."""
-    valid, _ = cleaning.apply_contract(apis.weather_rows(weather_payloads(spark, sf)), cleaning.weather_contract())
+    valid, _ = cleaning.apply_contract(apis.weather_flat(weather_landed(spark, sf).rows), cleaning.weather_contract())
     return joins.anti(plain(spark, sf).select("state"), valid, "state")
 
 
+@query("s03_s06_landed_rejects", with_(FLOWS, COORDS, LANDED, _EV) + """
+SELECT 'fuel' AS source, CASE product_code WHEN 'EPM0R' THEN 'malformed' ELSE 'no_data' END AS reason, COUNT(DISTINCT state) AS rejects
+  FROM u WHERE product_code IN ('EPM0R', 'EPD2D') GROUP BY product_code
+UNION ALL SELECT 'rates', CASE quarter WHEN 2 THEN 'malformed' ELSE 'no_region' END, COUNT(DISTINCT year) FROM flows WHERE quarter IN (2, 3) GROUP BY quarter
+UNION ALL SELECT 'weather', 'malformed', COUNT(DISTINCT user_id) FROM events WHERE user_id % 7 = 0 HAVING COUNT(*) > 0
+UNION ALL SELECT 'weather', 'no_data', COUNT(DISTINCT user_id) FROM events WHERE user_id % 11 = 0 HAVING COUNT(*) > 0
+UNION ALL SELECT 'routing', 'no_route', (SELECT COUNT(*) FROM lanes_seen) - (SELECT COUNT(*) FROM landed)
+UNION ALL SELECT 'routing', 'malformed', COUNT(*) FROM lanes_seen WHERE origin > destination""")
+def s03_s06_landed_rejects(spark, sf):
+    """Records of each landing that could not be used, by reason, from
+    the quarantine of its load."""
+    loads = {"fuel": eia_landed(spark, sf), "rates": rates_landed(spark, sf), "weather": weather_landed(spark, sf),
+             "routing": routing_landed(spark, sf)}
+    counts = [x.reject_counts().select(F.lit(name).alias("source"), "reason", "rejects") for name, x in loads.items()]
+    return reduce(lambda a, b: a.unionByName(b), counts)
+
+
 def coded_flow_rows(spark, sf, years):
     """Freight-flow file rows in the coded wide layout: origin / destination
     codes from the supplier / customer nation keys (2k and 2k+1, so some are
@@ -213,8 +277,6 @@ def s02_p15_p16_coded_lanes(spark, sf):
     read back with the file schema (float32 measures, pruned columns), then
     P15 (domestic, known codes) -> P16 (labels) -> U1 (stack) -> lane totals
     of the latest year."""
-    from haulage.session import scratch_path
-    from haulage.sources import files
     path = scratch_path(spark)
     years = B.ship_years(spark, sf)
     landed = coded_flow_rows(spark, sf, years).select(

@@ -1,20 +1,23 @@
 """Landed API payloads -> typed rows.
 
-The engine does not call services; it reads the JSON they returned, landed
-as files or as a string column, with an explicit schema (``from_json`` /
-``spark.read.schema(...).json``) and flattens it with column expressions.
+The engine does not call services; it reads the JSON they returned with an
+explicit schema and flattens it with column expressions. Responses landed as
+files come through ``landed.ingest`` (``*_landed`` here), which keeps what
+can't be used as counted rejects; responses in a string column are parsed by
+``from_json``.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from haulage import dims
 from haulage.functions import round_half_up
+from haulage.sources.landed import Landed, ingest
 
 EIA_SCHEMA = T.StructType([T.StructField("response", T.StructType([
     T.StructField("data", T.ArrayType(T.StructType([
@@ -33,18 +36,38 @@ WEATHER_SCHEMA = T.StructType([
     T.StructField("weather", T.ArrayType(T.StructType([T.StructField("description", T.StringType())])))])
 
 
+def eia_landed(spark: SparkSession, path: str, out: str) -> Landed:
+    """S3: one file per response, product and area code in the folder names;
+    ``rows`` has (product_code, area_code, response)."""
+    return ingest(spark, path, out, EIA_SCHEMA, {"no_data": F.col("response.data").isNotNull()}, multi_line=True)
+
+
+def rates_landed(spark: SparkSession, path: str, out: str) -> Landed:
+    """Files that hold an array of rate records each."""
+    return ingest(spark, path, out, RATE_SCHEMA, {"no_region": F.col("region").isNotNull()}, multi_line=True)
+
+
+def weather_landed(spark: SparkSession, path: str, out: str) -> Landed:
+    """One response per line, in an envelope with its state."""
+    schema = T.StructType([T.StructField("state", T.LongType()), T.StructField("response", WEATHER_SCHEMA)])
+    return ingest(spark, path, out, schema, {"no_data": F.col("response.main").isNotNull()})
+
+
 def eia_rows(raw: DataFrame, payload: str = "payload") -> DataFrame:
-    """One row per element of ``response.data`` of each landed
-    response (raw has product_code, area_code, payload); product code ->
-    fuel type and area code -> state through broadcast dimension joins
-    ('NUS' is 'US'; unknown areas keep their code); area-name defaults to the
-    state; price cast to double."""
-    spark = raw.sparkSession
+    """``eia_flat`` for responses in a string column."""
+    return eia_flat(raw.select("product_code", "area_code", F.from_json(F.col(payload), EIA_SCHEMA)["response"].alias("response")))
+
+
+def eia_flat(parsed: DataFrame) -> DataFrame:
+    """One row per element of ``response.data`` of each parsed response
+    (product_code, area_code, response); product code -> fuel type and area code
+    -> state through broadcast dimension joins ('NUS' is 'US'; unknown areas keep
+    their code); area-name defaults to the state; price cast to double."""
+    spark = parsed.sparkSession
     prod = F.broadcast(spark.createDataFrame(list(dims.EIA_PRODUCTS.items()), "product_code string, fuel_type string"))
     areas = [("NUS", "US")] + [(a, s) for s, a in dims.EIA_STATE_AREAS.items()]
     area = F.broadcast(spark.createDataFrame(areas, "area_code string, state string"))
-    rows = (raw.select("product_code", "area_code",
-                       F.explode(F.from_json(F.col(payload), EIA_SCHEMA)["response"]["data"]).alias("d"))
+    rows = (parsed.select("product_code", "area_code", F.explode("response.data").alias("d"))
             .join(prod, "product_code").join(area, "area_code", "left")
             .withColumn("state", F.coalesce("state", "area_code")))
     return rows.select("state", "fuel_type", F.col("d.value").try_cast("double").alias("price"),
@@ -61,16 +84,20 @@ def latest_periods(df: DataFrame, keys: list[str], period: str = "period", n: in
 
 
 def truck_rates(raw: DataFrame, year: int | Column, payload: str = "payload") -> DataFrame:
-    """Landed rate records (strings) -> typed rows: missing year ->
+    """``typed_rates`` for records in a string column."""
+    return typed_rates(raw.select(F.from_json(F.col(payload), RATE_SCHEMA).alias("r")).select("r.*"), year)
+
+
+def typed_rates(records: DataFrame, year: int | Column) -> DataFrame:
+    """Rate records (strings) -> typed rows: missing year ->
     ``year``, missing quarter -> 1, missing rates -> 0; destination trimmed and
     upper-cased; region mapped to state codes (unmapped keeps its name,
     'OTHER' -> null); filtered to ``year``."""
-    spark = raw.sparkSession
+    spark = records.sparkSession
     regions = F.broadcast(spark.createDataFrame(
         [(k, v, True) for k, v in dims.RATE_REGIONS.items()],
         "region string, codes string, mapped boolean"))
-    r = raw.select(F.from_json(F.col(payload), RATE_SCHEMA).alias("r")).select("r.*")
-    out = (r.join(regions, "region", "left")
+    out = (records.join(regions, "region", "left")
            .select(F.coalesce(F.col("year").try_cast("int"), F.lit(year)).alias("year"),
                    F.coalesce(F.col("quarter").try_cast("int"), F.lit(1)).alias("quarter"),
                    F.when(F.col("mapped"), F.col("codes")).otherwise(F.col("region")).alias("origin_state"),
@@ -96,11 +123,15 @@ def sorted_rates(rates: DataFrame, limit: int = 10000) -> DataFrame:
 
 
 def weather_rows(raw: DataFrame, payload: str = "payload") -> DataFrame:
+    """``weather_flat`` for responses in a string column."""
+    return weather_flat(raw.select("state", F.from_json(F.col(payload), WEATHER_SCHEMA).alias("response")))
+
+
+def weather_flat(parsed: DataFrame) -> DataFrame:
     """Nested weather response -> flat row (temperature, condition in
     title case from the first weather entry, humidity, wind speed, feels
     like), source stamped."""
-    w = F.from_json(F.col(payload), WEATHER_SCHEMA)
-    return raw.select("state", w.alias("w")).select(
+    return parsed.select("state", F.col("response").alias("w")).select(
         "state", F.col("w.main.temp").alias("temperature"),
         F.initcap(F.try_element_at("w.weather", F.lit(1))["description"]).alias("condition"),
         F.col("w.main.humidity").alias("humidity"), F.col("w.wind.speed").alias("wind_speed"),
