@@ -10,6 +10,7 @@ time of change) makes a new one.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +20,8 @@ from haulage.session import scratch_path
 
 SOURCES = ("lineitem", "orders", "customer", "supplier", "nation", "region")
 
-# Folder of the stored table by application and state of its sources.
-_STORED: dict[tuple[str, str], str] = {}
+# Folder of a stored table by application, name and state of its sources.
+_STORED: dict[tuple[str, str, str], str] = {}
 
 
 def fingerprint(spark: SparkSession, sf_dir: str, tables=SOURCES) -> str:
@@ -35,19 +36,26 @@ def fingerprint(spark: SparkSession, sf_dir: str, tables=SOURCES) -> str:
     return hashlib.sha256(repr(seen).encode()).hexdigest()
 
 
+def stored(spark: SparkSession, sf_dir: str, name: str, make: Callable[[str], None]) -> str:
+    """Folder of a table that ``make(folder)`` writes, made once per state of the sources."""
+    key = (spark.sparkContext.applicationId, name, fingerprint(spark, sf_dir))
+    if key not in _STORED:
+        path = scratch_path(spark, name)
+        make(path)
+        _STORED[key] = path
+    return _STORED[key]
+
+
 def lane_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(year, quarter, origin, destination, t, v_dec, n): tons, exact value sum
     (decimal) and number of flow rows; read from the stored table."""
-    key = (spark.sparkContext.applicationId, fingerprint(spark, sf_dir))
-    if key not in _STORED:
+    def make(path):
         columns = ("origin", "destination", "year", "quarter", "tons", "value")
-        made = (B.flows(spark, sf_dir, columns=columns).groupBy("year", "quarter", "origin", "destination")
-                .agg(F.sum("tons").alias("t"), F.sum(F.col("value").cast("decimal(18,2)")).alias("v_dec"),
-                     F.count(F.lit(1)).alias("n")))
-        path = scratch_path(spark, "lanes")
-        made.write.parquet(path)
-        _STORED[key] = path
-    return spark.read.parquet(_STORED[key])
+        (B.flows(spark, sf_dir, columns=columns).groupBy("year", "quarter", "origin", "destination")
+         .agg(F.sum("tons").alias("t"), F.sum(F.col("value").cast("decimal(18,2)")).alias("v_dec"),
+              F.count(F.lit(1)).alias("n")).write.parquet(path))
+
+    return spark.read.parquet(stored(spark, sf_dir, "lanes", make))
 
 
 def observed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from haulage.functions import round_half_up
 from haulage.operators import freight, joins, routes
 from haulage.plans import bindings as B
-from haulage.plans.lanes import lane_quarters, observed_pairs
+from haulage.plans.lanes import lane_quarters, observed_pairs, stored
 from haulage.plans.catalog import query
 from haulage.session import scratch_path
 from haulage.sources import landed
@@ -19,15 +19,19 @@ LANES = (*freight.LANE_KEYS, "year", "tons")
 
 
 def routing_landed(spark, sf):
-    """The routing responses of the observed pairs, landed as lines and read
-    back; those of pairs in descending order arrive cut off too."""
-    answers = B.landed_routes(spark, sf, observed_pairs(spark, sf))
-    line = F.to_json(F.struct("origin", "destination", F.struct("code", F.array(F.struct("distance", "duration")).alias("routes")).alias("response")))
-    cut = F.when(F.col("origin") > F.col("destination"), F.substring("payload", 1, 40))
-    sent = answers.withColumn("payload", line).select(F.explode(F.array_compact(F.array("payload", cut))).alias("payload"))
-    path = scratch_path(spark, "landing")
-    landed.land(sent, path, [])
-    return routes.routing_landed(spark, path, scratch_path(spark, "responses"))
+    """The routing responses of the observed pairs, landed as lines and loaded
+    once for all route queries; those of pairs in descending order arrive cut off too."""
+    def make(path):
+        answers = B.landed_routes(spark, sf, observed_pairs(spark, sf))
+        response = F.struct("code", F.array(F.struct("distance", "duration")).alias("routes")).alias("response")
+        line = F.to_json(F.struct("origin", "destination", response))
+        cut = F.when(F.col("origin") > F.col("destination"), F.substring("payload", 1, 40))
+        sent = answers.withColumn("payload", line).select(F.explode(F.array_compact(F.array("payload", cut))).alias("payload"))
+        files = scratch_path(spark, "landing")
+        landed.land(sent, files, [])
+        routes.routing_landed(spark, files, path)
+
+    return landed.read_ingested(spark, stored(spark, sf, "routing", make))
 
 
 def route_table(spark, sf):

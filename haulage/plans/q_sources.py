@@ -22,7 +22,7 @@ from haulage.plans.q_entities import plain
 from haulage.plans.q_routes import CONG_BASE, route_costs, routing_landed
 from haulage.plans.sqlparts import COORDS, ENTITIES, FLOWS, LANDED, LATEST_YEAR as Y, msum, rhu, with_
 from haulage.session import scratch_path
-from haulage.sources import apis, files, landed
+from haulage.sources import apis, files, landed, zipfiles
 
 # Event type -> price product code (binding), area index -> area code.
 EVENT_PRODUCT = {"view": "EPM0R", "click": "EPM0M", "purchase": "EPM0P", "signup": "EPD2D"}
@@ -248,6 +248,15 @@ def coded_flow_rows(spark, sf, years):
     return freight.long_to_wide(long, years, ["dms_origst", "dms_destst", "dms_mode", "sctg2", "trade_type"])
 
 
+def _latest_lane_tons(spark, sf, wide, years):
+    """P15 (domestic, known codes) -> P16 (labels) -> U1 (stack) -> lane totals of the latest year."""
+    dom = freight.domestic_flows(wide, dims.fips_dim(spark))
+    lab = freight.label_flows(dom, dims.fips_dim(spark), dims.mode_dim(spark), dims.sctg_dim(spark))
+    long = freight.wide_to_long(lab, years, ["origin", "destination", "commodity", "mode"])
+    return (long.where(F.col("year") == B.latest_year(spark, sf)).groupBy("origin", "destination", "commodity", "mode")
+            .agg(F.sum("tons").alias("tons_latest")))
+
+
 def _values(name, cols, items):
     vals = ", ".join("(" + ", ".join(repr(x) for x in it) + ")" for it in items)
     return f"{name} AS (SELECT * FROM (VALUES {vals}) AS t({cols}))"
@@ -266,29 +275,39 @@ _CF = f"""cf AS (SELECT s.s_nationkey * 2 AS o, c.c_nationkey * 2 + 1 AS d,
   JOIN part p ON l.l_partkey = p.p_partkey WHERE l.l_linestatus = 'F')"""
 
 
-@query("s02_p15_p16_coded_lanes", with_(*_DIMS, _CF) + f"""
+_CODED_SQL = with_(*_DIMS, _CF) + """
 SELECT fo.code AS origin, fd.code AS destination, coalesce(sc.commodity, 'Unknown') AS commodity,
   coalesce(md.mode, 'Other') AS mode, SUM(tons) AS tons_latest
 FROM cf JOIN fips fo ON cf.o = fo.fips JOIN fips fd ON cf.d = fd.fips
 LEFT JOIN modes md ON cf.m = md.dms_mode LEFT JOIN sctg sc ON cf.k = sc.sctg2
-GROUP BY 1, 2, 3, 4""")
+GROUP BY 1, 2, 3, 4"""
+
+
+def _landed_flow_rows(spark, sf, years):
+    return coded_flow_rows(spark, sf, years).select(
+        *files.FLOW_KEYS, *[f"tons_{y}" for y in years], *[f"value_{y}" for y in years])
+
+
+@query("s02_p15_p16_coded_lanes", _CODED_SQL)
 def s02_p15_p16_coded_lanes(spark, sf):
-    """Coded wide rows landed as gzip CSV in the shared scratch folder,
-    read back with the file schema (float32 measures, pruned columns), then
-    P15 (domestic, known codes) -> P16 (labels) -> U1 (stack) -> lane totals
-    of the latest year."""
+    """Coded wide rows landed as gzip CSV in the shared scratch folder, read
+    back with the file schema (float32 measures, pruned columns), then totalled."""
     path = scratch_path(spark)
     years = B.ship_years(spark, sf)
-    landed = coded_flow_rows(spark, sf, years).select(
-        *files.FLOW_KEYS, *[f"tons_{y}" for y in years], *[f"value_{y}" for y in years])
     # gzip files cannot be split, so each holds a bounded number of rows
-    landed.write.option("header", True).option("compression", "gzip").option("maxRecordsPerFile", 500_000).csv(path)
-    wide = files.read_flow_csv(spark, path, years)
-    dom = freight.domestic_flows(wide, dims.fips_dim(spark))
-    lab = freight.label_flows(dom, dims.fips_dim(spark), dims.mode_dim(spark), dims.sctg_dim(spark))
-    long = freight.wide_to_long(lab, years, ["origin", "destination", "commodity", "mode"])
-    return (long.where(F.col("year") == B.latest_year(spark, sf)).groupBy("origin", "destination", "commodity", "mode")
-            .agg(F.sum("tons").alias("tons_latest")))
+    (_landed_flow_rows(spark, sf, years).write.option("header", True).option("compression", "gzip")
+     .option("maxRecordsPerFile", 500_000).csv(path))
+    return _latest_lane_tons(spark, sf, files.read_flow_csv(spark, path, years), years)
+
+
+@query("s02_zip_members", _CODED_SQL)
+def s02_zip_members(spark, sf):
+    """The same rows landed as zip archives of several CSV members each, and
+    read from there by the zip source, one partition per member."""
+    path = scratch_path(spark)
+    years = B.ship_years(spark, sf)
+    zipfiles.write_zip_csv(_landed_flow_rows(spark, sf, years), path, 50_000)
+    return _latest_lane_tons(spark, sf, zipfiles.read_flow_zip(spark, path, years), years)
 
 
 @query("a37_headline_metrics", with_(*CONG_BASE, _RATES, f"""y AS (SELECT year, {rhu('SUM(tons) / 1000.0', 2)} AS tons_m,

@@ -64,7 +64,12 @@ def ingest(spark: SparkSession, path: str, out: str, schema: T.StructType, requi
     """Parse the files under ``path`` once into the table ``out`` and return its good rows and its rejects."""
     marked = read_marked(spark, path, schema, required, multi_line)
     marked.write.partitionBy(_OUTCOME).parquet(out)
-    stored = spark.read.schema(marked.schema).parquet(out)
+    return read_ingested(spark, out, marked.schema)
+
+
+def read_ingested(spark: SparkSession, out: str, schema: T.StructType | None = None) -> Landed:
+    """The good rows and rejects of a load that ``ingest`` wrote."""
+    stored = (spark.read if schema is None else spark.read.schema(schema)).parquet(out)
     rows = stored.where(F.col(_OUTCOME) == OK).drop(_RAW, _FILE, _OUTCOME)
     rejects = stored.where(F.col(_OUTCOME) != OK).select(
         F.col(_FILE).alias("file"), F.col(_OUTCOME).alias("reason"), F.col(_RAW).alias("raw"))
