@@ -2,7 +2,8 @@
 
 Column-wise statistics are computed by unpivoting the numeric columns into
 (column, value) rows and running one ``groupBy("column")``: moments are
-partial aggregates; quantiles use the distributed exact quantile
+partial aggregates; quantiles of whole columns are selected by histogram
+refinement (``selection``), those of groups by the distributed exact quantile
 (``ranking.grouped_quantiles``), so no column is ever gathered in one task.
 """
 
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 
 from haulage.functions import jarque_bera_p, round_half_up
 from haulage.operators.ranking import grouped_quantiles, quantile_scalars
+from haulage.operators.selection import quantile_rows, select_quantiles
 from haulage.session import materialize, small_side
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -37,14 +39,15 @@ def descriptive_statistics(df: DataFrame, cols: list[str] | None = None) -> Data
     q75, iqr, skewness and excess kurtosis (population forms), cv (0 when the
     mean is 0). Nulls are skipped per column."""
     cols = cols or numeric_columns(df)
-    long = to_long(df, cols).where(F.col("value").isNotNull())
+    stored = materialize(df.select(*cols))  # the moments and the quantiles read the same rows
+    long = to_long(stored, cols).where(F.col("value").isNotNull())
     mom = long.groupBy("column").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.var_samp("value").alias("var"),
         F.min("value").alias("min"), F.max("value").alias("max"),
         F.skewness("value").alias("skewness"), F.kurtosis("value").alias("kurtosis"))
-    q = grouped_quantiles(long, ["column"], "value", {"median": 0.5, "q25": 0.25, "q75": 0.75}).drop("n")
-    return (mom.join(q, "column")
+    q = quantile_rows(stored, cols, {"median": 0.5, "q25": 0.25, "q75": 0.75}).drop("n")
+    return (mom.join(F.broadcast(q), "column")
             .withColumn("iqr", F.col("q75") - F.col("q25"))
             .withColumn("cv", F.when(F.col("mean") != 0, F.col("std") / F.col("mean")).otherwise(F.lit(0.0))))
 
@@ -79,7 +82,9 @@ def value_counts(df: DataFrame, cols: list[str], group: list[str] | None = None)
 
 def iqr_outlier_counts(df: DataFrame, cols: list[str], group: list[str] | None = None) -> DataFrame:
     """A20 in bulk: rows outside 1.5 x IQR fences per column (and group)."""
-    g = group or []
+    if not group:
+        return _column_outlier_counts(df, cols)
+    g = group
     values = value_counts(df, cols, group)
     q = grouped_quantiles(values, [*g, "column"], "value", {"q1": 0.25, "q3": 0.75}, weight="rows")
     fences = q.select(*g, "column", (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lo"),
@@ -91,15 +96,30 @@ def iqr_outlier_counts(df: DataFrame, cols: list[str], group: list[str] | None =
                  F.first("n").alias("n")))
 
 
+def _column_outlier_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column, outliers_count, n): fences by selection, then one count per column in a single scan."""
+    fences = select_quantiles(df, {c: {"q1": 0.25, "q3": 0.75} for c in cols})
+    cols = [c for c in cols if fences[c]["n"]]
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column string, outliers_count long, n long")
+    counts = []
+    for c in cols:
+        v, q1, q3 = F.col(f"`{c}`").cast("double"), fences[c]["q1"], fences[c]["q3"]
+        outside = (v < q1 - 1.5 * (q3 - q1)) | (v > q3 + 1.5 * (q3 - q1))
+        counts.append(F.struct(F.lit(c).alias("column"), F.count_if(outside).alias("outliers_count"), F.count(v).alias("n")))
+    return df.agg(F.array(*counts).alias("x")).select(F.explode("x").alias("x")).select("x.*")
+
+
 def distribution_analysis(df: DataFrame, cols: list[str] | None = None, alpha: float = 0.05) -> DataFrame:
     """A21 (re-aimed): Jarque-Bera normality test from population skewness and
     excess kurtosis (p = exp(-JB / 2)), 'Insufficient data' when n <= 3, and
     IQR outlier count and percentage."""
     cols = cols or numeric_columns(df)
-    long = to_long(df, cols).where(F.col("value").isNotNull())
+    stored = materialize(df.select(*cols))
+    long = to_long(stored, cols).where(F.col("value").isNotNull())
     mom = long.groupBy("column").agg(F.count("value").alias("n"), F.skewness("value").alias("s"),
                                      F.kurtosis("value").alias("k"))
-    out = iqr_outlier_counts(df, cols).drop("n")
+    out = iqr_outlier_counts(stored, cols).drop("n")
     p = jarque_bera_p("n", "s", "k")
     return (mom.join(out, "column")
             .select("column", "n",
@@ -247,8 +267,9 @@ def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Per numeric column count, mean, sample std, min, quartiles and max.
     All are exact, the quartiles too (unlike ``DataFrame.summary``)."""
     cols = cols or numeric_columns(df)
-    long = to_long(df, cols).where(F.col("value").isNotNull())
-    q = grouped_quantiles(long, ["column"], "value", {"q25": 0.25, "median": 0.5, "q75": 0.75}).drop("n")
+    stored = materialize(df.select(*cols))
+    long = to_long(stored, cols).where(F.col("value").isNotNull())
+    q = F.broadcast(quantile_rows(stored, cols, {"q25": 0.25, "median": 0.5, "q75": 0.75}).drop("n"))
     stats = long.groupBy("column").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"))

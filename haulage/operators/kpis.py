@@ -3,7 +3,8 @@
 KPI groups are one-row aggregates (``agg``) so the whole table is reduced
 with partial aggregation; a global statistic used per row (mean, max, min)
 is a scalar subquery, evaluated once and inlined as a value. Exact
-percentiles use ``percentile`` (linear interpolation, as pandas ``quantile``).
+percentiles (linear interpolation, as pandas ``quantile``) are selected by
+histogram refinement (``selection``).
 """
 
 from __future__ import annotations
@@ -213,11 +214,16 @@ def logistics_demand(df: DataFrame, population: str = "population", density_col:
     return df.withColumn(out, F.col(population) * density(df, population, density_col, land_area))
 
 
-def min_max(df: DataFrame, c: Column, name: str) -> Column:
-    """(x - min) / (max - min); a constant column falls back to x / max.
-    min and max are scalar subqueries over ``df``."""
-    mm = df.select(F.min(c).alias("lo"), F.max(c).alias("hi"))
-    lo, hi = mm.select("lo").scalar(), mm.select("hi").scalar()
+def extremes(df: DataFrame, values: dict[str, Column]) -> Column:
+    """Smallest and largest of several expressions as one scalar subquery, so one
+    pass over ``df``: a struct of (lo, hi) per name."""
+    both = [F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(name) for name, c in values.items()]
+    return df.select(F.struct(*both)).scalar()
+
+
+def min_max(c: Column, ends: Column) -> Column:
+    """(x - min) / (max - min); a constant column falls back to x / max."""
+    lo, hi = ends["lo"], ends["hi"]
     return F.when(hi > lo, (c - lo) / (hi - lo)).otherwise(F.try_divide(c, hi))
 
 
@@ -228,11 +234,11 @@ def freight_opportunity(df: DataFrame, weights: dict | None = None, population:
     w = weights or {"population": 0.4, "density": 0.3, "fuel_cost": 0.3}
     dens = density(df, population, density_col, land_area)
     d = F.col(diesel)
-    mm = df.select(F.min(d).alias("lo"), F.max(d).alias("hi"))
-    lo, hi = mm.select("lo").scalar(), mm.select("hi").scalar()
+    ends = extremes(df, {"population": F.col(population), "density": dens, "diesel": d})
+    lo, hi = ends["diesel"]["lo"], ends["diesel"]["hi"]
     inv = F.when(hi > lo, (hi - d) / (hi - lo)).otherwise(F.try_divide(hi - d, hi))
-    score = (w["population"] * min_max(df, F.col(population), "_np")
-             + w["density"] * min_max(df, dens, "_nd") + w["fuel_cost"] * inv) * 100
+    score = (w["population"] * min_max(F.col(population), ends["population"])
+             + w["density"] * min_max(dens, ends["density"]) + w["fuel_cost"] * inv) * 100
     return df.withColumn(out, score)
 
 

@@ -21,7 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from haulage.session import ensure_checkpoint_dir, materialize
+from haulage.operators.selection import select_quantiles
+from haulage.session import ensure_checkpoint_dir
 
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
@@ -142,19 +143,12 @@ def grouped_quantiles(df: DataFrame, group_cols: list[str], value: str,
 
 
 def column_quantiles(df: DataFrame, probs: dict[str, dict[str, float]]) -> dict[str, dict]:
-    """Exact whole-table quantiles of several columns as scalar Columns, all
-    from one pass over the unpivoted columns; the result (one row per column)
-    is stored once. ``probs``: column -> name -> probability."""
-    cols = list(probs)
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "_column", "_value")
-    names = {f"{c}__{n}": p for c in cols for n, p in probs[c].items()}
-    q = materialize(grouped_quantiles(long, ["_column"], "_value", names))
-    return {c: {n: q.where(F.col("_column") == c).select(f"{c}__{n}").scalar() for n in probs[c]} for c in cols}
-
-
-def quantile_scalars(df: DataFrame, value: str, probs: dict[str, float],
-                     partitions: int | None = None) -> dict:
-    """Exact whole-table quantiles as scalar-subquery Columns (one shared
-    distributed computation)."""
-    q = grouped_quantiles(df, [], value, probs, partitions)
-    return {name: q.select(name).scalar() for name in probs}
+    """Exact whole-table quantiles of several columns as literal Columns, all
+    from the same scans (``selection``). ``probs``: column -> name -> probability."""
+    found = select_quantiles(df, probs)
+    return {c: {n: F.lit(found[c][n]).cast("double") for n in probs[c]} for c in probs}
+
+
+def quantile_scalars(df: DataFrame, value: str, probs: dict[str, float]) -> dict:
+    """Exact quantiles of one column as literal Columns."""
+    return column_quantiles(df, {value: probs})[value]

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from haulage.functions import round_half_up
 from haulage.operators import kpis, marts
 from haulage.operators.ranking import quantile_scalars
+from haulage.operators.selection import quantile_rows
+from haulage.session import materialize
 from haulage.plans.catalog import query
 from haulage.plans.q_entities import _FA, _SHIP, ent, latest_fuel, plain, shipping
 from haulage.plans.sqlparts import ENTITIES, LATEST_FUEL, SNAPS, rhu, with_
@@ -128,7 +130,8 @@ def a33_cost_optimisation(spark, sf):
 
 
 def _opportunity(spark, sf):
-    return kpis.freight_opportunity(enriched(spark, sf))
+    # stored once: the extremes and the scores read the joined rows
+    return kpis.freight_opportunity(materialize(enriched(spark, sf)))
 
 
 _OPP = f"""mm AS (SELECT min(population) AS plo, max(population) AS phi, min(population / 1000.0) AS dlo,
@@ -147,7 +150,7 @@ WHERE segment IS NOT NULL GROUP BY segment""")
 def a34_opportunity_segments(spark, sf):
     """Segments by quartile of the opportunity score (> q75 High,
     (q50, q75] Mid, < q25 Low): count and mean per segment."""
-    o = _opportunity(spark, sf)
+    o = materialize(_opportunity(spark, sf).select("freight_opportunity_score"))
     q = quantile_scalars(o, "freight_opportunity_score", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
     s = F.col("freight_opportunity_score")
     seg = F.when(s > q["q75"], "High").when((s > q["q50"]) & (s <= q["q75"]), "Mid").when(s < q["q25"], "Low")
@@ -172,9 +175,8 @@ def a35_premium_and_advantage_states(spark, sf):
 def a36_percentile_breakdown(spark, sf):
     """25/50/75/90th percentiles of the opportunity score (exact,
     distributed)."""
-    from haulage.operators.ranking import grouped_quantiles
-    o = _opportunity(spark, sf)
-    q = grouped_quantiles(o, [], "freight_opportunity_score", {f"p{p}": p / 100 for p in (25, 50, 75, 90)})
+    score = "freight_opportunity_score"
+    q = quantile_rows(_opportunity(spark, sf), [score], {f"p{p}": p / 100 for p in (25, 50, 75, 90)})
     long = q.unpivot([], [f"p{p}" for p in (25, 50, 75, 90)], "pname", "score")
     return long.select(F.substring("pname", 2, 2).cast("int").alias("percentile"), round_half_up("score", 6).alias("score"))
 
