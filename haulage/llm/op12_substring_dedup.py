@@ -51,8 +51,8 @@ from haulage.session import scratch_path
 WINDOW = 35
 BATCH_BYTES = 8 << 20
 DEPTH = 2              # rows of the sketch
-CELL_BITS = 25         # cells of a row in one segment: 2**25 bytes in the task that merges them
-SEGMENT = 1 << 22      # windows in a segment on average, so 1 cell in 8 is filled
+CELL_BITS = 23         # cells of a row in one segment: 2**23 bytes in the task that merges them
+SEGMENT = 1 << 20      # windows in a segment on average, so 1 cell in 8 is filled
 
 U64 = np.uint64
 _WORD = U64(0xD6E8FEB86659FD93)   # fixed multipliers of the hashes; any odd numbers do
