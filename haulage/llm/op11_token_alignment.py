@@ -41,8 +41,8 @@ from haulage.llm.common import mix, prepare, store
 from haulage.llm.packs import pack, pack_sorted, unpack, unpack_sorted
 from haulage.llm.registry import query, table
 
-BATCH_BYTES = 16 << 20    # text of one batch
-BUCKETS = 16              # parts that the pairs are dealt to, at least
+BATCH_BYTES = 8 << 20     # text of one batch
+BUCKETS = 8               # parts that the pairs are dealt to, at least
 REMEMBERED = 200_000      # distinct chunks that a worker remembers between batches, at most
 REMEMBERED_BYTES = 32 << 20
 B_BITS = 32               # a pair is one number: A id << 32 | B id
@@ -332,8 +332,8 @@ def alignment(df: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", t
     spark = df.sparkSession
     prepare(spark)
     src = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    # a part holds the pairs of a few batches' number, however many batches there are
-    buckets = max(buckets, src.rdd.getNumPartitions() // 4)
+    # parts grow with the batches, so that a part stays small
+    buckets = max(buckets, 2 * src.rdd.getNumPartitions())
 
     def split(batches):
         memory = _Memory(Tokenizers(a_path, b_path))
