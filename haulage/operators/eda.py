@@ -11,12 +11,14 @@ from __future__ import annotations
 
 from functools import reduce
 from itertools import combinations
+from math import isnan
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from haulage.functions import jarque_bera_p, round_half_up
+from haulage.operators.gram import gram
 from haulage.operators.ranking import grouped_quantiles, quantile_scalars
 from haulage.operators.selection import quantile_rows, select_quantiles
 from haulage.session import materialize, small_side
@@ -54,18 +56,13 @@ def descriptive_statistics(df: DataFrame, cols: list[str] | None = None) -> Data
 
 def correlation_pairs(df: DataFrame, cols: list[str] | None = None, threshold: float = 0.5,
                       strong: float = 0.7, keep_all: bool = False) -> DataFrame:
-    """Pearson correlation for every column pair i < j in one aggregate
-    (pairwise-complete rows), unpivoted to (var1, var2, correlation,
-    strength); pairs with |r| > threshold unless ``keep_all``."""
+    """Pearson correlation for every column pair i < j (rows that have
+    both), from one Gram matrix, as (var1, var2, correlation, strength); pairs
+    with |r| > threshold unless ``keep_all``. Null for a constant column."""
     cols = cols or numeric_columns(df)
-    pairs = list(combinations(cols, 2))
-    casted = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    one = casted.agg(*[F.corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
-    names = F.create_map(*[x for i, (a, b) in enumerate(pairs)
-                           for x in (F.lit(str(i)), F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2")))])
-    long = one.unpivot([], [str(i) for i in range(len(pairs))], "pair", "correlation")
-    out = (long.withColumn("_p", names[F.col("pair")])
-           .select(F.col("_p.var1").alias("var1"), F.col("_p.var2").alias("var2"), "correlation")
+    r = gram(df, cols).correlation()
+    rows = [(cols[i], cols[j], None if isnan(r[i, j]) else float(r[i, j])) for i, j in combinations(range(len(cols)), 2)]
+    out = (df.sparkSession.createDataFrame(rows, "var1 string, var2 string, correlation double")
            .withColumn("strength", F.when(F.abs("correlation") > strong, "Strong").otherwise("Moderate")))
     return out if keep_all else out.where(F.abs("correlation") > threshold)
 

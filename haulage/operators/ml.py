@@ -1,18 +1,20 @@
 """Linear cost model (M1-M5).
 
 ``split`` is a deterministic hash split on the row keys (the same rows land in
-train/test whatever the partitioning). ``fit_ols2`` solves the two-feature
-least-squares problem from one aggregate of second moments (the normal
-equations), which is what MLlib's normal-equation solver does in a distributed
-pass.
+train/test whatever the partitioning). The model is fitted for any number of
+features from one Gram matrix (``gram.fit_linear``) and applied as literals.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulage.functions import round_half_up
+from haulage.operators.gram import Model
+
 
 def split(df: DataFrame, keys: list[str], train_pct: int = 80) -> tuple[DataFrame, DataFrame]:
     """M1: (train, test) by a bucket of 100 from the first 8 hex digits of
@@ -22,45 +24,30 @@ def split(df: DataFrame, keys: list[str], train_pct: int = 80) -> tuple[DataFram
     return df.where(bucket < train_pct), df.where(bucket >= train_pct)
 
 
-def fit_ols2(train: DataFrame, x1: str, x2: str, y: str) -> DataFrame:
-    """M2: one-row (intercept, b1, b2, n_train) from sample (co)variances."""
-    m = train.agg(F.var_samp(x1).alias("s11"), F.var_samp(x2).alias("s22"),
-                  F.covar_samp(x1, x2).alias("s12"), F.covar_samp(x1, y).alias("s1y"),
-                  F.covar_samp(x2, y).alias("s2y"), F.avg(x1).alias("m1"), F.avg(x2).alias("m2"),
-                  F.avg(y).alias("my"), F.count(F.lit(1)).alias("n_train"))
-    det = F.col("s11") * F.col("s22") - F.col("s12") * F.col("s12")
-    b1 = F.try_divide(F.col("s22") * F.col("s1y") - F.col("s12") * F.col("s2y"), det)
-    b2 = F.try_divide(F.col("s11") * F.col("s2y") - F.col("s12") * F.col("s1y"), det)
-    return (m.withColumn("b1", b1).withColumn("b2", b2)
-            .withColumn("intercept", F.col("my") - F.col("b1") * F.col("m1") - F.col("b2") * F.col("m2"))
-            .select("intercept", "b1", "b2", "n_train"))
-
-
-def predict(test: DataFrame, model: DataFrame, x1: str, x2: str) -> DataFrame:
-    """Apply a fitted one-row model (coefficients as scalar subqueries)."""
-    b0, b1, b2 = (model.select(c).scalar() for c in ("intercept", "b1", "b2"))
-    return test.withColumn("_pred", b0 + b1 * F.col(x1) + b2 * F.col(x2))
+def predict(test: DataFrame, model: Model) -> DataFrame:
+    """``test`` with the model's prediction; null where a feature is null or the model has no rows."""
+    terms = [F.lit(c).cast("double") * F.col(x) for x, c in zip(model.features, model.coefficients)]
+    return test.withColumn("_pred", reduce(lambda a, b: a + b, terms, F.lit(model.intercept).cast("double")))
 
 
-def coefficients(model: DataFrame, x1: str, x2: str) -> DataFrame:
+def coefficients(spark: SparkSession, model: Model) -> DataFrame:
     """M4: (feature, coefficient): intercept 2 dp, slopes 6 dp."""
-    return model.select(F.explode(F.array(
-        F.struct(F.lit("intercept").alias("feature"), round_half_up("intercept", 2).alias("coefficient")),
-        F.struct(F.lit(x1).alias("feature"), round_half_up("b1", 6).alias("coefficient")),
-        F.struct(F.lit(x2).alias("feature"), round_half_up("b2", 6).alias("coefficient")))).alias("c")).select("c.*")
+    rows = [("intercept", model.intercept, 2), *[(x, c, 6) for x, c in zip(model.features, model.coefficients)]]
+    df = spark.createDataFrame(rows, "feature string, coefficient double, digits int")
+    return df.select("feature", F.when(F.col("digits") == 2, round_half_up("coefficient", 2))
+                     .otherwise(round_half_up("coefficient", 6)).alias("coefficient"))
 
 
-def metrics(pred: DataFrame, y: str, model: DataFrame) -> DataFrame:
+def metrics(pred: DataFrame, y: str, model: Model) -> DataFrame:
     """M3: R^2 (4 dp), MAE and RMSE (2 dp) on the test rows, and sizes.
     The test mean is a scalar subquery; sums of squares one aggregate."""
     ybar = pred.select(F.avg(y)).scalar()
-    n_train = model.select("n_train").scalar()
     err = F.col("_pred") - F.col(y)
     return pred.agg(
         round_half_up(1 - F.sum(err * err) / F.sum((F.col(y) - ybar) * (F.col(y) - ybar)), 4).alias("r2"),
         round_half_up(F.avg(F.abs(err)), 2).alias("mae"),
         round_half_up(F.sqrt(F.avg(err * err)), 2).alias("rmse"),
-        n_train.alias("n_train"), F.count(F.lit(1)).alias("n_test"))
+        F.lit(model.n_train).cast("long").alias("n_train"), F.count(F.lit(1)).alias("n_test"))
 
 
 def prediction_table(pred: DataFrame, x1: str, x2: str, y: str) -> DataFrame:

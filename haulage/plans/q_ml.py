@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from haulage.operators import ml
+from haulage.operators.gram import fit_linear
 from haulage.plans.catalog import query
 from haulage.plans.q_routes import COST_BASE, route_costs
 from haulage.plans.sqlparts import rhu, with_
@@ -18,8 +19,8 @@ def _costs(spark, sf):
 
 def _model(spark, sf):
     train, test = ml.split(_costs(spark, sf), ["origin", "destination"])
-    model = materialize(ml.fit_ols2(train, X1, X2, Y_))
-    return model, ml.predict(test, model, X1, X2)
+    model = fit_linear(train, [X1, X2], Y_)
+    return model, ml.predict(test, model)
 
 
 _BUCKET = "CAST('0x' || substr(md5(origin || '~' || destination), 1, 8) AS BIGINT) % 100"
@@ -40,7 +41,7 @@ UNION ALL SELECT 'driving_mi', {rhu('b1', 6)} FROM mdl UNION ALL SELECT 'driving
 def m04_model_coefficients(spark, sf):
     """M1/M2/M4: hash split, least squares on miles and hours, coefficients."""
     model, _ = _model(spark, sf)
-    return ml.coefficients(model, X1, X2)
+    return ml.coefficients(spark, model)
 
 
 @query("m03_model_metrics", with_(*COST_BASE, _SPLIT) + f"""
