@@ -2,13 +2,13 @@
 
 A contract is a list of (reason, predicate) pairs evaluated as columns; a row
 is valid when every predicate holds. ``apply_contract`` returns the valid
-rows and the rejects with an array of failed reasons, so the check is one
-pass of column expressions and the reject counts are one ``groupBy``.
+rows and the rejects with an array of failed reasons; ``write_valid`` writes
+the valid rows and counts the rejects in the same pass.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,17 +90,36 @@ def reject_counts(rejects: DataFrame) -> DataFrame:
     return rejects.groupBy(F.element_at("reasons", 1).alias("reason")).agg(F.count(F.lit(1)).alias("rejected"))
 
 
+def write_valid(df: DataFrame, contract: list[tuple[str, Column]], path: str) -> tuple[DataFrame, DataFrame]:
+    """P9 in the same pass: write the valid rows of ``df`` and count the rejected
+    ones by first failed reason while they go by. Returns (the written rows, counts
+    as (reason, rejected)); ``df`` is computed once."""
+    first = F.coalesce(*[F.when(~F.coalesce(p, F.lit(False)), F.lit(name)) for name, p in contract])
+    seen = Observation()
+    counted = df.withColumn("_reason", first).observe(
+        seen, *[F.count_if(F.col("_reason") == name).alias(f"r{i}") for i, (name, _) in enumerate(contract)])
+    counted.where("_reason is null").drop("_reason").write.parquet(path)
+    counts = [(name, seen.get[f"r{i}"]) for i, (name, _) in enumerate(contract)]
+    spark = df.sparkSession
+    return (spark.read.schema(df.schema).parquet(path),
+            spark.createDataFrame([c for c in counts if c[1]], "reason string, rejected long"))
+
+
+def typed_shipping(raw: DataFrame) -> DataFrame:
+    """Names normalised, strings trimmed, state normalised, typed with try_cast."""
+    df = trim_strings(normalize_names(raw))
+    df = normalize_state(df, "state")
+    return df.select(F.col("rank").try_cast("int").alias("rank"), "state",
+                     F.upper(F.col("postal")).alias("postal"),
+                     F.col("population").try_cast("double").alias("population"))
+
+
 def clean_shipping(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Names normalised, strings trimmed, state normalised, typed with
     try_cast, contract applied, population_per_rank added, exact duplicates
     dropped, null states dropped, sorted by population desc. Returns
     (clean, rejects)."""
-    df = trim_strings(normalize_names(raw))
-    df = normalize_state(df, "state")
-    typed = df.select(F.col("rank").try_cast("int").alias("rank"), "state",
-                      F.upper(F.col("postal")).alias("postal"),
-                      F.col("population").try_cast("double").alias("population"))
-    valid, rejects = apply_contract(typed, shipping_contract(raw.sparkSession))
+    valid, rejects = apply_contract(typed_shipping(raw), shipping_contract(raw.sparkSession))
     clean = (valid.withColumn("population_per_rank", F.col("population") / F.col("rank"))
              .dropDuplicates().dropna(subset=["state"])
              .orderBy(F.desc("population"), "state"))

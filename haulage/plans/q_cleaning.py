@@ -9,14 +9,17 @@ SQL oracle computes straight from the same tables.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from haulage import dims
 from haulage.operators import cleaning, freight, marts
 from haulage.plans import bindings as B
-from haulage.plans.catalog import query
+from haulage.plans.catalog import ORACLE, query
 from haulage.plans.q_entities import ent, latest_fuel, plain
 from haulage.plans.sqlparts import ENTITIES, FLOWS, LATEST_FUEL, LATEST_YEAR as Y, SNAPS, with_
-from haulage.sources import html
+from haulage.session import scratch_path
+from haulage.sources import files, html
+from haulage.sources.master import MasterTable
 
 ST = dims.state_index_sql()
 
@@ -62,6 +65,15 @@ def p09_reject_counts(spark, sf):
     return cleaning.reject_counts(rejects)
 
 
+@query("p09_counts_while_writing", ORACLE["p09_reject_counts"])
+def p09_counts_while_writing(spark, sf):
+    """The valid shipping rows are written, and the rejected ones counted
+    by reason in the same pass."""
+    typed = cleaning.typed_shipping(dirty_shipping(spark, sf))
+    _, counts = cleaning.write_valid(typed, cleaning.shipping_contract(spark), scratch_path(spark))
+    return counts
+
+
 def fuel_pages(spark, sf):
     """Landed price pages built from the latest fuel readings: one page per 25
     states (bounded group), header row, state full names, '$' prices,
@@ -154,6 +166,55 @@ def k06_population_update(spark, sf):
     return out.select(F.col("key").alias("state"), "population", "diesel", "pop_per_dollar", "pipeline_run_id")
 
 
+def _named(c):
+    return F.upper(F.concat(F.lit("Customer "), F.col(c).cast("string")))
+
+
+@query("k06_master_merge", with_(ENTITIES, SNAPS, LATEST_FUEL) + """
+SELECT e.state, e.population AS population, f.diesel,
+  CASE WHEN f.diesel IS NOT NULL AND f.diesel <> 0 THEN e.population / f.diesel END AS pop_per_dollar,
+  CASE WHEN f.state IS NOT NULL THEN 'run-2' WHEN segment <> 'MACHINERY' THEN 'run-1' ELSE 'run-0' END AS pipeline_run_id
+FROM (SELECT state, segment, CASE WHEN segment = 'MACHINERY' THEN population * 0.9 ELSE population END AS population FROM ent0) e
+LEFT JOIN fuel f ON e.state = f.state""")
+def k06_master_merge(spark, sf):
+    """A stored master table updated in place, first with the parsed
+    populations, then with the diesel prices; each merge rewrites the buckets of its
+    keys and stamps the rows that it met."""
+    rows = plain(spark, sf).select(
+        _named("state").alias("name"), "state", (F.col("population") * 0.9).alias("population"), F.lit(None).cast("double").alias("diesel"),
+        F.lit(None).cast("double").alias("pop_per_dollar"), F.lit("run-0").alias("pipeline_run_id"))
+    master = MasterTable(spark, scratch_path(spark, "master"))
+    master.create(rows, "name", 16)
+
+    def derive(run):
+        ok = F.col("diesel").isNotNull() & (F.col("diesel") != 0) & F.col("population").isNotNull()
+        return lambda df: df.withColumns({"pop_per_dollar": F.when(ok, F.col("population") / F.col("diesel")), "pipeline_run_id": F.lit(run)})
+
+    parsed = html.population_table(population_pages(spark, sf, without="MACHINERY"))
+    master.merge(parsed.select(F.col("state").alias("name"), F.col("new_population").alias("population")), derive("run-1"))
+    master.merge(latest_fuel(spark, sf).select(_named("state").alias("name"), "diesel"), derive("run-2"))
+    return master.read().select("state", "population", "diesel", "pop_per_dollar", "pipeline_run_id")
+
+
+_SNAP_FIELDS = T.StructType([T.StructField("state", T.LongType()), T.StructField("scraped_at", T.TimestampNTZType()),
+                             *[T.StructField(c, T.DoubleType()) for c in ("regular", "mid_grade", "premium", "diesel", "visibility")]])
+
+
+@query("p14_snapshots_with_other_columns", with_(SNAPS) + """
+SELECT state, scraped_at, regular, CASE WHEN state % 3 = 0 THEN NULL ELSE mid_grade END AS mid_grade,
+  CASE WHEN state % 3 = 2 THEN premium END AS premium, CASE WHEN state % 3 = 0 THEN NULL ELSE diesel END AS diesel,
+  CAST(NULL AS DOUBLE) AS visibility FROM snaps""")
+def p14_snapshots_with_other_columns(spark, sf):
+    """Three loads of snapshots, each with more columns than the one
+    before, the last with one beyond the schema, read as one table of fixed columns."""
+    path, snaps = scratch_path(spark, "snapshots"), B.fuel_snapshots(spark, sf)
+    loads = [["state", "scraped_at", "regular"], ["scraped_at", "state", "diesel", "mid_grade", "regular"],
+             ["state", "scraped_at", "regular", "mid_grade", "premium", "diesel", F.lit("x").alias("note")]]
+    for i, cols in enumerate(loads):
+        snaps.where(F.col("state") % 3 == i).select(*cols).write.mode("append").parquet(path)
+    return files.read_snapshots(spark, path, _SNAP_FIELDS)
+
+
 @query("p28_price_spread", with_(SNAPS, LATEST_FUEL) + """
 SELECT state, premium - regular AS price_spread FROM fuel""")
 def p28_price_spread(spark, sf):

@@ -80,6 +80,18 @@ def optional_table(spark: SparkSession, path_or_name: str, schema: T.StructType)
     return spark.createDataFrame([], schema)
 
 
+def read_snapshots(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Files whose columns changed over time, read as one table of the
+    fixed ``schema``: the files' schemas are merged, a column that no file has is a
+    typed null, one that some files lack is null in their rows, and columns beyond
+    the schema are left out. Names are matched whatever their case."""
+    merged = spark.read.option("mergeSchema", True).parquet(path)
+    at = {c.lower(): c for c in merged.columns}
+    return merged.select(*[
+        (F.col(f"`{at[f.name.lower()]}`") if f.name.lower() in at else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in schema.fields])
+
+
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """JSON-lines sink (e.g. the profile report)."""
     df.write.mode(mode).json(path)
