@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from haulage import dims
 from haulage.functions import log_positive
 from haulage.operators.joins import group_stats_to_rows
-from haulage.operators.kpis import zscore
-from haulage.operators.ranking import pct_rank_average
+from haulage.operators.kpis import zscores
+from haulage.operators.ranking import pct_ranks
 
 FEATURE_CATALOGUE = {
     "basic_features": ["population_per_rank", "efficiency_score", "log_population", "log_rank"],
@@ -75,12 +75,11 @@ def fuel_features(df: DataFrame, fuel: DataFrame | None, key: str = "state",
 
 
 def statistical_features(df: DataFrame, population: str = "population", rank: str = "rank") -> DataFrame:
-    """percentile ranks (average ties / non-null count, distributed) and
-    z-scores (sample std)."""
-    out = pct_rank_average(df, population, "population_percentile")
-    out = pct_rank_average(out, rank, "rank_percentile")
-    out = zscore(out, population, "population_zscore")
-    return zscore(out, rank, "rank_zscore")
+    """percentile ranks (average ties / non-null count, both columns in one
+    distributed pass) and z-scores (sample std)."""
+    cols = {"population": population, "rank": rank}
+    ranked = pct_ranks(df, {c: f"{name}_percentile" for name, c in cols.items()})
+    return zscores(ranked, {c: f"{name}_zscore" for name, c in cols.items()}, df)
 
 
 def composite_features(df: DataFrame, population: str = "population", rank: str = "rank") -> DataFrame:

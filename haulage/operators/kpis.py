@@ -250,7 +250,10 @@ def cost_efficiency(df: DataFrame, population: str = "population", density_col:
     return df.withColumn(out, safe_div(demand, F.col(diesel)))
 
 
-def zscore(df: DataFrame, c: str, out: str) -> DataFrame:
-    """(x - mean) / sample std, global statistics as scalar subqueries."""
-    st = df.select(F.avg(c).alias("m"), F.stddev_samp(c).alias("s"))
-    return df.withColumn(out, F.try_divide(F.col(c) - st.select("m").scalar(), st.select("s").scalar()))
+def zscores(df: DataFrame, outs: dict[str, str], source: DataFrame | None = None) -> DataFrame:
+    """(x - mean) / sample std of several columns: column -> name of its score.
+    The statistics are one scalar subquery over ``source`` (``df`` by default; give
+    the table without later joins)."""
+    each = [F.struct(F.avg(c).alias("m"), F.stddev_samp(c).alias("s")).alias(f"c{i}") for i, c in enumerate(outs)]
+    st = (df if source is None else source).select(F.struct(*each)).scalar()
+    return df.withColumns({o: F.try_divide(F.col(c) - st[f"c{i}"]["m"], st[f"c{i}"]["s"]) for i, (c, o) in enumerate(outs.items())})

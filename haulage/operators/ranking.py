@@ -3,11 +3,12 @@
 ``Window.orderBy(x)`` with no partition key sends every row to one task. The
 helpers here rank over the whole table while keeping the work spread out:
 
-1. range-partition the (unique) ordering keys into P slices and checkpoint
-   them, so the slice a row lands in is fixed even if a stage is recomputed;
+1. range-partition the (unique) ordering keys into P slices, sort each, and add
+   the running sum inside the slice in the same task, batch by batch; checkpoint
+   the rows, so the slice a row lands in is fixed even if a stage is recomputed;
 2. total the weight of each slice (P rows) and turn the totals into offsets
    with a window over those P rows only;
-3. add a running sum inside each slice (a window partitioned by slice).
+3. add a slice's offset (P rows, broadcast). The rows are shuffled once.
 
 Ties are handled on the distinct values: ``groupBy(value).count()`` first
 (a hot value collapses to one row during the map-side partial aggregate),
@@ -18,11 +19,15 @@ value, where AQE's skew-join split or a size-checked broadcast applies.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from haulage.operators.selection import select_quantiles
-from haulage.session import ensure_checkpoint_dir
+from haulage.session import materialize
 
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
@@ -31,27 +36,34 @@ def _partitions(df: DataFrame, partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _running_sums(batches):
+    """The rows of a sorted slice with its number and the weight before each row."""
+    part, before = TaskContext.get().partitionId(), 0
+    for b in batches:
+        w = np.asarray(b.column(b.num_columns - 1), np.int64)
+        sums = np.cumsum(w)
+        cols = [*b.columns[:-1], pa.array(w), pa.array(np.full(len(w), part, np.int32)), pa.array(before + sums - w)]
+        yield pa.RecordBatch.from_arrays(cols, names=[*b.schema.names[:-1], "_w", "_slice", "_inside"])
+        before += int(sums[-1]) if len(sums) else 0
+
+
 def global_cumsum(df: DataFrame, order_cols: list, weight: str | None,
                   out: str = "cum_before", partitions: int | None = None) -> DataFrame:
     """Add ``out`` = total ``weight`` (1 per row if None) of all rows strictly
     before each row in ``order_cols`` order. The order must be unique."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n_parts = _partitions(df, partitions)
     w = F.col(weight) if weight else F.lit(1)
     ranged = (df.withColumn("_w", w.cast("long"))
-              .repartitionByRange(n_parts, *order_cols)
-              .withColumn("_slice", F.spark_partition_id())
-              .checkpoint(eager=True))
-    totals = ranged.groupBy("_slice").agg(F.sum("_w").alias("_tot"))
+              .repartitionByRange(n_parts, *order_cols).sortWithinPartitions(*order_cols))
+    schema = T.StructType([*ranged.schema.fields, T.StructField("_slice", T.IntegerType()), T.StructField("_inside", T.LongType())])
+    placed = materialize(ranged.mapInArrow(_running_sums, schema))
+    totals = placed.groupBy("_slice").agg(F.sum("_w").alias("_tot"))
     # At most n_parts rows: a window over them in one task is bounded.
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_slice", F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"))
-    inside = (Window.partitionBy("_slice").orderBy(*order_cols)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    return (ranged.join(F.broadcast(offsets), "_slice")
-            .withColumn(out, F.col("_off") + F.coalesce(F.sum("_w").over(inside), F.lit(0)))
-            .drop("_slice", "_off", "_w"))
+    return (placed.join(F.broadcast(offsets), "_slice")
+            .withColumn(out, F.col("_off") + F.col("_inside"))
+            .drop("_slice", "_off", "_w", "_inside"))
 
 
 def global_row_number(df: DataFrame, order_cols: list, out: str = "row_number",
@@ -97,11 +109,22 @@ def value_ranks(df: DataFrame, value: str, prefix: str = "", descending: bool =
             .drop("_key"))
 
 
-def pct_rank_average(df: DataFrame, value: str, out: str, partitions: int | None = None) -> DataFrame:
-    """pandas ``rank(pct=True)``: average rank of ties / number of non-null values."""
-    ranked = value_ranks(df, value, prefix="_r_", partitions=partitions)
-    return (ranked.withColumn(out, F.try_divide(F.col("_r_avg_rank"), F.col("_r_n")))
-            .drop("_r_rank", "_r_avg_rank", "_r_percent_rank", "_r_cume_dist", "_r_n"))
+def pct_ranks(df: DataFrame, outs: dict[str, str], partitions: int | None = None) -> DataFrame:
+    """pandas ``rank(pct=True)`` (average rank of ties / number of non-null
+    values) of several numeric columns: column -> name of its rank. The distinct
+    values of all columns are ranked together, in one pass."""
+    cols = list(outs)
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "_column", "_value")
+    counts = long.where("_value is not null").groupBy("_column", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    cum = global_cumsum(counts, ["_column", "_value"], "_n", out="_before", partitions=partitions)
+    starts = F.broadcast(cum.groupBy("_column").agg(F.min("_before").alias("_g0"), F.sum("_n").alias("_gn")))  # a row per column
+    place = (F.col("_before") - F.col("_g0") + (F.col("_n") + 1) / 2.0) / F.col("_gn")
+    ranks = cum.join(starts, "_column").select("_column", "_value", place.alias("_rank"))
+    out = df
+    for c in cols:
+        mine = ranks.where(F.col("_column") == c).select(F.col("_value").alias("_key"), F.col("_rank").alias(outs[c]))
+        out = out.withColumn("_key", F.col(c).cast("double")).join(mine, "_key", "left").drop("_key")
+    return out
 
 
 def grouped_quantiles(df: DataFrame, group_cols: list[str], value: str,
