@@ -27,10 +27,12 @@ makes a large batch.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 import uuid
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +45,8 @@ from haulage.llm.registry import query, table
 
 BATCH_BYTES = 8 << 20     # text of one batch
 BUCKETS = 8               # parts that the pairs are dealt to, at least
-REMEMBERED = 200_000      # distinct chunks that a worker remembers between batches, at most
-REMEMBERED_BYTES = 32 << 20
+REMEMBERED = 500_000      # distinct chunks that a worker remembers between batches, at most: some 170 MB
+REMEMBERED_BYTES = 64 << 20
 B_BITS = 32               # a pair is one number: A id << 32 | B id
 
 # A chunk ends before a single space between characters outside this class: all
@@ -60,6 +62,12 @@ def chunks_of(text: str) -> list[str]:
     return _CUT.split(text) if _RARE.search(text) else text.split(" ")
 
 
+# Fixed value: the pattern by which byte-level tokenizers of A's kind split a text.
+_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_LATIN = re.compile("[\x00-\u024f]*").fullmatch
+_EDGE = re.compile(f"[{_SPACES}]")
+
+
 def _byte_level() -> dict[str, int]:
     """Characters that stand for bytes in byte-level vocabularies: printable ones for themselves, the others from U+0100 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -80,6 +88,12 @@ def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.arange(int(length.sum()), dtype=np.int64) + np.repeat(start - before, length)
 
 
+def _counted(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """(length of each list, all items)."""
+    n = np.fromiter(map(len, lists), np.int64, len(lists))
+    return n, np.fromiter(chain.from_iterable(lists), np.int64, int(n.sum()))
+
+
 def _per(values: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Sums of consecutive stretches of the given lengths."""
     total = np.concatenate((np.zeros(1, np.int64), np.cumsum(values, dtype=np.int64)))
@@ -108,6 +122,7 @@ class Tokenizers:
             raise ValueError("a piece model that changes texts")
         b_bytes = [self._piece(p) for p in pieces]
         self.a_bytes, self.b_bytes = _flat(a_bytes), _flat(b_bytes)
+        self.a_names, self.b_names = list(map(str, range(len(a_bytes)))), list(map(str, range(len(b_bytes))))
         by_bytes = {}
         for i, raw in enumerate(b_bytes):
             # a byte's own piece and its fallback have equal bytes; the map takes the piece
@@ -117,6 +132,7 @@ class Tokenizers:
                 by_bytes[raw] = i
         self.identity = np.array([by_bytes.get(raw, -1) if raw else -1 for raw in a_bytes], np.int64)
         self._encode = getattr(self.a, "encode_batch_fast", self.a.encode_batch)
+        self.fast = self._ranked(a_path, a_bytes)
 
     @staticmethod
     def _piece(piece: str) -> bytes:
@@ -126,10 +142,47 @@ class Tokenizers:
     def _b_text(self, text: str) -> str:
         return b"".join(self._piece(self.b.id_to_piece(i)) for i in self.b.encode(text)).decode(errors="replace")
 
-    def encode(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of " " + chunk under A, and of chunk under B, which adds the space."""
-        a = [e.ids for e in self._encode([" " + c for c in chunks], add_special_tokens=False)]
-        return a, self.b.encode(chunks, num_threads=1)
+    def _ranked(self, path: str, a_bytes: list[bytes]):
+        """A as ranks for the faster library, if its merges come in the order of their
+        ids and every whole token is reached by them; else None. Used for Latin text only."""
+        import tiktoken
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
+        if spec.get("normalizer") or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True):
+            return None
+        made = [model["vocab"].get("".join(m if isinstance(m, list) else m.split(" ")), -1) for m in model["merges"]]
+        if model.get("type") != "BPE" or model.get("ignore_merges") or made != sorted(made) or -1 in made:
+            return None
+        own = {i for i in model["vocab"].values()} - {t["id"] for t in spec["added_tokens"]}
+        fast = tiktoken.Encoding("a", pat_str=_PATTERN, mergeable_ranks={a_bytes[i]: i for i in own}, special_tokens={})
+        whole = [(i, a_bytes[i].decode()) for i in own if _LATIN(a_bytes[i].decode(errors="replace"))]
+        slow = self._encode([x for _, x in whole], add_special_tokens=False)
+        return fast if all(e.ids == fast.encode_ordinary(x) for e, (_, x) in zip(slow, whole)) else None
+
+    def encode(self, chunks: list[str]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """(number of ids per chunk, all ids) of " " + chunk under A, and of chunk under B, which adds the space."""
+        return self._a_ids(chunks), _counted(self.b.encode(chunks, num_threads=1))
+
+    def _a_ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Latin chunks are encoded as one text: nothing is joined across their single spaces."""
+        latin = [bool(c and self.fast and _LATIN(c) and not _EDGE.match(c[0]) and not _EDGE.match(c[-1])) for c in chunks]
+        easy = np.array(latin, bool)
+        n, at = np.zeros(len(chunks), np.int64), np.flatnonzero(easy)
+        flat = {True: np.zeros(0, np.int64), False: np.zeros(0, np.int64)}
+        if len(at):
+            text = [chunks[i] for i in at.tolist()]
+            flat[True] = self.fast.encode_to_numpy(" " + " ".join(text), disallowed_special=()).astype(np.int64)
+            ends = np.cumsum([len(c.encode()) + 1 for c in text])
+            n[at] = np.diff(np.searchsorted(np.cumsum(self.a_bytes[2][flat[True]]), ends, side="right"), prepend=0)
+        at = np.flatnonzero(~easy)
+        if len(at):
+            found = self._encode([" " + chunks[i] for i in at.tolist()], add_special_tokens=False)
+            n[at], flat[False] = _counted([e.ids for e in found])
+        out = np.zeros(int(n.sum()), np.int64)
+        side = np.repeat(easy, n)
+        out[side], out[~side] = flat[True], flat[False]
+        return n, out
 
 
 @dataclass
@@ -149,13 +202,10 @@ class Aligned:
 
 def align(t: Tokenizers, chunks: list[str]) -> Aligned:
     """Alignment of distinct chunks, all in one line of bytes."""
-    ids_a, ids_b = t.encode(chunks)
     raw, _, size = _flat([b" " + c.encode() for c in chunks])
     ok = np.ones(len(chunks), bool)
     sides = []
-    for ids, (data, start, length) in ((ids_a, t.a_bytes), (ids_b, t.b_bytes)):
-        n = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.int64, int(n.sum()))
+    for (n, flat), (data, start, length) in zip(t.encode(chunks), (t.a_bytes, t.b_bytes)):
         sides.append((n, flat))
         got = _per(length[flat], n)
         same = np.flatnonzero(got == size)
@@ -179,15 +229,16 @@ def align(t: Tokenizers, chunks: list[str]) -> Aligned:
     def per_chunk(points):
         return np.diff(np.searchsorted(points, chunk_end, side="right"), prepend=0)
 
-    text_a, text_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
+    text_a, text_b = [t.a_names[i] for i in a.tolist()], [t.b_names[i] for i in b.tolist()]
     upto_a, upto_b = (np.searchsorted(e, cut, side="right").tolist() for e in (end_a, end_b))
     groups, i, j = [], 0, 0
     for p, q in zip(upto_a, upto_b):
-        groups.append(f"{text_a[i]}|{text_b[j]}" if p == i + 1 and q == j + 1 else f"{','.join(text_a[i:p])}|{','.join(text_b[j:q])}")
+        left = text_a[i] if p == i + 1 else ",".join(text_a[i:p])
+        groups.append(left + "|" + (text_b[j] if q == j + 1 else ",".join(text_b[j:q])))
         i, j = p, q
     n_groups = per_chunk(cut)
     upto = np.concatenate(([0], np.cumsum(n_groups))).tolist()
-    joined = [";".join(groups[p:q]) for p, q in zip(upto[:-1], upto[1:])]
+    joined = [groups[p] if q == p + 1 else ";".join(groups[p:q]) for p, q in zip(upto[:-1], upto[1:])]
     return Aligned(ok, n_a, n_b, n_groups, per_chunk(ends), keys, joined)
 
 
@@ -235,6 +286,17 @@ class _Memory:
         return len(self.code) > REMEMBERED or self.bytes > REMEMBERED_BYTES
 
 
+# By vocabulary files; it outlives a task where Spark reuses the Python worker.
+_MEMORY: dict[tuple[str, str], _Memory] = {}
+
+
+def _memory(a_path: str, b_path: str) -> _Memory:
+    if (a_path, b_path) not in _MEMORY:
+        _MEMORY.clear()
+        _MEMORY[a_path, b_path] = _Memory(Tokenizers(a_path, b_path))
+    return _MEMORY[a_path, b_path]
+
+
 _PARTS = ("batch string, bucket int, pairs binary, times binary, docs binary, chunk binary, chunk_times binary, "
           "n_links binary, links binary, pair_b binary, identity array<struct<a:int,n:long>>")
 _ARROW = pa.schema([("batch", pa.string()), ("bucket", pa.int32()), ("pairs", pa.binary()), ("times", pa.binary()),
@@ -336,7 +398,7 @@ def alignment(df: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", t
     buckets = max(buckets, 2 * src.rdd.getNumPartitions())
 
     def split(batches):
-        memory = _Memory(Tokenizers(a_path, b_path))
+        memory = _memory(a_path, b_path)
         identity = np.zeros(len(memory.t.identity), np.int64)
         held = _Batch(memory, digest)
         for batch in batches:
