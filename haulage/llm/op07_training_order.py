@@ -12,13 +12,14 @@
 4. Slots are range-partitioned: shard s holds slots s * shard_slots onwards, in
    order, and is written by one task through Spark's commit protocol.
 
-A record is LENGTH + 5 little-endian 16-bit words: the id of the document in
-which the sequence begins (4 words), the ids, and the word 65535. Slot t is at
-byte (t mod shard_slots) * stride of shard t // shard_slots, so a reader can
-resume at any slot and reads on sequentially.
+A record is LENGTH + 6 little-endian 16-bit words: 1 or 0 for whether the
+document in which the sequence begins has an id, that id (4 words), the ids, and
+the word 65535. Slot t is at byte (t mod shard_slots) * stride of shard
+t // shard_slots, so a reader can resume at any slot and reads on sequentially.
+The manifest beside the shards holds what a reader needs to know.
 
 Edge rows: null and empty texts give no ids and no end mark. A null document
-id is stored as -1 and read as null. Repeated rows are all encoded. An empty
+id is read back as null, any other as it was. Repeated rows are all encoded. An empty
 table gives no shards and an empty result. Other columns are not read. The
 same input files, settings and key give the same order.
 """
@@ -26,6 +27,7 @@ same input files, settings and key give the same order.
 from __future__ import annotations
 
 import base64
+import json
 
 import numpy as np
 import pyarrow as pa
@@ -44,11 +46,13 @@ BROADCAST_TASKS = 1_000_000  # rows of the tasks' offsets that may be broadcast,
 ROUNDS = 6
 KEY = 20240229
 END_OF_RECORD = b"\xff\xff"
+HEAD = 5               # words before the ids: has an id, the id
+MANIFEST = "_order.json"
 U64 = np.uint64
 
 
 def stride(length: int) -> int:
-    return 2 * (length + 5)
+    return 2 * (HEAD + length + 1)
 
 
 def slots_of(index: np.ndarray, n: int, key: int) -> np.ndarray:
@@ -76,7 +80,7 @@ class _Stream:
 
     def add(self, doc_id, ids: list[int]) -> None:
         self.ids.append(np.asarray(ids, np.uint16))
-        self.owner.append((self.size, -1 if doc_id is None else doc_id))
+        self.owner.append((self.size, doc_id))
         self.size += len(ids)
         if self.size >= 64 * self.length:
             self.cut(self.size // self.length)
@@ -84,12 +88,14 @@ class _Stream:
     def cut(self, n: int) -> None:
         flat = np.concatenate(self.ids)
         begins = np.array([b for b, _ in self.owner])
-        docs = np.array([d for _, d in self.owner], np.int64)
-        first = docs[np.searchsorted(begins, np.arange(n) * self.length, side="right") - 1]
-        rows = np.concatenate((first.view(np.uint16).reshape(n, 4), flat[:n * self.length].reshape(n, self.length)), axis=1)
+        docs = np.array([d or 0 for _, d in self.owner], np.int64)
+        known = np.array([d is not None for _, d in self.owner], np.uint16)
+        first = np.searchsorted(begins, np.arange(n) * self.length, side="right") - 1
+        rows = np.concatenate((known[first].reshape(n, 1), docs[first].view(np.uint16).reshape(n, 4),
+                               flat[:n * self.length].reshape(n, self.length)), axis=1)
         self.records.extend(r.tobytes() for r in rows)
         rest = flat[n * self.length:]
-        self.ids, self.owner, self.size = [rest], [(0, int(docs[-1]))], len(rest)
+        self.ids, self.owner, self.size = [rest], [(0, self.owner[-1][1])], len(rest)
 
     def finish(self, fill: int) -> None:
         if self.size:
@@ -137,10 +143,40 @@ def sequences(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc
 
 
 def write_shards(packs: DataFrame, path: str, key: int = KEY, length: int = LENGTH, shard_slots: int = SHARD_SLOTS) -> int:
-    """Write the stored packs as shards under ``path``; returns the number of sequences."""
+    """Write the stored packs as shards under ``path``, and their manifest; returns the number of sequences."""
     n = packs.agg(F.sum("n")).collect()[0][0] or 0
-    if n == 0:
-        return 0
+    if n:
+        _write_shards(packs, path, n, key, length, shard_slots)
+    _write_manifest(packs.sparkSession, path, {"sequences": n, "length": length, "key": key, "shard_slots": shard_slots, "stride": stride(length)})
+    return n
+
+
+def _manifest_at(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{MANIFEST}")
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _write_manifest(spark: SparkSession, path: str, what: dict) -> None:
+    """Written last: shards without a manifest are unfinished."""
+    at, store_ = _manifest_at(spark, path)
+    stream = store_.create(at, True)
+    try:
+        stream.write(bytearray(json.dumps(what).encode()))
+    finally:
+        stream.close()
+
+
+def read_manifest(spark: SparkSession, path: str) -> dict:
+    """sequences, length, key, shard_slots and stride of the shards under ``path``."""
+    at, store_ = _manifest_at(spark, path)
+    stream = store_.open(at)
+    try:
+        return json.loads(bytes(stream.readAllBytes()))
+    finally:
+        stream.close()
+
+
+def _write_shards(packs: DataFrame, path: str, n: int, key: int, length: int, shard_slots: int) -> None:
     # one row per task of the encoding
     totals = packs.groupBy("part").agg(F.sum("n").alias("total"))
     base = F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
@@ -148,7 +184,7 @@ def write_shards(packs: DataFrame, path: str, key: int = KEY, length: int = LENG
     if totals.count() <= BROADCAST_TASKS:  # else the packs are shuffled
         totals = F.broadcast(totals)
     indexed = packs.join(totals, "part").select((F.col("base") + F.col("before")).alias("first"), "n", "pack")
-    width = 2 * (length + 4)
+    width = 2 * (HEAD + length)
 
     def permute(batches):
         big, one = pa.Codec("zstd"), pa.Codec("zstd", compression_level=6)
@@ -171,22 +207,22 @@ def write_shards(packs: DataFrame, path: str, key: int = KEY, length: int = LENG
      .repartitionById(shards, F.col("shard")).sortWithinPartitions("slot").select("record")
      .mapInArrow(unpack, "value binary").select(F.col("value").cast("string").alias("value"))
      .write.option("encoding", "ISO-8859-1").option("lineSep", END_OF_RECORD.decode("latin-1")).text(path))
-    return n
 
 
 _ROWS = "slot long, shard int, at long, doc_id long, n_tokens int, ids binary"
 
 
-def read_slots(spark: SparkSession, path: str, n: int, first: int = 0, last: int | None = None, length: int = LENGTH,
-               shard_slots: int = SHARD_SLOTS) -> DataFrame:
+def read_slots(spark: SparkSession, path: str, first: int = 0, last: int | None = None) -> DataFrame:
     """Records of slots first..last-1, read sequentially from the shards that hold them."""
     prepare(spark)
+    order = read_manifest(spark, path)
+    n, length, shard_slots = order["sequences"], order["length"], order["shard_slots"]
     last = n if last is None else min(last, n)
     if n == 0 or first >= last:
         return spark.createDataFrame([], _ROWS)
     step = stride(length)
     files = (spark.read.format("binaryFile").load(path)
-             .select("path", F.regexp_extract("path", "part-([0-9]+)-", 1).cast("int").alias("shard"))
+             .select("path", F.regexp_extract("path", "part-([0-9]+)-[^/]*$", 1).cast("int").alias("shard"))
              .where(F.col("shard").between(first // shard_slots, (last - 1) // shard_slots)))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -202,15 +238,15 @@ def read_slots(spark: SparkSession, path: str, n: int, first: int = 0, last: int
                         raw = f.read(m * step)
                         if len(raw) != m * step:
                             raise ValueError(f"shard {shard} ends early")
-                        rows = np.frombuffer(raw, np.uint16).reshape(m, length + 5)
+                        rows = np.frombuffer(raw, np.uint16).reshape(m, HEAD + length + 1)
                         if (rows[:, -1] != 65535).any():
                             raise ValueError(f"shard {shard} is damaged")
-                        docs = np.ascontiguousarray(rows[:, :4]).view(np.int64)[:, 0]
-                        ids = np.ascontiguousarray(rows[:, 4:-1])
+                        docs = np.ascontiguousarray(rows[:, 1:HEAD]).view(np.int64)[:, 0]
+                        ids = np.ascontiguousarray(rows[:, HEAD:-1])
                         slot = np.arange(at, at + m)
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(slot), pa.array(np.full(m, shard), pa.int32()), pa.array((slot - shard * shard_slots) * step),
-                             pa.array(docs, mask=docs < 0), pa.array(np.full(m, length), pa.int32()),
+                             pa.array(docs, mask=rows[:, 0] == 0), pa.array(np.full(m, length), pa.int32()),
                              pa.array([r.tobytes() for r in ids], pa.binary())],
                             names=["slot", "shard", "at", "doc_id", "n_tokens", "ids"])
 
@@ -222,5 +258,5 @@ def op7_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     packs = sequences(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     path = scratch_path(spark, "shards")
-    n = write_shards(packs, path)
-    return read_slots(spark, path, n).select("slot", "shard", "at", "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"))
+    write_shards(packs, path)
+    return read_slots(spark, path).select("slot", "shard", "at", "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"))

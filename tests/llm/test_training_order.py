@@ -24,12 +24,13 @@ def _run(spark, rows, partitions=3, length=16, shard_slots=7, key=5):
     packs = op.sequences(docs(spark, rows).repartition(partitions), PATH, public_tokenizers.PATTERN, length=length)
     path = scratch_path(spark, "shards")
     n = op.write_shards(packs, path, key=key, length=length, shard_slots=shard_slots)
-    return path, n, {"length": length, "shard_slots": shard_slots}
+    assert op.read_manifest(spark, path) == {"sequences": n, "length": length, "key": key, "shard_slots": shard_slots, "stride": op.stride(length)}
+    return path, n
 
 
 def test_every_id_is_in_one_slot(spark):
-    path, n, kw = _run(spark, None)
-    rows = op.read_slots(spark, path, n, **kw).collect()
+    path, n = _run(spark, None)
+    rows = op.read_slots(spark, path).collect()
     assert sorted(r.slot for r in rows) == list(range(n))
     assert all(r.shard == r.slot // 7 and r["at"] == r.slot % 7 * op.stride(16) for r in rows)
     got = np.concatenate([np.frombuffer(r.ids, np.uint16) for r in rows])
@@ -39,9 +40,9 @@ def test_every_id_is_in_one_slot(spark):
 
 
 def test_order_in_one_task_follows_the_permutation(spark):
-    path, n, kw = _run(spark, ROWS[:5], partitions=1)
+    path, n = _run(spark, ROWS[:5], partitions=1)
     slots = op.slots_of(np.arange(n), n, 5)
-    by_slot = {r.slot: r for r in op.read_slots(spark, path, n, **kw).collect()}
+    by_slot = {r.slot: r for r in op.read_slots(spark, path).collect()}
     stream = np.concatenate([np.frombuffer(by_slot[s].ids, np.uint16) for s in slots.tolist()]).tolist()
     begins = {r.doc_id for r in by_slot.values()}
     assert begins <= {r[0] for r in ROWS[:5]}
@@ -56,30 +57,36 @@ def test_order_in_one_task_follows_the_permutation(spark):
 
 
 def test_reading_resumes_at_any_slot(spark):
-    path, n, kw = _run(spark, None)
-    whole = {r.slot: bytes(r.ids) for r in op.read_slots(spark, path, n, **kw).collect()}
+    path, n = _run(spark, None)
+    whole = {r.slot: bytes(r.ids) for r in op.read_slots(spark, path).collect()}
     for first, last in ((0, 1), (5, 16), (n - 3, n + 10), (n, n + 1)):
-        part = {r.slot: bytes(r.ids) for r in op.read_slots(spark, path, n, first, last, **kw).collect()}
+        part = {r.slot: bytes(r.ids) for r in op.read_slots(spark, path, first, last).collect()}
         assert part == {s: x for s, x in whole.items() if first <= s < last}
 
 
 def test_null_id_and_empty_table(spark):
-    path, n, kw = _run(spark, [(None, "only text here", "en", "a", 1), (1, None, "en", "a", 0), (2, "", "en", "a", 0)], partitions=1)
-    rows = op.read_slots(spark, path, n, **kw).collect()
+    path, n = _run(spark, [(None, "only text here", "en", "a", 1), (1, None, "en", "a", 0), (2, "", "en", "a", 0)], partitions=1)
+    rows = op.read_slots(spark, path).collect()
     assert n == 1 and rows[0].doc_id is None
-    path, n, kw = _run(spark, [])
-    assert n == 0 and op.read_slots(spark, path, n, **kw).collect() == []
+    path, n = _run(spark, [])
+    assert n == 0 and op.read_slots(spark, path).collect() == []
+
+
+def test_ids_of_any_value_come_back(spark):
+    ids = [-7, -1, 0, 65535, (1 << 63) - 1, -(1 << 63), None]
+    path, _ = _run(spark, [(i, f"text number {k} " * 40, "en", "a", 1) for k, i in enumerate(ids)], partitions=1)
+    assert {r.doc_id for r in op.read_slots(spark, path).collect()} == set(ids)
 
 
 def test_damaged_shard_is_noticed(spark):
     import glob
-    path, n, kw = _run(spark, None)
+    path, n = _run(spark, None)
     name = sorted(glob.glob(path.replace("file:", "") + "/part-*"))[0]
     raw = bytearray(open(name, "rb").read())
     raw[op.stride(16) - 1] = 0
     open(name, "wb").write(bytes(raw))
     with pytest.raises(Exception, match="damaged|Checksum"):
-        op.read_slots(spark, path, n, **kw).collect()
+        op.read_slots(spark, path).collect()
 
 
 def test_query_covers_the_documents(spark):
