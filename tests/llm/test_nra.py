@@ -11,7 +11,7 @@ SCHEMA = "vec_id long, v array<long>"
 def _plain(rows, queries, k):
     out = []
     for q, qv in queries:
-        scores = [(-sum(a * b for a, b in zip(qv, v)), i) for i, v in rows if i != q]
+        scores = [(-sum(a * b for a, b in zip(qv, v)), i) for i, v in rows if (i, v) != (q, qv)]
         out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(sorted(scores)[:k])]
     return sorted(out)
 
@@ -36,7 +36,8 @@ def test_block_keeps_ties_whatever_the_depth():
         x[n // 2:] = x[0]
         ids = rng.permutation(n)
         q = x[: min(n, 7)]
-        r, i, s = op.block_top_k(ids, x, ids[:len(q)], q, 4)
+        keys = op.row_keys(ids, x.astype(int).tolist())
+        r, i, s, _ = op.block_top_k(ids, x, keys, q, keys[:len(q)], 4)
         want = _plain([(int(a), b.tolist()) for a, b in zip(ids, x)], [(int(a), b.tolist()) for a, b in zip(ids, q)], 4)
         rank, got = {}, []
         for a, b, c in zip(r, i, s):
@@ -59,3 +60,18 @@ def test_components_that_take_no_part(spark):
 
 def test_empty_tables(spark):
     assert _got(spark, [], []) == [] and _got(spark, [(1, [1])], []) == [] and _got(spark, [], [(1, [1])]) == []
+
+
+def test_rows_of_one_id_are_told_apart(spark):
+    rows = [(50, [-1, 5]), (50, [-2, 5]), (1, [1, 1]), (2, [3, 0])]
+    assert _got(spark, rows, rows[:2]) == _plain(rows, rows[:2], 5)
+
+
+def test_bounds_stop_most_queries_early():
+    rng = np.random.default_rng(7)
+    centre = rng.normal(size=(20, 16))
+    x = np.floor(256 * (centre[rng.integers(0, 20, 3000)] + rng.normal(size=(3000, 16)) / 4))
+    ids = np.arange(3000)
+    keys = op.row_keys(ids, x.astype(int).tolist())
+    *_, stopped = op.block_top_k(ids, x, keys, x[:200], keys[:200], 5)
+    assert (stopped < len(op.DEPTHS)).mean() > 0.9
