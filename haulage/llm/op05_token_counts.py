@@ -37,7 +37,7 @@ from haulage.llm.common import prepare, store
 from haulage.llm.registry import query, table
 
 BATCH_BYTES = 32 << 20  # text of one batch
-BUCKETS = 64            # parts that the dictionaries are dealt to, at least
+BUCKETS = 16            # parts that the dictionaries are dealt to, at least
 
 # White space below U+0250 as the vocabulary's pattern language has it.
 _SPACE = "\\t-\\r \\x85\\xa0"
@@ -149,8 +149,8 @@ def count_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     prepare(spark)
     src = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
-    # a part holds the words of some eight batches' dictionaries, however many batches there are
-    buckets = max(buckets, src.rdd.getNumPartitions() // 8)
+    # parts grow with the batches, so that a part stays small
+    buckets = max(buckets, 2 * src.rdd.getNumPartitions())
 
     def split(batches):
         splitter = Splitter(path)
