@@ -227,6 +227,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
     n_blocks = max(1, -(-bench.count() // block_items))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
     out, names = docs, list(docs.columns if keep is None else keep)
+    own = "leaks"  # a prefix that no column of the input begins with
+    while any(c.lower().startswith(own) for c in docs.columns):
+        own = "_" + own
     for b in range(n_blocks):
         rows = bench.where(part == b).collect()  # at most about block_items rows
         items = Items([r["item_id"] for r in rows], [r["text"] for r in rows])
@@ -234,9 +237,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
         def make(items=items):
             return lambda texts: [pa.array([[{x: y[x] for x in ("item_id", "similarity", "first_word")} for y in f]
                                             for f in leaks_in(items, texts)], kind)]
-        held = [c for c in out.columns if c in names or c == text_col or c.startswith("_leaks")]
-        out = annotate(out, text_col, make, _FOUND, keep=held).withColumnRenamed("leaks", f"_leaks{b}")
-    blocks = [F.col(f"_leaks{b}") for b in range(n_blocks)]
+        held = [c for c in out.columns if c in names or c == text_col or c.startswith(f"{own}_")]
+        out = annotate(out, text_col, make, _FOUND, keep=held).withColumnRenamed("leaks", f"{own}_{b}")
+    blocks = [F.col(f"{own}_{b}") for b in range(n_blocks)]
     merged = blocks[0] if n_blocks == 1 else F.concat(*blocks)
     return out.select(*[F.col(f"`{c}`") for c in names if c.lower() != "leaks"], merged.alias("leaks"))
 

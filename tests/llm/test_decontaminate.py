@@ -108,3 +108,10 @@ def test_query_against_brute_force(spark):
         near = any(g in seeds for g in _bag(_words(row["text"]), 5))
         want = brute(row["text"], items) if near else {}
         assert got[row["doc_id"]] == {i: round(s, 9) for i, s in want.items()}
+
+
+def test_private_names_of_the_caller_stay(spark):
+    item = "one two three four five six seven eight nine ten eleven twelve"
+    d = docs(spark, [(1, item, "en", "a", 1)]).withColumns({"_leaks0": F.lit("x"), "leaks_0": F.lit("y"), "LEAKS": F.lit("z")})
+    row, = op.find_leaks(d, spark.createDataFrame([(5, item), (6, item + " x")], BENCH), block_items=1).collect()
+    assert (row._leaks0, row.leaks_0) == ("x", "y") and 5 in {x.item_id for x in row.leaks}
