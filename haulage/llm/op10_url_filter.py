@@ -26,6 +26,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # to the exact join; raise the parameter for it.
 FILTER_BLOCKS = 1 << 17
 
+DOCUMENT = "^/[a-z]+/([0-9]+)(/|$)"  # the path of a page that shows a document
+
 # The rules of the query, (verdict, host, path).
 RULES = [
     ("allow", "org", "/"),
@@ -86,19 +88,34 @@ def judge(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str, str]]
     canonical URL is listed, else allow.
     """
     added = ["host", "path", "rule", "verdict", "listed"]
-    rows = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c.lower() not in {*added, "_canonical", "_maybe", "_key"}],
+    kept = [c for c in pages.columns if c.lower() not in added]
+    own, maybe, key = (free_name(c, kept) for c in ("canonical", "maybe", "key"))
+    rows = pages.select(*[F.col(f"`{c}`") for c in kept],
                         host_of(F.col(f"`{url_col}`")).alias("host"), path_of(F.col(f"`{url_col}`")).alias("path"),
-                        canonical(F.col(f"`{url_col}`")).alias("_canonical"))
-    keys = listed.select(canonical(F.col("url")).alias("_key")).where("_key is not null").distinct()
-    rows = rows.withColumn("_maybe", F.when(may_hold(F.col("_canonical"), keys, "_key", blocks), F.col("_canonical")))
+                        canonical(F.col(f"`{url_col}`")).alias(own))
+    keys = listed.select(canonical(F.col("url")).alias(key)).where(F.col(key).isNotNull()).distinct()
+    rows = rows.withColumn(maybe, F.when(may_hold(F.col(own), keys, key, blocks), F.col(own)))
     # the exact join, for possible hits only; rows that the filter stopped are not shuffled
-    hits = rows.where("_maybe is not null").join(keys, F.col("_maybe") == F.col("_key"), "left")
-    rows = rows.where("_maybe is null").withColumn("_key", F.lit(None).cast("string")).unionByName(hits)
+    hits = rows.where(F.col(maybe).isNotNull()).join(keys, F.col(maybe) == F.col(key), "left")
+    rows = rows.where(F.col(maybe).isNull()).withColumn(key, F.lit(None).cast("string")).unionByName(hits)
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
-    hit = F.col("_key").isNotNull()
+    hit = F.col(key).isNotNull()
     return (rows.withColumn("rule", rule)
             .withColumn("verdict", F.coalesce(verdict, F.when(hit, F.lit("block")).otherwise(F.lit("allow"))))
-            .withColumn("listed", hit).drop("_canonical", "_maybe", "_key"))
+            .withColumn("listed", hit).drop(own, maybe, key))
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """A column name that none of ``taken`` has, in any case."""
+    held = {c.lower() for c in taken}
+    while name in held:
+        name = "_" + name
+    return name
+
+
+def document_of(path: Column) -> Column:
+    """Number of the document that a page at ``/<language>/<number>`` shows; null for other paths and numbers beyond a long."""
+    return F.nullif(F.regexp_extract(path, DOCUMENT, 1), F.lit("")).try_cast("long")
 
 
 _SQL_CANON = ("case when {h} <> '' then regexp_replace({h}, '^(www|m)\\.', '') || regexp_replace({p}, '/+$', '') end")
@@ -112,7 +129,7 @@ with p as (select page_id, coalesce({_SQL_HOST.format(u="coalesce(url, '')")}, '
                   coalesce({_SQL_PATH.format(u="coalesce(url, '')")}, '') path from pages),
 c as (select *, {_SQL_CANON.format(h='host', p='path')} canon from p),
 toxic as (select distinct canon from c join labels l on l.toxic = 1
-          and l.doc_id = try_cast(nullif(regexp_extract(c.path, '^/[a-z]+/([0-9]{{1,18}})', 1), '') as bigint)
+          and l.doc_id = try_cast(nullif(regexp_extract(c.path, '{DOCUMENT}', 1), '') as bigint)
           where canon is not null),
 f as (select c.page_id, c.host, c.path, toxic.canon is not null as listed,
       case when (host = 'example.org' or host like '%.example.org') and starts_with(path, '/en/1') then 'example.org/en/1'
@@ -132,8 +149,7 @@ def toxic_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A page's path is ``/<language>/<document>``. The list grows with pages and labels.
     """
-    number = F.regexp_extract(path_of(F.col("url")), "^/[a-z]+/([0-9]{1,18})", 1)
-    pages = table(spark, sf_dir, "pages").select("url", F.nullif(number, F.lit("")).try_cast("long").alias("doc_id"))
+    pages = table(spark, sf_dir, "pages").select("url", document_of(path_of(F.col("url"))).alias("doc_id"))
     toxic = table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id").distinct()
     return pages.join(toxic, "doc_id", "left_semi").select("url")
 

@@ -53,3 +53,15 @@ def test_filter_passes_every_listed_key_and_few_others(spark):
 def test_plan_runs_no_python(spark):
     plan = op.op10_url_filter(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_private_names_of_the_caller_stay(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/x", "u", "v", "w", 5)], PAGES + ", canonical string, _MAYBE string, key string, maybe int")
+    row, = op.judge(pages, spark.createDataFrame([("http://a.net/x",)], "url string"), []).collect()
+    assert (row.canonical, row._MAYBE, row.key, row.maybe, row.listed) == ("u", "v", "w", 5, True)
+
+
+def test_document_numbers_are_whole(spark):
+    paths = ["/en/12", "/en/12/", "/en/12/x", "/en/12abc", "/en/9223372036854775807", "/en/9223372036854775808", "/en/1234567890123456789", "/EN/1", "/en/", ""]
+    got = spark.createDataFrame([(p,) for p in paths], "p string").select("p", op.document_of(F.col("p")).alias("d")).collect()
+    assert [r.d for r in got] == [12, 12, 12, None, 9223372036854775807, None, 1234567890123456789, None, None, None]
