@@ -26,8 +26,10 @@ declared language.
 
 Edge rows: a null or empty text is no evidence, and so is a null or unknown
 declared language, host or suffix. Without any evidence the language is
-``und`` and the row is not accepted. A language that no row is labelled with
-can't be fitted and isn't given. Ties go to the language listed first.
+``und`` and the row is not accepted. The classes are the languages (two or three
+letters) that LEAST_ROWS rows are labelled with, so at most some 18,000, each
+256 KB in a task's model; one with fewer rows can't be fitted and isn't given.
+Ties go to the language with more labelled rows, then to the first by name.
 Repeated rows get the same answer. An empty table gives an empty result. An
 input column named like a result column is replaced.
 """
@@ -36,15 +38,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from haulage.llm.common import annotate, chunks, prepare, store, text_buffer
-from haulage.llm.op10_url_filter import host_of, path_of
+from haulage.llm.op10_url_filter import document_of, host_of, path_of
 from haulage.llm.registry import query, table
 
-LANGUAGES = ("en", "de", "fr", "es")
 UNKNOWN = "und"
+LEAST_ROWS = 3          # labelled rows that make a language a class, at least
 SAMPLE_DOCS = 4_000     # labelled rows of each language that the text model is fitted on, at most
 TRIGRAMS = 1 << 16      # buckets of the text model
 TRUST = 200             # trigrams that a text counts as, at most
@@ -79,21 +81,33 @@ def primary(tag: Column) -> Column:
     return F.regexp_extract(F.lower(tag), "^\\s*([^-_\\s]*)", 1)
 
 
-def fit(docs: DataFrame, label_col: str, id_col: str, text_col: str, languages=LANGUAGES,
+def languages_of(docs: DataFrame, label_col: str, least: int = LEAST_ROWS) -> list[str]:
+    """The languages that at least ``least`` rows are labelled with, most rows first."""
+    tag = primary(F.col(f"`{label_col}`"))
+    rows = (docs.select(tag.alias("l")).where(F.col("l").rlike("^[a-z]{2,3}$") & (F.col("l") != UNKNOWN))
+            .groupBy("l").agg(F.count("*").alias("n")).where(F.col("n") >= least).collect())  # a row per language
+    return [r.l for r in sorted(rows, key=lambda r: (-r.n, r.l))]
+
+
+def fit(docs: DataFrame, label_col: str, id_col: str, text_col: str, languages: list[str],
         sample_docs: int = SAMPLE_DOCS) -> np.ndarray:
     """Log probabilities (trigram bucket, class), the class ``und`` last."""
     prepare(docs.sparkSession)
+    if not languages:
+        return np.full((TRIGRAMS, 1), UND_LOG_P, np.float32)
     label = F.array_position(F.array(*map(F.lit, languages)), primary(F.col(f"`{label_col}`"))) - 1
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), label.cast("int").alias("l"),
                        F.col(f"`{text_col}`").cast("string").alias("text")).where("l >= 0")
     rows = rows.select("l", "text", F.xxhash64("id", "l", "text").alias("h"))
     # repeated rows count once, or a few of them could fill a language's share
     hashes = store(rows.select("l", "h").distinct(), "language-labels")
-    last = [hashes.where(F.col("l") == i).select("h").orderBy("h").limit(sample_docs).agg(F.max("h")).collect()[0][0]
-            for i in range(len(languages))]
+    # a task passes on a language's first rows only, so no language gathers in one place
+    place = F.row_number().over(Window.partitionBy("l").orderBy("h"))
+    last = {r.l: r.h for r in (hashes.withColumn("place", place).where(F.col("place") <= sample_docs)
+                               .groupBy("l").agg(F.max("h").alias("h")).collect())}
     counts = np.zeros((TRIGRAMS, len(languages)))
-    if any(h is not None for h in last):
-        bound = F.element_at(F.array(*[F.lit(h).cast("long") for h in last]), F.col("l") + 1)
+    if last:
+        bound = F.get(F.array(*[F.lit(last.get(i)).cast("long") for i in range(len(languages))]), F.col("l"))
         sample = rows.where(F.col("h") <= bound).dropDuplicates(["l", "h"])
 
         def count(batches):
@@ -198,7 +212,7 @@ def page_evidence(pages: DataFrame) -> DataFrame:
     Host and language each come from the page of smallest id that has one; a
     null id comes last.
     """
-    number = F.nullif(F.regexp_extract(path_of(F.col("url")), "^/[a-z]+/([0-9]{1,18})", 1), F.lit("")).try_cast("long")
+    number = document_of(path_of(F.col("url")))
     markup = F.lower(F.regexp_extract("html", "(?i)<html[^>]*\\blang\\s*=\\s*[\"']?([a-z]+)", 1))
     rows = pages.select(number.alias("doc_id"), "page_id", F.nullif(host_of(F.col("url")), F.lit("")).alias("host"),
                         F.nullif(markup, F.lit("")).alias("language")).where("doc_id is not null")
@@ -207,13 +221,18 @@ def page_evidence(pages: DataFrame) -> DataFrame:
             .select("doc_id", F.col("h.host").alias("page_host"), F.col("l.language").alias("page_language")))
 
 
-def identify(docs: DataFrame, pages: DataFrame, languages=LANGUAGES) -> DataFrame:
+def identify(docs: DataFrame, pages: DataFrame, languages: list[str] | None = None) -> DataFrame:
     """One row per row of ``docs``: row_key, doc_id, language, confidence, accepted.
+    ``languages`` are the classes, those of the labels if not given.
 
     A document's declared language and host are those of its pages, where they
     have one, else its ``lang`` and ``source``. ``row_key`` is a hash of what
     the answer depends on.
     """
+    languages = languages_of(docs, "lang") if languages is None else list(languages)
+    if not languages:  # nothing to fit: every row is of no known language
+        return docs.select(row_key(docs).alias("row_key"), "doc_id", F.lit(UNKNOWN).alias("language"), F.lit(0.0).alias("confidence"),
+                           F.lit(False).alias("accepted"))
     model = fit(docs, "lang", "doc_id", "text", languages)
     classes = [*languages, UNKNOWN]
 
