@@ -45,13 +45,20 @@ def round_half_up(c, digits: int) -> Column:
     return whole / F.lit(scale)
 
 
-def money_sum(c, scale: int = 2) -> Column:
-    """Exact sum of values with ``scale`` decimals, returned as double.
+# Sums are taken in this type: 28 digits before the point and 10 after it.
+EXACT = "decimal(38,10)"
 
-    Summing decimals makes the result independent of partitioning and
-    summation order, which a double sum is not.
-    """
-    return F.sum(col(c).cast(f"decimal(18,{scale})")).cast("double")
+
+def exact(c) -> Column:
+    """A number as an exact decimal, so that sums do not depend on partitioning
+    or summation order, which double sums do."""
+    return col(c).cast(EXACT)
+
+
+def money_sum(c) -> Column:
+    """Exact sum, returned as double. Values keep up to 10 decimals; a total
+    beyond 28 digits is an error."""
+    return F.sum(exact(c)).cast("double")
 
 
 def haversine_miles(lat1, lon1, lat2, lon2) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from haulage.functions import jarque_bera_p, round_half_up
+from haulage.functions import exact, jarque_bera_p, round_half_up
 from haulage.operators.gram import gram
 from haulage.operators.ranking import grouped_quantiles, quantile_scalars
 from haulage.operators.selection import quantile_rows, select_quantiles
@@ -132,7 +132,7 @@ def regional_analysis(df: DataFrame, region: str = "region", value: str = "popul
     """Per region count, means, total, std and best/worst rank."""
     return df.groupBy(region).agg(
         F.count(F.lit(1)).alias("count"), F.avg(value).alias("avg_population"),
-        F.avg(rank).alias("avg_rank"), F.sum(F.col(value).cast("decimal(30,2)")).cast("double").alias("total_population"),
+        F.avg(rank).alias("avg_rank"), F.sum(exact(value)).cast("double").alias("total_population"),
         F.stddev_samp(value).alias("population_std"), F.min(rank).alias("best_rank"),
         F.max(rank).alias("worst_rank"))
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulage import dims
-from haulage.functions import money_sum, round_half_up, safe_div
+from haulage.functions import exact, money_sum, round_half_up, safe_div
 
 LANE_KEYS = ["origin", "destination", "commodity", "mode"]
 
@@ -56,7 +56,7 @@ def long_to_wide(flows: DataFrame, years: list[int], keys: list[str]) -> DataFra
     aggs = []
     for y in years:
         aggs.append(F.sum(F.when(F.col("year") == y, F.col("tons")).otherwise(0.0)).alias(f"tons_{y}"))
-        aggs.append(F.sum(F.when(F.col("year") == y, F.col("value").cast("decimal(18,2)"))
+        aggs.append(F.sum(F.when(F.col("year") == y, exact("value"))
                           .otherwise(0)).cast("double").alias(f"value_{y}"))
     return flows.groupBy(*keys).agg(*aggs)
 

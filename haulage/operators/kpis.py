@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulage.functions import log_positive, round_half_up, safe_div
+from haulage.functions import exact, log_positive, money_sum, round_half_up, safe_div
 from haulage.operators.ranking import column_quantiles
 
 
@@ -22,10 +22,6 @@ def r(c: Column, d: int = 6) -> Column:
     return round_half_up(c, d)
 
 
-def exact_sum(c: str, scale: int = 2) -> Column:
-    return F.sum(F.col(c).cast(f"decimal(30,{scale})")).cast("double")
-
-
 def basic_kpis(df: DataFrame, value: str = "population", rank: str = "rank") -> DataFrame:
     """A10: count, sum, mean, median, sample std of population and rank.
     An empty input gives an empty result (no row)."""
@@ -33,8 +29,8 @@ def basic_kpis(df: DataFrame, value: str = "population", rank: str = "rank") ->
     med_v, med_r = q[value]["m"], q[rank]["m"]
     out = df.agg(
         F.count(F.lit(1)).alias("total_states"),
-        exact_sum(value).alias("total_population"),
-        r(exact_sum(value) / F.count(value), 4).alias("avg_population"),
+        money_sum(value).alias("total_population"),
+        r(money_sum(value) / F.count(value), 4).alias("avg_population"),
         r(F.stddev_samp(value), 4).alias("population_std"),
         r(F.avg(rank), 6).alias("avg_rank"),
         r(F.stddev_samp(rank), 6).alias("rank_std"))
@@ -59,8 +55,8 @@ def distribution_kpis(df: DataFrame, value: str = "population", rank: str = "ran
     population held by rows at or above P90 (threshold as scalar subquery)."""
     q = column_quantiles(df, {value: {"p90": 0.9, "p10": 0.1}, rank: {"r90": 0.9, "r10": 0.1}})
     pq, rq = q[value], q[rank]
-    stats = (df.agg(exact_sum(value).alias("_tot"),
-                    F.sum(F.when(F.col(value) >= pq["p90"], F.col(value).cast("decimal(30,2)")))
+    stats = (df.agg(money_sum(value).alias("_tot"),
+                    F.sum(F.when(F.col(value) >= pq["p90"], exact(value)))
                     .cast("double").alias("_top"))
              .withColumns({"p90": pq["p90"], "p10": pq["p10"], "r90": rq["r90"], "r10": rq["r10"]}))
     return stats.select(
@@ -80,10 +76,10 @@ def fuel_kpis(fuel: DataFrame) -> DataFrame:
     q = column_quantiles(fuel, {"regular": {"m": 0.5}, "diesel": {"m": 0.5}})
     for c in ("regular", "diesel"):
         meds[f"median_{c}_price"] = r(q[c]["m"], 6)
-        out += [r(exact_sum(c, 6) / F.count(c), 6).alias(f"avg_{c}_price"),
+        out += [r(money_sum(c) / F.count(c), 6).alias(f"avg_{c}_price"),
                 r(F.stddev_samp(c), 6).alias(f"{c}_price_std"),
                 r(F.max(c) - F.min(c), 6).alias(f"{c}_price_range"),
-                r(F.stddev_samp(c) / (exact_sum(c, 6) / F.count(c)), 6).alias(f"price_volatility_{c}")]
+                r(F.stddev_samp(c) / (money_sum(c) / F.count(c)), 6).alias(f"price_volatility_{c}")]
     return fuel.agg(*out).withColumns(meds)
 
 
@@ -91,13 +87,13 @@ def regional_kpis(df: DataFrame, region: str = "region", key: str = "state",
                   value: str = "population", rank: str = "rank") -> DataFrame:
     """Per region count, total, mean, mean rank, share of the grand total
     (scalar subquery) and the entity with the best (lowest) rank."""
-    total = df.select(exact_sum(value)).scalar()
+    total = df.select(money_sum(value)).scalar()
     return df.groupBy(region).agg(
         F.count(F.lit(1)).alias("state_count"),
-        exact_sum(value).alias("total_population"),
-        r(exact_sum(value) / F.count(value), 4).alias("avg_population"),
+        money_sum(value).alias("total_population"),
+        r(money_sum(value) / F.count(value), 4).alias("avg_population"),
         r(F.avg(rank), 6).alias("avg_rank"),
-        r(exact_sum(value) / total * 100, 6).alias("population_share"),
+        r(money_sum(value) / total * 100, 6).alias("population_share"),
         F.min_by(key, F.struct(F.col(rank), F.col(key))).alias("best_state_rank"),
         F.min(rank).alias("best_rank_value"))
 

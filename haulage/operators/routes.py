@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from haulage import dims
-from haulage.functions import (congestion_tier, haversine_miles, inf_to_zero_div,
+from haulage.functions import (congestion_tier, haversine_miles, inf_to_zero_div, money_sum,
                                round_half_up, safe_div)
 from haulage.sources.landed import Landed, ingest
 
@@ -171,7 +171,7 @@ def cost_components_by_origin(costs: DataFrame) -> DataFrame:
     """Mean fuel / driver / maintenance cost per origin, melted to
     (origin, component, cost)."""
     means = costs.groupBy("origin").agg(
-        *[(F.sum(F.col(c).cast("decimal(18,2)")).cast("double") / F.count(c)).alias(c)
+        *[(money_sum(c) / F.count(c)).alias(c)
           for c in ("fuel_cost", "driver_cost", "maint_cost")])
     return means.unpivot("origin", ["fuel_cost", "driver_cost", "maint_cost"], "component", "cost")
 

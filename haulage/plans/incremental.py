@@ -15,6 +15,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from haulage.functions import exact
 from haulage.operators.freight import LANE_KEYS
 from haulage.sources.versions import Versions
 
@@ -65,7 +66,7 @@ class LaneStates:
             folder = self.versions.new_folder()
             rows = self.spark.read.parquet(*sorted(new.values()))
             (rows.withColumn("file", file_id()).groupBy("file", *LANE_KEYS, "year")
-             .agg(F.sum("tons").alias("tons"), F.sum(F.col("value").cast("decimal(18,2)")).alias("value"),
+             .agg(F.sum("tons").alias("tons"), F.sum(exact("value")).alias("value"),
                   F.count(F.lit(1)).alias("rows")).write.parquet(self.versions.full(folder)))
             folders[folder] = folder
             folder_of |= dict.fromkeys(new, folder)

@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from haulage.functions import exact
 from haulage.plans import bindings as B
 from haulage.session import scratch_path
 
@@ -36,10 +37,15 @@ def fingerprint(spark: SparkSession, sf_dir: str, tables=SOURCES) -> str:
     return hashlib.sha256(repr(seen).encode()).hexdigest()
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
 def stored(spark: SparkSession, sf_dir: str, name: str, make: Callable[[str], None]) -> str:
     """Folder of a table that ``make(folder)`` writes, made once per state of the sources."""
     key = (spark.sparkContext.applicationId, name, fingerprint(spark, sf_dir))
-    if key not in _STORED:
+    if key not in _STORED or not _exists(spark, _STORED[key]):
         path = scratch_path(spark, name)
         make(path)
         _STORED[key] = path
@@ -52,7 +58,7 @@ def lane_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
     def make(path):
         columns = ("origin", "destination", "year", "quarter", "tons", "value")
         (B.flows(spark, sf_dir, columns=columns).groupBy("year", "quarter", "origin", "destination")
-         .agg(F.sum("tons").alias("t"), F.sum(F.col("value").cast("decimal(18,2)")).alias("v_dec"),
+         .agg(F.sum("tons").alias("t"), F.sum(exact("value")).alias("v_dec"),
               F.count(F.lit(1)).alias("n")).write.parquet(path))
 
     return spark.read.parquet(stored(spark, sf_dir, "lanes", make))

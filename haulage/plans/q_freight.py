@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from haulage.functions import round_half_up
+from haulage.functions import exact, round_half_up
 from haulage.operators import freight
 from haulage.plans import bindings as B
 from haulage.plans.catalog import ORACLE, query
@@ -192,7 +192,7 @@ def a09_freight_summary(spark, sf):
     # the three summaries read the year's lanes, aggregated and stored once
     rows = B.flows(spark, sf, latest=True, columns=(*LANES, "value"))
     lanes = rows.groupBy(*freight.LANE_KEYS, "year").agg(
-        F.sum("tons").alias("tons"), F.sum(F.col("value").cast("decimal(18,2)")).alias("value"))
+        F.sum("tons").alias("tons"), F.sum(exact("value")).alias("value"))
     return freight_summary(materialize(lanes))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from haulage.functions import round_half_up
+from haulage.functions import money_sum, round_half_up
 from haulage.operators import eda
 from haulage.plans import bindings as B
 from haulage.plans.catalog import query
@@ -144,8 +144,8 @@ FROM ent GROUP BY region""")
 def a23_regional_comparison(spark, sf):
     """Regional comparison table, 2 dp, with share of the total."""
     e = ent(spark, sf)
-    total = e.select(F.sum(F.col("population").cast("decimal(30,2)")).cast("double")).scalar()
-    s = F.sum(F.col("population").cast("decimal(30,2)")).cast("double")
+    total = e.select(money_sum("population")).scalar()
+    s = money_sum("population")
     return e.groupBy("region").agg(
         round_half_up(s, 2).alias("population_sum"), round_half_up(F.avg("population"), 2).alias("population_mean"),
         round_half_up(F.stddev_samp("population"), 2).alias("population_std"),

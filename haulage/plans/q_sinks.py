@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from haulage import dims
 from haulage.functions import round_half_up
 from haulage.operators import cleaning, features, freight, joins, kpis, marts, routes
-from haulage.plans import batch
+from haulage.plans import batch, layout
 from haulage.plans import bindings as B
 from haulage.plans.catalog import ORACLE, query
 from haulage.plans.q_cleaning import dirty_shipping
@@ -28,6 +28,7 @@ from haulage.plans.sqlparts import (COORDS, ENTITIES, FLOWS, LATEST_FUEL,
 from haulage.session import materialize
 from haulage.session import scratch_path
 from haulage.sources import apis, files
+from haulage.streaming import snapshots
 
 # The oracles of these queries are the ones of the tables they write.
 from haulage.plans import q_freight, q_profile, q_routes  # noqa: F401  (register first)
@@ -107,6 +108,48 @@ def s16_profile_json_round_trip(spark, sf):
     return spark.read.schema(PROFILE_SCHEMA).json(path)
 
 
+@query("a03_bucketed_layout", ORACLE["a03_lane_totals"])
+def a03_bucketed_layout(spark, sf):
+    """A3 from copies of the line items, orders and customers that are bucketed
+    by the join key, so that the largest join reads matching buckets without a
+    shuffle. The copies go to a database of their own in the shared folder."""
+    name, path = f"freight_{uuid.uuid4().hex[:12]}", scratch(spark)
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{path}'")
+    layout.write_bucketed(spark, sf, name, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return freight.lane_totals(freight.latest(layout.flows_bucketed(spark, sf, name)), None, 100)
+
+
+@query("s10_streamed_snapshots", with_(SNAPS) + """
+SELECT CAST(state AS VARCHAR) AS state, regular, mid_grade, premium, diesel, 'run-' || (state % 2) AS pipeline_run_id, 'AAA' AS data_source
+FROM snaps""")
+def s10_streamed_snapshots(spark, sf):
+    """Snapshots landed as JSON lines in two loads, some of them
+    delivered twice, appended to a table by a stream that drops the second ones
+    and starts again where it stopped."""
+    landing, out, name = scratch(spark), scratch(spark), f"snapshots-{uuid.uuid4().hex}"
+    snaps = materialize(B.fuel_snapshots(spark, sf))
+    for load in (0, 1):
+        rows = files.stamp(snaps.where(F.col("state") % 2 == load).withColumn("state", F.col("state").cast("string")), f"run-{load}", "AAA")
+        twice = rows.unionByName(rows.where(F.col("state").cast("long") % 5 == 0))
+        twice.write.mode("append").json(landing)
+        stream = snapshots.deduplicated(snapshots.read_snapshots(spark, landing), "3650 days")
+        snapshots.append_to_table(stream, out, name).awaitTermination()
+    return spark.read.schema(snapshots.SNAPSHOT_SCHEMA).parquet(out).drop("scraped_at")
+
+
+@query("w04_streamed_latest", with_(SNAPS, LATEST_FUEL) + """
+SELECT CAST(state AS VARCHAR) AS state, regular, mid_grade, premium, diesel FROM fuel""")
+def w04_streamed_latest(spark, sf):
+    """W4 as streaming state: the latest non-null price of each kind per state,
+    published with every batch, from two loads."""
+    landing, out, name = scratch(spark), scratch(spark), f"latest-{uuid.uuid4().hex}"
+    snaps = materialize(B.fuel_snapshots(spark, sf).withColumn("state", F.col("state").cast("string")))
+    for load in (0, 1):
+        snaps.where(F.day("scraped_at") % 2 == load).write.mode("append").json(landing)
+        snapshots.publish_latest(snapshots.read_snapshots(spark, landing), out, name).awaitTermination()
+    return snapshots.read_published(spark, out).select("state", "regular", "mid_grade", "premium", "diesel")
+
+
 @query("r07_cost_tables_round_trip", ORACLE["a44_cost_summary"])
 def r07_cost_tables_round_trip(spark, sf):
     """A9 + R7: flows written once (by year), freight and cost tables written

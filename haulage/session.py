@@ -80,6 +80,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for checkpoints")
 
 
+def clean(spark: SparkSession) -> bool:
+    """Remove this application's checkpoint folder: scratch tables, stored lane and
+    routing tables, checkpoints of batches and streams. For the end of a job, once
+    its results are written; DataFrames that read scratch tables can't be used
+    afterwards. Returns whether there was anything to remove."""
+    path = spark.sparkContext.getCheckpointDir()
+    if not path:
+        return False
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.exists(at) and fs.delete(at, True)
+    fs.mkdirs(at)
+    return bool(found)
+
+
 def scratch_path(spark: SparkSession, kind: str = "tables") -> str:
     """A fresh folder under the shared checkpoint folder (never machine-local
     on a cluster) for intermediate tables and round trips."""

@@ -62,3 +62,22 @@ def test_flows_join_only_what_the_columns_need(spark):
     assert "Join" not in plan
     plan = B.flows(spark, SF, columns=("origin", "year", "tons"))._jdf.queryExecution().optimizedPlan().toString()
     assert "p_partkey" not in plan and "o_orderkey" not in plan and "s_suppkey" in plan
+
+
+def test_sums_keep_many_decimals_and_large_values(spark):
+    from haulage.functions import money_sum
+    rows = [(0.12345678,), (1e17,), (0.00000001,), (-1e17,)]
+    df = spark.createDataFrame(rows * 3, "v double").repartition(4)
+    assert df.agg(money_sum("v").alias("s")).first().s == 0.37037037
+
+
+def test_clean_removes_scratch_tables(spark):
+    from haulage import session
+    from haulage.plans import lanes
+    first = lanes.lane_quarters(spark, "/root/testdata/sf0.001")
+    n = first.count()
+    path = session.scratch_path(spark)
+    spark.range(3).write.parquet(path)
+    assert session.clean(spark)
+    assert not lanes._exists(spark, path)
+    assert lanes.lane_quarters(spark, "/root/testdata/sf0.001").count() == n
