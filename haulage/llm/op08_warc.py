@@ -30,12 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulage.llm.common import open_file, prepare
+from haulage.llm.blocked_bloom import may_hold
+from haulage.llm.common import open_file, prepare, store
 from haulage.llm.registry import query, table
 from haulage.session import scratch_path
 
 BLOCK_BYTES = 1 << 20   # members packed into one value
 RANGE_BYTES = 8 << 20   # bytes of an archive that one task row scans
+MAX_BLOCKS = 1 << 20    # words of the filter on repeated digests: 8 MiB
 MIN_BYTES = 0           # payloads of fewer bytes are never revisits
 MAGIC = b"\x1f\x8b\x08"
 DATE = "2000-01-01T00:00:00Z"  # the same for all, so that a repeated task writes the same bytes
@@ -101,11 +103,15 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url_col}`").cast("string").alias("url"),
                         F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("digest", F.sha1(F.col("html").cast("binary")))
-    # only payloads that occur again travel: one narrow row for each
-    again = (rows.where(F.octet_length("html") >= min_bytes).groupBy("digest")
-             .agg(F.min("page_id").alias("first"), F.count("*").alias("c")).where("c > 1").select("digest", "first"))
-    rows = (rows.join(again, "digest", "left")
+    # digests that occur again, one narrow row for each
+    again = store(rows.where(F.octet_length("html") >= min_bytes).groupBy("digest")
+                  .agg(F.min("page_id").alias("first"), F.count("*").alias("c")).where("c > 1").select("digest", "first"), "repeated-payloads")
+    blocks = min(MAX_BLOCKS, max(64, 1 << (again.count() // 4).bit_length()))
+    marked = rows.withColumn("maybe", may_hold(F.col("digest"), again, "digest", blocks))
+    # a payload travels only if its digest may occur again; the others are written where they are read
+    hits = (marked.where("maybe").join(again, "digest", "left")
             .select("page_id", "url", "html", F.when(~F.col("first").eqNullSafe(F.col("page_id")), F.col("first")).alias("refers_to")))
+    rows = marked.where("not maybe").select("page_id", "url", "html", F.lit(None).cast("long").alias("refers_to")).unionByName(hits)
 
     def pack(batches):
         held, size = [], 0
