@@ -174,7 +174,7 @@ def _open_rows(expanded: DataFrame, comp: DataFrame) -> DataFrame:
     """Prefix rows with their class, of the tokens that still have more than one."""
     rows = (expanded.join(comp, F.col("sig") == F.col("node"), "left")
             .select("token", "sig", "n", "left", F.coalesce("comp", "sig").alias("class")))
-    several = rows.groupBy("token").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("token")
+    several = store(rows.groupBy("token").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("token"), "open-tokens")
     return store(rows.join(several, "token", "left_semi"), "open-rows")
 
 
@@ -220,7 +220,9 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     # 2. rare-first prefixes of the sets that have enough tokens in common with others
     by_token = tokens.select("sig", "n", F.explode("tokens").alias("token"))
-    frequent = by_token.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    # what is known of a token is stored before it is joined to the token's rows: then a
+    # join has nothing above it that needs them together, and Spark splits a frequent token
+    frequent = store(by_token.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "frequent")
     prefixes = (by_token.join(frequent, "token").groupBy("sig", "n")
                 .agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
                 .where(F.size("t") >= least)
@@ -238,7 +240,7 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     # 4a. within groups, and each token's outermost groups against its others
     ends = group_tokens.groupBy("token").agg(F.min(F.struct("n", "gid")).alias("lo"), F.max(F.struct("n", "gid")).alias("hi"))
-    met = group_tokens.join(ends.where("lo.gid <> hi.gid"), "token")
+    met = group_tokens.join(store(ends.where("lo.gid <> hi.gid"), "ends"), "token")
     star = None
     for end in ("lo", "hi"):
         part = (met.where((F.col("gid") != F.col(f"{end}.gid")) & _sizes_allow("n", f"{end}.n"))
@@ -251,15 +253,15 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     expanded = group_tokens.join(members.select("gid", "sig"), "gid").select("token", "sig", "n", "left")
     for turn in range(ROUNDS):
         rows = _open_rows(expanded, comp)
-        pivot = rows.groupBy("token").agg(F.min_by(F.struct("sig", "n", "class"), F.xxhash64("sig", "token", F.lit(turn))).alias("p"))
+        pivot = store(rows.groupBy("token").agg(F.min_by(F.struct("sig", "n", "class"), F.xxhash64("sig", "token", F.lit(turn))).alias("p")), "pivots")
         near = (rows.join(pivot, "token").where((F.col("class") != F.col("p.class")) & _sizes_allow("n", "p.n"))
                 .select(F.col("sig").alias("a"), F.col("p.sig").alias("b")))
         comp = _merged(comp, _verified(_pairs(near), tokens))
 
     # 4c. every candidate pair between classes; one side is outside its token's largest class
     rows = _open_rows(expanded, comp)
-    most = (rows.groupBy("token", "class").agg(F.count("*").alias("c")).groupBy("token")
-            .agg(F.max_by("class", F.struct("c", "class")).alias("most")))
+    most = store(rows.groupBy("token", "class").agg(F.count("*").alias("c")).groupBy("token")
+                 .agg(F.max_by("class", F.struct("c", "class")).alias("most")), "largest-classes")
     few = (rows.join(most, "token").where("class <> most")
            .select("token", F.col("sig").alias("a"), F.col("n").alias("na"), F.col("left").alias("la"), F.col("class").alias("ca")))
     every = rows.select("token", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("left").alias("lb"), F.col("class").alias("cb"))
