@@ -5,8 +5,9 @@ For each language l the score of a document is
     log P(l | host) + log P(declared | l) + log P(suffix | l) + trust * log P(text | l)
 
 * Text: byte trigrams of the lower-cased letters, naive Bayes, fitted on a
-  bounded sample of labelled rows: of each language the SAMPLE_DOCS distinct
-  rows with the smallest hash, so that a rare language is fitted too. A label
+  bounded sample of labelled rows: of each language the distinct rows of the
+  smallest hashes, all of them or the share that makes about SAMPLE_DOCS, so
+  that a rare language is fitted too. A label
   counts by its first part (``en-US`` is ``en``). Neighbouring trigrams depend
   on each other, so a long text counts as TRUST trigrams at most. A further
   class, ``und``, gives every trigram the same small probability; it wins on
@@ -38,7 +39,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulage.llm.common import annotate, chunks, prepare, store, text_buffer
@@ -47,7 +48,7 @@ from haulage.llm.registry import query, table
 
 UNKNOWN = "und"
 LEAST_ROWS = 3          # labelled rows that make a language a class, at least
-SAMPLE_DOCS = 4_000     # labelled rows of each language that the text model is fitted on, at most
+SAMPLE_DOCS = 4_000     # labelled rows of each language that the text model is fitted on, some 2 % more or less
 TRIGRAMS = 1 << 16      # buckets of the text model
 TRUST = 200             # trigrams that a text counts as, at most
 UND_LOG_P = -10.5       # log probability of a trigram in the class und
@@ -101,13 +102,12 @@ def fit(docs: DataFrame, label_col: str, id_col: str, text_col: str, languages:
     rows = rows.select("l", "text", F.xxhash64("id", "l", "text").alias("h"))
     # repeated rows count once, or a few of them could fill a language's share
     hashes = store(rows.select("l", "h").distinct(), "language-labels")
-    # a task passes on a language's first rows only, so no language gathers in one place
-    place = F.row_number().over(Window.partitionBy("l").orderBy("h"))
-    last = {r.l: r.h for r in (hashes.withColumn("place", place).where(F.col("place") <= sample_docs)
-                               .groupBy("l").agg(F.max("h").alias("h")).collect())}
+    # hashes are spread evenly, so a bound on them takes the wanted share of a language; a row per language
+    size = {r.l: r.n for r in hashes.groupBy("l").agg(F.count("*").alias("n")).collect()}
     counts = np.zeros((TRIGRAMS, len(languages)))
-    if last:
-        bound = F.get(F.array(*[F.lit(last.get(i)).cast("long") for i in range(len(languages))]), F.col("l"))
+    if size:
+        share = [min(1.0, sample_docs / size.get(i, 1)) for i in range(len(languages))]
+        bound = F.get(F.array(*[F.lit(min((1 << 63) - 1, int(s * 2 ** 64) - (1 << 63))).cast("long") for s in share]), F.col("l"))
         sample = rows.where(F.col("h") <= bound).dropDuplicates(["l", "h"])
 
         def count(batches):
