@@ -28,7 +28,7 @@ declared language.
 Edge rows: a null or empty text is no evidence, and so is a null or unknown
 declared language, host or suffix. Without any evidence the language is
 ``und`` and the row is not accepted. The classes are the languages (two or three
-letters) that LEAST_ROWS rows are labelled with, so at most some 18,000, each
+letters) that LEAST_ROWS rows or more are labelled with, so at most some 18,000, each
 256 KB in a task's model; one with fewer rows can't be fitted and isn't given.
 Ties go to the language with more labelled rows, then to the first by name.
 Repeated rows get the same answer. An empty table gives an empty result. An
@@ -47,7 +47,7 @@ from haulage.llm.op10_url_filter import document_of, host_of, path_of
 from haulage.llm.registry import query, table
 
 UNKNOWN = "und"
-LEAST_ROWS = 3          # labelled rows that make a language a class, at least
+LEAST_ROWS = 1          # labelled rows that make a language a class, at least
 SAMPLE_DOCS = 4_000     # labelled rows of each language that the text model is fitted on, some 2 % more or less
 TRIGRAMS = 1 << 16      # buckets of the text model
 TRUST = 200             # trigrams that a text counts as, at most

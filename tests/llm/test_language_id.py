@@ -95,7 +95,8 @@ def test_languages_come_from_the_labels(spark):
     rows = [(i, f"il gatto che non era della casa per questo sono anche a{i} " * 4, "it", "a", 1) for i in range(100)]
     rows += [(200 + i, f"the of and with this is that on a{i} " * 4, "en-GB", "a", 1) for i in range(50)]
     rows += [(300 + i, "xx", "12?", "a", 1) for i in range(9)] + [(400, "ab", "zz", "a", 1), (401, "ab", "und", "a", 1)]
-    assert op.languages_of(docs(spark, rows), "lang") == ["it", "en"]
+    assert op.languages_of(docs(spark, rows), "lang") == ["it", "en", "zz"]
+    assert op.languages_of(docs(spark, rows), "lang", 2) == ["it", "en"]
     got, _ = _identify(spark, rows)
     assert all(got[i] == ("it", True) for i in range(100)) and all(got[200 + i] == ("en", True) for i in range(50))
 
