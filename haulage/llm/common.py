@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import pathlib
 import tempfile
 import zipfile
@@ -57,14 +58,53 @@ def store(df: DataFrame, kind: str, codec: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def annotate(df: DataFrame, text_col: str, make, added: str, keep: list[str] | None = None) -> DataFrame:
+# What a Python worker remembers from task to task, by operator. Spark keeps a
+# worker for later tasks of any kind, and its memory counts with the executor's.
+_REMEMBERED: dict[str, dict] = {}
+
+
+def remembered(owner: str) -> dict:
+    """The dict in which ``owner`` keeps what outlives a task; emptied when the worker turns to other work."""
+    return _REMEMBERED.setdefault(owner, {})
+
+
+def forget(owner: str | None = None) -> None:
+    """Empty what this worker remembers for others than ``owner``."""
+    for name, held in _REMEMBERED.items():
+        if name != owner:
+            held.clear()
+
+
+def give_back() -> None:
+    """Return memory that this worker has freed to the system; else it stays with the idle worker."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def lean(run, owner: str | None = None):
+    """``run`` for mapInArrow, by a worker that holds no more than ``owner`` remembers before and after."""
+    def inner(batches):
+        forget(owner)
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return inner
+
+
+def annotate(df: DataFrame, text_col: str, make, added: str, keep: list[str] | None = None,
+             owner: str | None = None) -> DataFrame:
     """``df`` plus the columns of the DDL string ``added``, computed from ``text_col``.
 
     ``make()`` runs once per task and returns a function that turns the text
     array of one batch into a list of pyarrow arrays, one per added column.
     ``keep`` names the columns that stay (all by default). A column of ``df``
-    that has the name of an added column is replaced, whatever its case. No
-    shuffle.
+    that has the name of an added column is replaced, whatever its case.
+    ``owner`` names what the function remembers between tasks (``remembered``).
+    No shuffle.
     """
     prepare(df.sparkSession)
     new = ddl(added)
@@ -86,7 +126,7 @@ def annotate(df: DataFrame, text_col: str, make, added: str, keep: list[str] | N
         for batch in batches:
             yield pa.RecordBatch.from_arrays(batch.columns[:n] + fn(batch.column(at)), names=names)
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(lean(run, owner), schema)
 
 
 def open_file(path: str):

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulage.llm.common import annotate, chunks, prepare, store, text_buffer
+from haulage.llm.common import annotate, chunks, lean, prepare, store, text_buffer
 from haulage.llm.op10_url_filter import document_of, host_of, path_of
 from haulage.llm.registry import query, table
 
@@ -123,7 +123,7 @@ def fit(docs: DataFrame, label_col: str, id_col: str, text_col: str, languages:
                 yield pa.RecordBatch.from_arrays([pa.array(l, pa.int32()), pa.array(g, pa.int32()), pa.array(total[l, g])],
                                                  names=["l", "g", "n"])
         # at most one row per class and bucket reaches the driver
-        for r in (sample.select("l", "text").mapInArrow(count, "l int, g int, n long")
+        for r in (sample.select("l", "text").mapInArrow(lean(count), "l int, g int, n long")
                   .groupBy("l", "g").agg(F.sum("n").alias("n")).collect()):
             counts[r["g"], r["l"]] = r["n"]
     counts += 0.05

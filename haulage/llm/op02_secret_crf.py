@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulage.llm.common import _BYTE, _LOWER, _powers, annotate, chunks, mix, prepare, store, text_buffer
+from haulage.llm.common import _BYTE, _LOWER, _powers, annotate, chunks, lean, mix, prepare, store, text_buffer
 from haulage.llm.registry import query, table
 
 KINDS = ("assign", "access", "hex", "crf")
@@ -326,7 +326,7 @@ def sample(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DO
     text = F.col(f"`{text_col}`").cast("string")
     rows = docs.select(text.alias("text")).where("text <> ''").select("text", F.xxhash64("text").alias("h"))
     sorts = store(rows.select("h", F.when(F.col("text").rlike(_ANY), F.col("text")).alias("text"))
-                  .mapInArrow(_sorts, "sort int, h long").distinct(), "secret-sorts")
+                  .mapInArrow(lean(_sorts), "sort int, h long").distinct(), "secret-sorts")
     first = [[r["h"] for r in sorts.where(F.col("sort") == k).select("h").orderBy("h").limit(sample_docs).collect()] for k in range(CLEAN + 1)]
     if not any(first[:CLEAN]):
         return []
@@ -334,7 +334,7 @@ def sample(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DO
     # at most sample_docs hashes; equal texts count once
     chosen = F.broadcast(spark.createDataFrame(pa.table({"h": pa.array(taken, pa.int64())})))
     made = store(rows.join(chosen, "h", "left_semi").dropDuplicates(["h"]).select("h", "text")
-                 .mapInArrow(_cut, "h long, kind int, i int, x binary, y binary"), "secret-windows")
+                 .mapInArrow(lean(_cut), "h long, kind int, i int, x binary, y binary"), "secret-windows")
     held = {r["kind"]: r["count"] for r in made.groupBy("kind").count().collect()}
     sizes = [held.get(k, 0) for k in range(HARMLESS + 1)]
     # in an order that depends on the texts alone

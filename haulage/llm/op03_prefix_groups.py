@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulage.llm.blocked_bloom import may_hold
-from haulage.llm.common import WHITE, annotate, chunks, mix, prepare, shingles_of, store, text_buffer, words_of
+from haulage.llm.common import WHITE, annotate, chunks, lean, mix, prepare, shingles_of, store, text_buffer, words_of
 from haulage.llm.components import components
 from haulage.llm.registry import query, table
 
@@ -204,9 +204,9 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sets = store(annotate(keyed, "text", _keys, "sig long, n long", keep=["id", "row_key"]), "sets")
 
     # 1. sets whose prefix has enough tokens that other sets have too
-    shared = (src.select("text").mapInArrow(_prefix_rows, "token long, sig long, w int")
+    shared = (src.select("text").mapInArrow(lean(_prefix_rows), "token long, sig long, w int")
               .repartition("token").sortWithinPartitions("token")
-              .mapInArrow(_shared_rows, "sig long, shared long").groupBy("sig").agg(F.sum("shared").alias("shared")))
+              .mapInArrow(lean(_shared_rows), "sig long, shared long").groupBy("sig").agg(F.sum("shared").alias("shared")))
     least = F.floor((SHARE * F.col("n") + 99) / 100)
     reps = (sets.where("n > 0").groupBy("sig", "n").agg(F.min("row_key").alias("rep")).join(shared, "sig")
             .where(F.col("shared") >= F.greatest(F.lit(1), F.floor(least / SLACK))).select("sig", "n", "rep"))

@@ -3,8 +3,8 @@
 First tier: a minimal perfect hash (hash and displace) over the vocabulary's
 byte strings resolves each pre-token that is itself in the vocabulary. Second
 tier: the others are merged with a heap over a linked list of bytes, lowest
-rank first, leftmost among equals. A Python worker resolves each distinct
-pre-token once and remembers it (a memory of bounded size, emptied when full).
+rank first, leftmost among equals. A Python worker remembers the pre-tokens
+that it has resolved; when there are too many, those used most stay.
 
 Edge rows: a null or empty text encodes to an empty list and decodes to empty
 bytes; a null list decodes to null; an id outside the vocabulary is an error.
@@ -26,10 +26,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulage.llm.common import _BYTE, _powers, annotate, mix
+from haulage.llm.common import _BYTE, _powers, annotate, mix, remembered
 from haulage.llm.registry import query, table
 
-REMEMBERED = 300_000  # distinct pre-tokens that a Python worker remembers, some 60 MB
+REMEMBERED = 100_000  # distinct pre-tokens that a Python worker remembers, some 430 bytes each
 U64 = np.uint64
 
 
@@ -176,7 +176,26 @@ class _Memory:
 
     def __init__(self):
         self.code, self.ids = _Codes(), np.zeros(0, np.int32)
-        self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.start, self.length, self.uses = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def used(self, of: np.ndarray) -> None:
+        times = np.bincount(of, minlength=len(self.length))
+        times[:len(self.uses)] += self.uses
+        self.uses = times
+
+    def shrink(self, size: int) -> None:
+        """Keep the ``size`` pre-tokens that were used most."""
+        keep = np.sort(np.argsort(-self.uses, kind="stable")[:size])
+        stays = np.zeros(len(self.uses), bool)
+        stays[keep] = True
+        words = [w for w, s in zip(self.code, stays.tolist()) if s]  # in the order of their codes
+        self.code = _Codes()
+        for word in words:
+            self.code[word] = len(self.code)
+        self.ids = self.ids[_gather(self.start[keep], self.length[keep])]
+        self.length = self.length[keep]
+        self.start = np.cumsum(self.length) - self.length
+        self.uses = self.uses[keep] // 2  # what is no longer used gives way
 
     def add(self, found: list[list[int]]) -> None:
         length = np.fromiter(map(len, found), np.int64, len(found))
@@ -186,8 +205,10 @@ class _Memory:
         self.code.fresh = []
 
 
+OWNER = "op06_byte_bpe"
+
 # By vocabulary; it outlives a task where Spark reuses the Python worker.
-_MEMORY: dict[str, _Memory] = {}
+_MEMORY: dict[str, _Memory] = remembered(OWNER)
 
 
 class Encoder:
@@ -217,14 +238,17 @@ class Encoder:
 
         def encode(texts: pa.Array) -> pa.Array:
             memory = _MEMORY.get(self.name)
-            if memory is None or len(memory.code) > REMEMBERED:
+            if memory is None:
                 _MEMORY.clear()
                 memory = _MEMORY[self.name] = _Memory()
+            elif len(memory.code) > REMEMBERED:
+                memory.shrink(REMEMBERED // 2)
             words = [split(t) if t else [] for t in texts.to_pylist()]
             n_words = np.fromiter(map(len, words), np.int64, len(words))
             of = np.fromiter(map(memory.code.__getitem__, chain.from_iterable(words)), np.int64, int(n_words.sum()))
             if memory.code.fresh:
                 memory.add(self.resolve(memory.code.fresh)[0])
+            memory.used(of)
             length = memory.length[of]
             flat = memory.ids[_gather(memory.start[of], length)]
             ends = np.concatenate(([0], np.cumsum(length)))[np.concatenate(([0], np.cumsum(n_words)))]
@@ -255,12 +279,12 @@ def encode(df: DataFrame, encoder: Encoder, text_col: str = "text", keep: list[s
     def make():
         fn = encoder.batch_encoder()
         return lambda texts: [fn(texts)]
-    return annotate(df, text_col, make, "ids array<int>", keep)
+    return annotate(df, text_col, make, "ids array<int>", keep, OWNER)
 
 
 def decode(df: DataFrame, encoder: Encoder, ids_col: str = "ids", keep: list[str] | None = None) -> DataFrame:
     """``df`` plus ``decoded binary``."""
-    return annotate(df, ids_col, lambda: lambda ids: [encoder.decode(ids)], "decoded binary", keep)
+    return annotate(df, ids_col, lambda: lambda ids: [encoder.decode(ids)], "decoded binary", keep, OWNER)
 
 
 def round_trip(df: DataFrame, encoder: Encoder, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -272,7 +296,7 @@ def round_trip(df: DataFrame, encoder: Encoder, text_col: str = "text", keep: li
             ids = fn(texts)
             return [ids, encoder.decode(ids)]
         return both
-    return annotate(df, text_col, make, "ids array<int>, decoded binary", keep)
+    return annotate(df, text_col, make, "ids array<int>, decoded binary", keep, OWNER)
 
 
 def public_encoder() -> Encoder:

@@ -60,6 +60,28 @@ def test_memory_is_emptied_when_full(monkeypatch):
         assert fn(pa.array([text])).to_pylist() == [LIBRARY.encode_ordinary(text)]
 
 
+def test_memory_keeps_what_is_used_most_when_full(monkeypatch):
+    monkeypatch.setattr(op, "REMEMBERED", 4)
+    op._MEMORY.clear()
+    fn = ENCODER.batch_encoder()
+    for text in ("often again often again often", "rare seldom scarce", "often again"):
+        assert fn(pa.array([text])).to_pylist() == [LIBRARY.encode_ordinary(text)]
+    memory = op._MEMORY[ENCODER.name]
+    assert {" often", " again"} <= set(memory.code) and " rare" not in memory.code
+    assert list(memory.code.values()) == list(range(len(memory.code))) == list(range(len(memory.uses)))
+
+
+def test_memory_of_a_worker_stays_bounded(monkeypatch):
+    monkeypatch.setattr(op, "REMEMBERED", 50)
+    op._MEMORY.clear()
+    fn = ENCODER.batch_encoder()
+    for i in range(40):
+        text = " ".join(f"w{i}x{j}" for j in range(20))
+        assert fn(pa.array([text, None])).to_pylist() == [LIBRARY.encode_ordinary(text), []]
+    memory = op._MEMORY[ENCODER.name]
+    assert len(memory.code) == len(memory.start) == len(memory.length) <= 200 and len(memory.ids) <= 1000
+
+
 def test_decode_nulls_and_unknown_ids():
     assert ENCODER.decode(pa.array([[64], None, []], pa.list_(pa.int32()))).to_pylist() == [ENCODER.bytes[ENCODER.start[64]:ENCODER.start[64] + 1].tobytes(), None, b""]
     with pytest.raises(ValueError):

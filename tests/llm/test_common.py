@@ -38,6 +38,22 @@ def test_slices_of_arrays():
     assert bytes(data) == b"bb" and off.tolist() == [0, 2, 2]
 
 
+def test_a_worker_forgets_what_other_work_remembered():
+    a, b = common.remembered("test-a"), common.remembered("test-b")
+    a["x"], b["x"] = 1, 2
+    assert list(common.lean(lambda batches: (2 * x for x in batches), "test-a")([1, 2])) == [2, 4]
+    assert a == {"x": 1} and b == {} and common.remembered("test-a") is a
+    assert list(common.lean(iter)([3])) == [3]
+    assert a == {}
+
+
+def test_other_work_empties_the_encoder_memory():
+    from haulage.llm import op06_byte_bpe as op06
+    op06._MEMORY["vocabulary"] = "pre-tokens"
+    list(common.lean(iter)([]))
+    assert not op06._MEMORY
+
+
 def test_annotate_replaces_clashing_names(spark):
     df = docs(spark).withColumnRenamed("source", "SPANS")
     out = common.annotate(df, "text", lambda: lambda t: [pa.array([0] * len(t))], "spans long")
